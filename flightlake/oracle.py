@@ -295,3 +295,118 @@ SELECT f.Origin, w.flight_category,
 FROM ontime_silver f
 LEFT JOIN weather_silver w ON 'K' || f.Origin = w.airport_icao
 GROUP BY f.Origin, w.flight_category"""
+
+ORACLE["flights_clean"] = with_("ontime_clean") + "SELECT * FROM ontime_clean"
+
+ORACLE["flights_dedupe_keys"] = with_("ontime_clean") + f"""
+SELECT {", ".join(ONTIME_KEY)}, count(*) AS n_rows
+FROM ontime_clean
+GROUP BY {", ".join(ONTIME_KEY)}"""
+
+ORACLE["flights_dedupe_first"] = with_("ontime_silver") + "SELECT * FROM ontime_silver"
+
+ORACLE["csv_roundtrip"] = ORACLE["flights_dedupe_first"]
+
+
+def _drift_sql() -> str:
+    from .schemas import ONTIME_COLUMNS
+    incoming = [("SecurityDelayMinutes" if c == "SecurityDelay" else c) for c in ONTIME_COLUMNS]
+    incoming.append("Flights")
+    rows = [f"('{c}', '{'ok' if c in ONTIME_COLUMNS else 'unexpected'}', {i + 1})"
+            for i, c in enumerate(incoming)]
+    rows += [f"('{c}', 'missing', NULL)" for c in ONTIME_COLUMNS if c not in incoming]
+    # The rows are derived from data written from the driver's tables; the
+    # values below are what that header must contain.
+    return ("SELECT column_name, status, CAST(position AS INTEGER) AS position FROM (VALUES "
+            + ", ".join(rows) + ") AS t(column_name, status, position)")
+
+
+ORACLE["schema_drift"] = _drift_sql()
+
+ORACLE["live_flights_flat"] = with_("live_flat") + "SELECT * FROM live_flat"
+ORACLE["live_flights_dedupe"] = with_("live_silver") + "SELECT * FROM live_silver"
+ORACLE["weather_flat"] = with_("weather_flat") + "SELECT * FROM weather_flat"
+ORACLE["append_idempotent"] = ORACLE["live_flights_dedupe"]
+ORACLE["stream_incremental"] = ORACLE["live_flights_dedupe"]
+
+_HOUR = "TRY_CAST(substr(lpad(DEP_TIME, 4, '0'), 1, 2) AS INTEGER)"
+_MONTH = "CAST(month(try_strptime(FL_DATE, '%Y-%m-%d')) AS INTEGER)"
+
+ORACLE["report_hour_risk"] = with_("ontime_silver") + f"""
+SELECT dep_hour, total_flights, avg_delay, delay_rate,
+       CAST(row_number() OVER (ORDER BY delay_rate DESC NULLS LAST, dep_hour ASC NULLS LAST)
+            AS INTEGER) AS risk_rank
+FROM (SELECT {_HOUR} AS dep_hour, count(*) AS total_flights, avg(DEP_DELAY) AS avg_delay,
+             {_rate("is_delayed")} AS delay_rate
+      FROM ontime_silver GROUP BY 1) h"""
+
+ORACLE["report_worst_routes"] = with_("ontime_silver") + f"""
+SELECT OP_CARRIER, Origin, Dest, avg_dep_delay, total_flights, delay_rate
+FROM (SELECT OP_CARRIER, Origin, Dest, avg(DEP_DELAY) AS avg_dep_delay,
+             count(*) AS total_flights, {_rate("is_delayed")} AS delay_rate
+      FROM ontime_silver GROUP BY OP_CARRIER, Origin, Dest HAVING count(*) >= 10) r
+ORDER BY avg_dep_delay DESC NULLS LAST, OP_CARRIER, Origin, Dest
+LIMIT 10"""
+
+ORACLE["report_weather_category"] = with_("ontime_silver", "weather_latest") + f"""
+SELECT w.flight_category, count(*) AS total_flights, avg(f.DEP_DELAY) AS avg_dep_delay,
+       {_rate("f.is_delayed")} AS delay_rate
+FROM ontime_silver f
+LEFT JOIN weather_latest w ON 'K' || f.Origin = w.airport_icao
+GROUP BY w.flight_category"""
+
+ORACLE["report_carrier_ranking"] = with_("ontime_silver") + f"""
+SELECT OP_CARRIER, avg_dep_delay, avg_arr_delay, total_flights, delay_rate, total_cancelled,
+       delay_rank, delay_rank = 1 AS is_best
+FROM (SELECT *, CAST(row_number() OVER (ORDER BY avg_dep_delay ASC NULLS LAST, OP_CARRIER)
+                     AS INTEGER) AS delay_rank
+      FROM (SELECT OP_CARRIER, avg(DEP_DELAY) AS avg_dep_delay, avg(ARR_DELAY) AS avg_arr_delay,
+                   count(*) AS total_flights, {_rate("is_delayed")} AS delay_rate,
+                   CAST(sum(CAST(is_cancelled AS INTEGER)) AS BIGINT) AS total_cancelled
+            FROM ontime_silver GROUP BY OP_CARRIER) c) r"""
+
+ORACLE["report_cause_share"] = with_("ontime_silver") + """,
+s AS (SELECT sum(CARRIER_DELAY) AS c, sum(WEATHER_DELAY) AS w, sum(NAS_DELAY) AS n,
+             sum(LATE_AIRCRAFT_DELAY) AS l FROM ontime_silver),
+t AS (SELECT *, coalesce(c, 0) + coalesce(w, 0) + coalesce(n, 0) + coalesce(l, 0) AS total FROM s)
+SELECT 'carrier' AS cause, c AS delay_minutes, CASE WHEN total > 0 THEN c / total END AS share FROM t
+UNION ALL SELECT 'weather', w, CASE WHEN total > 0 THEN w / total END FROM t
+UNION ALL SELECT 'nas', n, CASE WHEN total > 0 THEN n / total END FROM t
+UNION ALL SELECT 'late_aircraft', l, CASE WHEN total > 0 THEN l / total END FROM t"""
+
+ORACLE["report_live_monitor"] = with_("live_silver") + """
+SELECT carrier, origin, dest, total_flights, delayed_flights,
+       delayed_flights / total_flights AS delayed_share,
+       avg_dep_delay, avg_arr_delay, aircraft_type
+FROM (SELECT carrier, origin, dest, count(*) AS total_flights,
+             avg(dep_delay) AS avg_dep_delay, avg(arr_delay) AS avg_arr_delay,
+             CAST(sum(CASE WHEN dep_delay > 15 THEN 1 ELSE 0 END) AS BIGINT) AS delayed_flights,
+             first(aircraft_type ORDER BY flight_date ASC NULLS FIRST, scheduled_dep ASC NULLS FIRST,
+                   flight_iata ASC NULLS FIRST, aircraft_type ASC NULLS FIRST) AS aircraft_type
+      FROM live_silver GROUP BY carrier, origin, dest HAVING count(*) >= 2) r"""
+
+
+def _count(layer: str, name: str, body: str) -> str:
+    return (f"SELECT '{layer}' AS layer, '{name}' AS table_name, 'ok' AS status, "
+            f"count(*) AS rows_written, count(*) AS rows_read FROM ({body}) x")
+
+
+ORACLE["gold_row_audit"] = with_("ontime_silver", "weather_latest", "live_silver") + \
+    "\nUNION ALL\n".join([
+        _count("silver", "aviationstack_flights", "SELECT 1 FROM live_silver"),
+        _count("silver", "metar", "SELECT 1 FROM weather_silver"),
+        _count("silver", "bts_flights", "SELECT 1 FROM ontime_silver"),
+        _count("gold", "airport_hourly_delay",
+               f"SELECT 1 FROM ontime_silver GROUP BY Origin, {_HOUR}, {_MONTH}"),
+        _count("gold", "route_delay_summary",
+               "SELECT 1 FROM ontime_silver GROUP BY OP_CARRIER, Origin, Dest HAVING count(*) >= 10"),
+        _count("gold", "carrier_performance", "SELECT 1 FROM ontime_silver GROUP BY OP_CARRIER"),
+        _count("gold", "delay_cause_breakdown",
+               "SELECT 1 FROM ontime_silver WHERE is_delayed GROUP BY Origin, OP_CARRIER "
+               "HAVING count(*) >= 5"),
+        _count("gold", "flight_weather_joined",
+               "SELECT 1 FROM ontime_silver f LEFT JOIN weather_latest w "
+               "ON 'K' || f.Origin = w.airport_icao"),
+        _count("gold", "aviationstack_summary",
+               "SELECT 1 FROM live_silver GROUP BY carrier, origin, dest HAVING count(*) >= 2"),
+    ])

@@ -15,8 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import operators as op
+from .plans import catalog, jobs, reports
+from .schemas import LIVE_KEY, LIVE_SILVER, ONTIME_KEY
+from .session import scratch_path
 from .sources import bronze, surrogate
+from .sources.sinks import append_new
 from .sources.tables import Tables
+from .streaming import ingest_stream
 
 
 def _tables(spark: SparkSession, sf_dir: str) -> Tables:
@@ -70,14 +75,160 @@ def q_flight_weather_all(spark, sf_dir):
     return op.fanout_summary(ontime_silver(spark, sf_dir), weather_silver(spark, sf_dir))
 
 
+# --- silver ---------------------------------------------------------------------
+
+def q_flights_clean(spark, sf_dir):
+    return op.clean_ontime(surrogate.ontime_raw(_tables(spark, sf_dir)))
+
+
+def q_flights_dedupe_keys(spark, sf_dir):
+    return op.distinct_keys(q_flights_clean(spark, sf_dir), ONTIME_KEY)
+
+
+def q_flights_dedupe_first(spark, sf_dir):
+    return ontime_silver(spark, sf_dir)
+
+
+def q_csv_roundtrip(spark, sf_dir):
+    """On-time rows written as headed CSV, read back by header (SRC-3, SNK-3)."""
+    path = scratch_path(spark, "ontime-csv")
+    bronze.write_ontime_csv(surrogate.ontime_raw(_tables(spark, sf_dir)), path)
+    return op.ontime_silver(bronze.read_ontime_csv(spark, f"{path}/*.csv"))
+
+
+def q_schema_drift(spark, sf_dir):
+    """A drifted CSV header (one column renamed by the publisher) against the
+    expected 16 names (SRC-8)."""
+    path = scratch_path(spark, "ontime-drift")
+    raw = surrogate.ontime_raw(_tables(spark, sf_dir)).withColumnRenamed(
+        "SecurityDelay", "SecurityDelayMinutes")
+    bronze.write_ontime_csv(raw, path)
+    return bronze.schema_drift(bronze.csv_header(spark, f"{path}/*.csv"), spark=spark)
+
+
+def _landed(spark, sf_dir, feed):
+    t = _tables(spark, sf_dir)
+    records = surrogate.live_records(t) if feed == "flights" else surrogate.weather_records(t)
+    return bronze.land_snapshot(records, scratch_path(spark, f"bronze-{feed}"), feed)
+
+
+def q_live_flights_flat(spark, sf_dir):
+    """Flight records landed as daily JSON envelopes, read back, flattened."""
+    return op.flatten_live(_landed(spark, sf_dir, "flights"))
+
+
+def q_live_flights_dedupe(spark, sf_dir):
+    return live_silver(spark, sf_dir)
+
+
+def q_weather_flat(spark, sf_dir):
+    """Weather records landed as daily JSON envelopes, read back, flattened,
+    limited to the polled stations."""
+    env = _landed(spark, sf_dir, "weather")
+    return op.flatten_weather(env, op.station_registry(_tables(spark, sf_dir).nation))
+
+
+def q_append_idempotent(spark, sf_dir):
+    """The live silver batch appended twice: the second run adds nothing."""
+    path = scratch_path(spark, "silver-live")
+    batch = live_silver(spark, sf_dir)
+    append_new(batch, path, LIVE_KEY, partition_by=["flight_date"])
+    append_new(batch, path, LIVE_KEY, partition_by=["flight_date"])
+    return spark.read.schema(LIVE_SILVER).parquet(path).select(*LIVE_SILVER.fieldNames())
+
+
+# --- reports ----------------------------------------------------------------------
+
+def q_report_hour_risk(spark, sf_dir):
+    return reports.hour_risk(ontime_silver(spark, sf_dir))
+
+
+def q_report_worst_routes(spark, sf_dir):
+    return reports.worst_routes(q_route_delay_summary(spark, sf_dir))
+
+
+def q_report_weather_category(spark, sf_dir):
+    return reports.weather_category(q_flight_weather_latest(spark, sf_dir))
+
+
+def q_report_carrier_ranking(spark, sf_dir):
+    return reports.carrier_ranking(q_carrier_performance(spark, sf_dir))
+
+
+def q_report_cause_share(spark, sf_dir):
+    return reports.cause_share(ontime_silver(spark, sf_dir))
+
+
+def q_report_live_monitor(spark, sf_dir):
+    return reports.live_monitor(q_live_route_summary(spark, sf_dir))
+
+
+# --- jobs and streaming --------------------------------------------------------------
+
+def _land_lake(spark, sf_dir, lake):
+    t = _tables(spark, sf_dir)
+    bronze.write_ontime_csv(surrogate.ontime_raw(t), lake.bronze("ontime"))
+    bronze.land_snapshot(surrogate.live_records(t), lake.bronze("flights"), "flights")
+    bronze.land_snapshot(surrogate.weather_records(t), lake.bronze("weather"), "weather")
+
+
+def q_gold_row_audit(spark, sf_dir):
+    """Both nightly jobs over a freshly landed lake; written rows (observed at
+    write time) next to the rows read back through the registered views."""
+    lake = jobs.Lake(scratch_path(spark, "lake"))
+    _land_lake(spark, sf_dir, lake)
+    audit = jobs.run_nightly(spark, lake, stations=op.station_registry(_tables(spark, sf_dir).nation))
+    prefix = "lake_" + lake.root.rsplit("-", 1)[-1] + "_"
+    views = catalog.register_lake(spark, lake, prefix)
+    counts = catalog.row_counts(spark, views).withColumn(
+        "table_name", F.expr(f"substr(table_name, {len(prefix) + 1})"))
+    return audit.drop("error").join(counts, "table_name", "left")
+
+
+def q_stream_incremental(spark, sf_dir):
+    """Live snapshots arriving in two steps through the file stream: first
+    half of the days, then all days again (re-landed plus new). The silver
+    table ends equal to one batch run over everything."""
+    t = _tables(spark, sf_dir)
+    root = scratch_path(spark, "stream")
+    landing, silver, ckpt = f"{root}/bronze", f"{root}/silver", f"{root}/_checkpoint"
+    records = surrogate.live_records(t)
+    day = F.col("record.flight_date")
+    first = records.filter(F.pmod(F.xxhash64(day), F.lit(2)) == 0)
+    bronze.land_snapshot(first, landing, "flights")
+    ingest_stream(spark, landing, silver, "flights", ckpt)
+    bronze.land_snapshot(records, landing, "flights")
+    ingest_stream(spark, landing, silver, "flights", ckpt)
+    return spark.read.schema(LIVE_SILVER).parquet(silver).select(*LIVE_SILVER.fieldNames())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "route_delay_summary": q_route_delay_summary,
+    # silver
+    "flights_clean": q_flights_clean,
+    "flights_dedupe_keys": q_flights_dedupe_keys,
+    "flights_dedupe_first": q_flights_dedupe_first,
+    "csv_roundtrip": q_csv_roundtrip,
+    "schema_drift": q_schema_drift,
+    "live_flights_flat": q_live_flights_flat,
+    "live_flights_dedupe": q_live_flights_dedupe,
+    "weather_flat": q_weather_flat,
+    "append_idempotent": q_append_idempotent,
+    # gold
     "airport_hourly_delay": q_airport_hourly_delay,
+    "route_delay_summary": q_route_delay_summary,
     "carrier_performance": q_carrier_performance,
     "delay_cause_breakdown": q_delay_cause_breakdown,
-    "live_route_summary": q_live_route_summary,
     "flight_weather_latest": q_flight_weather_latest,
     "flight_weather_all": q_flight_weather_all,
+    "live_route_summary": q_live_route_summary,
+    # reports
+    "report_hour_risk": q_report_hour_risk,
+    "report_worst_routes": q_report_worst_routes,
+    "report_weather_category": q_report_weather_category,
+    "report_carrier_ranking": q_report_carrier_ranking,
+    "report_cause_share": q_report_cause_share,
+    "report_live_monitor": q_report_live_monitor,
+    # jobs, sinks, streaming
+    "gold_row_audit": q_gold_row_audit,
+    "stream_incremental": q_stream_incremental,
 }
-
-__all__ = ["QUERIES", "F"]

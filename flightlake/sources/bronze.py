@@ -83,8 +83,7 @@ def read_ontime_csv(spark: SparkSession, path: str) -> DataFrame:
     columns are kept as text so :func:`schema_drift` can report them; a
     missing expected column reads as null.
     """
-    header = (spark.read.option("header", True).option("inferSchema", False)
-              .option("enforceSchema", False).csv(path))
+    header = spark.read.option("header", True).option("inferSchema", False).csv(path)
     cols = header.columns
     missing = [c for c in ONTIME_COLUMNS if c not in cols]
     out = header.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in cols],
@@ -92,6 +91,11 @@ def read_ontime_csv(spark: SparkSession, path: str) -> DataFrame:
     return out
 
 
+def csv_header(spark: SparkSession, path: str) -> list[str]:
+    """Column names in the header of the CSV files at ``path`` (reads one line)."""
+    return spark.read.option("header", True).option("inferSchema", False).csv(path).columns
+
+
 def schema_drift(columns: list[str], expected: list[str] = ONTIME_COLUMNS,
                  spark: SparkSession | None = None) -> DataFrame:
     """Compare incoming column names with the expected list (SRC-8).

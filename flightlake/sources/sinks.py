@@ -20,6 +20,9 @@ from pyspark.sql import functions as F
 
 from ..session import exists
 
+# Largest number of distinct days whose partitions are pruned by value.
+MAX_PRUNE_DAYS = 10_000
+
 
 def observed_write(df: DataFrame, name: str, write) -> int:
     """Run ``write(observed_df)`` and return the number of rows it wrote."""
@@ -49,12 +52,22 @@ def unseen(batch: DataFrame, existing: DataFrame, keys: list[str],
     """Rows of ``batch`` whose key is not in ``existing`` (null-safe anti join).
 
     With ``day_col`` (a key column that is also the table's partition column)
-    the existing side is restricted to the days present in the batch by a
-    semi join, so only those partitions are scanned.
+    the existing side is restricted to the days present in the batch, so only
+    those partitions are listed and scanned. The day list is a bounded set
+    (at most ``MAX_PRUNE_DAYS`` values are fetched); a batch spanning more
+    days falls back to a semi join on the day column.
     """
     if day_col:
-        days = batch.select(day_col).distinct()
-        existing = existing.join(days, existing[day_col].eqNullSafe(days[day_col]), "left_semi")
+        days = [r[0] for r in batch.select(day_col).distinct().limit(MAX_PRUNE_DAYS + 1).collect()]
+        if len(days) <= MAX_PRUNE_DAYS:
+            known = [d for d in days if d is not None]
+            cond = existing[day_col].isin(known) if known else F.lit(False)
+            if None in days:
+                cond = cond | existing[day_col].isNull()
+            existing = existing.filter(cond)
+        else:
+            d = batch.select(F.col(day_col).alias("_day")).distinct()
+            existing = existing.join(d, existing[day_col].eqNullSafe(d["_day"]), "left_semi")
     ex = existing.select(*keys)
     return batch.join(ex, null_safe_key_match(batch, ex, keys), "left_anti")
 
@@ -68,7 +81,8 @@ def append_new(df: DataFrame, path: str, keys: list[str],
     """
     spark = df.sparkSession
     if exists(spark, path):
-        current = spark.read.parquet(path)
+        # Read with the batch's own schema: partition values stay text.
+        current = spark.read.schema(df.schema).parquet(path)
         day = partition_by[0] if partition_by and partition_by[0] in keys else None
         df = unseen(df, current, keys, day)
 
