@@ -33,14 +33,17 @@ FLIGHT_COLUMNS = ["FL_DATE", "OP_CARRIER", "Origin", "Dest", "DEP_DELAY", "is_de
 WEATHER_COLUMNS = ["visibility_sm", "flight_category", "temp_c", "wind_kt"]
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
+                      size_of: DataFrame | None = None) -> DataFrame:
     """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df``.
 
-    The check runs ``df`` up to ``max_rows + 1`` rows, so it stays cheap
-    whatever the size; the decision is made on the actual data, not on an
-    estimate.
+    The rows counted are those of ``size_of`` when given — a frame known to
+    bound ``df``'s row count (e.g. the base table of a key-preserving join).
+    The check reads at most ``max_rows + 1`` rows, so it stays cheap whatever
+    the size, and it is made on the actual data, not on an estimate (Spark
+    estimates any join's size as the product of its inputs).
     """
-    n = df.limit(max_rows + 1).count()
+    n = (size_of if size_of is not None else df).limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 
 
