@@ -7,6 +7,12 @@ which files were taken), and every micro-batch is appended through the
 null-safe anti join of :func:`sources.sinks.append_new` — so a replayed batch
 or a re-landed day adds nothing that is already stored.
 
+Within a micro-batch the kept row of a key is the deterministic minimum
+(:func:`operators.dedupe`); across micro-batches the first stored row wins,
+as in any streaming dedupe. A day's snapshot files normally arrive in one
+batch, which makes the result equal to one batch run over all files; when
+``max_files_per_trigger`` splits a day, each key is still stored once.
+
 ``trigger(availableNow=True)`` turns the stream into a bounded catch-up run:
 it processes the backlog in batches and stops, which is what a nightly
 schedule wants; with ``max_files_per_trigger`` the backlog is split into
