@@ -4,8 +4,8 @@ The source job joins every flight to *every* weather row of its station with
 no time condition, so n observations per station multiply each flight n
 times (T8b). Two modes are offered:
 
-* ``flight_weather(..., mode="latest")`` — each station reduced to its latest
-  observation, then a left join: the flight count is preserved.
+* ``flight_weather`` — each station reduced to its latest observation, then a
+  left join: the flight count is preserved.
 * ``fanout_summary`` — the faithful all-rows join, evaluated *without*
   emitting the pairs: both sides are pre-aggregated per station (and weather
   category) and the pair counts / pair sums follow by multiplication. The
@@ -68,24 +68,18 @@ def latest_weather(weather: DataFrame) -> DataFrame:
     return latest.drop("_obs_ts")
 
 
-def flight_weather(flights: DataFrame, weather: DataFrame, mode: str = "latest",
+def flight_weather(flights: DataFrame, weather: DataFrame,
                    station_map: DataFrame | None = None,
                    max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Flights left-joined with weather at the origin station (10 columns).
+    """Flights left-joined with the latest weather at the origin station.
 
-    ``mode="latest"`` keeps one row per flight. ``mode="all"`` is the source's
-    fan-out, one row per flight × observation — it grows with the product of
-    both sides, so use :func:`fanout_summary` for aggregates over it.
+    One row per flight (10 columns); flights without a station match keep
+    null weather. The source's every-observation join multiplies each flight
+    by its station's observation count; its grouped results are computed by
+    :func:`fanout_summary` without producing the pairs.
     """
-    if mode == "latest":
-        w = latest_weather(weather)
-    elif mode == "all":
-        w = weather
-    else:
-        raise ValueError(f"unknown mode {mode!r}")
-    w = w.select("airport_icao", *WEATHER_COLUMNS)
-    if mode == "latest":
-        w = bounded_broadcast(w, max_broadcast_rows)
+    w = latest_weather(weather).select("airport_icao", *WEATHER_COLUMNS)
+    w = bounded_broadcast(w, max_broadcast_rows)
     f = station_of(flights.select(*FLIGHT_COLUMNS), station_map)
     return (f.join(w, f["origin_icao"] == w["airport_icao"], "left")
             .select(*[f[c] for c in FLIGHT_COLUMNS], *[w[c] for c in WEATHER_COLUMNS]))
@@ -96,7 +90,7 @@ def fanout_summary(flights: DataFrame, weather: DataFrame,
                    max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Aggregates of the all-rows join per origin and weather category.
 
-    Equal to ``flight_weather(mode="all").groupBy("Origin",
+    Equal to grouping the every-observation left join by ``("Origin",
     "flight_category")`` with ``joined_rows = count(*)``,
     ``delayed_rows = sum(is_delayed as int)``, ``avg_dep_delay`` and
     ``avg_temp_c`` over the pairs — but no pair is ever produced: a station

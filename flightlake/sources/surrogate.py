@@ -18,18 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.join import bounded_broadcast
 from .tables import Tables
 
-# Dimension tables up to this many rows are broadcast to the fact side.
-MAX_DIMENSION_ROWS = 1_000_000
-
-
-def dimension(dim: DataFrame, base: DataFrame, max_rows: int = MAX_DIMENSION_ROWS) -> DataFrame:
-    """``dim`` broadcast if ``base`` (which bounds its row count) is small."""
-    return bounded_broadcast(dim, max_rows, size_of=base)
-
-
 def spread(df: DataFrame) -> DataFrame:
     """Round-robin a scan that is split into fewer tasks than the cluster has
     cores (a single-row-group file); a no-op for any input large enough to be
@@ -51,33 +41,31 @@ def _minutes_text(c: Column) -> Column:
 def ontime_raw(t: Tables) -> DataFrame:
     """On-time CSV shape: the 16 kept columns plus an unused ``Flights`` column.
 
-    Join order for scale: the dimensions (supplier, customer → nation) are
-    broadcast only when their base table passes a row-count check (nation's
-    key is unique, so a dimension joined to it has at most the base table's
-    rows); orders meets customer before lineitem, so the wide fact table is
-    shuffled once, on ``l_orderkey``, and both sides of that join arrive
-    hash-partitioned on it.
+    Join order for scale. Each dimension joins as its *base table*, so the
+    planner decides broadcast vs. sort-merge on the measured file size (a
+    joined dimension would be estimated as a product of its inputs and never
+    broadcast). Orders meets customer before lineitem, so the wide fact table
+    is shuffled exactly once, on ``l_orderkey``; both sides of that join
+    arrive hash-partitioned on the key and it runs as a sort-merge join, which
+    spills safely at any size (the fact table is never a broadcast side).
     """
-    nation = t.nation.select("n_nationkey", "n_name")
-    sup = dimension(t.supplier.select("s_suppkey", "s_nationkey")
-                    .join(nation.withColumnRenamed("n_nationkey", "s_nationkey")
-                          .withColumnRenamed("n_name", "s_nation"), "s_nationkey")
-                    .select("s_suppkey", "s_nation"), t.supplier)
-    cust = dimension(t.customer.select("c_custkey", "c_nationkey")
-                     .join(nation.withColumnRenamed("n_nationkey", "c_nationkey")
-                           .withColumnRenamed("n_name", "c_nation"), "c_nationkey")
-                     .select("c_custkey", "c_nation"), t.customer)
+    def nation_as(prefix: str) -> DataFrame:
+        return t.nation.select(F.col("n_nationkey").alias(f"{prefix}_nationkey"),
+                               F.col("n_name").alias(f"{prefix}_nation"))
+
     orders = (t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
-              .join(cust, F.col("o_custkey") == F.col("c_custkey"))
+              .join(t.customer.select("c_custkey", "c_nationkey"),
+                    F.col("o_custkey") == F.col("c_custkey"))
+              .join(nation_as("c"), "c_nationkey")
               .select("o_orderkey", "o_orderdate", "o_orderpriority", "c_nation")
               .repartition("o_orderkey"))
     li = (t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                             "l_quantity", "l_discount", "l_tax", "l_returnflag")
           .repartition("l_orderkey"))
-    # Fact ⋈ fact: never a broadcast build side; a sort-merge join spills
-    # safely at any size and reuses the hash partitioning of both inputs.
     j = (li.hint("merge").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-         .join(sup, F.col("l_suppkey") == F.col("s_suppkey")))
+         .join(t.supplier.select("s_suppkey", "s_nationkey"),
+               F.col("l_suppkey") == F.col("s_suppkey"))
+         .join(nation_as("s"), "s_nationkey"))
 
     pk, sk, ln, q = (F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber"),
                      F.col("l_quantity"))
