@@ -18,6 +18,7 @@ Layout of a lake root::
 from __future__ import annotations
 
 import traceback
+from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -59,17 +60,28 @@ class JobFailed(RuntimeError):
         self.audit = audit
 
 
-def run_steps(layer: str, steps: list[tuple[str, Callable[[], int]]]) -> list[tuple]:
-    """Run each step in isolation; return audit tuples."""
-    out = []
-    for name, step in steps:
-        try:
-            out.append((layer, name, "ok", int(step()), None))
-        except Exception as e:  # noqa: BLE001 - isolation is the point
-            msg = f"{type(e).__name__}: {e}".splitlines()[0][:500]
-            traceback.print_exc(limit=1)
-            out.append((layer, name, "failed", None, msg))
-    return out
+def _run_one(layer: str, name: str, step: Callable[[], int]) -> tuple:
+    try:
+        return (layer, name, "ok", int(step()), None)
+    except Exception as e:  # noqa: BLE001 - isolation is the point
+        msg = f"{type(e).__name__}: {e}".splitlines()[0][:500]
+        traceback.print_exc(limit=1)
+        return (layer, name, "failed", None, msg)
+
+
+def run_steps(layer: str, steps: list[tuple[str, Callable[[], int]]],
+              concurrency: int = 1) -> list[tuple]:
+    """Run each step in isolation; return audit tuples in step order.
+
+    With ``concurrency > 1`` independent steps are submitted as concurrent
+    Spark jobs from a small thread pool, so a small table's job overlaps with
+    a large one instead of leaving executors idle between jobs.
+    """
+    if concurrency <= 1:
+        return [_run_one(layer, n, s) for n, s in steps]
+    with ThreadPoolExecutor(max_workers=concurrency, thread_name_prefix=layer) as pool:
+        futures = [pool.submit(_run_one, layer, n, s) for n, s in steps]
+        return [f.result() for f in futures]
 
 
 def read_silver(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
@@ -80,7 +92,7 @@ def read_silver(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
 
 
 def bronze_to_silver(spark: SparkSession, lake: Lake,
-                     stations: DataFrame | None = None) -> list[tuple]:
+                     stations: DataFrame | None = None, concurrency: int = 3) -> list[tuple]:
     """JOB-1: on-time CSV → overwrite; flight and weather JSON → idempotent append."""
     def ontime() -> int:
         raw = bronze.read_ontime_csv(spark, f"{lake.bronze('ontime')}/*.csv")
@@ -98,10 +110,10 @@ def bronze_to_silver(spark: SparkSession, lake: Lake,
                           name="metar")
 
     return run_steps("silver", [("aviationstack_flights", flights), ("metar", weather),
-                                ("bts_flights", ontime)])
+                                ("bts_flights", ontime)], concurrency)
 
 
-def silver_to_gold(spark: SparkSession, lake: Lake) -> list[tuple]:
+def silver_to_gold(spark: SparkSession, lake: Lake, concurrency: int = 3) -> list[tuple]:
     """JOB-2: the six gold tables, each a full overwrite."""
     def gold(name: str, build: Callable[[], DataFrame]) -> tuple[str, Callable[[], int]]:
         return name, lambda: replace_table(build(), lake.gold(name), name=name)
@@ -119,7 +131,7 @@ def silver_to_gold(spark: SparkSession, lake: Lake) -> list[tuple]:
         gold("aviationstack_summary",
              lambda: op.live_route_summary(read_silver(spark, lake, "aviationstack_flights"))),
     ]
-    return run_steps("gold", steps)
+    return run_steps("gold", steps, concurrency)
 
 
 def audit_frame(spark: SparkSession, audit: list[tuple]) -> DataFrame:
@@ -127,9 +139,10 @@ def audit_frame(spark: SparkSession, audit: list[tuple]) -> DataFrame:
 
 
 def run_nightly(spark: SparkSession, lake: Lake, stations: DataFrame | None = None,
-                raise_on_failure: bool = True) -> DataFrame:
+                raise_on_failure: bool = True, concurrency: int = 3) -> DataFrame:
     """JOB-1 then JOB-2; the audit as a DataFrame (raises after both if any failed)."""
-    audit = bronze_to_silver(spark, lake, stations) + silver_to_gold(spark, lake)
+    audit = (bronze_to_silver(spark, lake, stations, concurrency)
+             + silver_to_gold(spark, lake, concurrency))
     if raise_on_failure and any(a[2] != "ok" for a in audit):
         raise JobFailed(audit)
     return audit_frame(spark, audit)

@@ -166,10 +166,25 @@ def q_report_live_monitor(spark, sf_dir):
 # --- jobs and streaming --------------------------------------------------------------
 
 def _land_lake(spark, sf_dir, lake):
+    """Land the three feeds (independent jobs, submitted concurrently)."""
     t = _tables(spark, sf_dir)
-    bronze.write_ontime_csv(surrogate.ontime_raw(t), lake.bronze("ontime"))
-    bronze.land_snapshot(surrogate.live_records(t), lake.bronze("flights"), "flights")
-    bronze.land_snapshot(surrogate.weather_records(t), lake.bronze("weather"), "weather")
+
+    def ontime():
+        bronze.write_ontime_csv(surrogate.ontime_raw(t), lake.bronze("ontime"))
+        return 0
+
+    def feed(name, records):
+        def land():
+            bronze.land_snapshot(records, lake.bronze(name), name)
+            return 0
+        return land
+
+    audit = jobs.run_steps("bronze", [
+        ("ontime", ontime),
+        ("flights", feed("flights", surrogate.live_records(t))),
+        ("weather", feed("weather", surrogate.weather_records(t)))], concurrency=3)
+    if any(a[2] != "ok" for a in audit):
+        raise jobs.JobFailed(audit)
 
 
 def q_gold_row_audit(spark, sf_dir):

@@ -40,6 +40,16 @@ def wrap_envelope(records: DataFrame, feed: str) -> DataFrame:
     return records.select(body, F.col("_ingested_at"))
 
 
+def stamp_ingestion(payload: DataFrame) -> DataFrame:
+    """API records (one struct column ``record``) → (record, _ingested_at) with
+    the current UTC time as zone-less ISO text, as the pollers write it (SC-19).
+    The time is fixed once per query, so every row of a run gets the same
+    stamp and a re-run lands into the same day folder."""
+    return payload.select(
+        F.col("record"),
+        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("_ingested_at"))
+
+
 def snapshot_day(ingested_at: Column) -> Column:
     """UTC day of an ISO ingestion time as 'yyyy-MM-dd' (SC-19)."""
     return F.substring(ingested_at, 1, 10)

@@ -128,3 +128,11 @@ def test_worst_routes_tie_break(spark):  # TOP-2
     rows = [f(dest=d, delay=50.0) for d in ("B", "A", "C") for _ in range(10)]
     routes = op.route_delay_summary(flights(spark, rows))
     assert [r.Dest for r in reports.worst_routes(routes, k=2).collect()] == ["A", "B"]
+
+
+def test_month_merges_years_unless_year_key(spark):  # T7
+    rows = [f(date="2025-02-01"), f(date="2026-02-01")]
+    merged = op.airport_hourly_delay(flights(spark, rows)).collect()
+    split = op.airport_hourly_delay(flights(spark, rows), with_year=True).collect()
+    assert [(r.month, r.total_flights) for r in merged] == [(2, 2)]
+    assert sorted((r.year, r.total_flights) for r in split) == [(2025, 1), (2026, 1)]

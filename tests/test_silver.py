@@ -153,3 +153,12 @@ def test_csv_reader_missing_column_reads_null(spark):  # SRC-3
     back = bronze.read_ontime_csv(spark, f"{path}/*.csv")
     r = op.clean_ontime(back).collect()[0]
     assert r.TAIL_NUM is None and r.DEP_DELAY == 20.0
+
+
+def test_stamp_ingestion_one_time_per_run(spark):  # SC-19
+    payload = spark.range(5).select(F.struct(F.col("id").cast("string").alias("icaoId")).alias("record"))
+    stamped = bronze.stamp_ingestion(payload)
+    vals = {r._ingested_at for r in stamped.collect()}
+    assert len(vals) == 1
+    v = vals.pop()
+    assert len(v) == 26 and v[10] == "T"
