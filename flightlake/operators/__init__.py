@@ -1,5 +1,6 @@
 from .dedupe import dedupe, distinct_keys
-from .gold import (airport_hourly_delay, carrier_performance, delay_cause_breakdown,
+from .gold import (airport_hourly_delay, carrier_performance, carrier_stats,
+                   delay_cause_breakdown,
                    live_route_summary, route_delay_summary)
 from .join import (bounded_broadcast, fanout_summary, flight_weather, latest_weather,
                    station_of)
@@ -8,7 +9,7 @@ from .silver import (clean_ontime, flatten_live, flatten_weather, live_silver,
 
 __all__ = [
     "dedupe", "distinct_keys",
-    "airport_hourly_delay", "carrier_performance", "delay_cause_breakdown",
+    "airport_hourly_delay", "carrier_performance", "carrier_stats", "delay_cause_breakdown",
     "live_route_summary", "route_delay_summary",
     "bounded_broadcast", "fanout_summary", "flight_weather", "latest_weather", "station_of",
     "clean_ontime", "flatten_live", "flatten_weather", "live_silver", "ontime_silver",

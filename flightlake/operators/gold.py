@@ -49,19 +49,24 @@ def route_delay_summary(flights: DataFrame, min_flights: int = MIN_ROUTE_FLIGHTS
             .filter(F.col("total_flights") >= min_flights))
 
 
+def carrier_stats(flights: DataFrame) -> DataFrame:
+    """One row per carrier, unordered (AGG-3, AF-4)."""
+    return (flights.groupBy("OP_CARRIER")
+            .agg(F.avg("DEP_DELAY").alias("avg_dep_delay"),
+                 F.avg("ARR_DELAY").alias("avg_arr_delay"),
+                 fx.rows().alias("total_flights"),
+                 fx.rate("is_delayed").alias("delay_rate"),
+                 fx.true_count("is_cancelled").alias("total_cancelled")))
+
+
 def carrier_performance(flights: DataFrame) -> DataFrame:
     """One row per carrier, ascending by delay rate (AGG-3, AF-4, SRT-1).
 
     The sort runs on the aggregated rows only (one per carrier); a written
     file keeps no order, so readers sort again.
     """
-    return (flights.groupBy("OP_CARRIER")
-            .agg(F.avg("DEP_DELAY").alias("avg_dep_delay"),
-                 F.avg("ARR_DELAY").alias("avg_arr_delay"),
-                 fx.rows().alias("total_flights"),
-                 fx.rate("is_delayed").alias("delay_rate"),
-                 fx.true_count("is_cancelled").alias("total_cancelled"))
-            .orderBy(F.col("delay_rate").asc_nulls_first(), F.col("OP_CARRIER")))
+    return carrier_stats(flights).orderBy(F.col("delay_rate").asc_nulls_first(),
+                                          F.col("OP_CARRIER"))
 
 
 def delay_cause_breakdown(flights: DataFrame,
@@ -96,5 +101,5 @@ def live_route_summary(live: DataFrame, min_flights: int = MIN_LIVE_FLIGHTS) ->
             .filter(F.col("total_flights") >= min_flights))
 
 
-__all__ = ["airport_hourly_delay", "route_delay_summary", "carrier_performance",
+__all__ = ["airport_hourly_delay", "route_delay_summary", "carrier_performance", "carrier_stats",
            "delay_cause_breakdown", "live_route_summary", "GOLD_CAUSES"]

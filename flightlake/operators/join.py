@@ -13,8 +13,8 @@ times (T8b). Two modes are offered:
   aggregates.
 
 The reduced weather side is broadcast only after its row count is checked
-against ``max_broadcast_rows``; beyond that the join stays a sort-merge join,
-where AQE's skew handling splits hub airports on the (left) flight side.
+against ``max_broadcast_rows``; beyond that the join is salted, so a hub
+airport's flights are spread over many tasks.
 """
 
 from __future__ import annotations
@@ -28,6 +28,8 @@ from .dedupe import dedupe
 
 # About 40k airports exist worldwide; 200k station rows stay a few MB wide.
 MAX_BROADCAST_ROWS = 200_000
+# Buckets a hot station is spread over when the weather side is not broadcast.
+DEFAULT_SALTS = 32
 
 FLIGHT_COLUMNS = ["FL_DATE", "OP_CARRIER", "Origin", "Dest", "DEP_DELAY", "is_delayed"]
 WEATHER_COLUMNS = ["visibility_sm", "flight_category", "temp_c", "wind_kt"]
@@ -43,8 +45,12 @@ def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
     the size, and it is made on the actual data, not on an estimate (Spark
     estimates any join's size as the product of its inputs).
     """
-    n = (size_of if size_of is not None else df).limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if rows_at_most(size_of if size_of is not None else df, max_rows) else df
+
+
+def rows_at_most(df: DataFrame, max_rows: int) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows (reads at most one more)."""
+    return df.limit(max_rows + 1).count() <= max_rows
 
 
 def station_of(flights: DataFrame, station_map: DataFrame | None = None,
@@ -70,19 +76,30 @@ def latest_weather(weather: DataFrame) -> DataFrame:
 
 def flight_weather(flights: DataFrame, weather: DataFrame,
                    station_map: DataFrame | None = None,
-                   max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                   max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+                   salts: int = DEFAULT_SALTS) -> DataFrame:
     """Flights left-joined with the latest weather at the origin station.
 
     One row per flight (10 columns); flights without a station match keep
     null weather. The source's every-observation join multiplies each flight
     by its station's observation count; its grouped results are computed by
     :func:`fanout_summary` without producing the pairs.
+
+    Strategy: the one-row-per-station weather side is broadcast when its row
+    count passes the check. Otherwise the join is salted: each flight gets one
+    of ``salts`` buckets (a hash of its row) and every station row is
+    replicated once per bucket, so a hub airport holding a third of all
+    flights is spread over ``salts`` tasks instead of one.
     """
     w = latest_weather(weather).select("airport_icao", *WEATHER_COLUMNS)
-    w = bounded_broadcast(w, max_broadcast_rows)
     f = station_of(flights.select(*FLIGHT_COLUMNS), station_map)
-    return (f.join(w, f["origin_icao"] == w["airport_icao"], "left")
-            .select(*[f[c] for c in FLIGHT_COLUMNS], *[w[c] for c in WEATHER_COLUMNS]))
+    if rows_at_most(w, max_broadcast_rows):
+        j = f.join(F.broadcast(w), f["origin_icao"] == w["airport_icao"], "left")
+    else:
+        f = f.withColumn("_salt", F.pmod(F.xxhash64(*FLIGHT_COLUMNS), F.lit(salts)))
+        w = w.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")))
+        j = f.join(w, (f["origin_icao"] == w["airport_icao"]) & (f["_salt"] == w["_salt"]), "left")
+    return j.select(*[f[c] for c in FLIGHT_COLUMNS], *[w[c] for c in WEATHER_COLUMNS])
 
 
 def fanout_summary(flights: DataFrame, weather: DataFrame,

@@ -152,7 +152,7 @@ def q_report_weather_category(spark, sf_dir):
 
 
 def q_report_carrier_ranking(spark, sf_dir):
-    return reports.carrier_ranking(q_carrier_performance(spark, sf_dir))
+    return reports.carrier_ranking(op.carrier_stats(ontime_silver(spark, sf_dir)))
 
 
 def q_report_cause_share(spark, sf_dir):

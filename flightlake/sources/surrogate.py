@@ -57,11 +57,11 @@ def ontime_raw(t: Tables) -> DataFrame:
               .join(t.customer.select("c_custkey", "c_nationkey"),
                     F.col("o_custkey") == F.col("c_custkey"))
               .join(nation_as("c"), "c_nationkey")
-              .select("o_orderkey", "o_orderdate", "o_orderpriority", "c_nation")
-              .repartition("o_orderkey"))
-    li = (t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-                            "l_quantity", "l_discount", "l_tax", "l_returnflag")
-          .repartition("l_orderkey"))
+              .select("o_orderkey", "o_orderdate", "o_orderpriority", "c_nation"))
+    li = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+                           "l_quantity", "l_discount", "l_tax", "l_returnflag")
+    # The join plans its own exchanges (ENSURE_REQUIREMENTS), which AQE may
+    # split when one order key is hot; an explicit repartition would not be.
     j = (li.hint("merge").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
          .join(t.supplier.select("s_suppkey", "s_nationkey"),
                F.col("l_suppkey") == F.col("s_suppkey"))

@@ -59,7 +59,7 @@ def test_weather_join_falls_back_when_side_too_large(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "BroadcastHashJoin" in small
-    assert "BroadcastHashJoin" not in large and "SortMergeJoin" in large
+    assert "BroadcastHashJoin" not in large and "SortMergeJoin" in large and "_salt" in large
 
 
 def test_fact_join_is_not_broadcast(spark, sf_small):
@@ -78,3 +78,30 @@ def test_fanout_summary_never_joins_rows(spark, sf_small):
     # the only join is between two aggregates
     join_at = plan.index("HashJoin")
     assert "HashAggregate" in plan[join_at:]
+
+
+def test_hot_origin_is_salted_when_not_broadcast(spark):
+    """A hub airport with a third of all flights: when the weather side is too
+    large to broadcast, the salted join spreads the hub over many tasks and
+    the result equals the broadcast join's."""
+    from collections import Counter
+    n = 3000
+    fl = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("HUB")).otherwise((F.col("id") % 97).cast("string"))
+         .alias("Origin"),
+        F.lit("d").alias("FL_DATE"), F.lit("AA").alias("OP_CARRIER"),
+        F.col("id").cast("string").alias("Dest"),
+        F.lit(1.0).alias("DEP_DELAY"), F.lit(False).alias("is_delayed"))
+    wx = spark.range(200).select(
+        F.concat(F.lit("K"), F.when(F.col("id") == 0, F.lit("HUB"))
+                 .otherwise(F.col("id").cast("string"))).alias("airport_icao"),
+        F.lit("t").alias("obs_time"), F.col("id").cast("double").alias("temp_c"),
+        F.lit(1.0).alias("wind_kt"), F.lit(1.0).alias("visibility_sm"),
+        F.lit("VFR").alias("flight_category"), F.lit("r").alias("raw_text"),
+        F.lit("i").alias("_ingested_at"))
+    salted = op.flight_weather(fl, wx, max_broadcast_rows=10, salts=8)
+    tasks = (salted.filter(F.col("Origin") == "HUB")
+             .withColumn("p", F.spark_partition_id()).groupBy("p").count().collect())
+    assert len(tasks) > 1 and max(r["count"] for r in tasks) < n // 3
+    broadcast = op.flight_weather(fl, wx)
+    assert Counter(salted.collect()) == Counter(broadcast.collect())
