@@ -105,3 +105,46 @@ def test_hot_origin_is_salted_when_not_broadcast(spark):
     assert len(tasks) > 1 and max(r["count"] for r in tasks) < n // 3
     broadcast = op.flight_weather(fl, wx)
     assert Counter(salted.collect()) == Counter(broadcast.collect())
+
+
+def test_hot_order_key_is_split_in_fact_join(spark):
+    """One order key holding a third of lineitem: the fact join's own shuffles
+    let AQE split the hot partition (an explicit repartition would not)."""
+    from types import SimpleNamespace
+
+    from flightlake.sources import surrogate
+    n = 6000
+    t = SimpleNamespace(
+        lineitem=spark.range(n).select(
+            F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("l_orderkey"),
+            (F.col("id") % 50).alias("l_partkey"), (F.col("id") % 10 + 1).alias("l_suppkey"),
+            F.lit(1).alias("l_linenumber"), F.lit(10.0).alias("l_quantity"),
+            F.lit(0.05).alias("l_discount"), F.lit(0.02).alias("l_tax"),
+            F.lit("N").alias("l_returnflag")),
+        orders=spark.range(n).select(
+            F.col("id").alias("o_orderkey"), (F.col("id") % 5).alias("o_custkey"),
+            F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("o_orderdate"),
+            F.lit("1-URGENT").alias("o_orderpriority")),
+        customer=spark.range(5).select(F.col("id").alias("c_custkey"),
+                                       (F.col("id") % 3).cast("int").alias("c_nationkey")),
+        supplier=spark.range(1, 11).select(F.col("id").alias("s_suppkey"),
+                                           (F.col("id") % 3).cast("int").alias("s_nationkey")),
+        nation=spark.range(3).select(F.col("id").cast("int").alias("n_nationkey"),
+                                     F.concat(F.lit("N"), F.col("id")).alias("n_name")))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        df = surrogate.ontime_raw(t)
+        assert len(df.collect()) == n
+        final = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert re.search(r"SortMergeJoin\(skew=true\) \[l_orderkey", final)
