@@ -4,8 +4,9 @@ from .gold import (airport_hourly_delay, carrier_performance, carrier_stats,
                    live_route_summary, route_delay_summary)
 from .join import (bounded_broadcast, fanout_summary, flight_weather, latest_weather,
                    station_of)
-from .silver import (clean_ontime, flatten_live, flatten_weather, live_silver,
-                     ontime_silver, station_registry, weather_silver)
+from .silver import (WEATHER_PARTITION, clean_ontime, flatten_live, flatten_weather,
+                     live_silver, ontime_silver, station_registry, weather_silver,
+                     with_obs_date)
 
 __all__ = [
     "dedupe", "distinct_keys",
@@ -13,5 +14,5 @@ __all__ = [
     "live_route_summary", "route_delay_summary",
     "bounded_broadcast", "fanout_summary", "flight_weather", "latest_weather", "station_of",
     "clean_ontime", "flatten_live", "flatten_weather", "live_silver", "ontime_silver",
-    "station_registry", "weather_silver",
+    "station_registry", "weather_silver", "with_obs_date", "WEATHER_PARTITION",
 ]

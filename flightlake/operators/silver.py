@@ -99,6 +99,18 @@ def weather_silver(envelopes: DataFrame, stations: DataFrame | None = None) -> D
     return dedupe(flatten_weather(envelopes, stations), WEATHER_KEY)
 
 
+# Storage layout of the weather silver table: partitioned by observation day.
+WEATHER_PARTITION = "obs_date"
+
+
+def with_obs_date(weather: DataFrame) -> DataFrame:
+    """Add the observation day (text, from ``obs_time``) used as the weather
+    table's partition column. It is a function of the key, so adding it to the
+    key changes nothing, and appends can prune to the days in a batch."""
+    day = F.date_format(fx.obs_timestamp("obs_time"), "yyyy-MM-dd")
+    return weather.withColumn(WEATHER_PARTITION, day)
+
+
 def station_registry(nation: DataFrame, prefix: str = "K") -> DataFrame:
     """Polled stations derived from a place table: prefix + place name."""
     return nation.select(F.concat(F.lit(prefix), F.col("n_name")).alias("airport_icao"))

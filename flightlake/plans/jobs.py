@@ -106,8 +106,9 @@ def bronze_to_silver(spark: SparkSession, lake: Lake,
 
     def weather() -> int:
         env = bronze.read_envelopes(spark, lake.bronze("weather"), "weather")
-        return append_new(op.weather_silver(env, stations), lake.silver("metar"), WEATHER_KEY,
-                          name="metar")
+        silver = op.with_obs_date(op.weather_silver(env, stations))
+        return append_new(silver, lake.silver("metar"), WEATHER_KEY + [op.WEATHER_PARTITION],
+                          partition_by=[op.WEATHER_PARTITION], name="metar")
 
     return run_steps("silver", [("aviationstack_flights", flights), ("metar", weather),
                                 ("bts_flights", ontime)], concurrency)

@@ -31,7 +31,8 @@ from ..sources.sinks import append_new
 _FEEDS = {
     # feed: (silver builder, key, partition columns)
     "flights": (lambda env, stations: op.live_silver(env), LIVE_KEY, ["flight_date"]),
-    "weather": (lambda env, stations: op.weather_silver(env, stations), WEATHER_KEY, None),
+    "weather": (lambda env, stations: op.with_obs_date(op.weather_silver(env, stations)),
+                WEATHER_KEY + [op.WEATHER_PARTITION], [op.WEATHER_PARTITION]),
 }
 
 

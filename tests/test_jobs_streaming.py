@@ -101,3 +101,22 @@ def test_stream_split_days_keep_each_key_once(spark, sf_small):  # STR-1, T4
     keys = Counter(tuple(x) for x in got.select(*LIVE_KEY).collect())
     assert max(keys.values()) == 1
     assert set(keys) == {tuple(x) for x in want.select(*LIVE_KEY).collect()}
+
+
+def test_weather_stream_partitioned_by_obs_day(spark, sf_small):  # STR-1, SNK-2
+    from flightlake.schemas import WEATHER_SILVER
+    t = Tables(spark, sf_small)
+    root = scratch_path(spark, "stream-wx")
+    stations = op.station_registry(t.nation)
+    bronze.land_snapshot(surrogate.weather_records(t), f"{root}/bronze", "weather")
+    r1 = ingest_stream(spark, f"{root}/bronze", f"{root}/silver", "weather", f"{root}/ckpt",
+                       stations=stations)
+    bronze.land_snapshot(surrogate.weather_records(t), f"{root}/bronze", "weather")  # re-landed
+    r2 = ingest_stream(spark, f"{root}/bronze", f"{root}/silver", "weather", f"{root}/ckpt",
+                       stations=stations)
+    assert r1["rows"] > 0 and r2["rows"] == 0
+    got = spark.read.schema(WEATHER_SILVER).parquet(f"{root}/silver")
+    days = {r[0] for r in spark.read.parquet(f"{root}/silver").select("obs_date").distinct().collect()}
+    assert len(days) > 1 and None not in days
+    want = op.weather_silver(bronze.wrap_envelope(surrogate.weather_records(t), "weather"), stations)
+    assert Counter(got.select(*WEATHER_SILVER.fieldNames()).collect()) == Counter(want.collect())
