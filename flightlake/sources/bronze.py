@@ -47,7 +47,8 @@ def stamp_ingestion(payload: DataFrame) -> DataFrame:
     stamp and a re-run lands into the same day folder."""
     return payload.select(
         F.col("record"),
-        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("_ingested_at"))
+        F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()),
+                      "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("_ingested_at"))
 
 
 def snapshot_day(ingested_at: Column) -> Column:
