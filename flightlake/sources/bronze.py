@@ -70,16 +70,19 @@ def land_snapshot(records: DataFrame, root: str, feed: str) -> DataFrame:
 
 
 def read_envelopes(spark: SparkSession, root: str, feed: str,
-                   glob: str = "*/*.json") -> DataFrame:
+                   glob: str = "*/*.json", multi_line: bool = False) -> DataFrame:
     """Every snapshot below ``root`` (SRC-1/2, SRC-7).
 
     ``glob`` selects the date folders: ``*/*.json`` for landed days,
     ``*/*/*/snapshot.json`` for a year/month/day layout. The snapshot day is
-    recovered from the path as ``_snapshot_date``.
+    recovered from the path as ``_snapshot_date``. ``multi_line`` reads
+    pretty-printed documents (one file is then one task, so landed data
+    stays one record per line, T15).
     """
     schema = FEEDS[feed]
     df = (spark.read.schema(schema)
           .option("mode", "PERMISSIVE")
+          .option("multiLine", multi_line)
           .json(f"{root.rstrip('/')}/{glob}"))
     path = F.col("_metadata.file_path")
     day = F.concat_ws("-", *[F.regexp_extract(path, _DAY_IN_PATH, i) for i in (1, 2, 3)])
@@ -92,9 +95,15 @@ def read_ontime_csv(spark: SparkSession, path: str) -> DataFrame:
 
     The header row gives the names; every column is text. Unknown extra
     columns are kept as text so :func:`schema_drift` can report them; a
-    missing expected column reads as null.
+    missing expected column reads as null. Every file's header is validated
+    against the first one (``enforceSchema=false``): by default Spark would
+    read later files by position, so a month whose columns were reordered
+    would be silently misaligned; here that file fails the read instead.
     """
-    header = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    names = csv_header(spark, path)
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
+    header = (spark.read.schema(schema).option("header", True)
+              .option("enforceSchema", False).csv(path))
     cols = header.columns
     missing = [c for c in ONTIME_COLUMNS if c not in cols]
     out = header.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in cols],

@@ -162,3 +162,35 @@ def test_stamp_ingestion_one_time_per_run(spark):  # SC-19
     assert len(vals) == 1
     v = vals.pop()
     assert len(v) == 26 and v[10] == "T"
+
+
+def test_csv_reordered_month_fails_instead_of_misaligning(spark):  # SRC-3, SRC-8
+    import os
+
+    import pytest
+
+    from flightlake.session import local_path
+    path = scratch_path(spark, "csv-reorder")
+    root = local_path(path)
+    os.makedirs(root)
+    with open(f"{root}/2025-01.csv", "w") as fh:
+        fh.write(",".join(ONTIME_COLUMNS) + "\n" + ",".join(v or "" for v in _row()) + "\n")
+    swapped = ["Dest", "Origin"] + [c for c in ONTIME_COLUMNS if c not in ("Dest", "Origin")]
+    with open(f"{root}/2025-02.csv", "w") as fh:
+        fh.write(",".join(swapped) + "\n" + ",".join(["JFK", "ORD"] + ["x"] * 14) + "\n")
+    with pytest.raises(Exception):
+        bronze.read_ontime_csv(spark, f"{path}/*.csv").collect()
+
+
+def test_pretty_printed_snapshot(spark):  # T15
+    import os
+
+    from flightlake.session import local_path
+    path = scratch_path(spark, "json-pretty")
+    root = local_path(path)
+    os.makedirs(f"{root}/2025/02/01")
+    doc = {"flights": {"data": [_flight(), _flight(fl="AA9")]}, "_ingested_at": "2025-02-01T22:00:00"}
+    with open(f"{root}/2025/02/01/snapshot.json", "w") as fh:
+        json.dump(doc, fh, indent=2)
+    env = bronze.read_envelopes(spark, path, "flights", glob="*/*/*/snapshot.json", multi_line=True)
+    assert op.flatten_live(env).count() == 2
