@@ -12,7 +12,8 @@ times (T8b). Two modes are offered:
   result equals grouping the materialised fan-out, at the cost of two small
   aggregates.
 
-The reduced weather side is broadcast only after its row count is checked
+The reduced weather side (one row per station) is written once to the
+shared checkpoint folder, then broadcast only after its row count is checked
 against ``max_broadcast_rows``; beyond that the join is salted, so a hub
 airport's flights are spread over many tasks.
 """
@@ -24,6 +25,7 @@ from pyspark.sql import functions as F
 
 from .. import functions as fx
 from ..schemas import ICAO_PREFIX
+from ..sources.sinks import materialize
 from .dedupe import dedupe
 
 # About 40k airports exist worldwide; 200k station rows stay a few MB wide.
@@ -91,7 +93,8 @@ def flight_weather(flights: DataFrame, weather: DataFrame,
     replicated once per bucket, so a hub airport holding a third of all
     flights is spread over ``salts`` tasks instead of one.
     """
-    w = latest_weather(weather).select("airport_icao", *WEATHER_COLUMNS)
+    w = materialize(latest_weather(weather).select("airport_icao", *WEATHER_COLUMNS),
+                    "weather-latest")
     f = station_of(flights.select(*FLIGHT_COLUMNS), station_map)
     if rows_at_most(w, max_broadcast_rows):
         j = f.join(F.broadcast(w), f["origin_icao"] == w["airport_icao"], "left")
@@ -120,10 +123,10 @@ def fanout_summary(flights: DataFrame, weather: DataFrame,
               F.sum("DEP_DELAY").alias("sum_delay"),
               F.count("DEP_DELAY").alias("n_delay"),
               fx.true_count("is_delayed").alias("n_delayed")))
-    w = (weather.groupBy("airport_icao", "flight_category")
-         .agg(fx.rows().alias("n_obs"),
-              F.sum("temp_c").alias("sum_temp"),
-              F.count("temp_c").alias("n_temp")))
+    w = materialize(weather.groupBy("airport_icao", "flight_category")
+                    .agg(fx.rows().alias("n_obs"),
+                         F.sum("temp_c").alias("sum_temp"),
+                         F.count("temp_c").alias("n_temp")), "weather-by-category")
     w = bounded_broadcast(w, max_broadcast_rows)
     j = f.join(w, f["origin_icao"] == w["airport_icao"], "left")
     m = F.coalesce(F.col("n_obs"), F.lit(1))

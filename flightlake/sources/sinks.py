@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..session import exists
+from ..session import exists, scratch_path
 
 # Largest number of distinct days whose partitions are pruned by value.
 MAX_PRUNE_DAYS = 10_000
@@ -92,3 +92,16 @@ def append_new(df: DataFrame, path: str, keys: list[str],
             w = w.partitionBy(*partition_by)
         w.parquet(path)
     return observed_write(df, name, write)
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once below the shared checkpoint folder and read it back.
+
+    For small derived frames that are used more than once (counted, then
+    joined): the work runs once, the lineage is cut, and the re-read has an
+    exact size. The folder is the cluster's ``spark.checkpoint.dir``, visible
+    to every executor.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
