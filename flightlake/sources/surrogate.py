@@ -49,23 +49,24 @@ def ontime_raw(t: Tables) -> DataFrame:
     arrive hash-partitioned on the key and it runs as a sort-merge join, which
     spills safely at any size (the fact table is never a broadcast side).
     """
-    def nation_as(prefix: str) -> DataFrame:
-        return t.nation.select(F.col("n_nationkey").alias(f"{prefix}_nationkey"),
-                               F.col("n_name").alias(f"{prefix}_nation"))
-
+    # The nation side is joined unrenamed (renamed after the join), so both
+    # of its joins broadcast the same plan and Spark reuses one exchange.
+    nation = t.nation.select("n_nationkey", "n_name")
     orders = (t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
               .join(t.customer.select("c_custkey", "c_nationkey"),
                     F.col("o_custkey") == F.col("c_custkey"))
-              .join(nation_as("c"), "c_nationkey")
-              .select("o_orderkey", "o_orderdate", "o_orderpriority", "c_nation"))
+              .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+              .select("o_orderkey", "o_orderdate", "o_orderpriority",
+                      F.col("n_name").alias("c_nation")))
     li = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                            "l_quantity", "l_discount", "l_tax", "l_returnflag")
     # The join plans its own exchanges (ENSURE_REQUIREMENTS), which AQE may
     # split when one order key is hot; an explicit repartition would not be.
     j = (li.hint("merge").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
          .join(t.supplier.select("s_suppkey", "s_nationkey"),
-               F.col("l_suppkey") == F.col("s_suppkey"))
-         .join(nation_as("s"), "s_nationkey"))
+               F.col("l_suppkey") == F.col("s_suppkey")))
+    j = (j.join(nation, j["s_nationkey"] == nation["n_nationkey"])
+         .withColumnRenamed("n_name", "s_nation"))
 
     pk, sk, ln, q = (F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber"),
                      F.col("l_quantity"))
