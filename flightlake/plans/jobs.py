@@ -91,7 +91,7 @@ def read_silver(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
     return df.select(*schema.fieldNames())
 
 
-def bronze_to_silver(spark: SparkSession, lake: Lake,
+def build_silver(spark: SparkSession, lake: Lake,
                      stations: DataFrame | None = None, concurrency: int = 3) -> list[tuple]:
     """JOB-1: on-time CSV → overwrite; flight and weather JSON → idempotent append."""
     def ontime() -> int:
@@ -114,7 +114,7 @@ def bronze_to_silver(spark: SparkSession, lake: Lake,
                                 ("bts_flights", ontime)], concurrency)
 
 
-def silver_to_gold(spark: SparkSession, lake: Lake, concurrency: int = 3) -> list[tuple]:
+def build_gold(spark: SparkSession, lake: Lake, concurrency: int = 3) -> list[tuple]:
     """JOB-2: the six gold tables, each a full overwrite."""
     def gold(name: str, build: Callable[[], DataFrame]) -> tuple[str, Callable[[], int]]:
         return name, lambda: replace_table(build(), lake.gold(name), name=name)
@@ -142,8 +142,8 @@ def audit_frame(spark: SparkSession, audit: list[tuple]) -> DataFrame:
 def run_nightly(spark: SparkSession, lake: Lake, stations: DataFrame | None = None,
                 raise_on_failure: bool = True, concurrency: int = 3) -> DataFrame:
     """JOB-1 then JOB-2; the audit as a DataFrame (raises after both if any failed)."""
-    audit = (bronze_to_silver(spark, lake, stations, concurrency)
-             + silver_to_gold(spark, lake, concurrency))
+    audit = (build_silver(spark, lake, stations, concurrency)
+             + build_gold(spark, lake, concurrency))
     if raise_on_failure and any(a[2] != "ok" for a in audit):
         raise JobFailed(audit)
     return audit_frame(spark, audit)
