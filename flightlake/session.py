@@ -8,6 +8,7 @@ private folder of its own.
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
@@ -48,6 +49,27 @@ def build_session(master: str | None = None, app: str = "flightlake",
     return spark
 
 
+def scale_settings(shuffle_bytes: int, partition_bytes: int = 256 << 20,
+                   max_partitions: int = 100_000) -> dict[str, str]:
+    """Starting settings for a cluster run whose largest shuffle moves about
+    ``shuffle_bytes`` (e.g. the pruned fact columns of the lineitem join).
+
+    The initial shuffle partition count gives each reducer about
+    ``partition_bytes`` (sort buffers then spill rarely), capped so the map
+    output bookkeeping stays manageable; AQE coalesces smaller stages back to
+    ``partition_bytes`` per task and splits skewed ones. Scans split at the
+    same size.
+    """
+    parts = min(max_partitions, max(200, math.ceil(shuffle_bytes / partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+    }
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and scratch tables.
 
