@@ -62,8 +62,10 @@ def station_of(flights: DataFrame, station_map: DataFrame | None = None,
     rule = fx.station_code("Origin", prefix)
     if station_map is None:
         return flights.withColumn("origin_icao", rule)
-    m = bounded_broadcast(station_map.select(F.col("iata").alias("_iata"),
-                                             F.col("airport_icao").alias("_map_icao")))
+    # One code per airport, so the left join never multiplies flights.
+    m = dedupe(station_map.select(F.col("iata").alias("_iata"),
+                                  F.col("airport_icao").alias("_map_icao")), ["_iata"])
+    m = bounded_broadcast(m)
     return (flights.join(m, F.col("Origin") == F.col("_iata"), "left")
             .withColumn("origin_icao", F.coalesce(F.col("_map_icao"), rule))
             .drop("_iata", "_map_icao"))

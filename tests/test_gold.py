@@ -136,3 +136,12 @@ def test_month_merges_years_unless_year_key(spark):  # T7
     split = op.airport_hourly_delay(flights(spark, rows), with_year=True).collect()
     assert [(r.month, r.total_flights) for r in merged] == [(2, 2)]
     assert sorted((r.year, r.total_flights) for r in split) == [(2025, 1), (2026, 1)]
+
+
+def test_station_map_duplicates_do_not_multiply_flights(spark):  # T8
+    fl = flights(spark, [f(origin="HNL"), f(origin="ORD")])
+    wx = _weather(spark, [("PHNL", "2025-02-01 10:00:00", 25.0, 5.0, 10.0, "VFR", "a", "x")])
+    smap = spark.createDataFrame([("HNL", "PHNL"), ("HNL", "PHNX")], "iata string, airport_icao string")
+    out = op.flight_weather(fl, wx, station_map=smap).collect()
+    assert len(out) == 2
+    assert {r.Origin: r.flight_category for r in out} == {"HNL": "VFR", "ORD": None}
