@@ -84,6 +84,10 @@ def append_new(df: DataFrame, path: str, keys: list[str],
         # Read with the batch's own schema: partition values stay text.
         current = spark.read.schema(df.schema).parquet(path)
         day = partition_by[0] if partition_by and partition_by[0] in keys else None
+        if day:
+            # The batch is used twice (its days, then its rows): compute it
+            # once into the shared folder instead of re-parsing bronze.
+            df = materialize(df, f"{name}-batch")
         df = unseen(df, current, keys, day)
 
     def write(d: DataFrame) -> None:
