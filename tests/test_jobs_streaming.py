@@ -120,3 +120,15 @@ def test_weather_stream_partitioned_by_obs_day(spark, sf_small):  # STR-1, SNK-2
     assert len(days) > 1 and None not in days
     want = op.weather_silver(bronze.wrap_envelope(surrogate.weather_records(t), "weather"), stations)
     assert Counter(got.select(*WEATHER_SILVER.fieldNames()).collect()) == Counter(want.collect())
+
+
+def test_append_many_days_falls_back_to_semi_join(spark, monkeypatch):  # SNK-1
+    from flightlake.sources import sinks
+    monkeypatch.setattr(sinks, "MAX_PRUNE_DAYS", 1)
+    path = scratch_path(spark, "append-many")
+    rows = [dict(flight_date=f"2025-02-0{d}", flight_iata="AA1", origin="ORD", dest="JFK")
+            for d in range(1, 4)]
+    assert append_new(_live(spark, rows), path, LIVE_KEY, partition_by=["flight_date"]) == 3
+    more = rows + [dict(flight_date="2025-02-05", flight_iata="AA1", origin="ORD", dest="JFK")]
+    assert append_new(_live(spark, more), path, LIVE_KEY, partition_by=["flight_date"]) == 1
+    assert spark.read.schema(LIVE_SILVER).parquet(path).count() == 4
