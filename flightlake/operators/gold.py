@@ -59,6 +59,54 @@ def carrier_stats(flights: DataFrame) -> DataFrame:
                  fx.true_count("is_cancelled").alias("total_cancelled")))
 
 
+# --- shared partials: route and carrier tables from one pass over silver -----
+
+_PARTIAL_MEASURES = ["DEP_DELAY", "ARR_DELAY", *_CAUSE_NAMES]
+
+
+def route_partials(flights: DataFrame) -> DataFrame:
+    """Per (carrier, origin, dest): row count, and for every measure its sum
+    and non-null count, plus delayed and cancelled counts (null when all
+    flags are null). Both the route and the carrier tables roll up from these
+    exactly, so the nightly job scans and shuffles silver once for both."""
+    aggs = [fx.rows().alias("n")]
+    for c in _PARTIAL_MEASURES:
+        aggs += [F.sum(c).alias(f"s_{c}"), F.count(c).alias(f"c_{c}")]
+    aggs += [fx.true_count("is_delayed").alias("n_delayed"),
+             fx.true_count("is_cancelled").alias("n_cancelled")]
+    return flights.groupBy("OP_CARRIER", "Origin", "Dest").agg(*aggs)
+
+
+def _mean(s: str, c: str):
+    # avg semantics: null when no value is present
+    return F.when(F.col(c) > 0, F.col(s) / F.col(c))
+
+
+def route_delay_summary_from(partials: DataFrame,
+                             min_flights: int = MIN_ROUTE_FLIGHTS) -> DataFrame:
+    """:func:`route_delay_summary` from :func:`route_partials`."""
+    return (partials.filter(F.col("n") >= min_flights)
+            .select("OP_CARRIER", "Origin", "Dest",
+                    _mean("s_DEP_DELAY", "c_DEP_DELAY").alias("avg_dep_delay"),
+                    F.col("n").alias("total_flights"),
+                    (F.col("n_delayed") / F.col("n")).alias("delay_rate"),
+                    *[_mean(f"s_{c}", f"c_{c}").alias(a) for c, a in _CAUSE_NAMES.items()]))
+
+
+def carrier_performance_from(partials: DataFrame) -> DataFrame:
+    """:func:`carrier_performance` rolled up from :func:`route_partials`."""
+    sums = ["n", "n_delayed", "n_cancelled", "s_DEP_DELAY", "c_DEP_DELAY",
+            "s_ARR_DELAY", "c_ARR_DELAY"]
+    c = (partials.groupBy("OP_CARRIER").agg(*[F.sum(x).alias(x) for x in sums])
+         .select("OP_CARRIER",
+                 _mean("s_DEP_DELAY", "c_DEP_DELAY").alias("avg_dep_delay"),
+                 _mean("s_ARR_DELAY", "c_ARR_DELAY").alias("avg_arr_delay"),
+                 F.col("n").alias("total_flights"),
+                 (F.col("n_delayed") / F.col("n")).alias("delay_rate"),
+                 F.col("n_cancelled").alias("total_cancelled")))
+    return c.orderBy(F.col("delay_rate").asc_nulls_first(), F.col("OP_CARRIER"))
+
+
 def carrier_performance(flights: DataFrame) -> DataFrame:
     """One row per carrier, ascending by delay rate (AGG-3, AF-4, SRT-1).
 
@@ -102,4 +150,5 @@ def live_route_summary(live: DataFrame, min_flights: int = MIN_LIVE_FLIGHTS) ->
 
 
 __all__ = ["airport_hourly_delay", "route_delay_summary", "carrier_performance", "carrier_stats",
+           "route_partials", "route_delay_summary_from", "carrier_performance_from",
            "delay_cause_breakdown", "live_route_summary", "GOLD_CAUSES"]

@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from .. import operators as op
 from ..schemas import LIVE_KEY, LIVE_SILVER, ONTIME_SILVER, WEATHER_KEY, WEATHER_SILVER
 from ..sources import bronze
-from ..sources.sinks import append_new, replace_table
+from ..sources.sinks import append_new, materialize, replace_table
 
 AUDIT_SCHEMA = T.StructType([
     T.StructField("layer", T.StringType()),
@@ -122,10 +122,33 @@ def build_gold(spark: SparkSession, lake: Lake, concurrency: int = 3) -> list[tu
     def bts() -> DataFrame:
         return read_silver(spark, lake, "bts_flights")
 
+    # Route and carrier tables share one pass over silver: route-level
+    # partials (one row per route) are written once, both roll up from them.
+    partials: dict[str, DataFrame] = {}
+
+    def shared() -> DataFrame:
+        if "routes" not in partials:
+            partials["routes"] = materialize(op.route_partials(bts()), "route-partials")
+        return partials["routes"]
+
+    try:
+        shared()
+    except Exception:  # noqa: BLE001 - the two tables fall back to their own pass
+        traceback.print_exc(limit=1)
+        partials["routes"] = None
+
+    def routes() -> DataFrame:
+        p = partials["routes"]
+        return op.route_delay_summary(bts()) if p is None else op.route_delay_summary_from(p)
+
+    def carriers() -> DataFrame:
+        p = partials["routes"]
+        return op.carrier_performance(bts()) if p is None else op.carrier_performance_from(p)
+
     steps = [
         gold("airport_hourly_delay", lambda: op.airport_hourly_delay(bts())),
-        gold("route_delay_summary", lambda: op.route_delay_summary(bts())),
-        gold("carrier_performance", lambda: op.carrier_performance(bts())),
+        gold("route_delay_summary", routes),
+        gold("carrier_performance", carriers),
         gold("delay_cause_breakdown", lambda: op.delay_cause_breakdown(bts())),
         gold("flight_weather_joined",
              lambda: op.flight_weather(bts(), read_silver(spark, lake, "metar"))),

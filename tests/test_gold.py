@@ -145,3 +145,17 @@ def test_station_map_duplicates_do_not_multiply_flights(spark):  # T8
     out = op.flight_weather(fl, wx, station_map=smap).collect()
     assert len(out) == 2
     assert {r.Origin: r.flight_category for r in out} == {"HNL": "VFR", "ORD": None}
+
+
+def test_partials_roll_up_equals_direct(spark, sf_small):  # AGG-2, AGG-3 from one pass
+    from flightlake.queries import ontime_silver
+    silver = ontime_silver(spark, sf_small)
+    p = op.route_partials(silver)
+    assert Counter(op.route_delay_summary_from(p).collect()) == \
+        Counter(op.route_delay_summary(silver).collect())
+    assert op.carrier_performance_from(p).collect() == op.carrier_performance(silver).collect()
+    nulls = flights(spark, [f(delay=None, is_cancelled=None)] * 12)
+    q = op.route_partials(nulls)
+    assert Counter(op.route_delay_summary_from(q).collect()) == \
+        Counter(op.route_delay_summary(nulls).collect())
+    assert op.carrier_performance_from(q).collect() == op.carrier_performance(nulls).collect()
