@@ -1,6 +1,7 @@
 from .dedupe import dedupe, distinct_keys
 from .gold import (airport_hourly_delay, carrier_performance, carrier_performance_from,
-                   carrier_stats, delay_cause_breakdown, live_route_summary,
+                   carrier_stats, delay_cause_breakdown, delay_cause_breakdown_from,
+                   live_route_summary,
                    route_delay_summary, route_delay_summary_from, route_partials)
 from .join import (bounded_broadcast, fanout_summary, flight_weather, latest_weather,
                    station_of)
@@ -12,7 +13,7 @@ __all__ = [
     "dedupe", "distinct_keys",
     "airport_hourly_delay", "carrier_performance", "carrier_stats", "delay_cause_breakdown",
     "live_route_summary", "route_delay_summary", "route_partials",
-    "route_delay_summary_from", "carrier_performance_from",
+    "route_delay_summary_from", "carrier_performance_from", "delay_cause_breakdown_from",
     "bounded_broadcast", "fanout_summary", "flight_weather", "latest_weather", "station_of",
     "clean_ontime", "flatten_live", "flatten_weather", "live_silver", "ontime_silver",
     "station_registry", "weather_silver", "with_obs_date", "WEATHER_PARTITION",

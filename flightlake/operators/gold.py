@@ -66,12 +66,17 @@ _PARTIAL_MEASURES = ["DEP_DELAY", "ARR_DELAY", *_CAUSE_NAMES]
 
 def route_partials(flights: DataFrame) -> DataFrame:
     """Per (carrier, origin, dest): row count, and for every measure its sum
-    and non-null count, plus delayed and cancelled counts (null when all
-    flags are null). Both the route and the carrier tables roll up from these
-    exactly, so the nightly job scans and shuffles silver once for both."""
+    and non-null count (the causes also over delayed flights only), plus
+    delayed and cancelled counts (null when all flags are null). The route,
+    carrier and cause tables roll up from these exactly, so the nightly job
+    scans and shuffles silver once for all three."""
     aggs = [fx.rows().alias("n")]
     for c in _PARTIAL_MEASURES:
         aggs += [F.sum(c).alias(f"s_{c}"), F.count(c).alias(f"c_{c}")]
+    delayed = F.col("is_delayed")
+    for c in _CAUSE_NAMES:  # cause measures over delayed flights only
+        aggs += [F.sum(F.when(delayed, F.col(c))).alias(f"ds_{c}"),
+                 F.count(F.when(delayed, F.col(c))).alias(f"dc_{c}")]
     aggs += [fx.true_count("is_delayed").alias("n_delayed"),
              fx.true_count("is_cancelled").alias("n_cancelled")]
     return flights.groupBy("OP_CARRIER", "Origin", "Dest").agg(*aggs)
@@ -107,6 +112,17 @@ def carrier_performance_from(partials: DataFrame) -> DataFrame:
     return c.orderBy(F.col("delay_rate").asc_nulls_first(), F.col("OP_CARRIER"))
 
 
+def delay_cause_breakdown_from(partials: DataFrame,
+                               min_delayed: int = MIN_DELAYED_FLIGHTS) -> DataFrame:
+    """:func:`delay_cause_breakdown` rolled up from :func:`route_partials`."""
+    sums = ["n_delayed"] + [f"{p}_{c}" for c in _CAUSE_NAMES for p in ("ds", "dc")]
+    return (partials.groupBy("Origin", "OP_CARRIER").agg(*[F.sum(x).alias(x) for x in sums])
+            .filter(F.col("n_delayed") >= min_delayed)
+            .select("Origin", "OP_CARRIER",
+                    *[_mean(f"ds_{c}", f"dc_{c}").alias(a) for c, a in _CAUSE_NAMES.items()],
+                    F.col("n_delayed").alias("total_delayed_flights")))
+
+
 def carrier_performance(flights: DataFrame) -> DataFrame:
     """One row per carrier, ascending by delay rate (AGG-3, AF-4, SRT-1).
 
@@ -151,4 +167,5 @@ def live_route_summary(live: DataFrame, min_flights: int = MIN_LIVE_FLIGHTS) ->
 
 __all__ = ["airport_hourly_delay", "route_delay_summary", "carrier_performance", "carrier_stats",
            "route_partials", "route_delay_summary_from", "carrier_performance_from",
+           "delay_cause_breakdown_from",
            "delay_cause_breakdown", "live_route_summary", "GOLD_CAUSES"]

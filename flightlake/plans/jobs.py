@@ -122,8 +122,8 @@ def build_gold(spark: SparkSession, lake: Lake, concurrency: int = 3) -> list[tu
     def bts() -> DataFrame:
         return read_silver(spark, lake, "bts_flights")
 
-    # Route and carrier tables share one pass over silver: route-level
-    # partials (one row per route) are written once, both roll up from them.
+    # Route, carrier and cause tables share one pass over silver: route-level
+    # partials (one row per route) are written once, all three roll up.
     partials: dict[str, DataFrame] = {}
 
     def shared() -> DataFrame:
@@ -145,11 +145,15 @@ def build_gold(spark: SparkSession, lake: Lake, concurrency: int = 3) -> list[tu
         p = partials["routes"]
         return op.carrier_performance(bts()) if p is None else op.carrier_performance_from(p)
 
+    def causes() -> DataFrame:
+        p = partials["routes"]
+        return op.delay_cause_breakdown(bts()) if p is None else op.delay_cause_breakdown_from(p)
+
     steps = [
         gold("airport_hourly_delay", lambda: op.airport_hourly_delay(bts())),
         gold("route_delay_summary", routes),
         gold("carrier_performance", carriers),
-        gold("delay_cause_breakdown", lambda: op.delay_cause_breakdown(bts())),
+        gold("delay_cause_breakdown", causes),
         gold("flight_weather_joined",
              lambda: op.flight_weather(bts(), read_silver(spark, lake, "metar"))),
         gold("aviationstack_summary",

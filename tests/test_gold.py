@@ -154,8 +154,14 @@ def test_partials_roll_up_equals_direct(spark, sf_small):  # AGG-2, AGG-3 from o
     assert Counter(op.route_delay_summary_from(p).collect()) == \
         Counter(op.route_delay_summary(silver).collect())
     assert op.carrier_performance_from(p).collect() == op.carrier_performance(silver).collect()
+    assert Counter(op.delay_cause_breakdown_from(p).collect()) == \
+        Counter(op.delay_cause_breakdown(silver).collect())
+    for k in (1, 140):
+        assert Counter(op.delay_cause_breakdown_from(p, k).collect()) == \
+            Counter(op.delay_cause_breakdown(silver, k).collect())
     nulls = flights(spark, [f(delay=None, is_cancelled=None)] * 12)
     q = op.route_partials(nulls)
     assert Counter(op.route_delay_summary_from(q).collect()) == \
         Counter(op.route_delay_summary(nulls).collect())
     assert op.carrier_performance_from(q).collect() == op.carrier_performance(nulls).collect()
+    assert op.delay_cause_breakdown_from(q).collect() == op.delay_cause_breakdown(nulls).collect() == []
