@@ -3,11 +3,12 @@ from .gold import (airport_hourly_delay, carrier_performance, carrier_performanc
                    carrier_stats, delay_cause_breakdown, delay_cause_breakdown_from,
                    live_route_summary,
                    route_delay_summary, route_delay_summary_from, route_partials)
+from .topk import first_n_per_group
 from .join import (bounded_broadcast, fanout_summary, flight_weather, latest_weather,
                    station_of)
-from .silver import (WEATHER_PARTITION, clean_ontime, flatten_live, flatten_weather,
-                     live_silver, ontime_silver, station_registry, weather_silver,
-                     with_obs_date)
+from .silver import (POLL_LIMIT, POLL_STATUSES, WEATHER_PARTITION, clean_ontime,
+                     flatten_live, flatten_weather, live_silver, ontime_silver,
+                     polled_flights, station_registry, weather_silver, with_obs_date)
 
 __all__ = [
     "dedupe", "distinct_keys",
@@ -17,4 +18,5 @@ __all__ = [
     "bounded_broadcast", "fanout_summary", "flight_weather", "latest_weather", "station_of",
     "clean_ontime", "flatten_live", "flatten_weather", "live_silver", "ontime_silver",
     "station_registry", "weather_silver", "with_obs_date", "WEATHER_PARTITION",
+    "polled_flights", "POLL_LIMIT", "POLL_STATUSES", "first_n_per_group",
 ]

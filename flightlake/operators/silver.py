@@ -13,6 +13,12 @@ from .. import functions as fx
 from ..schemas import (LIVE_KEY, ONTIME_COLUMNS, ONTIME_DELAY_COLUMNS, ONTIME_KEY,
                        ONTIME_RENAMES, WEATHER_KEY)
 from .dedupe import dedupe
+from .topk import first_n_per_group
+
+# Fixed values of the flight poller's request: flight status and records per call
+# (one call per day).
+POLL_STATUSES = ["active"]
+POLL_LIMIT = 100
 
 
 def clean_ontime(raw: DataFrame) -> DataFrame:
@@ -67,6 +73,18 @@ def flatten_live(envelopes: DataFrame, statuses: list[str] | None = None) -> Dat
     return out
 
 
+def polled_flights(flat: DataFrame, statuses: list[str] | None = None,
+                   limit: int = POLL_LIMIT) -> DataFrame:
+    """What the daily API call returns (FLT-5): flattened flights in
+    ``statuses`` (default ``POLL_STATUSES``), at most ``limit`` per ingestion
+    day, earliest scheduled departure first (ties: flight, then the other
+    columns). Skew-proof: see ``topk.first_n_per_group``."""
+    keep = flat.filter(F.col("flight_status").isin(list(statuses or POLL_STATUSES)))
+    day = keep.withColumn("_call_day", F.substring("_ingested_at", 1, 10))
+    capped = first_n_per_group(day, ["_call_day"], limit, ["scheduled_dep", "flight_iata"])
+    return capped.drop("_call_day")
+
+
 def live_silver(envelopes: DataFrame, statuses: list[str] | None = None) -> DataFrame:
     """Flattened live flights, one row per (date, flight, origin, dest) (DST-1)."""
     return dedupe(flatten_live(envelopes, statuses), LIVE_KEY)

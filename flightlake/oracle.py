@@ -324,6 +324,14 @@ def _drift_sql() -> str:
 ORACLE["schema_drift"] = _drift_sql()
 
 ORACLE["live_flights_flat"] = with_("live_flat") + "SELECT * FROM live_flat"
+ORACLE["live_flights_polled"] = with_("live_flat") + f"""
+SELECT {_cols(LIVE_SILVER)} FROM (
+  SELECT *, row_number() OVER (
+           PARTITION BY substr(_ingested_at, 1, 10)
+           ORDER BY {_order(["scheduled_dep", "flight_iata"]
+                            + _rest(LIVE_SILVER, ["scheduled_dep", "flight_iata"]))}) AS rn
+  FROM live_flat WHERE flight_status = 'click') p
+WHERE rn <= 100"""
 ORACLE["live_flights_dedupe"] = with_("live_silver") + "SELECT * FROM live_silver"
 ORACLE["weather_flat"] = with_("weather_flat") + "SELECT * FROM weather_flat"
 ORACLE["append_idempotent"] = ORACLE["live_flights_dedupe"]

@@ -117,6 +117,14 @@ def q_live_flights_flat(spark, sf_dir):
     return op.flatten_live(_landed(spark, sf_dir, "flights"))
 
 
+def q_live_flights_polled(spark, sf_dir):
+    """What the daily poll keeps (FLT-5): active flights, at most 100 per
+    ingestion day, over every landed day."""
+    t = _tables(spark, sf_dir)
+    flat = op.flatten_live(bronze.wrap_envelope(surrogate.live_records(t), "flights"))
+    return op.polled_flights(flat, [surrogate.ACTIVE_STATUS], op.POLL_LIMIT)
+
+
 def q_live_flights_dedupe(spark, sf_dir):
     return live_silver(spark, sf_dir)
 
@@ -225,6 +233,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_roundtrip": q_csv_roundtrip,
     "schema_drift": q_schema_drift,
     "live_flights_flat": q_live_flights_flat,
+    "live_flights_polled": q_live_flights_polled,
     "live_flights_dedupe": q_live_flights_dedupe,
     "weather_flat": q_weather_flat,
     "append_idempotent": q_append_idempotent,

@@ -147,6 +147,11 @@ def weather_records(t: Tables) -> DataFrame:
     )
 
 
+# In the derived live feed the flight status is the event type; "click" plays
+# the poller's "active" status.
+ACTIVE_STATUS = "click"
+
+
 def live_records(t: Tables) -> DataFrame:
     """Live flight records in the API's nested shape, one per events row."""
     ev = _event_nation(t, F.col("user_id") % 25, "o")

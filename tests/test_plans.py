@@ -148,3 +148,19 @@ def test_hot_order_key_is_split_in_fact_join(spark):
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert re.search(r"SortMergeJoin\(skew=true\) \[l_orderkey", final)
+
+
+def test_poll_cap_limits_before_each_shuffle(spark):
+    """One day holding nearly every row: each of the two limit stages runs a
+    partial group limit before its exchange, so no task forwards more than n
+    rows per group and the hot day's rows never meet in one task."""
+    v = F.col("id") * 7919 % 20000
+    hot = spark.range(20000).select(
+        F.when(v < 19990, "2025-02-01").otherwise("2025-02-02").alias("day"), v.alias("v"))
+    capped = op.first_n_per_group(hot, ["day"], 3, ["v"])
+    plan = plan_of(capped)
+    assert len(re.findall(r"WindowGroupLimit \[day.*Partial", plan)) == 2
+    assert len(re.findall(r"WindowGroupLimit \[day.*Final", plan)) == 2
+    assert sorted((r.day, r.v) for r in capped.collect()) == [
+        ("2025-02-01", 0), ("2025-02-01", 1), ("2025-02-01", 2),
+        ("2025-02-02", 19990), ("2025-02-02", 19991), ("2025-02-02", 19992)]

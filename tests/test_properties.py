@@ -87,3 +87,26 @@ def test_cause_share_with_security(spark):
     out = {r.cause: r.share for r in reports.cause_share(df, include_security=True).collect()}
     assert out == {"carrier": 0.2, "weather": 0.2, "nas": 0.2, "security": 0.2,
                    "late_aircraft": 0.2}
+
+
+top_rows = st.lists(st.tuples(st.sampled_from(["hot", "hot", "hot", "d2", None]),
+                              small_text, small_num), min_size=0, max_size=40)
+
+
+@SETTINGS
+@given(data=top_rows, n=st.integers(1, 4), parts=st.integers(1, 4), buckets=st.integers(1, 5))
+def test_first_n_per_group_matches_brute_force(spark, data, n, parts, buckets):
+    """Per group, exactly the n smallest rows (order column, then the rest,
+    nulls first), whatever the partitioning and the number of salt buckets."""
+    df = spark.createDataFrame(data, "g string, s string, d double").repartition(parts)
+    got = sorted(((r.g, r.s, r.d) for r in op.first_n_per_group(df, ["g"], n, ["d"], buckets)
+                  .collect()), key=lambda t: tuple(map(_sort_key, t)))
+    groups: dict = {}
+    for g, s, d in data:
+        groups.setdefault(g, []).append((g, s, d))
+    want = []
+    for rows_ in groups.values():
+        rows_.sort(key=lambda t: (_sort_key(t[2]), _sort_key(t[1])))
+        want += rows_[:n]
+    want.sort(key=lambda t: tuple(map(_sort_key, t)))
+    assert got == want

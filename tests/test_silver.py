@@ -194,3 +194,27 @@ def test_pretty_printed_snapshot(spark):  # T15
         json.dump(doc, fh, indent=2)
     env = bronze.read_envelopes(spark, path, "flights", glob="*/*/*/snapshot.json", multi_line=True)
     assert op.flatten_live(env).count() == 2
+
+
+def test_polled_flights_cap_binds(spark, sf_small):
+    """The daily poll keeps only the given status and at most ``limit`` rows
+    per ingestion day — the earliest scheduled departures — checked against
+    a brute-force sort of each day."""
+    from flightlake.sources import bronze, surrogate
+    from flightlake.sources.tables import Tables
+    flat = op.flatten_live(bronze.wrap_envelope(
+        surrogate.live_records(Tables(spark, sf_small)), "flights"))
+    got = op.polled_flights(flat, ["click", "view"], 2).collect()
+    rows = [r for r in flat.collect() if r.flight_status in ("click", "view")]
+    by_day: dict = {}
+    for r in rows:
+        by_day.setdefault(r._ingested_at[:10], []).append(r)
+    cols = ["scheduled_dep", "flight_iata"] + [c for c in flat.columns
+                                               if c not in ("scheduled_dep", "flight_iata")]
+    want = []
+    for day_rows in by_day.values():
+        day_rows.sort(key=lambda r: tuple((r[c] is not None, r[c] if r[c] is not None else 0)
+                                          for c in cols))
+        want += day_rows[:2]
+    assert len(by_day) > 1 and any(len(v) > 2 for v in by_day.values())
+    assert sorted(map(tuple, got), key=str) == sorted(map(tuple, want), key=str)
