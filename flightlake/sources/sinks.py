@@ -6,6 +6,9 @@
 * ``append_new`` — idempotent append (SNK-1/2): only rows whose natural key
   is not yet in the table are written, so a re-run, a replayed micro-batch or
   an overlapping snapshot never duplicates a key.
+* ``merge_min`` — deterministic merge for day-partitioned tables: the days a
+  batch touches are re-deduplicated together with the stored rows and
+  rewritten, so the table equals one dedupe over all input, in any batching.
 
 Both count the written rows with an ``Observation`` collected during the
 write itself — one execution, not a second ``count()`` pass (CNT-1).
@@ -47,27 +50,36 @@ def null_safe_key_match(left: DataFrame, right: DataFrame, keys: list[str]):
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
 
 
+def within_days(existing: DataFrame, batch: DataFrame, day_col: str) -> DataFrame:
+    """Rows of ``existing`` on the days (``day_col`` values, nulls included)
+    present in ``batch``.
+
+    ``day_col`` is the table's partition column, so only those partitions are
+    listed and scanned. The day list is a bounded set (at most
+    ``MAX_PRUNE_DAYS`` values are fetched); a batch spanning more days falls
+    back to a semi join on the day column.
+    """
+    days = [r[0] for r in batch.select(day_col).distinct().limit(MAX_PRUNE_DAYS + 1).collect()]
+    if len(days) <= MAX_PRUNE_DAYS:
+        known = [d for d in days if d is not None]
+        cond = existing[day_col].isin(known) if known else F.lit(False)
+        if None in days:
+            cond = cond | existing[day_col].isNull()
+        return existing.filter(cond)
+    d = batch.select(F.col(day_col).alias("_day")).distinct()
+    return existing.join(d, existing[day_col].eqNullSafe(d["_day"]), "left_semi")
+
+
 def unseen(batch: DataFrame, existing: DataFrame, keys: list[str],
            day_col: str | None = None) -> DataFrame:
     """Rows of ``batch`` whose key is not in ``existing`` (null-safe anti join).
 
     With ``day_col`` (a key column that is also the table's partition column)
-    the existing side is restricted to the days present in the batch, so only
-    those partitions are listed and scanned. The day list is a bounded set
-    (at most ``MAX_PRUNE_DAYS`` values are fetched); a batch spanning more
-    days falls back to a semi join on the day column.
+    the existing side is restricted to the days present in the batch
+    (:func:`within_days`).
     """
     if day_col:
-        days = [r[0] for r in batch.select(day_col).distinct().limit(MAX_PRUNE_DAYS + 1).collect()]
-        if len(days) <= MAX_PRUNE_DAYS:
-            known = [d for d in days if d is not None]
-            cond = existing[day_col].isin(known) if known else F.lit(False)
-            if None in days:
-                cond = cond | existing[day_col].isNull()
-            existing = existing.filter(cond)
-        else:
-            d = batch.select(F.col(day_col).alias("_day")).distinct()
-            existing = existing.join(d, existing[day_col].eqNullSafe(d["_day"]), "left_semi")
+        existing = within_days(existing, batch, day_col)
     ex = existing.select(*keys)
     return batch.join(ex, null_safe_key_match(batch, ex, keys), "left_anti")
 
@@ -98,6 +110,41 @@ def append_new(df: DataFrame, path: str, keys: list[str],
     return observed_write(df, name, write)
 
 
+def merge_min(df: DataFrame, path: str, keys: list[str], partition_by: list[str],
+              name: str = "table") -> int:
+    """Merge ``df`` into the table at ``path`` keeping, per key, the row the
+    dedupe rule (:func:`operators.dedupe`) picks over stored and new rows
+    together; return the number of keys added.
+
+    The minimum over a union is the minimum of the minima, so the table ends
+    the same however the input was split into batches or replayed. The first
+    partition column must be a key column (a day): only the days present in
+    ``df`` are read, merged (one aggregate, partial map-side) and rewritten
+    with dynamic partition overwrite; other days are not touched. The merged
+    days are written to the shared folder first, so the table is never read
+    and overwritten by the same job.
+    """
+    from ..operators.dedupe import dedupe
+    spark = df.sparkSession
+    day = partition_by[0]
+    if day not in keys:
+        raise ValueError("the first partition column must be a key column")
+    if not exists(spark, path):
+        return append_new(df, path, keys, partition_by=partition_by, name=name)
+    batch = materialize(df, f"{name}-batch")
+    if batch.isEmpty():
+        return 0
+    stored_obs = Observation(f"{name}-stored")
+    stored = within_days(spark.read.schema(df.schema).parquet(path), batch, day).observe(
+        stored_obs, F.count(F.lit(1)).alias("rows"))
+    merged_path = scratch_path(spark, f"{name}-merged")
+    merged_rows = observed_write(dedupe(stored.unionByName(batch), keys), f"{name}-merged",
+                                 lambda d: d.write.parquet(merged_path))
+    merged = spark.read.schema(df.schema).parquet(merged_path)
+    replace_table(merged, path, partition_by, name)
+    return merged_rows - int(stored_obs.get.get("rows", 0))
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once below the shared checkpoint folder and read it back.
 

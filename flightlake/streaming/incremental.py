@@ -3,15 +3,15 @@
 The source job re-reads every snapshot each night and appends all of it, so
 day k ends up stored once per later run (T4). Here a file stream over the
 landing folder processes each new file exactly once (the checkpoint records
-which files were taken), and every micro-batch is appended through the
-null-safe anti join of :func:`sources.sinks.append_new` — so a replayed batch
-or a re-landed day adds nothing that is already stored.
-
-Within a micro-batch the kept row of a key is the deterministic minimum
-(:func:`operators.dedupe`); across micro-batches the first stored row wins,
-as in any streaming dedupe. A day's snapshot files normally arrive in one
-batch, which makes the result equal to one batch run over all files; when
-``max_files_per_trigger`` splits a day, each key is still stored once.
+which files were taken), and every micro-batch is merged through
+:func:`sources.sinks.merge_min`: the days the batch touches are deduplicated
+again together with their stored rows and rewritten, keeping per key the
+deterministic minimum row (:func:`operators.dedupe`). A replayed batch or a
+re-landed day changes nothing, and the table ends equal to one batch run over
+all files however they were split into micro-batches (a later snapshot whose
+row sorts first replaces the stored one). ``mode="append"`` keeps the first
+stored row instead (:func:`sources.sinks.append_new`), which writes only new
+keys.
 
 ``trigger(availableNow=True)`` turns the stream into a bounded catch-up run:
 it processes the backlog in batches and stops, which is what a nightly
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .. import operators as op
 from ..schemas import LIVE_KEY, WEATHER_KEY
 from ..sources.bronze import FEEDS
-from ..sources.sinks import append_new
+from ..sources.sinks import append_new, merge_min
 
 _FEEDS = {
     # feed: (silver builder, key, partition columns)
@@ -38,13 +38,16 @@ _FEEDS = {
 
 def ingest_stream(spark: SparkSession, bronze_root: str, silver_path: str, feed: str,
                   checkpoint: str, stations: DataFrame | None = None,
-                  max_files_per_trigger: int | None = None) -> dict:
+                  max_files_per_trigger: int | None = None, mode: str = "merge") -> dict:
     """Catch up on all new snapshot files of ``feed``; return progress totals.
 
     ``bronze_root`` holds ``ingest_date=…`` folders (see
     :func:`sources.bronze.land_snapshot`). The returned dict has the number of
-    micro-batches and of rows appended to ``silver_path``.
+    micro-batches and of keys added to ``silver_path``.
     """
+    if mode not in ("merge", "append"):
+        raise ValueError(f"unknown mode {mode!r}")
+    sink = merge_min if mode == "merge" else append_new
     build, keys, partition_by = _FEEDS[feed]
     reader = spark.readStream.schema(FEEDS[feed])
     if max_files_per_trigger:
@@ -54,8 +57,8 @@ def ingest_stream(spark: SparkSession, bronze_root: str, silver_path: str, feed:
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         env = batch.select(*FEEDS[feed].fieldNames())
-        rows = append_new(build(env, stations), silver_path, keys,
-                          partition_by=partition_by, name=f"{feed}_batch_{batch_id}")
+        rows = sink(build(env, stations), silver_path, keys,
+                    partition_by=partition_by, name=f"{feed}_batch_{batch_id}")
         appended["batches"] += 1
         appended["rows"] += rows
 
