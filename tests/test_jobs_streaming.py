@@ -49,7 +49,7 @@ def test_nightly_jobs_audit_and_rerun(spark, sf_small):  # JOB-1..4
     first = {r.table_name: r.rows_written for r in jobs.run_nightly(spark, lake, stations).collect()}
     second = {r.table_name: r.rows_written for r in jobs.run_nightly(spark, lake, stations).collect()}
     assert len(first) == 9 and all(v > 0 for v in first.values())
-    # appends add nothing on a rerun; overwrites rewrite the same rows
+    # merges add no keys on a rerun; overwrites rewrite the same rows
     assert second["aviationstack_flights"] == 0 and second["metar"] == 0
     assert {k: v for k, v in second.items() if k not in ("aviationstack_flights", "metar")} == \
         {k: v for k, v in first.items() if k not in ("aviationstack_flights", "metar")}
@@ -60,6 +60,25 @@ def test_nightly_jobs_audit_and_rerun(spark, sf_small):  # JOB-1..4
     assert len(best) == 1
 
 
+def test_nightly_silver_equals_dedupe_of_all_landed(spark, sf_small):  # JOB-1, T4
+    """A later snapshot re-reports flights with rows that sort first: the
+    nightly merge replaces them, so silver equals one dedupe over all bronze."""
+    lake = jobs.Lake(scratch_path(spark, "lake-again"))
+    records = surrogate.live_records(Tables(spark, sf_small))
+    again = (records.filter(F.col("record.flight_date") < "2024-01-05")
+             .withColumn("record", F.col("record").withField("flight_status", F.lit("a")))
+             .withColumn("_ingested_at", F.lit("2099-01-01T22:00:00")))
+    bronze.land_snapshot(records, lake.bronze("flights"), "flights")
+    first = dict((a[1], a[3]) for a in jobs.build_silver(spark, lake))
+    bronze.land_snapshot(again, lake.bronze("flights"), "flights")
+    second = dict((a[1], a[3]) for a in jobs.build_silver(spark, lake))
+    assert first["aviationstack_flights"] > 0 and second["aviationstack_flights"] == 0
+    got = jobs.read_silver(spark, lake, "aviationstack_flights")
+    want = op.live_silver(bronze.wrap_envelope(records.unionByName(again), "flights"))
+    assert got.filter(F.col("flight_status") == "a").count() > 0
+    assert Counter(got.collect()) == Counter(want.collect())
+
+
 def test_failed_table_is_isolated_then_raised(spark, sf_small):  # JOB-3, T10
     lake = jobs.Lake(scratch_path(spark, "lake-broken"))  # nothing landed
     with pytest.raises(jobs.JobFailed) as e:
