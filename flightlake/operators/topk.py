@@ -14,6 +14,11 @@ the first, and the final task per group receives at most ``n`` rows from each
 of those. The order is made total with every column, so the result is the
 same on every run and every partitioning; rows equal in every column are
 interchangeable.
+
+Spark inserts the partial limit for ``n`` up to
+``spark.sql.optimizer.windowGroupLimitThreshold`` (1000 by default); above
+that the first stage still spreads a group over ``buckets`` tasks, and the
+second receives at most ``buckets × n`` rows per group.
 """
 
 from __future__ import annotations
