@@ -2,6 +2,7 @@
 
     python -m flightlake nightly --lake ROOT [--stations CSV]
     python -m flightlake stream  --lake ROOT --feed flights|weather [--max-files N]
+                                 [--mode merge|append]
     python -m flightlake report  --lake ROOT NAME [--k 10]
 
 ``ROOT`` holds ``bronze/``, ``silver/`` and ``gold/`` (see ``plans.jobs``).
@@ -54,6 +55,9 @@ def main(argv: list[str] | None = None) -> int:
     st.add_argument("--feed", choices=["flights", "weather"], required=True)
     st.add_argument("--stations")
     st.add_argument("--max-files", type=int)
+    st.add_argument("--mode", choices=["merge", "append"], default="merge",
+                    help="merge: re-pick each touched day's rows (default); "
+                         "append: write only unseen keys")
     r = sub.add_parser("report", help="one business report")
     r.add_argument("--lake", required=True)
     r.add_argument("name", choices=sorted([*REPORTS, *catalog.REPORT_SQL]))
@@ -75,7 +79,8 @@ def main(argv: list[str] | None = None) -> int:
         from .streaming import ingest_stream
         silver = lake.silver({"flights": "aviationstack_flights", "weather": "metar"}[a.feed])
         done = ingest_stream(spark, lake.bronze(a.feed), silver, a.feed,
-                             f"{lake.root}/_checkpoints/{a.feed}", stations, a.max_files)
+                             f"{lake.root}/_checkpoints/{a.feed}", stations, a.max_files,
+                             mode=a.mode)
         print(done)
         return 0
     if a.name in REPORTS:
