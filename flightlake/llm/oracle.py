@@ -59,7 +59,7 @@ slack AS (SELECT unnest({list(q.RULES)}) AS rule, unnest({list(q.SLACK.values())
 limits AS (
   SELECT o.lang, o.source, o.rule,
          greatest((p.q75 + 3 * (p.q75 - p.q50) + s) // 2, least(o.q75 + 3 * (o.q75 - o.q50) + s, 2 * (p.q75 + 3 * (p.q75 - p.q50) + s))) AS lim
-  FROM own o JOIN pool p ON p.lang IS NOT DISTINCT FROM o.lang AND p.rule = o.rule JOIN slack USING (rule)),
+  FROM own o JOIN pool p ON p.lang IS NOT DISTINCT FROM o.lang AND p.rule = o.rule JOIN slack k ON k.rule = o.rule),
 broken AS (
   SELECT DISTINCT l.rid FROM long_form l JOIN limits m
   ON m.lang IS NOT DISTINCT FROM l.lang AND m.source IS NOT DISTINCT FROM l.source AND m.rule = l.rule WHERE l.v > m.lim),

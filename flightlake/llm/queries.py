@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, chat_format, length_histogram, license_scan, quality_rules
+from . import bpe_codec, chat_format, length_histogram, license_scan, quality_rules, source_mix
 from .common import table
 
 
@@ -24,6 +24,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[F.col(f"quality.{c}").alias(c) for c in counts], F.col("quality_kept").alias("kept"))
 
 
+def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_mix.mix_summary(table(spark, sf_dir, "documents"))
+
+
 def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.encode_digests(table(spark, sf_dir, "documents"))
 
@@ -39,4 +43,4 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.round_trip(chat_format.format_conversations(chat_format.conversations(rows.unionByName(probe))))
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op2_token_histogram, op3_quality_rules, op7_bpe_codec, op10_chat_format)}
+QUERIES = {f.__name__: f for f in (op1_license_scan, op2_token_histogram, op3_quality_rules, op4_source_mix, op7_bpe_codec, op10_chat_format)}
