@@ -73,6 +73,11 @@ ORACLE = {
     "op3_quality_rules": f"""
 WITH docs AS (SELECT * FROM documents), {QUALITY_CTES}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept FROM judged""",
+    "op8_block_naming": """
+WITH n AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
+SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+       row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(t) AS text_sha256
+FROM n""",
     "op10_chat_format": r"""
 WITH rows AS (
   SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, chat_format, length_histogram, license_scan, quality_rules, source_mix
+from . import block_naming, bpe_codec, chat_format, length_histogram, license_scan, quality_rules, source_mix
 from .common import table
 
 
@@ -32,6 +32,10 @@ def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.encode_digests(table(spark, sf_dir, "documents"))
 
 
+def op8_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_naming.dedup_groups(table(spark, sf_dir, "documents")).drop("row")
+
+
 # A conversation whose texts hold control strings, added to every table.
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
@@ -43,4 +47,4 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.round_trip(chat_format.format_conversations(chat_format.conversations(rows.unionByName(probe))))
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op2_token_histogram, op3_quality_rules, op4_source_mix, op7_bpe_codec, op10_chat_format)}
+QUERIES = {f.__name__: f for f in (op1_license_scan, op2_token_histogram, op3_quality_rules, op4_source_mix, op7_bpe_codec, op8_block_naming, op10_chat_format)}
