@@ -69,7 +69,7 @@ def named(rows: DataFrame, keys: list[str], keep: list[str]) -> DataFrame:
     names = rows.groupBy(*keys).agg(F.min(place).alias("name")).select(*[F.col(k).alias(f"n_{k}") for k in keys], "name")
     same = F.lit(True)
     for k in keys:
-        same = same & rows[k].eqNullSafe(names[f"n_{k}"])
+        same = same & (rows[k] == names[f"n_{k}"])  # never null; plain equality reuses the grouping's shuffle
     return rows.join(names, same).select(*keep, "name")
 
 
@@ -87,7 +87,7 @@ def identities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         first = F.max(F.when(F.col("number") % 2 == 0, F.col("name")))
         second = F.max(F.when(F.col("number") % 2 == 1, F.col("name")))
         pairs = more.groupBy("row", "id", "count", pair.alias("number")).agg(
-            first.alias("a"), second.alias("b"), F.max("text_sha256").alias("text_sha256")).withColumn("count", F.ceil(F.col("count") / 2))
+            first.alias("a"), F.coalesce(second, F.lit(-1)).alias("b"), F.max("text_sha256").alias("text_sha256")).withColumn("count", F.ceil(F.col("count") / 2))
         level = written(named(pairs, ["a", "b"], keep), f"pair-names-{turn}")
         turn += 1
     out = done[0]
