@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_id, written
+from .common import map_batches, row_id, written
 
 BLOCK_BYTES = 4096
 
@@ -60,7 +60,7 @@ def blocks_of(docs: DataFrame, id_col: str, text_col: str, block_bytes: int) ->
                      pa.array(content, pa.binary()), pa.array(digest, pa.string())],
                     names=["row", "id", "number", "count", "content", "text_sha256"])
 
-    return src.mapInArrow(cut, f"row long, id {dict(src.dtypes)['id']}, number long, count long, content binary, text_sha256 string")
+    return map_batches(src, cut, f"row long, id {dict(src.dtypes)['id']}, number long, count long, content binary, text_sha256 string")
 
 
 def named(rows: DataFrame, keys: list[str], keep: list[str]) -> DataFrame:

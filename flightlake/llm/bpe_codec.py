@@ -36,6 +36,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import map_batches
+
 MAX_WORDS = 600_000
 MAX_CACHED = 256
 MAX_PAIRS = 4_000_000
@@ -278,7 +280,7 @@ def _mapped(docs: DataFrame, keep: list[str], text_col: str, tokenizer: str | No
                 rows = codec(path).encode_texts(part.column(part.num_columns - 1).to_pylist())
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], *build(rows)], names=[*part.schema.names[:-1], *names])
 
-    return src.mapInArrow(run, ", ".join(x for x in (kept, fields) if x))
+    return map_batches(src, run, ", ".join(x for x in (kept, fields) if x))
 
 
 def encode_documents(docs: DataFrame, keep: list[str] | None = None, text_col: str = "text", tokenizer: str | None = None) -> DataFrame:

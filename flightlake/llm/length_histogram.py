@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import map_batches, written
 
 RANGE = 1024
 PART_CHARS = 100_000
@@ -77,7 +77,7 @@ def encoded_lengths(docs: DataFrame, keep: list[str], text_col: str = "text", to
             lengths = pa.array([length_of(t, path) for t in b.column(b.num_columns - 1).to_pylist()], pa.int64())
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], lengths], names=[*b.schema.names[:-1], "n_tokens"])
 
-    return src.mapInArrow(count, ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + ["n_tokens long"]))
+    return map_batches(src, count, ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + ["n_tokens long"]))
 
 
 def histogram(lengths: DataFrame, group: str) -> DataFrame:

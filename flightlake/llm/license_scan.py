@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import map_batches
+
 
 @dataclass(frozen=True)
 class Notice:
@@ -172,7 +174,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 [b.column(0), pa.array([n for n, _ in rows], pa.int64()), pa.array([h for _, h in rows], pa.list_(hit))],
                 names=["id", "n_words", "hits"])
 
-    return src.mapInArrow(scan, f"id {id_type}, {HITS_SCHEMA}").withColumnRenamed("id", id_col)
+    return map_batches(src, scan, f"id {id_type}, {HITS_SCHEMA}").withColumnRenamed("id", id_col)
 
 
 def license_summary(scanned: DataFrame, id_col: str = "doc_id") -> DataFrame:

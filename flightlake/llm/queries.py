@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import block_naming, bpe_codec, chat_format, length_histogram, license_scan, quality_rules, source_mix
+from . import (block_naming, bpe_codec, chat_format, chosen_path, length_histogram, license_scan, pairwise_quality,
+               pii_surrogates, quality_rules, source_mix)
 from .common import table
 
 
@@ -28,6 +29,15 @@ def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mix.mix_summary(table(spark, sf_dir, "documents"))
 
 
+def op5_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pairwise_quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = pii_surrogates.replace_entities(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "text", F.col("pii.n_entities").alias("n_entities"), F.col("pii.kinds").alias("kinds"))
+
+
 def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.encode_digests(table(spark, sf_dir, "documents"))
 
@@ -36,6 +46,10 @@ def op8_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_naming.dedup_groups(table(spark, sf_dir, "documents")).drop("row")
 
 
+def op9_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.similarity_classes(table(spark, sf_dir, "documents")).drop("row")
+
+
 # A conversation whose texts hold control strings, added to every table.
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
@@ -47,4 +61,5 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.round_trip(chat_format.format_conversations(chat_format.conversations(rows.unionByName(probe))))
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op2_token_histogram, op3_quality_rules, op4_source_mix, op7_bpe_codec, op8_block_naming, op10_chat_format)}
+QUERIES = {f.__name__: f for f in (op1_license_scan, op2_token_histogram, op3_quality_rules, op4_source_mix, op5_pairwise_quality,
+                                op6_pii_surrogates, op7_bpe_codec, op8_block_naming, op9_chosen_path_join, op10_chat_format)}
