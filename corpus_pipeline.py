@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flightlake.llm import block_naming, bpe_codec, quality_rules, source_mix
+from flightlake.llm import block_naming, bpe_codec, chosen_path, quality_rules, source_mix
 from flightlake.llm.common import written
 
 
@@ -26,6 +26,12 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return block_naming.drop_duplicates(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document (the largest doc_id) of each group linked by five-word
+    shingle similarity of 0.8 or more."""
+    return chosen_path.keep_one(docs)
+
+
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: documents with repetitions, sources at their target weights."""
     return source_mix.mix(docs).select(*docs.columns)
@@ -39,6 +45,7 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality_rules", quality),
     ("exact_dedup", exact_dedup),
+    ("chosen_path_join", near_dedup),
     ("source_mix", mixed),
     ("bpe_codec", encoded),
 ]
