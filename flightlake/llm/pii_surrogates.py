@@ -95,21 +95,22 @@ def atoms_of(entity: Column) -> Column:
     return let(kind_of(entity), build)
 
 
+# What every entity holds at least: a digit, an at sign, or one of these strings.
+_MARKS = tuple(f"{w}{m}" for w in ("password", "passwd", "pwd", "secret", "token") for m in "=:") + MALE + FEMALE
+
+
 def found_in(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(f"({ENTITY})"), F.lit(1))
+    """The entities of a text, in order. The full pattern only runs on texts that
+    hold a mark some entity needs; most hold none."""
+    marked = reduce(lambda a, m: a | text.contains(m), _MARKS, text.contains("@") | text.rlike("[0-9]"))
+    return F.when(marked, F.regexp_extract_all(text, F.lit(f"({ENTITY})"), F.lit(1))).otherwise(F.array().cast("array<string>"))
 
 
 # --- one replacement
 
 def number_at(stream: Column, i: Column, below: int) -> Column:
-    """A number under ``below`` from four hex digits of the stream."""
-    at = F.pmod(i * 4, F.lit(124)) + 1
-    return F.pmod(F.conv(F.substr(stream, at.cast("int"), F.lit(4)), 16, 10).cast("int"), F.lit(below))
-
-
-def char_of(base: str, n: Column) -> Column:
-    """The ``n``-th of the characters from ``base`` on (ASCII)."""
-    return F.char(F.lit(ord(base)) + n)
+    """The ``i``-th number under ``below`` that the keyed digest gives."""
+    return F.pmod(F.xxhash64(stream, i), F.lit(below)).cast("int")
 
 
 def fill(value: Column, stream: Column, hexadecimal: bool = False) -> Column:
@@ -217,28 +218,32 @@ TRIED = "array<struct<kind:string,value:string,attempt:int>>"
 
 
 def rewritten(text: Column, tried: Column, key: str = KEY) -> Column:
-    """A text with every entity replaced: the pieces between, and the new values, in turn."""
+    """A struct of the text with every entity replaced (the pieces between and the
+    new values, in turn), the number of entities, and their kinds."""
     def weave(found: Column) -> Column:
         pieces = F.split(text, ENTITY, -1)
         values = F.concat(F.transform(found, lambda e: replaced(e, tried, key)), F.array(F.lit("")))
         return F.array_join(F.flatten(F.transform(F.arrays_zip(pieces.alias("p"), values.alias("v")), lambda z: F.array(z["p"], z["v"]))), "")
-    return let(found_in(text), lambda found: F.when(F.size(found) == 0, text).otherwise(weave(found)))
+
+    def done(found: Column) -> Column:
+        kinds = F.array_join(F.array_sort(F.array_distinct(F.transform(found, kind_of))), ",")
+        return F.struct(F.when(F.coalesce(F.size(found), F.lit(0)) == 0, text).otherwise(weave(found)).alias("text"),
+                        F.coalesce(F.size(found), F.lit(0)).alias("n_entities"), F.coalesce(kinds, F.lit("")).alias("kinds"))
+    return let(found_in(text), done)
 
 
 def replace_entities(docs: DataFrame, text_col: str = "text", key: str = KEY, out: str = "pii") -> DataFrame:
     """``docs`` with the text rewritten and the struct ``out`` (n_entities, kinds)."""
-    if out in docs.columns or "__row" in docs.columns:
-        raise ValueError(f"rename columns {out} or __row")
+    if clash := {out, "__row", "__done", "tried", "h_row"} & set(docs.columns):
+        raise ValueError(f"rename columns {sorted(clash)}")
     numbered = docs.withColumn("__row", row_id())
     found = numbered.select(F.col("__row").alias("row"), found_in(F.col(text_col)).alias("e")).where(F.size("e") > 0)
-    found = written(found.select("row", F.size("e").alias("n"), F.flatten(F.transform("e", atoms_of)).alias("atoms")), "entity-rows")
+    found = written(found.select("row", F.flatten(F.transform("e", atoms_of)).alias("atoms")), "entity-rows")
     exceptions = written(attempts(entities(found), key).where("attempt > 0").select("kind", "value", "attempt"), "exceptions")
-    kinds = found.select(F.col("row").alias("f_row"), "n", F.array_sort(F.array_distinct(F.transform("atoms", lambda a: a["kind"]))).alias("kinds"))
     hit = found.select("row", F.explode(F.array_distinct("atoms")).alias("a")).select("row", "a.*")
     hit = hit.join(exceptions, ["kind", "value"]).groupBy("row").agg(F.collect_list(F.struct("kind", "value", "attempt")).alias("tried"))
     hit = written(hit.select(F.col("row").alias("h_row"), F.col("tried").cast(TRIED).alias("tried")), "excepted-rows")
     joined = numbered.join(hit, numbered["__row"] == hit["h_row"], "left") if not hit.isEmpty() else numbered.withColumn("tried", F.lit(None).cast(TRIED))
-    tried = F.coalesce("tried", F.array().cast(TRIED))
-    text = F.col(text_col)
-    count = let(found_in(text), lambda e: F.struct(F.size(e).alias("n_entities"), F.array_join(F.array_sort(F.array_distinct(F.transform(e, kind_of))), ",").alias("kinds")))
-    return joined.select(*[rewritten(text, tried, key).alias(c) if c == text_col else joined[c] for c in docs.columns], count.alias(out))
+    done = joined.withColumn("__done", rewritten(F.col(text_col), F.coalesce("tried", F.array().cast(TRIED)), key))
+    return done.select(*[F.col("__done.text").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns],
+                       F.struct("__done.n_entities", "__done.kinds").alias(out))
