@@ -37,6 +37,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -52,8 +53,8 @@ LEVELS = 3
 RECALL = 0.999
 SMALL = 256
 LEADERS = 4
-BLOCK_SETS = 1024
-BLOCK_SHINGLES = 1_500_000
+BLOCK_SETS = 4096
+BLOCK_SHINGLES = 3_000_000
 # A sketch of a linked pair agrees on 0.8 of its bytes give or take 0.035.
 SKETCH_MIN = round(T * (THRESHOLD - 0.12))
 _U = np.uint64
@@ -251,7 +252,7 @@ def edges_in(rows: DataFrame, keys: list[str]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b, cuts in grouped(batches, keys):
             yield bucket_edges(b, cuts)
-    return map_batches(rows.repartition(*keys).sortWithinPartitions(*keys), run, EDGES)
+    return map_batches(rows.repartition(*keys).sortWithinPartitions(*keys, "rep"), run, EDGES)
 
 
 def children(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -312,29 +313,26 @@ def candidate_edges(reps: DataFrame) -> DataFrame:
     """Spanning edges between representatives that match on their sketches."""
     light = reps.select("rep", "sketch")
     rows = reps.select(F.explode("paths").alias("path"), "rep")
-    found = []
+    small, found = [], []
     for level in range(1, LEVELS + 1):
-        rows = rows if level == 1 else written(rows.distinct(), f"paths-{level}")
         sizes = rows.groupBy("path").agg(F.count(F.lit(1)).alias("size")).where("size > 1").withColumnRenamed("path", "s_path")
         full = written(rows.join(sizes, rows["path"] == sizes["s_path"]).select("path", "rep", "size"), f"buckets-{level}")
-        small = full.where(F.col("size") <= SMALL).join(light, "rep").select("path", "rep", "sketch")
-        found.append(written(edges_in(small, ["path"]).distinct(), f"bucket-edges-{level}"))
+        small.append(full.where(F.col("size") <= SMALL).select("path", "rep"))
         large = full.where(F.col("size") > SMALL)
         if large.isEmpty():
             break
         large = large.join(light, "rep")
         if level < LEVELS:
-            rows = map_batches(large.select("path", "rep", "sketch"), children, "path long, rep long")
+            rows = written(map_batches(large.select("path", "rep", "sketch"), children, "path long, rep long"), f"paths-{level + 1}")
             continue
         large = written(large.select("path", "rep", "sketch", "size"), "large-buckets")
         met = written(leader_edges(large, light), "leader-edges")
-        found.append(met.where("v IS NOT NULL").select("u", "v").distinct())
+        found.append(met.where("v IS NOT NULL").select("u", "v"))
         loose = met.where("v IS NULL")
-        found.append(edges_in(block_rows(large, loose), ["path", "x", "y"]).distinct())
-    out = found[0]
-    for f in found[1:]:
-        out = out.unionByName(f)
-    return written(out.distinct(), "candidate-edges")
+        if not loose.isEmpty():
+            found.append(edges_in(block_rows(large, loose), ["path", "x", "y"]))
+    found.append(edges_in(reduce(DataFrame.unionByName, small).join(light, "rep").select("path", "rep", "sketch"), ["path"]))
+    return reduce(DataFrame.unionByName, found)
 
 
 # --- components
@@ -344,8 +342,7 @@ def components(edges: DataFrame) -> DataFrame:
     the root is the smallest node. Each round is written; hot nodes' joins split."""
     e = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     e = written(e, "component-edges")
-    state = None
-    while True:
+    while not are_stars(e):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), F.least("u", "m").alias("m"))
         large = both.join(low, both["u"] == low["k"]).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
@@ -353,11 +350,16 @@ def components(edges: DataFrame) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "k")
         small = large.join(low, large["u"] == low["k"]).select(F.explode(F.array(F.struct("v", "m"), F.struct(F.col("u").alias("v"), "m"))).alias("x"))
         e = written(small.select(F.col("x.v").alias("u"), F.col("x.m").alias("v")).where("u <> v").distinct(), "component-edges")
-        now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == state:
-            return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
-                e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
-        state = now
+    return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
+        e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+
+
+def are_stars(edges: DataFrame) -> bool:
+    """Whether every node has one edge down at most, and none that leads up too."""
+    ends = edges.select(F.explode(F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("down"), F.lit(0).alias("up")),
+                                          F.struct(F.col("v").alias("node"), F.lit(0).alias("down"), F.lit(1).alias("up")))).alias("x")).select("x.*")
+    per = ends.groupBy("node").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+    return per.where("down > 1 OR (down = 1 AND up = 1)").isEmpty()
 
 
 # --- exact check
@@ -390,9 +392,9 @@ def overlaps(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.
         return out
     new = np.concatenate([[True], column[1:] != column[:-1]])
     column = np.cumsum(new) - 1
-    for lo in range(0, int(column[-1]) + 1, 4096):
-        a, b = np.searchsorted(column, [lo, lo + 4096])
-        x = np.zeros((len(sets), 4096), np.float32)
+    for lo in range(0, int(column[-1]) + 1, 2048):
+        a, b = np.searchsorted(column, [lo, lo + 2048])
+        x = np.zeros((len(sets), 2048), np.float32)
         x[member[a:b], column[a:b] - lo] = 1
         out += x[left] @ x[right].T
     return out
@@ -400,12 +402,13 @@ def overlaps(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.
 
 def exact_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per group (root, x, y) of blocks: each member's links to the other side
-    (documents and sets) and the smallest member linked to it in the group."""
+    (documents and sets), the first member of its component in the group (rows
+    come sorted by representative), and the number of blocks."""
     for b, cuts in grouped(batches, ["root", "x", "y"]):
         rep, copies, block = column_of(b, "rep"), column_of(b, "copies"), column_of(b, "block")
-        x, y = column_of(b, "x"), column_of(b, "y")
+        x, y, blocks = column_of(b, "x"), column_of(b, "y"), column_of(b, "blocks")
         raw = b.column(b.schema.get_field_index("set"))
-        out: list[list[np.ndarray]] = [[], [], [], []]
+        out: list[list[np.ndarray]] = [[], [], [], [], []]
         for lo, hi in zip(cuts[:-1], cuts[1:]):
             sets = [np.frombuffer(raw[i].as_buffer(), np.uint64) for i in range(lo, hi)]
             size = np.array([len(s) for s in sets], np.float64)
@@ -415,22 +418,24 @@ def exact_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             right = everyone if same else np.flatnonzero(block[lo:hi] == y[lo])
             if not len(left) or not len(right):
                 continue
-            common = overlaps(sets, left, right).astype(np.float64)
-            linked = common >= THRESHOLD * (size[left][:, None] + size[right][None, :] - common) - 1e-9
-            if same:
-                np.fill_diagonal(linked, False)
+            common = overlaps(sets, left, right)
             weight = copies[lo:hi]
-            docs, sets_n = np.zeros(hi - lo, np.int64), np.zeros(hi - lo, np.int64)
-            docs[left] += linked @ weight[right]
-            sets_n[left] += linked.sum(axis=1)
-            if not same:
-                docs[right] += linked.T @ weight[left]
-                sets_n[right] += linked.sum(axis=0)
-            i, k = np.nonzero(linked)
-            label = forest(hi - lo, left[i], right[k])
-            for c, v in zip(out, (rep[lo:hi], docs, sets_n, rep[lo:hi][label])):
+            docs, sets_n, label = np.zeros(hi - lo, np.int64), np.zeros(hi - lo, np.int64), everyone
+            for k in range(0, len(left), 256):  # in slices, so that dense groups need little memory
+                i, c = left[k:k + 256], common[k:k + 256].astype(np.float64)
+                linked = c >= THRESHOLD * (size[i, None] + size[right][None, :] - c) - 1e-9
+                linked &= i[:, None] != right[None, :]
+                docs[i] += linked @ weight[right]
+                sets_n[i] += linked.sum(axis=1)
+                if not same:
+                    docs[right] += linked.T @ weight[i]
+                    sets_n[right] += linked.sum(axis=0)
+                a, d = np.nonzero(linked)
+                a, d = label[i[a]], label[right[d]]
+                label = forest(hi - lo, a[a != d], d[a != d])[label]
+            for c, v in zip(out, (rep[lo:hi], docs, sets_n, rep[lo:hi][label], np.full(hi - lo, blocks[lo]))):
                 c.append(v)
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c) if c else [], pa.int64()) for c in out], names=["rep", "docs", "sets", "low"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c) if c else [], pa.int64()) for c in out], names=["rep", "docs", "sets", "low", "blocks"])
 
 
 def verified(docs: DataFrame, reps: DataFrame, groups: DataFrame, text_col: str) -> DataFrame:
@@ -440,12 +445,13 @@ def verified(docs: DataFrame, reps: DataFrame, groups: DataFrame, text_col: str)
     load = members.groupBy("root").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks")).withColumnRenamed("root", "g_root")
     placed = members.join(load, members["root"] == load["g_root"]).select("root", "rep", "copies", "blocks", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int").alias("block"))
     texts = docs.select(row_id().alias("row"), F.col(text_col).cast("string").alias("text"))
-    rows = shingle_rows(placed.join(texts, placed["rep"] == texts["row"]).select("root", "rep", "copies", "blocks", "block", "text"))
+    # The candidates are a share of all documents: never a side to broadcast.
+    rows = shingle_rows(placed.hint("merge").join(texts, placed["rep"] == texts["row"]).select("root", "rep", "copies", "blocks", "block", "text"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    rows = rows.select("root", "rep", "copies", "block", "set", other).select(
-        "root", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "rep", "copies", "block", "set")
+    rows = rows.select("root", "rep", "copies", "block", "blocks", "set", other).select(
+        "root", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "rep", "copies", "block", "blocks", "set")
     keys = ["root", "x", "y"]
-    out = map_batches(rows.repartition(*keys).sortWithinPartitions(*keys), exact_links, "rep long, docs long, sets long, low long")
+    out = map_batches(rows.repartition(*keys).sortWithinPartitions(*keys, "rep"), exact_links, "rep long, docs long, sets long, low long, blocks long")
     return written(out, "exact-links")
 
 
@@ -462,7 +468,10 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     reps = written(sets.where("n > 0").join(c, sets["row"] == c["rep"]).select("rep", "copies", "n", "sketch", "paths"), "representatives")
     exact = verified(docs, reps, components(candidate_edges(reps)), text_col)
     links = exact.groupBy("rep").agg(F.sum("docs").alias("docs"), F.sum("sets").alias("n_linked_sets")).withColumnRenamed("rep", "l_rep")
-    classes = components(exact.select(F.col("rep").alias("u"), F.col("low").alias("v")))
+    # A group of one block has its classes already; blocks of larger ones meet here.
+    one = exact.where("blocks = 1").select(F.col("rep").alias("node"), F.col("low").alias("root"))
+    several = exact.where("blocks > 1").select(F.col("rep").alias("u"), F.col("low").alias("v"))
+    classes = one if several.isEmpty() else one.unionByName(components(several))
     per = copies.join(links, copies["rep"] == links["l_rep"], "left").join(classes, copies["rep"] == classes["node"], "left")
     per = per.select(*[F.col(k).alias(f"k_{k}") for k in key], "copy_id", "copies", F.coalesce("docs", F.lit(0)).alias("docs"),
                      F.coalesce("n_linked_sets", F.lit(0)).alias("n_linked_sets"), F.coalesce("root", "rep").alias("root"))
