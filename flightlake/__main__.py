@@ -1,9 +1,10 @@
 """Command line for the lake jobs (what the nightly schedule runs).
 
-    python -m flightlake nightly --lake ROOT [--stations CSV]
+    python -m flightlake land    --lake ROOT --feed flights|weather --payload GLOB
+    python -m flightlake nightly --lake ROOT [--stations CSV | --all-stations]
     python -m flightlake stream  --lake ROOT --feed flights|weather [--max-files N]
                                  [--mode merge|append]
-    python -m flightlake report  --lake ROOT NAME [--k 10]
+    python -m flightlake report  --lake ROOT NAME [--k 10] [--out FOLDER]
 
 ``ROOT`` holds ``bronze/``, ``silver/`` and ``gold/`` (see ``plans.jobs``).
 On a cluster, pass it through ``spark-submit`` with ``spark.checkpoint.dir``
@@ -19,7 +20,9 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from .plans import catalog, jobs, reports
+from .schemas import FLIGHT_RECORD, POLLED_STATIONS, WEATHER_RECORD
 from .session import SESSION_DEFAULTS
+from .sources import bronze
 
 REPORTS = {
     "hour_risk": lambda s, lake, k: reports.hour_risk(jobs.read_silver(s, lake, "bts_flights")),
@@ -48,8 +51,13 @@ def main(argv: list[str] | None = None) -> int:
     sub = p.add_subparsers(dest="cmd", required=True)
     n = sub.add_parser("nightly", help="bronze → silver → gold with audit")
     n.add_argument("--lake", required=True)
-    n.add_argument("--stations", help="CSV with an airport_icao column (allow-list)")
+    n.add_argument("--stations", help="CSV with an airport_icao column (allow-list; default: the polled stations)")
+    n.add_argument("--all-stations", action="store_true", help="keep every station")
     n.add_argument("--concurrency", type=int, default=3)
+    ld = sub.add_parser("land", help="stamp API records (JSON lines) and land them as snapshots")
+    ld.add_argument("--lake", required=True)
+    ld.add_argument("--feed", choices=["flights", "weather"], required=True)
+    ld.add_argument("--payload", required=True)
     st = sub.add_parser("stream", help="incremental ingestion of one JSON feed")
     st.add_argument("--lake", required=True)
     st.add_argument("--feed", choices=["flights", "weather"], required=True)
@@ -61,7 +69,8 @@ def main(argv: list[str] | None = None) -> int:
     r = sub.add_parser("report", help="one business report")
     r.add_argument("--lake", required=True)
     r.add_argument("name", choices=sorted([*REPORTS, *catalog.REPORT_SQL]))
-    r.add_argument("--k", type=int, default=10)
+    r.add_argument("--k", type=int, default=10, help="rows to print, and of the worst routes")
+    r.add_argument("--out", help="write the whole report as CSV below this folder instead of printing k rows")
     a = p.parse_args(argv)
 
     spark = _session()
@@ -70,10 +79,17 @@ def main(argv: list[str] | None = None) -> int:
     if getattr(a, "stations", None):
         stations = (spark.read.option("header", True).csv(a.stations)
                     .select(F.col("airport_icao")))
+    elif a.cmd == "nightly" and not a.all_stations:
+        stations = spark.createDataFrame([(c,) for c in POLLED_STATIONS], "airport_icao string")
+    if a.cmd == "land":
+        record = {"flights": FLIGHT_RECORD, "weather": WEATHER_RECORD}[a.feed]
+        payload = spark.read.schema(record).json(a.payload).select(F.struct(*record.fieldNames()).alias("record"))
+        bronze.land_snapshot(bronze.stamp_ingestion(payload), lake.bronze(a.feed), a.feed)
+        return 0
     if a.cmd == "nightly":
         audit = jobs.run_nightly(spark, lake, stations, raise_on_failure=False,
                                  concurrency=a.concurrency)
-        audit.show(truncate=False)
+        audit.show(audit.count(), truncate=False)
         return 1 if audit.filter(F.col("status") != "ok").count() else 0
     if a.cmd == "stream":
         from .streaming import ingest_stream
@@ -84,10 +100,14 @@ def main(argv: list[str] | None = None) -> int:
         print(done)
         return 0
     if a.name in REPORTS:
-        REPORTS[a.name](spark, lake, a.k).show(truncate=False)
+        report = REPORTS[a.name](spark, lake, a.k)
     else:
         catalog.register_lake(spark, lake)
-        catalog.report_sql(spark, a.name, k=a.k).show(truncate=False)
+        report = catalog.report_sql(spark, a.name, k=a.k)
+    if a.out:
+        report.write.option("header", True).csv(a.out)
+    else:
+        report.show(a.k, truncate=False)
     return 0
 
 

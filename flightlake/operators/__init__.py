@@ -6,7 +6,7 @@ from .gold import (airport_hourly_delay, carrier_performance, carrier_performanc
 from .topk import first_n_per_group
 from .join import (bounded_broadcast, fanout_summary, flight_weather, latest_weather,
                    station_of)
-from .silver import (POLL_LIMIT, POLL_STATUSES, WEATHER_PARTITION, clean_ontime,
+from .silver import (NEWEST_FIRST, POLL_STATUSES, WEATHER_PARTITION, clean_ontime,
                      flatten_live, flatten_weather, live_silver, ontime_silver,
                      polled_flights, station_registry, weather_silver, with_obs_date)
 
@@ -18,5 +18,5 @@ __all__ = [
     "bounded_broadcast", "fanout_summary", "flight_weather", "latest_weather", "station_of",
     "clean_ontime", "flatten_live", "flatten_weather", "live_silver", "ontime_silver",
     "station_registry", "weather_silver", "with_obs_date", "WEATHER_PARTITION",
-    "polled_flights", "POLL_LIMIT", "POLL_STATUSES", "first_n_per_group",
+    "polled_flights", "NEWEST_FIRST", "POLL_STATUSES", "first_n_per_group",
 ]

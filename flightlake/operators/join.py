@@ -25,34 +25,20 @@ from pyspark.sql import functions as F
 
 from .. import functions as fx
 from ..schemas import ICAO_PREFIX
-from ..sources.sinks import materialize
+from ..sources.sinks import materialize_counted
 from .dedupe import dedupe
 
 # About 40k airports exist worldwide; 200k station rows stay a few MB wide.
 MAX_BROADCAST_ROWS = 200_000
-# Buckets a hot station is spread over when the weather side is not broadcast.
-DEFAULT_SALTS = 32
 
 FLIGHT_COLUMNS = ["FL_DATE", "OP_CARRIER", "Origin", "Dest", "DEP_DELAY", "is_delayed"]
 WEATHER_COLUMNS = ["visibility_sm", "flight_category", "temp_c", "wind_kt"]
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
-                      size_of: DataFrame | None = None) -> DataFrame:
-    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df``.
-
-    The rows counted are those of ``size_of`` when given — a frame known to
-    bound ``df``'s row count (e.g. the base table of a key-preserving join).
-    The check reads at most ``max_rows + 1`` rows, so it stays cheap whatever
-    the size, and it is made on the actual data, not on an estimate (Spark
-    estimates any join's size as the product of its inputs).
-    """
-    return F.broadcast(df) if rows_at_most(size_of if size_of is not None else df, max_rows) else df
-
-
-def rows_at_most(df: DataFrame, max_rows: int) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows (reads at most one more)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def bounded_broadcast(df: DataFrame, rows: int, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df``; ``rows``
+    is the count observed when ``df`` was written, not an estimate."""
+    return F.broadcast(df) if rows <= max_rows else df
 
 
 def station_of(flights: DataFrame, station_map: DataFrame | None = None,
@@ -65,23 +51,26 @@ def station_of(flights: DataFrame, station_map: DataFrame | None = None,
     # One code per airport, so the left join never multiplies flights.
     m = dedupe(station_map.select(F.col("iata").alias("_iata"),
                                   F.col("airport_icao").alias("_map_icao")), ["_iata"])
-    m = bounded_broadcast(m)
+    m = bounded_broadcast(*materialize_counted(m, "station-map"))
     return (flights.join(m, F.col("Origin") == F.col("_iata"), "left")
             .withColumn("origin_icao", F.coalesce(F.col("_map_icao"), rule))
             .drop("_iata", "_map_icao"))
 
 
-def latest_weather(weather: DataFrame) -> DataFrame:
-    """One row per station: its latest observation (by parsed time, then text)."""
-    w = weather.withColumn("_obs_ts", fx.obs_timestamp("obs_time"))
-    latest = dedupe(w, ["airport_icao"], order_by=["_obs_ts", "obs_time"], descending=True)
-    return latest.drop("_obs_ts")
+def latest_weather(weather: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """One row per station: its latest observation (by parsed time, then text),
+    with the ``keep`` columns — one aggregate that carries no others."""
+    keep = WEATHER_COLUMNS if keep is None else keep
+    best = F.max(F.struct(fx.obs_timestamp("obs_time").alias("_ts"), F.col("obs_time").alias("_text"),
+                          *[F.col(c) for c in keep])).alias("_latest")
+    return weather.groupBy("airport_icao").agg(best).select(
+        "airport_icao", *[F.col(f"_latest.{c}") for c in keep])
 
 
 def flight_weather(flights: DataFrame, weather: DataFrame,
                    station_map: DataFrame | None = None,
                    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-                   salts: int = DEFAULT_SALTS) -> DataFrame:
+                   salts: int | None = None) -> DataFrame:
     """Flights left-joined with the latest weather at the origin station.
 
     One row per flight (10 columns); flights without a station match keep
@@ -91,14 +80,15 @@ def flight_weather(flights: DataFrame, weather: DataFrame,
 
     Strategy: the one-row-per-station weather side is broadcast when its row
     count passes the check. Otherwise the join is salted: each flight gets one
-    of ``salts`` buckets (a hash of its row) and every station row is
+    of ``salts`` buckets (a hash of its row; as many as shuffle partitions by
+    default) and every station row is
     replicated once per bucket, so a hub airport holding a third of all
     flights is spread over ``salts`` tasks instead of one.
     """
-    w = materialize(latest_weather(weather).select("airport_icao", *WEATHER_COLUMNS),
-                    "weather-latest")
+    w, rows = materialize_counted(latest_weather(weather), "weather-latest")
+    salts = salts or int(flights.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     f = station_of(flights.select(*FLIGHT_COLUMNS), station_map)
-    if rows_at_most(w, max_broadcast_rows):
+    if rows <= max_broadcast_rows:
         j = f.join(F.broadcast(w), f["origin_icao"] == w["airport_icao"], "left")
     else:
         f = f.withColumn("_salt", F.pmod(F.xxhash64(*FLIGHT_COLUMNS), F.lit(salts)))
@@ -125,11 +115,11 @@ def fanout_summary(flights: DataFrame, weather: DataFrame,
               F.sum("DEP_DELAY").alias("sum_delay"),
               F.count("DEP_DELAY").alias("n_delay"),
               fx.true_count("is_delayed").alias("n_delayed")))
-    w = materialize(weather.groupBy("airport_icao", "flight_category")
+    w, rows = materialize_counted(weather.groupBy("airport_icao", "flight_category")
                     .agg(fx.rows().alias("n_obs"),
                          F.sum("temp_c").alias("sum_temp"),
                          F.count("temp_c").alias("n_temp")), "weather-by-category")
-    w = bounded_broadcast(w, max_broadcast_rows)
+    w = bounded_broadcast(w, rows, max_broadcast_rows)
     j = f.join(w, f["origin_icao"] == w["airport_icao"], "left")
     m = F.coalesce(F.col("n_obs"), F.lit(1))
     n = F.col("n_flights")
@@ -138,8 +128,8 @@ def fanout_summary(flights: DataFrame, weather: DataFrame,
         F.col("flight_category"),
         (n * m).alias("joined_rows"),
         F.when(F.col("n_delay") > 0,
-               (F.col("sum_delay") * m) / (F.col("n_delay") * m)).alias("avg_dep_delay"),
+               F.col("sum_delay") / F.col("n_delay")).alias("avg_dep_delay"),
         (F.col("n_delayed") * m).alias("delayed_rows"),
         F.when(F.col("n_temp") > 0,
-               (F.col("sum_temp") * n) / (F.col("n_temp") * n)).alias("avg_temp_c"),
+               F.col("sum_temp") / F.col("n_temp")).alias("avg_temp_c"),
     )

@@ -6,19 +6,18 @@ come before the dedupe, and nothing here triggers a job.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import functions as fx
 from ..schemas import (LIVE_KEY, ONTIME_COLUMNS, ONTIME_DELAY_COLUMNS, ONTIME_KEY,
                        ONTIME_RENAMES, WEATHER_KEY)
 from .dedupe import dedupe
-from .topk import first_n_per_group
 
-# Fixed values of the flight poller's request: flight status and records per call
-# (one call per day).
+# Fixed value of the flight poller's request: the flight status it asks for.
 POLL_STATUSES = ["active"]
-POLL_LIMIT = 100
+# Of several rows of a key in the JSON feeds the one ingested last stays.
+NEWEST_FIRST = ["_ingested_at"]
 
 
 def clean_ontime(raw: DataFrame) -> DataFrame:
@@ -38,9 +37,17 @@ def clean_ontime(raw: DataFrame) -> DataFrame:
             .filter(F.col("Origin").isNotNull()))
 
 
-def ontime_silver(raw: DataFrame) -> DataFrame:
-    """The silver on-time table: cleaned, one row per 5-column key (DST-2)."""
-    return dedupe(clean_ontime(raw), ONTIME_KEY)
+def ontime_silver(raw: DataFrame, extra_keys: list[str] | None = None) -> DataFrame:
+    """The silver on-time table: cleaned, one row per 5-column key (DST-2),
+    rows with values before rows with nulls. Cancelled flights have no departure
+    time, so those of one carrier, route and day share the key; ``extra_keys``
+    (e.g. ``["TAIL_NUM"]``) keeps them apart."""
+    return dedupe(clean_ontime(raw), ONTIME_KEY + list(extra_keys or []), descending=True)
+
+
+def present(text: str) -> Column:
+    """Blank text as null: a key without a value, however the feed writes it."""
+    return F.when(F.trim(F.col(text)) != "", F.col(text))
 
 
 def flatten_live(envelopes: DataFrame, statuses: list[str] | None = None) -> DataFrame:
@@ -52,19 +59,19 @@ def flatten_live(envelopes: DataFrame, statuses: list[str] | None = None) -> Dat
     """
     f = envelopes.select(F.explode("flights.data").alias("f"), "_ingested_at")
     out = f.select(
-        F.col("f.flight_date").alias("flight_date"),
+        present("f.flight_date").alias("flight_date"),
         F.col("f.flight_status").alias("flight_status"),
-        F.col("f.departure.iata").alias("origin"),
+        present("f.departure.iata").alias("origin"),
         F.col("f.departure.airport").alias("origin_airport"),
         fx.minutes("f.departure.delay").alias("dep_delay"),
         F.col("f.departure.scheduled").alias("scheduled_dep"),
         F.col("f.departure.actual").alias("actual_dep"),
-        F.col("f.arrival.iata").alias("dest"),
+        present("f.arrival.iata").alias("dest"),
         F.col("f.arrival.airport").alias("dest_airport"),
         fx.minutes("f.arrival.delay").alias("arr_delay"),
         F.col("f.airline.name").alias("airline_name"),
         F.col("f.airline.iata").alias("carrier"),
-        F.col("f.flight.iata").alias("flight_iata"),
+        present("f.flight.iata").alias("flight_iata"),
         F.col("f.aircraft.iata").alias("aircraft_type"),
         F.col("_ingested_at"),
     ).filter(F.col("origin").isNotNull())
@@ -73,21 +80,16 @@ def flatten_live(envelopes: DataFrame, statuses: list[str] | None = None) -> Dat
     return out
 
 
-def polled_flights(flat: DataFrame, statuses: list[str] | None = None,
-                   limit: int = POLL_LIMIT) -> DataFrame:
-    """What the daily API call returns (FLT-5): flattened flights in
-    ``statuses`` (default ``POLL_STATUSES``), at most ``limit`` per ingestion
-    day, earliest scheduled departure first (ties: flight, then the other
-    columns). Skew-proof: see ``topk.first_n_per_group``."""
-    keep = flat.filter(F.col("flight_status").isin(list(statuses or POLL_STATUSES)))
-    day = keep.withColumn("_call_day", F.substring("_ingested_at", 1, 10))
-    capped = first_n_per_group(day, ["_call_day"], limit, ["scheduled_dep", "flight_iata"])
-    return capped.drop("_call_day")
+def polled_flights(flat: DataFrame, statuses: list[str] | None = None) -> DataFrame:
+    """Flattened flights in the statuses the poller asks for (FLT-5). The page
+    size of its API is a limit of that service, not of the data kept here."""
+    return flat.filter(F.col("flight_status").isin(list(statuses or POLL_STATUSES)))
 
 
 def live_silver(envelopes: DataFrame, statuses: list[str] | None = None) -> DataFrame:
-    """Flattened live flights, one row per (date, flight, origin, dest) (DST-1)."""
-    return dedupe(flatten_live(envelopes, statuses), LIVE_KEY)
+    """Flattened live flights, one row per (date, flight, origin, dest)
+    (DST-1): the one ingested last."""
+    return dedupe(flatten_live(envelopes, statuses), LIVE_KEY, NEWEST_FIRST, descending=True)
 
 
 def flatten_weather(envelopes: DataFrame, stations: DataFrame | None = None) -> DataFrame:
@@ -113,8 +115,9 @@ def flatten_weather(envelopes: DataFrame, stations: DataFrame | None = None) ->
 
 
 def weather_silver(envelopes: DataFrame, stations: DataFrame | None = None) -> DataFrame:
-    """Flattened weather, one row per (station, observation time)."""
-    return dedupe(flatten_weather(envelopes, stations), WEATHER_KEY)
+    """Flattened weather, one row per (station, observation time): the one
+    ingested last."""
+    return dedupe(flatten_weather(envelopes, stations), WEATHER_KEY, NEWEST_FIRST, descending=True)
 
 
 # Storage layout of the weather silver table: partitioned by observation day.

@@ -1,14 +1,11 @@
-"""First ``n`` rows per group under a total order (the poller's record cap).
-
-The flight poller asks the API for at most 100 active flights per call, one
-call a day (FLT-5). Re-aimed over landed data, that is: per ingestion day,
-keep the first ``n`` rows.
+"""First ``n`` rows per group under a total order, where a caller asks for a top-n.
 
 ``row_number() <= n`` lets Spark insert a partial group limit before the
 shuffle, so each task forwards at most ``n`` rows per group. Done once, the
 task that finishes a day still receives ``n`` rows from every scan task (a
 number that grows with the input). So the limit runs twice: first per
-(group, hash bucket of the row), then per group. The second stage's input is
+(group, hash bucket of the row; as many buckets as shuffle partitions), then per
+group. The second stage's input is
 at most ``buckets × n`` rows per group, spread over the shuffle partitions of
 the first, and the final task per group receives at most ``n`` rows from each
 of those. The order is made total with every column, so the result is the
@@ -26,16 +23,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-SALT_BUCKETS = 64
-
 
 def first_n_per_group(df: DataFrame, groups: list[str], n: int,
                       order_by: list[str] | None = None,
-                      buckets: int = SALT_BUCKETS) -> DataFrame:
+                      buckets: int | None = None) -> DataFrame:
     """At most ``n`` rows per ``groups``: the first in ``order_by`` order
     (ascending, nulls first), ties broken by the remaining columns."""
     if n < 1:
         raise ValueError("n must be at least 1")
+    buckets = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = list(order_by or [])
     order += [c for c in df.columns if c not in order and c not in groups]
     sort = [F.col(c).asc_nulls_first() for c in order]

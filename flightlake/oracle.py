@@ -100,7 +100,7 @@ FRAGMENTS["ontime_silver"] = f"""
 ontime_silver AS (
   SELECT {_cols(ONTIME_SILVER)} FROM (
     SELECT *, row_number() OVER (PARTITION BY {", ".join(ONTIME_KEY)}
-                                 ORDER BY {_order(_rest(ONTIME_SILVER, ONTIME_KEY))}) AS rn
+                                 ORDER BY {_order(_rest(ONTIME_SILVER, ONTIME_KEY), desc=True)}) AS rn
     FROM ontime_clean) WHERE rn = 1
 )"""
 
@@ -142,7 +142,7 @@ FRAGMENTS["weather_silver"] = f"""
 weather_silver AS (
   SELECT {_cols(WEATHER_SILVER)} FROM (
     SELECT *, row_number() OVER (PARTITION BY {", ".join(WEATHER_KEY)}
-                                 ORDER BY {_order(_rest(WEATHER_SILVER, WEATHER_KEY))}) AS rn
+                                 ORDER BY {_order(["_ingested_at"] + _rest(WEATHER_SILVER, [*WEATHER_KEY, "_ingested_at"]), desc=True)}) AS rn
     FROM weather_flat) WHERE rn = 1
 )"""
 
@@ -157,7 +157,8 @@ weather_latest AS (
 
 FRAGMENTS["live_flat"] = """
 live_flat AS (
-  SELECT strftime(e.ts, '%Y-%m-%d') AS flight_date,
+  SELECT CASE WHEN e.event_id % 53 <> 0 AND e.event_id % 59 <> 0
+              THEN strftime(e.ts, '%Y-%m-%d') END AS flight_date,
          e.event_type AS flight_status,
          CASE WHEN e.event_id % 40 <> 0 THEN e.o_name END AS origin,
          e.o_name || ' Intl' AS origin_airport,
@@ -173,7 +174,8 @@ live_flat AS (
          'F' || CAST(e.user_id AS VARCHAR) AS flight_iata,
          CASE WHEN e.event_type <> 'error' THEN 'A' || CAST(e.user_id % 4 AS VARCHAR) END
               AS aircraft_type,
-         strftime(e.ts, '%Y-%m-%d') || 'T22:00:00' AS _ingested_at
+         strftime(e.ts + CASE WHEN e.event_id % 3 = 0 THEN INTERVAL 1 DAY ELSE INTERVAL 0 DAY END, '%Y-%m-%d')
+           || 'T22:00:00' AS _ingested_at
   FROM ev_o e JOIN nation d ON e.event_id % 25 = d.n_nationkey
   WHERE e.event_id % 40 <> 0
 )"""
@@ -182,7 +184,7 @@ FRAGMENTS["live_silver"] = f"""
 live_silver AS (
   SELECT {_cols(LIVE_SILVER)} FROM (
     SELECT *, row_number() OVER (PARTITION BY {", ".join(LIVE_KEY)}
-                                 ORDER BY {_order(_rest(LIVE_SILVER, LIVE_KEY))}) AS rn
+                                 ORDER BY {_order(["_ingested_at"] + _rest(LIVE_SILVER, [*LIVE_KEY, "_ingested_at"]), desc=True)}) AS rn
     FROM live_flat) WHERE rn = 1
 )"""
 
@@ -308,34 +310,56 @@ ORACLE["flights_dedupe_first"] = with_("ontime_silver") + "SELECT * FROM ontime_
 ORACLE["csv_roundtrip"] = ORACLE["flights_dedupe_first"]
 
 
+# The three monthly folders: as expected, one column renamed, reordered with one missing.
+_FOLDER = "'m' || (month(strptime(FlightDate, '%Y-%m-%d')) % 3)"
+
+
 def _drift_sql() -> str:
     from .schemas import ONTIME_COLUMNS
-    incoming = [("SecurityDelayMinutes" if c == "SecurityDelay" else c) for c in ONTIME_COLUMNS]
-    incoming.append("Flights")
-    rows = [f"('{c}', '{'ok' if c in ONTIME_COLUMNS else 'unexpected'}', {i + 1})"
-            for i, c in enumerate(incoming)]
-    rows += [f"('{c}', 'missing', NULL)" for c in ONTIME_COLUMNS if c not in incoming]
-    # The rows are derived from data written from the driver's tables; the
-    # values below are what that header must contain.
-    return ("SELECT column_name, status, CAST(position AS INTEGER) AS position FROM (VALUES "
-            + ", ".join(rows) + ") AS t(column_name, status, position)")
+    plain = [*ONTIME_COLUMNS, "Flights"]
+    headers = {"m0": plain,
+               "m1": ["SecurityDelayMinutes" if c == "SecurityDelay" else c for c in plain],
+               "m2": ["Dest", "Origin"] + [c for c in plain if c not in ("Dest", "Origin", "Tail_Number")]}
+    rows = []
+    for folder, header in headers.items():
+        rows += [f"('{folder}', '{c}', '{'ok' if c in ONTIME_COLUMNS else 'unexpected'}', {i + 1})"
+                 for i, c in enumerate(header)]
+        rows += [f"('{folder}', '{c}', 'missing', NULL)" for c in ONTIME_COLUMNS if c not in header]
+    return (with_("ontime_raw") + f", counts AS (SELECT {_FOLDER} AS f, count(*) AS n_rows FROM ontime_raw GROUP BY 1)\n"
+            "SELECT month_folder, column_name, status, CAST(position AS INTEGER) AS position, n_rows FROM (VALUES "
+            + ", ".join(rows) + ") AS t(month_folder, column_name, status, position) JOIN counts ON f = month_folder")
 
 
 ORACLE["schema_drift"] = _drift_sql()
+ORACLE["csv_mixed_headers"] = (
+    with_("ontime_raw") + f""", ontime_mixed AS (
+  SELECT * REPLACE (CASE WHEN {_FOLDER} <> 'm1' THEN SecurityDelay END AS SecurityDelay,
+                    CASE WHEN {_FOLDER} <> 'm2' THEN Tail_Number END AS Tail_Number) FROM ontime_raw),"""
+    + FRAGMENTS["ontime_clean"].replace("FROM ontime_raw", "FROM ontime_mixed") + "," + FRAGMENTS["ontime_silver"]
+    + "\nSELECT * FROM ontime_silver")
+ORACLE["carrier_cancelled_by_tail"] = with_("ontime_clean") + f"""
+SELECT OP_CARRIER, count(*) AS total_flights, CAST(sum(CAST(is_cancelled AS INTEGER)) AS BIGINT) AS total_cancelled
+FROM (SELECT *, row_number() OVER (PARTITION BY {", ".join(ONTIME_KEY)}, TAIL_NUM
+             ORDER BY {_order(_rest(ONTIME_SILVER, [*ONTIME_KEY, "TAIL_NUM"]), desc=True)}) AS rn FROM ontime_clean)
+WHERE rn = 1 GROUP BY OP_CARRIER"""
 
 ORACLE["live_flights_flat"] = with_("live_flat") + "SELECT * FROM live_flat"
-ORACLE["live_flights_polled"] = with_("live_flat") + f"""
-SELECT {_cols(LIVE_SILVER)} FROM (
-  SELECT *, row_number() OVER (
-           PARTITION BY substr(_ingested_at, 1, 10)
-           ORDER BY {_order(["scheduled_dep", "flight_iata"]
-                            + _rest(LIVE_SILVER, ["scheduled_dep", "flight_iata"]))}) AS rn
-  FROM live_flat WHERE flight_status = 'click') p
-WHERE rn <= 100"""
+ORACLE["live_flights_polled"] = with_("live_flat") + "SELECT * FROM live_flat WHERE flight_status = 'click'"
 ORACLE["live_flights_dedupe"] = with_("live_silver") + "SELECT * FROM live_silver"
 ORACLE["weather_flat"] = with_("weather_flat") + "SELECT * FROM weather_flat"
 ORACLE["append_idempotent"] = ORACLE["live_flights_dedupe"]
 ORACLE["stream_incremental"] = ORACLE["live_flights_dedupe"]
+ORACLE["merge_replay"] = ORACLE["live_flights_dedupe"]
+ORACLE["append_replay"] = with_("live_flat") + f"""
+SELECT {", ".join(LIVE_KEY)}, 1::BIGINT AS n_rows FROM live_flat GROUP BY {", ".join(LIVE_KEY)}"""
+ORACLE["stream_weather"] = with_("weather_silver") + "SELECT * FROM weather_silver"
+ORACLE["nightly_metar"] = ORACLE["stream_weather"]
+ORACLE["weather_polled"] = with_("weather_flat") + """
+SELECT * FROM weather_flat WHERE airport_icao IN (SELECT 'K' || n_name FROM nation WHERE n_regionkey <= 1)"""
+ORACLE["landing_stamp"] = "SELECT count(*) AS n_rows, 1::BIGINT AS n_stamps, true AS day_is_folder FROM events JOIN nation ON user_id % 25 = n_nationkey"
+ORACLE["bronze_rejects"] = with_("ev_nation") + """
+SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) FILTER (NOT cut) AS n_read, count(*) FILTER (cut) AS n_rejects
+FROM (SELECT ts, regexp_matches(strftime(ts, '%Y-%m-%d %H:%M:%S.%f'), '[05]$') AS cut FROM ev_o) GROUP BY 1"""
 
 _HOUR = "TRY_CAST(substr(lpad(DEP_TIME, 4, '0'), 1, 2) AS INTEGER)"
 _MONTH = "CAST(month(try_strptime(FL_DATE, '%Y-%m-%d')) AS INTEGER)"
@@ -401,6 +425,10 @@ def _count(layer: str, name: str, body: str) -> str:
 
 ORACLE["gold_row_audit"] = with_("ontime_silver", "weather_latest", "live_silver") + \
     "\nUNION ALL\n".join([
+        "SELECT 'bronze' AS layer, 'flights_rejects' AS table_name, 'ok' AS status, 0 AS rows_written, NULL AS rows_read",
+        "SELECT 'bronze', 'weather_rejects', 'ok', 0, NULL",
+        "SELECT 'shared', 'route_partials', 'ok', count(*), NULL FROM "
+        "(SELECT 1 FROM ontime_silver GROUP BY OP_CARRIER, Origin, Dest) x",
         _count("silver", "aviationstack_flights", "SELECT 1 FROM live_silver"),
         _count("silver", "metar", "SELECT 1 FROM weather_silver"),
         _count("silver", "bts_flights", "SELECT 1 FROM ontime_silver"),
@@ -418,3 +446,9 @@ ORACLE["gold_row_audit"] = with_("ontime_silver", "weather_latest", "live_silver
         _count("gold", "aviationstack_summary",
                "SELECT 1 FROM live_silver GROUP BY carrier, origin, dest HAVING count(*) >= 2"),
     ])
+
+# What the nightly job wrote, read back.
+for _gold, _same in (("airport_hourly_delay", "airport_hourly_delay"), ("route_delay_summary", "route_delay_summary"),
+                     ("carrier_performance", "carrier_performance"), ("delay_cause_breakdown", "delay_cause_breakdown"),
+                     ("flight_weather_joined", "flight_weather_latest"), ("aviationstack_summary", "live_route_summary")):
+    ORACLE[f"nightly_{_gold}"] = ORACLE[_same]

@@ -22,13 +22,15 @@ from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import operators as op
 from ..schemas import LIVE_KEY, LIVE_SILVER, ONTIME_SILVER, WEATHER_KEY, WEATHER_SILVER
 from ..sources import bronze
-from ..sources.sinks import materialize, merge_min, replace_table
+from ..session import remove, scratch_path
+from ..sources.sinks import PART, merge_days, observed_write, replace_table, with_part
 
 AUDIT_SCHEMA = T.StructType([
     T.StructField("layer", T.StringType()),
@@ -52,6 +54,9 @@ class Lake:
     def gold(self, name: str) -> str:
         return f"{self.root}/gold/{name}"
 
+    def rejects(self, feed: str) -> str:
+        return f"{self.root}/rejects/{feed}"
+
 
 class JobFailed(RuntimeError):
     def __init__(self, audit: list[tuple]):
@@ -64,9 +69,8 @@ def _run_one(layer: str, name: str, step: Callable[[], int]) -> tuple:
     try:
         return (layer, name, "ok", int(step()), None)
     except Exception as e:  # noqa: BLE001 - isolation is the point
-        msg = f"{type(e).__name__}: {e}".splitlines()[0][:500]
         traceback.print_exc(limit=1)
-        return (layer, name, "failed", None, msg)
+        return (layer, name, "failed", None, f"{type(e).__name__}: {e}")
 
 
 def run_steps(layer: str, steps: list[tuple[str, Callable[[], int]]],
@@ -93,31 +97,43 @@ def read_silver(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
 
 def build_silver(spark: SparkSession, lake: Lake,
                      stations: DataFrame | None = None, concurrency: int = 3) -> list[tuple]:
-    """JOB-1: on-time CSV → overwrite; flight and weather JSON → merge.
+    """JOB-1: on-time CSV → overwrite (by month); flight and weather JSON → merge.
+
+    The JSON feeds are merged into silver by day (:func:`sources.sinks.merge_days`):
+    the table equals one dedupe over everything landed so far, also when a later
+    snapshot re-reports a flight, and a re-run rewrites no file. The audit's row
+    count for these tables is the number of keys added. Lines that are no JSON of
+    the feed are counted during the merge, and stored under ``rejects/`` if any."""
+    rejected: list[tuple] = []
 
-    The JSON feeds are re-read in full each night (as in the source), and
-    merged into silver by day (:func:`sources.sinks.merge_min`): the table
-    equals one dedupe over everything landed so far, also when a later
-    snapshot re-reports a flight, and a re-run adds nothing. The audit's row
-    count for these tables is the number of keys added."""
     def ontime() -> int:
         raw = bronze.read_ontime_csv(spark, f"{lake.bronze('ontime')}/*.csv")
-        return replace_table(op.ontime_silver(raw), lake.silver("bts_flights"),
-                             name="bts_flights")
+        month = with_part(op.ontime_silver(raw).withColumn("_month", F.substring("FL_DATE", 1, 7)), "_month")
+        return replace_table(month.drop("_month"), lake.silver("bts_flights"), [PART], name="bts_flights")
+
+    def feed(kind: str, merge: Callable[[DataFrame], int]) -> int:
+        seen = Observation(f"{kind}-rejects")
+        env = bronze.read_envelopes(spark, lake.bronze(kind), kind, rejects=True)
+        rows = merge(env.observe(seen, F.count(bronze.REJECT).alias("n")))
+        n = int(seen.get.get("n") or 0)
+        if n:
+            n = replace_table(bronze.rejects(spark, lake.bronze(kind), kind), lake.rejects(kind), name=f"{kind}_rejects")
+        rejected.append(("bronze", f"{kind}_rejects", "ok", n, None))
+        return rows
 
     def flights() -> int:
-        env = bronze.read_envelopes(spark, lake.bronze("flights"), "flights")
-        return merge_min(op.live_silver(env), lake.silver("aviationstack_flights"), LIVE_KEY,
-                         partition_by=["flight_date"], name="aviationstack_flights")
+        return feed("flights", lambda env: merge_days(
+            op.live_silver(env), lake.silver("aviationstack_flights"), LIVE_KEY,
+            partition_by=["flight_date"], order_by=op.NEWEST_FIRST, name="aviationstack_flights"))
 
     def weather() -> int:
-        env = bronze.read_envelopes(spark, lake.bronze("weather"), "weather")
-        silver = op.with_obs_date(op.weather_silver(env, stations))
-        return merge_min(silver, lake.silver("metar"), WEATHER_KEY + [op.WEATHER_PARTITION],
-                         partition_by=[op.WEATHER_PARTITION], name="metar")
+        return feed("weather", lambda env: merge_days(
+            op.with_obs_date(op.weather_silver(env, stations)), lake.silver("metar"), WEATHER_KEY,
+            partition_by=[op.WEATHER_PARTITION], order_by=op.NEWEST_FIRST, name="metar"))
 
-    return run_steps("silver", [("aviationstack_flights", flights), ("metar", weather),
-                                ("bts_flights", ontime)], concurrency)
+    audit = run_steps("silver", [("aviationstack_flights", flights), ("metar", weather),
+                                 ("bts_flights", ontime)], concurrency)
+    return sorted(rejected) + audit
 
 
 def build_gold(spark: SparkSession, lake: Lake, concurrency: int = 3) -> list[tuple]:
@@ -129,43 +145,30 @@ def build_gold(spark: SparkSession, lake: Lake, concurrency: int = 3) -> list[tu
         return read_silver(spark, lake, "bts_flights")
 
     # Route, carrier and cause tables share one pass over silver: route-level
-    # partials (one row per route) are written once, all three roll up.
-    partials: dict[str, DataFrame] = {}
-
-    def shared() -> DataFrame:
-        if "routes" not in partials:
-            partials["routes"] = materialize(op.route_partials(bts()), "route-partials")
-        return partials["routes"]
-
-    try:
-        shared()
-    except Exception:  # noqa: BLE001 - the two tables fall back to their own pass
-        traceback.print_exc(limit=1)
-        partials["routes"] = None
-
-    def routes() -> DataFrame:
-        p = partials["routes"]
-        return op.route_delay_summary(bts()) if p is None else op.route_delay_summary_from(p)
-
-    def carriers() -> DataFrame:
-        p = partials["routes"]
-        return op.carrier_performance(bts()) if p is None else op.carrier_performance_from(p)
+    # partials (one row per route) are written once, all three roll up. The
+    # partials are a step of their own; without them the three tables fail.
+    path = scratch_path(spark, "route-partials")
+    shared = run_steps("shared", [("route_partials", lambda: observed_write(
+        op.route_partials(bts()), "route_partials", lambda d: d.write.parquet(path)))])
 
-    def causes() -> DataFrame:
-        p = partials["routes"]
-        return op.delay_cause_breakdown(bts()) if p is None else op.delay_cause_breakdown_from(p)
+    def partials() -> DataFrame:
+        if shared[0][2] != "ok":
+            raise RuntimeError("route_partials failed")
+        return spark.read.parquet(path)
 
     steps = [
         gold("airport_hourly_delay", lambda: op.airport_hourly_delay(bts())),
-        gold("route_delay_summary", routes),
-        gold("carrier_performance", carriers),
-        gold("delay_cause_breakdown", causes),
+        gold("route_delay_summary", lambda: op.route_delay_summary_from(partials())),
+        gold("carrier_performance", lambda: op.carrier_performance_from(partials())),
+        gold("delay_cause_breakdown", lambda: op.delay_cause_breakdown_from(partials())),
         gold("flight_weather_joined",
              lambda: op.flight_weather(bts(), read_silver(spark, lake, "metar"))),
         gold("aviationstack_summary",
              lambda: op.live_route_summary(read_silver(spark, lake, "aviationstack_flights"))),
     ]
-    return run_steps("gold", steps, concurrency)
+    audit = shared + run_steps("gold", steps, concurrency)
+    remove(spark, path)
+    return audit
 
 
 def audit_frame(spark: SparkSession, audit: list[tuple]) -> DataFrame:

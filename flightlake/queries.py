@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 
 from . import operators as op
 from .plans import catalog, jobs, reports
-from .schemas import LIVE_KEY, LIVE_SILVER, ONTIME_KEY
+from .schemas import LIVE_KEY, LIVE_SILVER, ONTIME_KEY, WEATHER_SILVER
 from .session import scratch_path
 from .sources import bronze, surrogate
-from .sources.sinks import append_new
+from .sources.sinks import append_new, materialize, merge_days, read_parted
 from .sources.tables import Tables
 from .streaming import ingest_stream
 
@@ -96,14 +96,36 @@ def q_csv_roundtrip(spark, sf_dir):
     return op.ontime_silver(bronze.read_ontime_csv(spark, f"{path}/*.csv"))
 
 
+def _drifting_months(spark, sf_dir):
+    """The on-time rows as three folders of CSV files by month: one as expected,
+    one with a renamed column, one reordered and without the tail number."""
+    raw = surrogate.ontime_raw(_tables(spark, sf_dir))
+    part = F.pmod(F.month(F.try_to_timestamp("FlightDate", F.lit("yyyy-MM-dd"))), F.lit(3))
+    swapped = ["Dest", "Origin"] + [c for c in raw.columns if c not in ("Dest", "Origin", "Tail_Number")]
+    months = [raw, raw.withColumnRenamed("SecurityDelay", "SecurityDelayMinutes"), raw.select(*swapped)]
+    path = scratch_path(spark, "ontime-months")
+    for i, month in enumerate(months):
+        bronze.write_ontime_csv(month.where(part == i), f"{path}/m{i}")
+    return f"{path}/*/*.csv"
+
+
 def q_schema_drift(spark, sf_dir):
-    """A drifted CSV header (one column renamed by the publisher) against the
-    expected 16 names (SRC-8)."""
-    path = scratch_path(spark, "ontime-drift")
-    raw = surrogate.ontime_raw(_tables(spark, sf_dir)).withColumnRenamed(
-        "SecurityDelay", "SecurityDelayMinutes")
-    bronze.write_ontime_csv(raw, path)
-    return bronze.schema_drift(bronze.csv_header(spark, f"{path}/*.csv"), spark=spark)
+    """Header drift (SRC-8) of every monthly folder, with its data rows."""
+    report = bronze.drift_report(spark, _drifting_months(spark, sf_dir))
+    return (report.withColumn("month_folder", F.regexp_extract("file", r"/(m\d)/[^/]*$", 1))
+            .groupBy("month_folder", "column_name", "status", "position")
+            .agg(F.sum("n_rows").alias("n_rows")))
+
+
+def q_csv_mixed_headers(spark, sf_dir):
+    """Months with different headers read together, each by its own (SRC-3)."""
+    return op.ontime_silver(bronze.read_ontime_csv(spark, _drifting_months(spark, sf_dir)))
+
+
+def q_carrier_cancelled_by_tail(spark, sf_dir):
+    """Carriers with the tail number in the key: no cancelled flight collapses."""
+    silver = op.ontime_silver(surrogate.ontime_raw(_tables(spark, sf_dir)), extra_keys=["TAIL_NUM"])
+    return op.carrier_stats(silver).select("OP_CARRIER", "total_flights", "total_cancelled")
 
 
 def _landed(spark, sf_dir, feed):
@@ -118,11 +140,10 @@ def q_live_flights_flat(spark, sf_dir):
 
 
 def q_live_flights_polled(spark, sf_dir):
-    """What the daily poll keeps (FLT-5): active flights, at most 100 per
-    ingestion day, over every landed day."""
+    """Active flights (FLT-5), over every landed day."""
     t = _tables(spark, sf_dir)
     flat = op.flatten_live(bronze.wrap_envelope(surrogate.live_records(t), "flights"))
-    return op.polled_flights(flat, [surrogate.ACTIVE_STATUS], op.POLL_LIMIT)
+    return op.polled_flights(flat, [surrogate.ACTIVE_STATUS])
 
 
 def q_live_flights_dedupe(spark, sf_dir):
@@ -145,6 +166,66 @@ def q_append_idempotent(spark, sf_dir):
     return spark.read.schema(LIVE_SILVER).parquet(path).select(*LIVE_SILVER.fieldNames())
 
 
+def _replays(spark, sf_dir):
+    """Three overlapping batches of flight records, null and blank days included."""
+    records = surrogate.live_records(_tables(spark, sf_dir))
+    share = F.pmod(F.xxhash64("record"), F.lit(4))
+    return [op.live_silver(bronze.wrap_envelope(records.where(share != i), "flights")) for i in range(3)]
+
+
+def q_merge_replay(spark, sf_dir):
+    """Overlapping batches merged one after the other equal one dedupe over all."""
+    path = scratch_path(spark, "merge-replay")
+    for batch in _replays(spark, sf_dir):
+        merge_days(batch, path, LIVE_KEY, ["flight_date"], op.NEWEST_FIRST)
+    return read_parted(spark, path, LIVE_SILVER).select(*LIVE_SILVER.fieldNames())
+
+
+def q_append_replay(spark, sf_dir):
+    """The same batches appended, the last twice: every key once."""
+    path = scratch_path(spark, "append-replay")
+    batches = _replays(spark, sf_dir)
+    for batch in [*batches, batches[-1]]:
+        append_new(batch, path, LIVE_KEY, partition_by=["flight_date"])
+    return op.distinct_keys(read_parted(spark, path, LIVE_SILVER), LIVE_KEY)
+
+
+def q_weather_polled(spark, sf_dir):
+    """Observations of the stations on an allow-list held as a table (FLT-6)."""
+    t = _tables(spark, sf_dir)
+    stations = op.station_registry(t.nation.where("n_regionkey <= 1"))
+    return op.flatten_weather(bronze.wrap_envelope(surrogate.weather_records(t), "weather"), stations)
+
+
+def q_landing_stamp(spark, sf_dir):
+    """Records stamped and landed by one run: one stamp, in its UTC day's folder (SC-19)."""
+    payload = surrogate.weather_records(_tables(spark, sf_dir)).select("record")
+    landed = bronze.land_snapshot(bronze.stamp_ingestion(payload), scratch_path(spark, "stamped"), "weather")
+    day = bronze.snapshot_day(F.col("_ingested_at"))
+    return landed.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("_ingested_at").alias("n_stamps"),
+                      F.bool_and(day == F.col("_snapshot_date")).alias("day_is_folder"))
+
+
+def q_bronze_rejects(spark, sf_dir):
+    """A feed of which some lines are cut off: per snapshot day, the observations
+    that are read and the lines that are rejected."""
+    t = _tables(spark, sf_dir)
+    records = surrogate.weather_records(t)
+    root = scratch_path(spark, "bronze-cut")
+    env = bronze.wrap_envelope(records, "weather").withColumn("ingest_date", bronze.snapshot_day(F.col("_ingested_at")))
+    line = F.to_json(F.struct("records", "_ingested_at"))
+    broken = F.col("records")[0]["obsTime"].rlike(r"[05]$")
+    cut = F.when(broken, F.substring(line, 1, 40)).otherwise(line)
+    env.select(cut.alias("value"), "ingest_date").write.partitionBy("ingest_date").text(root)
+    glob = "*/*.txt"
+    bad = materialize(bronze.rejects(spark, root, "weather", glob), "rejects").groupBy("_snapshot_date").agg(F.count(F.lit(1)).alias("n_rejects"))
+    read = bronze.read_envelopes(spark, root, "weather", glob, rejects=True)
+    good = read.select("_snapshot_date", F.explode("records")).groupBy("_snapshot_date").agg(F.count(F.lit(1)).alias("n_read"))
+    return (good.join(bad, "_snapshot_date", "full").select(
+        F.col("_snapshot_date").alias("day"), F.coalesce("n_read", F.lit(0)).alias("n_read"),
+        F.coalesce("n_rejects", F.lit(0)).alias("n_rejects")))
+
+
 # --- reports ----------------------------------------------------------------------
 
 def q_report_hour_risk(spark, sf_dir):
@@ -208,6 +289,45 @@ def q_gold_row_audit(spark, sf_dir):
     return audit.drop("error").join(counts, "table_name", "left")
 
 
+_NIGHTLY: dict[tuple, jobs.Lake] = {}
+
+
+def _nightly_lake(spark, sf_dir):
+    """A lake after one nightly run over the landed feeds, built once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _NIGHTLY:
+        lake = jobs.Lake(scratch_path(spark, "nightly"))
+        _land_lake(spark, sf_dir, lake)
+        jobs.run_nightly(spark, lake, stations=op.station_registry(_tables(spark, sf_dir).nation))
+        _NIGHTLY[key] = lake
+    return _NIGHTLY[key]
+
+
+def _written_gold(name):
+    def query(spark, sf_dir):
+        return spark.read.parquet(_nightly_lake(spark, sf_dir).gold(name))
+    query.__doc__ = f"The contents of the gold table {name} that the nightly job wrote."
+    return query
+
+
+def q_nightly_metar(spark, sf_dir):
+    """The weather silver table that the nightly job merged."""
+    return jobs.read_silver(spark, _nightly_lake(spark, sf_dir), "metar")
+
+
+def q_stream_weather(spark, sf_dir):
+    """Weather snapshots through the file stream in two steps."""
+    t = _tables(spark, sf_dir)
+    root = scratch_path(spark, "stream-weather")
+    records = surrogate.weather_records(t)
+    stations = op.station_registry(t.nation)
+    first = records.where(F.pmod(F.xxhash64("_ingested_at"), F.lit(2)) == 0)
+    for batch in (first, records):
+        bronze.land_snapshot(batch, f"{root}/bronze", "weather")
+        ingest_stream(spark, f"{root}/bronze", f"{root}/silver", "weather", f"{root}/_checkpoint", stations)
+    return read_parted(spark, f"{root}/silver", WEATHER_SILVER).select(*WEATHER_SILVER.fieldNames())
+
+
 def q_stream_incremental(spark, sf_dir):
     """Live snapshots arriving in two steps through the file stream: first
     half of the days, then all days again (re-landed plus new). The silver
@@ -237,6 +357,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "live_flights_dedupe": q_live_flights_dedupe,
     "weather_flat": q_weather_flat,
     "append_idempotent": q_append_idempotent,
+    "csv_mixed_headers": q_csv_mixed_headers,
+    "carrier_cancelled_by_tail": q_carrier_cancelled_by_tail,
+    "merge_replay": q_merge_replay,
+    "append_replay": q_append_replay,
+    "weather_polled": q_weather_polled,
+    "landing_stamp": q_landing_stamp,
+    "bronze_rejects": q_bronze_rejects,
     # gold
     "airport_hourly_delay": q_airport_hourly_delay,
     "route_delay_summary": q_route_delay_summary,
@@ -255,4 +382,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # jobs, sinks, streaming
     "gold_row_audit": q_gold_row_audit,
     "stream_incremental": q_stream_incremental,
+    "stream_weather": q_stream_weather,
+    "nightly_metar": q_nightly_metar,
+    **{f"nightly_{name}": _written_gold(name) for name in jobs.GOLD_TABLES},
 }

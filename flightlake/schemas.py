@@ -47,8 +47,6 @@ LIVE_KEY = ["flight_date", "flight_iata", "origin", "dest"]
 WEATHER_KEY = ["airport_icao", "obs_time"]
 # A flight is delayed when it departs more than 15 minutes late.
 DELAY_THRESHOLD_MIN = 15
-# Weather flight categories.
-FLIGHT_CATEGORIES = ["VFR", "MVFR", "IFR", "LIFR"]
 # US stations: ICAO code = "K" + IATA code.
 ICAO_PREFIX = "K"
 # Support thresholds of the gold tables.
@@ -69,8 +67,6 @@ ALL_CAUSES = ["CARRIER_DELAY", "WEATHER_DELAY", "NAS_DELAY", "SECURITY_DELAY",
 
 # --- bronze ------------------------------------------------------------------
 
-ONTIME_CSV = T.StructType([T.StructField(c, S) for c in ONTIME_COLUMNS])
-
 _code = T.StructType([T.StructField("iata", S)])
 FLIGHT_RECORD = T.StructType([
     T.StructField("flight_date", S),

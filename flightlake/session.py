@@ -8,7 +8,6 @@ private folder of its own.
 
 from __future__ import annotations
 
-import math
 import os
 import tempfile
 import uuid
@@ -49,27 +48,6 @@ def build_session(master: str | None = None, app: str = "flightlake",
     return spark
 
 
-def scale_settings(shuffle_bytes: int, partition_bytes: int = 256 << 20,
-                   max_partitions: int = 100_000) -> dict[str, str]:
-    """Starting settings for a cluster run whose largest shuffle moves about
-    ``shuffle_bytes`` (e.g. the pruned fact columns of the lineitem join).
-
-    The initial shuffle partition count gives each reducer about
-    ``partition_bytes`` (sort buffers then spill rarely), capped so the map
-    output bookkeeping stays manageable; AQE coalesces smaller stages back to
-    ``partition_bytes`` per task and splits skewed ones. Scans split at the
-    same size.
-    """
-    parts = min(max_partitions, max(200, math.ceil(shuffle_bytes / partition_bytes)))
-    return {
-        "spark.sql.shuffle.partitions": str(parts),
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
-        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
-        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
-    }
-
-
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and scratch tables.
 
@@ -107,6 +85,28 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder of our own once its last reader is done."""
+    jvm = spark._jvm  # noqa: SLF001
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)  # noqa: SLF001
+
+
+def swap_in(spark: SparkSession, staged: str, path: str) -> None:
+    """Put the complete table at ``staged`` in the place of ``path``: a failed
+    write never leaves ``path`` half written or missing its old rows."""
+    jvm = spark._jvm  # noqa: SLF001
+    new, target, old = (jvm.org.apache.hadoop.fs.Path(p) for p in (staged, path, f"{path}.old-{uuid.uuid4().hex[:8]}"))
+    fs = new.getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
+    had = fs.exists(target)
+    if had and not fs.rename(target, old):
+        raise OSError(f"cannot move {path} aside")
+    if not fs.rename(new, target):
+        raise OSError(f"cannot move {staged} to {path}")
+    if had:
+        fs.delete(old, True)
+
+
 def env_int(name: str, default: int) -> int:
     try:
         return int(os.environ.get(name, default))

@@ -12,12 +12,16 @@ matched by a glob, and the snapshot day is recovered from the file path.
 
 from __future__ import annotations
 
+import re
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import FLIGHT_ENVELOPE, ONTIME_COLUMNS, ONTIME_CSV, WEATHER_ENVELOPE
+from ..schemas import FLIGHT_ENVELOPE, ONTIME_COLUMNS, WEATHER_ENVELOPE
 
+REJECT = "_corrupt_record"
 FEEDS = {
     "flights": FLIGHT_ENVELOPE,
     "weather": WEATHER_ENVELOPE,
@@ -70,78 +74,94 @@ def land_snapshot(records: DataFrame, root: str, feed: str) -> DataFrame:
 
 
 def read_envelopes(spark: SparkSession, root: str, feed: str,
-                   glob: str = "*/*.json", multi_line: bool = False) -> DataFrame:
+                   glob: str = "*/*.json", multi_line: bool = False,
+                   rejects: bool = False) -> DataFrame:
     """Every snapshot below ``root`` (SRC-1/2, SRC-7).
 
     ``glob`` selects the date folders: ``*/*.json`` for landed days,
     ``*/*/*/snapshot.json`` for a year/month/day layout. The snapshot day is
     recovered from the path as ``_snapshot_date``. ``multi_line`` reads
     pretty-printed documents (one file is then one task, so landed data
-    stays one record per line, T15).
+    stays one record per line, T15). ``rejects`` adds the text of lines that
+    are no JSON of the feed as column ``_corrupt_record``.
     """
     schema = FEEDS[feed]
+    fields = schema.fieldNames() + ([REJECT] if rejects else [])
+    if rejects:
+        schema = T.StructType([*schema.fields, T.StructField(REJECT, T.StringType())])
     df = (spark.read.schema(schema)
-          .option("mode", "PERMISSIVE")
+          .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", REJECT)
           .option("multiLine", multi_line)
           .json(f"{root.rstrip('/')}/{glob}"))
     path = F.col("_metadata.file_path")
     day = F.concat_ws("-", *[F.regexp_extract(path, _DAY_IN_PATH, i) for i in (1, 2, 3)])
-    return df.select(*schema.fieldNames(),
-                     F.when(day != "--", day).alias("_snapshot_date"))
+    return df.select(*fields, F.when(day != "--", day).alias("_snapshot_date"))
+
+
+def rejects(spark: SparkSession, root: str, feed: str, glob: str = "*/*.json") -> DataFrame:
+    """The lines below ``root`` that are no JSON of the feed, with their day."""
+    lines = read_envelopes(spark, root, feed, glob, rejects=True)
+    return lines.where(F.col(REJECT).isNotNull()).select("_snapshot_date", "_ingested_at", REJECT)
 
 
 def read_ontime_csv(spark: SparkSession, path: str) -> DataFrame:
-    """All monthly CSV files under ``path`` (a glob), header names, all text (SRC-3).
-
-    The header row gives the names; every column is text. Unknown extra
-    columns are kept as text so :func:`schema_drift` can report them; a
-    missing expected column reads as null. Every file's header is validated
-    against the first one (``enforceSchema=false``): by default Spark would
-    read later files by position, so a month whose columns were reordered
-    would be silently misaligned; here that file fails the read instead.
+    """All monthly CSV files under ``path`` (a glob), all text (SRC-3).
+
+    Every file is read by its own header: files of equal headers are read
+    together and the groups united by name, so a month with reordered, missing
+    or new columns lines up with the others. Unknown extra columns are kept as
+    text so :func:`drift_report` can show them; a column that a file lacks reads
+    as null there.
     """
-    names = csv_header(spark, path)
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
-    header = (spark.read.schema(schema).option("header", True)
-              .option("enforceSchema", False).csv(path))
-    cols = header.columns
-    missing = [c for c in ONTIME_COLUMNS if c not in cols]
-    out = header.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in cols],
-                        *[F.lit(None).cast("string").alias(c) for c in missing])
+    groups: dict[tuple, list[str]] = {}
+    for file, names in csv_headers(spark, path):
+        groups.setdefault(tuple(names), []).append(file)
+    out = None
+    for names, files in groups.items():
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
+        part = spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(files)
+        part = part.select(*[F.col(f"`{c}`") for c in names],
+                           *[F.lit(None).cast("string").alias(c) for c in ONTIME_COLUMNS if c not in names])
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return out
 
 
-def csv_header(spark: SparkSession, path: str) -> list[str]:
-    """Column names in the header of the CSV files at ``path`` (reads one line)."""
-    return spark.read.option("header", True).option("inferSchema", False).csv(path).columns
+def csv_headers(spark: SparkSession, path: str, at_once: int = 8) -> list[tuple[str, list[str]]]:
+    """(file, column names) of the CSV files at ``path``: one task per file reads
+    one line, some files at once. Files without a header line are left out."""
+    def names(file: str) -> list[str]:
+        return spark.read.option("header", True).option("inferSchema", False).csv(file).columns
 
+    files = sorted(spark.read.text(path).inputFiles())
+    with ThreadPoolExecutor(max_workers=at_once, thread_name_prefix="csv-header") as pool:
+        return [(f, n) for f, n in zip(files, pool.map(names, files)) if n]
 
-def schema_drift(columns: list[str], expected: list[str] = ONTIME_COLUMNS,
-                 spark: SparkSession | None = None) -> DataFrame:
-    """Compare incoming column names with the expected list (SRC-8).
 
-    One row per name: ``ok`` (expected and present), ``missing`` (expected,
-    absent) or ``unexpected`` (present, not expected), with its position in
-    the incoming header (null when missing).
-    """
-    rows = []
-    for i, c in enumerate(columns):
-        rows.append((c, "ok" if c in expected else "unexpected", i + 1))
-    for c in expected:
-        if c not in columns:
-            rows.append((c, "missing", None))
-    schema = T.StructType([
-        T.StructField("column_name", T.StringType()),
-        T.StructField("status", T.StringType()),
-        T.StructField("position", T.IntegerType()),
-    ])
-    spark = spark or SparkSession.getActiveSession()
-    return spark.createDataFrame(rows, schema)
+def schema_drift(columns: list[str], expected: list[str] = ONTIME_COLUMNS) -> list[tuple]:
+    """(column_name, status, position) of one header against the expected names
+    (SRC-8): ``ok``, ``unexpected`` or ``missing`` (position null)."""
+    rows = [(c, "ok" if c in expected else "unexpected", i + 1) for i, c in enumerate(columns)]
+    return rows + [(c, "missing", None) for c in expected if c not in columns]
+
+
+def _plain(file: Column) -> Column:
+    """A local file's path as Spark's metadata column may or may not write it."""
+    return F.regexp_replace(file, "^file:/+", "file:/")
+
+
+def drift_report(spark: SparkSession, path: str, expected: list[str] = ONTIME_COLUMNS) -> DataFrame:
+    """The header drift of every file at ``path``, with the file's data rows."""
+    headers = csv_headers(spark, path)
+    drift = spark.createDataFrame(
+        [(re.sub("^file:/+", "file:/", f), *row) for f, names in headers for row in schema_drift(names, expected)],
+        "file string, column_name string, status string, position int")
+    rows = (spark.read.schema("line string").option("header", True).option("enforceSchema", True)
+            .csv([f for f, _ in headers]).select("line", _plain(F.col("_metadata.file_path")).alias("file"))
+            .groupBy("file").agg(F.count(F.lit(1)).alias("n_rows")))
+    return drift.join(rows, "file", "left").withColumn("n_rows", F.coalesce("n_rows", F.lit(0)))
 
 
 def write_ontime_csv(raw: DataFrame, path: str) -> None:
     """Write on-time rows as headed CSV files (the publisher's monthly files)."""
     raw.write.mode("overwrite").option("header", True).csv(path)
 
-
-ONTIME_CSV_SCHEMA = ONTIME_CSV

@@ -1,30 +1,36 @@
 """Silver/gold table sinks.
 
-* ``replace_table`` — full overwrite (SNK-3..10); with ``partition_by`` only
-  the partitions present in the new data are replaced (dynamic overwrite),
-  so a corrected month reloads without touching the others.
+* ``replace_table`` — full overwrite (SNK-3..10): the new table is written
+  beside the old one and swapped in when complete.
 * ``append_new`` — idempotent append (SNK-1/2): only rows whose natural key
   is not yet in the table are written, so a re-run, a replayed micro-batch or
   an overlapping snapshot never duplicates a key.
-* ``merge_min`` — deterministic merge for day-partitioned tables: the days a
-  batch touches are re-deduplicated together with the stored rows and
-  rewritten, so the table equals one dedupe over all input, in any batching.
+* ``merge_days`` — deterministic merge for day-partitioned tables: the days a
+  batch touches are re-deduplicated together with the stored rows, and the days
+  that change are rewritten, so the table equals one dedupe over all input, in
+  any batching.
 
-Both count the written rows with an ``Observation`` collected during the
-write itself — one execution, not a second ``count()`` pass (CNT-1).
+Tables by day are partitioned by a column of their own, ``day_part``: the day's
+text, or ``none`` for null and blank days. The day itself stays a data column,
+so a null day and a blank one are stored and compared as they are.
+
+Row counts come from an ``Observation`` collected during the write itself —
+one execution, not a second ``count()`` pass (CNT-1).
 """
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..session import exists, scratch_path
+from ..session import exists, remove, scratch_path, swap_in
 
-# Largest number of distinct days whose partitions are pruned by value.
-MAX_PRUNE_DAYS = 10_000
+PART = "day_part"
+NO_DAY = "none"
 
 
 def observed_write(df: DataFrame, name: str, write) -> int:
@@ -37,12 +43,25 @@ def observed_write(df: DataFrame, name: str, write) -> int:
 def replace_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
                   name: str = "table") -> int:
     """Overwrite the table at ``path`` (Snappy Parquet); return rows written."""
+    staged = f"{path}.staged-{uuid.uuid4().hex[:8]}"
+
     def write(d: DataFrame) -> None:
-        w = d.write.mode("overwrite").option("compression", "snappy")
-        if partition_by:
-            w = w.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
-        w.parquet(path)
-    return observed_write(df, name, write)
+        w = d.write.option("compression", "snappy")
+        (w.partitionBy(*partition_by) if partition_by else w).parquet(staged)
+    rows = observed_write(df, name, write)
+    swap_in(df.sparkSession, staged, path)
+    return rows
+
+
+def with_part(df: DataFrame, day: str) -> DataFrame:
+    """Add the partition column of the day column ``day``."""
+    return df.withColumn(PART, F.coalesce(F.when(F.trim(F.col(day)) != "", F.col(day)), F.lit(NO_DAY)))
+
+
+def read_parted(spark, path: str, schema: T.StructType) -> DataFrame:
+    """A table written with ``day_part``; days are never read as dates or numbers."""
+    fields = [f for f in schema.fields if f.name != PART] + [T.StructField(PART, T.StringType())]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
 
 
 def null_safe_key_match(left: DataFrame, right: DataFrame, keys: list[str]):
@@ -50,36 +69,15 @@ def null_safe_key_match(left: DataFrame, right: DataFrame, keys: list[str]):
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
 
 
-def within_days(existing: DataFrame, batch: DataFrame, day_col: str) -> DataFrame:
-    """Rows of ``existing`` on the days (``day_col`` values, nulls included)
-    present in ``batch``.
+def within_days(existing: DataFrame, batch: DataFrame) -> DataFrame:
+    """Rows of ``existing`` in the ``day_part`` folders present in ``batch``: a
+    semi join on the partition column, whose scan Spark prunes at run time."""
+    days = batch.select(F.col(PART).alias("_part")).distinct()
+    return existing.join(days, existing[PART] == days["_part"], "left_semi")
 
-    ``day_col`` is the table's partition column, so only those partitions are
-    listed and scanned. The day list is a bounded set (at most
-    ``MAX_PRUNE_DAYS`` values are fetched); a batch spanning more days falls
-    back to a semi join on the day column.
-    """
-    days = [r[0] for r in batch.select(day_col).distinct().limit(MAX_PRUNE_DAYS + 1).collect()]
-    if len(days) <= MAX_PRUNE_DAYS:
-        known = [d for d in days if d is not None]
-        cond = existing[day_col].isin(known) if known else F.lit(False)
-        if None in days:
-            cond = cond | existing[day_col].isNull()
-        return existing.filter(cond)
-    d = batch.select(F.col(day_col).alias("_day")).distinct()
-    return existing.join(d, existing[day_col].eqNullSafe(d["_day"]), "left_semi")
-
-
-def unseen(batch: DataFrame, existing: DataFrame, keys: list[str],
-           day_col: str | None = None) -> DataFrame:
-    """Rows of ``batch`` whose key is not in ``existing`` (null-safe anti join).
-
-    With ``day_col`` (a key column that is also the table's partition column)
-    the existing side is restricted to the days present in the batch
-    (:func:`within_days`).
-    """
-    if day_col:
-        existing = within_days(existing, batch, day_col)
+
+def unseen(batch: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of ``batch`` whose key is not in ``existing`` (null-safe anti join)."""
     ex = existing.select(*keys)
     return batch.join(ex, null_safe_key_match(batch, ex, keys), "left_anti")
 
@@ -89,60 +87,82 @@ def append_new(df: DataFrame, path: str, keys: list[str],
     """Append the rows of ``df`` whose key is not yet stored at ``path``.
 
     ``df`` must already hold each key once (see :func:`operators.dedupe`).
-    Returns the number of rows appended.
+    ``partition_by`` names the day column, a function of the key, whose
+    ``day_part`` partitions the table. Returns the number of rows appended.
     """
     spark = df.sparkSession
+    scratch = None
+    if partition_by:
+        df = with_part(df, partition_by[0])
     if exists(spark, path):
-        # Read with the batch's own schema: partition values stay text.
-        current = spark.read.schema(df.schema).parquet(path)
-        day = partition_by[0] if partition_by and partition_by[0] in keys else None
-        if day:
+        if partition_by:
             # The batch is used twice (its days, then its rows): compute it
             # once into the shared folder instead of re-parsing bronze.
-            df = materialize(df, f"{name}-batch")
-        df = unseen(df, current, keys, day)
+            scratch = scratch_path(spark, f"{name}-batch")
+            df.write.parquet(scratch)
+            df = spark.read.schema(df.schema).parquet(scratch)
+            current = within_days(read_parted(spark, path, df.schema), df)
+        else:
+            current = spark.read.schema(df.schema).parquet(path)
+        df = unseen(df, current, keys)
 
     def write(d: DataFrame) -> None:
         w = d.write.mode("append").option("compression", "snappy")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(path)
-    return observed_write(df, name, write)
-
-
-def merge_min(df: DataFrame, path: str, keys: list[str], partition_by: list[str],
-              name: str = "table") -> int:
-    """Merge ``df`` into the table at ``path`` keeping, per key, the row the
-    dedupe rule (:func:`operators.dedupe`) picks over stored and new rows
-    together; return the number of keys added.
-
-    The minimum over a union is the minimum of the minima, so the table ends
-    the same however the input was split into batches or replayed. The first
-    partition column must be a key column (a day): only the days present in
-    ``df`` are read, merged (one aggregate, partial map-side) and rewritten
-    with dynamic partition overwrite; other days are not touched. The merged
-    days are written to the shared folder first, so the table is never read
-    and overwritten by the same job.
+        (w.partitionBy(PART) if partition_by else w).parquet(path)
+    rows = observed_write(df, name, write)
+    if scratch:
+        remove(spark, scratch)
+    return rows
+
+
+def merge_days(df: DataFrame, path: str, keys: list[str], partition_by: list[str],
+               order_by: list[str] | None = None, name: str = "table") -> int:
+    """Merge ``df`` into the table at ``path`` keeping, per key, the largest row
+    in ``order_by`` order (then all other columns, values before nulls) over
+    stored and new rows together; return the number of keys added.
+
+    The largest of a union is the largest of the largest, so the table ends the
+    same however the input was split into batches or replayed. Only the days
+    present in ``df`` are read and merged (one aggregate, partial map-side), and
+    only days with a changed row are rewritten, with dynamic partition
+    overwrite. The merged days are written to the shared folder first, so the
+    table is never read and overwritten by the same job; both scratch copies are
+    removed at the end.
     """
     from ..operators.dedupe import dedupe
     spark = df.sparkSession
-    day = partition_by[0]
-    if day not in keys:
-        raise ValueError("the first partition column must be a key column")
+    if partition_by[0] not in df.columns:
+        raise ValueError("the day column has to be a column of the batch")
     if not exists(spark, path):
         return append_new(df, path, keys, partition_by=partition_by, name=name)
-    batch = materialize(df, f"{name}-batch")
-    if batch.isEmpty():
-        return 0
-    stored_obs = Observation(f"{name}-stored")
-    stored = within_days(spark.read.schema(df.schema).parquet(path), batch, day).observe(
-        stored_obs, F.count(F.lit(1)).alias("rows"))
-    merged_path = scratch_path(spark, f"{name}-merged")
-    merged_rows = observed_write(dedupe(stored.unionByName(batch), keys), f"{name}-merged",
+    df = with_part(df, partition_by[0])
+    batch_path, merged_path = scratch_path(spark, f"{name}-batch"), scratch_path(spark, f"{name}-merged")
+    df.write.parquet(batch_path)
+    batch = spark.read.schema(df.schema).parquet(batch_path)
+    stored = within_days(read_parted(spark, path, df.schema), batch).select(*df.columns)
+    seen = Observation(f"{name}-stored")
+    union = stored.observe(seen, F.count(F.lit(1)).alias("rows")).unionByName(batch)
+    merged_rows = observed_write(dedupe(union, keys, order_by, descending=True), f"{name}-merged",
                                  lambda d: d.write.parquet(merged_path))
     merged = spark.read.schema(df.schema).parquet(merged_path)
-    replace_table(merged, path, partition_by, name)
-    return merged_rows - int(stored_obs.get.get("rows", 0))
+    changed = merged.join(stored, null_safe_key_match(merged, stored, df.columns), "left_anti")
+    days_path = scratch_path(spark, f"{name}-changed")
+    changed.select(F.col(PART).alias("_part")).distinct().write.parquet(days_path)
+    days = spark.read.schema("_part string").parquet(days_path)
+    if not days.isEmpty():
+        out = merged.join(days, merged[PART] == days["_part"], "left_semi")
+        (out.write.mode("overwrite").option("compression", "snappy").option("partitionOverwriteMode", "dynamic")
+            .partitionBy(PART).parquet(path))
+    for scratch in (batch_path, merged_path, days_path):
+        remove(spark, scratch)
+    return merged_rows - int(seen.get.get("rows", 0))
+
+
+def materialize_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """:func:`materialize` with the number of rows it wrote."""
+    path = scratch_path(df.sparkSession, name)
+    rows = observed_write(df, name, lambda d: d.write.parquet(path))
+    return df.sparkSession.read.schema(df.schema).parquet(path), rows
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

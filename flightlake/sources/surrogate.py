@@ -20,14 +20,6 @@ from pyspark.sql import functions as F
 
 from .tables import Tables
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that is split into fewer tasks than the cluster has
-    cores (a single-row-group file); a no-op for any input large enough to be
-    split by the reader, so it never adds a shuffle at scale."""
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
 
 def _txt(c: Column) -> Column:
     return c.cast("string")
@@ -45,7 +37,8 @@ def ontime_raw(t: Tables) -> DataFrame:
     planner decides broadcast vs. sort-merge on the measured file size (a
     joined dimension would be estimated as a product of its inputs and never
     broadcast). Orders meets customer before lineitem, so the wide fact table
-    is shuffled exactly once, on ``l_orderkey``; both sides of that join
+    is shuffled once for that join, on ``l_orderkey`` (and again for supplier
+    where that table is too large to broadcast); both sides of that join
     arrive hash-partitioned on the key and it runs as a sort-merge join, which
     spills safely at any size (the fact table is never a broadcast side).
     """
@@ -112,7 +105,7 @@ def _event_nation(t: Tables, key: Column, prefix: str) -> DataFrame:
     n = t.nation.select(F.col("n_nationkey").alias(f"{prefix}_key"),
                         F.col("n_name").alias(f"{prefix}_name"),
                         F.col("n_regionkey").alias(f"{prefix}_region"))
-    ev = spread(t.events.select("event_id", "ts", "user_id", "event_type", "value"))
+    ev = t.events.select("event_id", "ts", "user_id", "event_type", "value")
     return ev.join(n, key == F.col(f"{prefix}_key"))
 
 
@@ -153,14 +146,19 @@ ACTIVE_STATUS = "click"
 
 
 def live_records(t: Tables) -> DataFrame:
-    """Live flight records in the API's nested shape, one per events row."""
+    """Live flight records in the API's nested shape, one per events row.
+
+    Some records carry no flight day or a blank one, and every third arrives a
+    day later, so a flight may be reported more than once by different polls.
+    """
     ev = _event_nation(t, F.col("user_id") % 25, "o")
     n = t.nation.select(F.col("n_nationkey").alias("d_key"), F.col("n_name").alias("d_name"))
     ev = ev.join(n, F.col("event_id") % 25 == F.col("d_key"))
     dep_delay = F.when(F.col("event_id") % 11 != 0, _txt(F.floor("value")))
     scheduled = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
     rec = F.struct(
-        F.date_format("ts", "yyyy-MM-dd").alias("flight_date"),
+        F.when(F.col("event_id") % 53 == 0, None).when(F.col("event_id") % 59 == 0, F.lit(""))
+         .otherwise(F.date_format("ts", "yyyy-MM-dd")).alias("flight_date"),
         F.col("event_type").alias("flight_status"),
         F.struct(
             F.when(F.col("event_id") % 40 != 0, F.col("o_name")).alias("iata"),
@@ -185,5 +183,6 @@ def live_records(t: Tables) -> DataFrame:
     )
     return ev.select(
         rec.alias("record"),
-        F.concat(F.date_format("ts", "yyyy-MM-dd"), F.lit("T22:00:00")).alias("_ingested_at"),
+        F.concat(F.date_format(F.date_add(F.to_date("ts"), (F.col("event_id") % 3 == 0).cast("int")),
+                               "yyyy-MM-dd"), F.lit("T22:00:00")).alias("_ingested_at"),
     )

@@ -1,26 +1,10 @@
-"""Access to the driver's parquet tables and to written silver/gold tables."""
+"""Access to the driver's parquet tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-# Parquet schemas already inferred in this process, by path. Inferring a
-# schema runs a small Spark job that reads file footers; every later read of
-# the same path passes the schema instead.
-_SCHEMAS: dict[str, object] = {}
-
-
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """``spark.read.parquet(path)``, inferring the schema once per process."""
-    schema = _SCHEMAS.get(path)
-    if schema is not None:
-        return spark.read.schema(schema).parquet(path)
-    df = spark.read.parquet(path)
-    _SCHEMAS[path] = df.schema
-    return df
-
-
 class Tables:
     """Lazy parquet relations under one folder (``<dir>/<name>.parquet``).
 
@@ -37,10 +21,5 @@ class Tables:
         if name.startswith("_"):
             raise AttributeError(name)
         if name not in self._cache:
-            self._cache[name] = read_parquet(self.spark, f"{self.root}/{name}.parquet")
+            self._cache[name] = self.spark.read.parquet(f"{self.root}/{name}.parquet")
         return self._cache[name]
-
-
-def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A silver or gold table written by :mod:`flightlake.sources.sinks`."""
-    return spark.read.parquet(f"{root.rstrip('/')}/{name}")

@@ -4,12 +4,12 @@ The source job re-reads every snapshot each night and appends all of it, so
 day k ends up stored once per later run (T4). Here a file stream over the
 landing folder processes each new file exactly once (the checkpoint records
 which files were taken), and every micro-batch is merged through
-:func:`sources.sinks.merge_min`: the days the batch touches are deduplicated
+:func:`sources.sinks.merge_days`: the days the batch touches are deduplicated
 again together with their stored rows and rewritten, keeping per key the
-deterministic minimum row (:func:`operators.dedupe`). A replayed batch or a
+row ingested last (:func:`operators.dedupe`). A replayed batch or a
 re-landed day changes nothing, and the table ends equal to one batch run over
-all files however they were split into micro-batches (a later snapshot whose
-row sorts first replaces the stored one). ``mode="append"`` keeps the first
+all files however they were split into micro-batches (a later report of a
+flight replaces the stored one). ``mode="append"`` keeps the first
 stored row instead (:func:`sources.sinks.append_new`), which writes only new
 keys.
 
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .. import operators as op
 from ..schemas import LIVE_KEY, WEATHER_KEY
 from ..sources.bronze import FEEDS
-from ..sources.sinks import append_new, merge_min
+from ..sources.sinks import append_new, merge_days
 
 _FEEDS = {
     # feed: (silver builder, key, partition columns)
@@ -47,7 +47,6 @@ def ingest_stream(spark: SparkSession, bronze_root: str, silver_path: str, feed:
     """
     if mode not in ("merge", "append"):
         raise ValueError(f"unknown mode {mode!r}")
-    sink = merge_min if mode == "merge" else append_new
     build, keys, partition_by = _FEEDS[feed]
     reader = spark.readStream.schema(FEEDS[feed])
     if max_files_per_trigger:
@@ -57,8 +56,10 @@ def ingest_stream(spark: SparkSession, bronze_root: str, silver_path: str, feed:
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         env = batch.select(*FEEDS[feed].fieldNames())
-        rows = sink(build(env, stations), silver_path, keys,
-                    partition_by=partition_by, name=f"{feed}_batch_{batch_id}")
+        into = dict(partition_by=partition_by, name=f"{feed}_batch_{batch_id}")
+        silver = build(env, stations)
+        rows = (merge_days(silver, silver_path, keys, order_by=op.NEWEST_FIRST, **into) if mode == "merge"
+                else append_new(silver, silver_path, keys, **into))
         appended["batches"] += 1
         appended["rows"] += rows
 

@@ -48,7 +48,7 @@ def test_nightly_jobs_audit_and_rerun(spark, sf_small):  # JOB-1..4
     stations = op.station_registry(t.nation)
     first = {r.table_name: r.rows_written for r in jobs.run_nightly(spark, lake, stations).collect()}
     second = {r.table_name: r.rows_written for r in jobs.run_nightly(spark, lake, stations).collect()}
-    assert len(first) == 9 and all(v > 0 for v in first.values())
+    assert len(first) == 12 and all(v > 0 for k, v in first.items() if not k.endswith("_rejects"))
     # merges add no keys on a rerun; overwrites rewrite the same rows
     assert second["aviationstack_flights"] == 0 and second["metar"] == 0
     assert {k: v for k, v in second.items() if k not in ("aviationstack_flights", "metar")} == \
@@ -84,9 +84,9 @@ def test_failed_table_is_isolated_then_raised(spark, sf_small):  # JOB-3, T10
     with pytest.raises(jobs.JobFailed) as e:
         jobs.run_nightly(spark, lake)
     audit = e.value.audit
-    assert len(audit) == 9 and all(a[2] == "failed" for a in audit)
+    assert len(audit) == 10 and all(a[2] == "failed" for a in audit)
     df = jobs.run_nightly(spark, lake, raise_on_failure=False)
-    assert df.filter(F.col("status") == "failed").count() == 9
+    assert df.filter(F.col("status") == "failed").count() == 10
 
 
 def test_stream_two_steps_equals_batch(spark, sf_small):  # STR-1
@@ -168,13 +168,65 @@ def test_weather_stream_partitioned_by_obs_day(spark, sf_small):  # STR-1, SNK-2
     assert Counter(got.select(*WEATHER_SILVER.fieldNames()).collect()) == Counter(want.collect())
 
 
-def test_append_many_days_falls_back_to_semi_join(spark, monkeypatch):  # SNK-1
-    from flightlake.sources import sinks
-    monkeypatch.setattr(sinks, "MAX_PRUNE_DAYS", 1)
+def test_append_prunes_to_the_days_of_the_batch(spark):  # SNK-1
     path = scratch_path(spark, "append-many")
-    rows = [dict(flight_date=f"2025-02-0{d}", flight_iata="AA1", origin="ORD", dest="JFK")
-            for d in range(1, 4)]
-    assert append_new(_live(spark, rows), path, LIVE_KEY, partition_by=["flight_date"]) == 3
+    days = ["2025-02-01", "2025-02-02", "", None]
+    rows = [dict(flight_date=d, flight_iata="AA1", origin="ORD", dest="JFK") for d in days]
+    assert append_new(_live(spark, rows), path, LIVE_KEY, partition_by=["flight_date"]) == 4
+    assert append_new(_live(spark, rows), path, LIVE_KEY, partition_by=["flight_date"]) == 0
     more = rows + [dict(flight_date="2025-02-05", flight_iata="AA1", origin="ORD", dest="JFK")]
     assert append_new(_live(spark, more), path, LIVE_KEY, partition_by=["flight_date"]) == 1
-    assert spark.read.schema(LIVE_SILVER).parquet(path).count() == 4
+    assert {r[0] for r in spark.read.schema(LIVE_SILVER).parquet(path).select("flight_date").collect()} == {*days, "2025-02-05"}
+
+
+def test_merge_keeps_rows_of_null_and_blank_days(spark):  # SNK-1
+    from flightlake.sources.sinks import merge_days, read_parted
+    path = scratch_path(spark, "merge-blank")
+    def row(day, flight):
+        return dict(flight_date=day, flight_iata=flight, origin="ORD", dest="JFK")
+    merge_days(_live(spark, [row(None, "F1"), row("2025-02-01", "F2")]), path, LIVE_KEY, ["flight_date"], op.NEWEST_FIRST)
+    assert merge_days(_live(spark, [row("", "F3")]), path, LIVE_KEY, ["flight_date"], op.NEWEST_FIRST) == 1
+    assert {r.flight_iata for r in read_parted(spark, path, LIVE_SILVER).collect()} == {"F1", "F2", "F3"}
+
+
+def _files(root):
+    import os
+
+    from flightlake.session import local_path
+    return {f"{d}/{f}" for d, _, names in os.walk(local_path(root)) for f in names if f.endswith(".parquet")}
+
+
+def test_merge_without_change_rewrites_no_file(spark, sf_small):  # SNK-1, JOB-1
+    import glob
+
+    from flightlake.session import checkpoint_root, local_path
+    lake = jobs.Lake(scratch_path(spark, "lake-still"))
+    t = Tables(spark, sf_small)
+    bronze.land_snapshot(surrogate.live_records(t), lake.bronze("flights"), "flights")
+    jobs.build_silver(spark, lake)
+    before, left = _files(lake.silver("aviationstack_flights")), set(glob.glob(local_path(checkpoint_root(spark)) + "/*"))
+    jobs.build_silver(spark, lake)
+    assert before and _files(lake.silver("aviationstack_flights")) == before
+    assert set(glob.glob(local_path(checkpoint_root(spark)) + "/*")) == left
+
+
+def test_failed_overwrite_leaves_the_old_table(spark):  # SNK-3, T10
+    path = scratch_path(spark, "staged")
+    replace_table(spark.range(5), path)
+    with pytest.raises(Exception):
+        replace_table(spark.range(9).withColumn("x", F.raise_error(F.lit("boom"))), path)
+    assert spark.read.parquet(path).count() == 5
+
+
+def test_written_tables_are_snappy(spark):  # SNK-10
+    import pyarrow.parquet as pq
+    path = scratch_path(spark, "codec")
+    replace_table(spark.range(5), path)
+    meta = pq.ParquetFile(next(iter(f for f in _files(path) if pq.ParquetFile(f).metadata.num_rows))).metadata
+    assert meta.row_group(0).column(0).compression == "SNAPPY"
+
+
+def test_carriers_come_in_ascending_delay_rate(spark, sf_small):  # SRT-1
+    from flightlake.queries import QUERIES
+    rates = [r.delay_rate for r in QUERIES["carrier_performance"](spark, sf_small).collect()]
+    assert rates == sorted(rates) and len(rates) > 1

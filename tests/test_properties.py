@@ -112,7 +112,7 @@ def test_first_n_per_group_matches_brute_force(spark, data, n, parts, buckets):
     assert got == want
 
 
-merge_rows = st.lists(st.tuples(st.sampled_from(["d1", "d2", None]), st.sampled_from(["a", "b"]),
+merge_rows = st.lists(st.tuples(st.sampled_from(["d1", "", None]), st.sampled_from(["a", "b"]),
                                 small_text), min_size=1, max_size=12)
 
 
@@ -123,14 +123,14 @@ def test_merge_in_any_batching_equals_one_dedupe(spark, data, cuts):
     """Rows merged batch by batch (any split, replays included) end equal to
     one dedupe over all of them."""
     from flightlake.session import scratch_path
-    from flightlake.sources.sinks import merge_min
+    from flightlake.sources.sinks import merge_days, read_parted
     schema = "day string, k string, v string"
     bounds = sorted({0, len(data), *[min(c, len(data)) for c in cuts]})
     path = scratch_path(spark, "merge-prop")
     batches = [data[a:b] for a, b in zip(bounds, bounds[1:])] + [data[:1]]  # last: a replay
     for part in batches:
-        batch = op.dedupe(spark.createDataFrame(part, schema), ["day", "k"])
-        merge_min(batch, path, ["day", "k"], ["day"], name="prop")
-    got = spark.read.schema(schema).parquet(path).select("day", "k", "v").collect()
-    want = op.dedupe(spark.createDataFrame(data, schema), ["day", "k"]).collect()
+        batch = op.dedupe(spark.createDataFrame(part, schema), ["day", "k"], descending=True)
+        merge_days(batch, path, ["day", "k"], ["day"], name="prop")
+    got = read_parted(spark, path, batch.schema).select("day", "k", "v").collect()
+    want = op.dedupe(spark.createDataFrame(data, schema), ["day", "k"], descending=True).collect()
     assert sorted(map(tuple, got), key=str) == sorted(map(tuple, want), key=str)
