@@ -95,8 +95,8 @@ def main(argv: list[str] | None = None) -> int:
         from .streaming import ingest_stream
         silver = lake.silver({"flights": "aviationstack_flights", "weather": "metar"}[a.feed])
         done = ingest_stream(spark, lake.bronze(a.feed), silver, a.feed,
-                             f"{lake.root}/_checkpoints/{a.feed}", stations, a.max_files,
-                             mode=a.mode)
+                             lake.checkpoint(a.feed), stations, a.max_files,
+                             mode=a.mode, rejects_path=lake.rejects(a.feed))
         print(done)
         return 0
     if a.name in REPORTS:

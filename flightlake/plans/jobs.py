@@ -22,15 +22,16 @@ from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import operators as op
-from ..schemas import LIVE_KEY, LIVE_SILVER, ONTIME_SILVER, WEATHER_KEY, WEATHER_SILVER
+from ..schemas import LIVE_SILVER, ONTIME_SILVER, WEATHER_SILVER
 from ..sources import bronze
 from ..session import remove, scratch_path
-from ..sources.sinks import PART, merge_days, observed_write, replace_table, with_part
+from ..sources.sinks import PART, observed_write, replace_table, with_part
+from ..streaming.incremental import ingest_stream
 
 AUDIT_SCHEMA = T.StructType([
     T.StructField("layer", T.StringType()),
@@ -54,6 +55,9 @@ class Lake:
     def gold(self, name: str) -> str:
         return f"{self.root}/gold/{name}"
 
+    def checkpoint(self, feed: str) -> str:
+        return f"{self.root}/_checkpoints/{feed}"
+
     def rejects(self, feed: str) -> str:
         return f"{self.root}/rejects/{feed}"
 
@@ -99,11 +103,12 @@ def build_silver(spark: SparkSession, lake: Lake,
                      stations: DataFrame | None = None, concurrency: int = 3) -> list[tuple]:
     """JOB-1: on-time CSV → overwrite (by month); flight and weather JSON → merge.
 
-    The JSON feeds are merged into silver by day (:func:`sources.sinks.merge_days`):
-    the table equals one dedupe over everything landed so far, also when a later
-    snapshot re-reports a flight, and a re-run rewrites no file. The audit's row
+    The JSON feeds catch up through the file stream (:func:`streaming.ingest_stream`):
+    only snapshot files not seen before are read, and merged into silver by day,
+    so the table equals one dedupe over everything landed so far, also when a
+    later snapshot re-reports a flight, and a re-run rewrites no file. The audit's row
     count for these tables is the number of keys added. Lines that are no JSON of
-    the feed are counted during the merge, and stored under ``rejects/`` if any."""
+    the feed are counted during the merge and stored under ``rejects/`` if any."""
     rejected: list[tuple] = []
 
     def ontime() -> int:
@@ -111,25 +116,17 @@ def build_silver(spark: SparkSession, lake: Lake,
         month = with_part(op.ontime_silver(raw).withColumn("_month", F.substring("FL_DATE", 1, 7)), "_month")
         return replace_table(month.drop("_month"), lake.silver("bts_flights"), [PART], name="bts_flights")
 
-    def feed(kind: str, merge: Callable[[DataFrame], int]) -> int:
-        seen = Observation(f"{kind}-rejects")
-        env = bronze.read_envelopes(spark, lake.bronze(kind), kind, rejects=True)
-        rows = merge(env.observe(seen, F.count(bronze.REJECT).alias("n")))
-        n = int(seen.get.get("n") or 0)
-        if n:
-            n = replace_table(bronze.rejects(spark, lake.bronze(kind), kind), lake.rejects(kind), name=f"{kind}_rejects")
-        rejected.append(("bronze", f"{kind}_rejects", "ok", n, None))
-        return rows
+    def feed(kind: str, table: str) -> int:
+        done = ingest_stream(spark, lake.bronze(kind), lake.silver(table), kind, lake.checkpoint(kind),
+                             stations, rejects_path=lake.rejects(kind))
+        rejected.append(("bronze", f"{kind}_rejects", "ok", done["rejects"], None))
+        return done["rows"]
 
     def flights() -> int:
-        return feed("flights", lambda env: merge_days(
-            op.live_silver(env), lake.silver("aviationstack_flights"), LIVE_KEY,
-            partition_by=["flight_date"], order_by=op.NEWEST_FIRST, name="aviationstack_flights"))
+        return feed("flights", "aviationstack_flights")
 
     def weather() -> int:
-        return feed("weather", lambda env: merge_days(
-            op.with_obs_date(op.weather_silver(env, stations)), lake.silver("metar"), WEATHER_KEY,
-            partition_by=[op.WEATHER_PARTITION], order_by=op.NEWEST_FIRST, name="metar"))
+        return feed("weather", "metar")
 
     audit = run_steps("silver", [("aviationstack_flights", flights), ("metar", weather),
                                  ("bts_flights", ontime)], concurrency)

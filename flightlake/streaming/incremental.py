@@ -21,11 +21,13 @@ bounded batches.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import operators as op
 from ..schemas import LIVE_KEY, WEATHER_KEY
-from ..sources.bronze import FEEDS
+from ..sources.bronze import FEEDS, REJECT
 from ..sources.sinks import append_new, merge_days
 
 _FEEDS = {
@@ -38,28 +40,37 @@ _FEEDS = {
 
 def ingest_stream(spark: SparkSession, bronze_root: str, silver_path: str, feed: str,
                   checkpoint: str, stations: DataFrame | None = None,
-                  max_files_per_trigger: int | None = None, mode: str = "merge") -> dict:
+                  max_files_per_trigger: int | None = None, mode: str = "merge",
+                  rejects_path: str | None = None) -> dict:
     """Catch up on all new snapshot files of ``feed``; return progress totals.
 
     ``bronze_root`` holds ``ingest_date=…`` folders (see
     :func:`sources.bronze.land_snapshot`). The returned dict has the number of
-    micro-batches and of keys added to ``silver_path``.
+    micro-batches, of keys added to ``silver_path``, and of lines that are no
+    JSON of the feed; these are appended to ``rejects_path`` if it is given.
     """
     if mode not in ("merge", "append"):
         raise ValueError(f"unknown mode {mode!r}")
     build, keys, partition_by = _FEEDS[feed]
-    reader = spark.readStream.schema(FEEDS[feed])
+    schema = T.StructType([*FEEDS[feed].fields, T.StructField(REJECT, T.StringType())])
+    reader = spark.readStream.schema(schema).option("columnNameOfCorruptRecord", REJECT)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     stream = reader.json(bronze_root)
-    appended = {"batches": 0, "rows": 0}
+    appended = {"batches": 0, "rows": 0, "rejects": 0}
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        env = batch.select(*FEEDS[feed].fieldNames())
+        seen = Observation(f"{feed}_rejects_{batch_id}")
+        env = batch.select(*schema.fieldNames()).observe(seen, F.count(REJECT).alias("n"))
         into = dict(partition_by=partition_by, name=f"{feed}_batch_{batch_id}")
         silver = build(env, stations)
         rows = (merge_days(silver, silver_path, keys, order_by=op.NEWEST_FIRST, **into) if mode == "merge"
                 else append_new(silver, silver_path, keys, **into))
+        rejected = int(seen.get.get("n") or 0)
+        if rejected and rejects_path:
+            lines = batch.where(F.col(REJECT).isNotNull()).select("_ingested_at", REJECT)
+            lines.write.mode("append").option("compression", "snappy").parquet(rejects_path)
+        appended["rejects"] += rejected
         appended["batches"] += 1
         appended["rows"] += rows
 

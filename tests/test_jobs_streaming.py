@@ -230,3 +230,16 @@ def test_carriers_come_in_ascending_delay_rate(spark, sf_small):  # SRT-1
     from flightlake.queries import QUERIES
     rates = [r.delay_rate for r in QUERIES["carrier_performance"](spark, sf_small).collect()]
     assert rates == sorted(rates) and len(rates) > 1
+
+
+def test_nightly_counts_and_stores_rejects(spark):  # SRC-1, JOB-3
+    import json
+    lake = jobs.Lake(scratch_path(spark, "lake-cut"))
+    good = json.dumps({"records": [{"icaoId": "KORD", "obsTime": "2025-02-01 10:00:00"}], "_ingested_at": "2025-02-01T22:00:00"})
+    lines = [(good,), (good[:50],), (good[:30],)]
+    spark.createDataFrame(lines, "value string").coalesce(1).write.text(f"{lake.bronze('weather')}/ingest_date=2025-02-01")
+    for n in (2, 0):  # the second run sees no new file
+        audit = {a[1]: a for a in jobs.build_silver(spark, lake)}
+        assert audit["weather_rejects"][3] == n and audit["metar"][2:4] == ("ok", n // 2)
+    assert {r._corrupt_record for r in spark.read.parquet(lake.rejects("weather")).collect()} == {good[:50], good[:30]}
+    assert jobs.read_silver(spark, lake, "metar").count() == 1

@@ -109,7 +109,7 @@ def test_hot_key_dedupe_is_partial_aggregate(spark):
     df = op.ontime_silver(raw.repartition(4))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "partial_max" in plan
-    assert df.count() == 1 and df.collect()[0].TAIL_NUM == "N0"
+    assert df.count() == 1 and df.collect()[0].TAIL_NUM == "N99"
 
 
 def test_weather_allow_list_and_visibility(spark):  # FLT-2, FLT-6, PRJ-4
