@@ -38,7 +38,7 @@ BLOCK_BYTES = 4096
 
 def blocks_of(docs: DataFrame, id_col: str, text_col: str, block_bytes: int) -> DataFrame:
     """One row per block: row, id, number, count, content; the first also has the text's SHA-256."""
-    src = docs.select(row_id().alias("row"), F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    src = docs.select(row_id(docs.sparkSession).alias("row"), F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -117,5 +117,5 @@ def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     name = "row_number_"
     while name in docs.columns:
         name += "_"
-    numbered = docs.withColumn(name, row_id())
+    numbered = docs.withColumn(name, row_id(docs.sparkSession))
     return numbered.join(dropped, numbered[name] == dropped["dropped_row"], "left_anti").select(*docs.columns)

@@ -117,7 +117,7 @@ def minhash(s: np.ndarray) -> np.ndarray:
 
 def sets_of(docs: DataFrame, id_col: str, text_col: str, runs: int) -> DataFrame:
     """row, id, n, fingerprint, sketch and the root paths of all runs."""
-    src = docs.select(row_id().alias("row"), F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    src = docs.select(row_id(docs.sparkSession).alias("row"), F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     places = [(int(mixed(np.array([r + 1], np.uint64))[0]), chosen(int(mixed(np.array([r + 1], np.uint64))[0]))) for r in range(runs)]
     at = np.concatenate([p for _, p in places]).astype(np.int64)
     salt = np.concatenate([np.full(len(p), r, np.uint64) for r, p in places]) ^ PLACES[at]
@@ -444,7 +444,7 @@ def verified(docs: DataFrame, reps: DataFrame, groups: DataFrame, text_col: str)
     members = written(members, "candidates")
     load = members.groupBy("root").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks")).withColumnRenamed("root", "g_root")
     placed = members.join(load, members["root"] == load["g_root"]).select("root", "rep", "copies", "blocks", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int").alias("block"))
-    texts = docs.select(row_id().alias("row"), F.col(text_col).cast("string").alias("text"))
+    texts = docs.select(row_id(docs.sparkSession).alias("row"), F.col(text_col).cast("string").alias("text"))
     # The candidates are a share of all documents: never a side to broadcast.
     rows = shingle_rows(placed.hint("merge").join(texts, placed["rep"] == texts["row"]).select("root", "rep", "copies", "blocks", "block", "text"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
@@ -491,5 +491,5 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     name = "row_number_"
     while name in docs.columns:
         name += "_"
-    numbered = docs.withColumn(name, row_id())
+    numbered = docs.withColumn(name, row_id(docs.sparkSession))
     return numbered.join(dropped, numbered[name] == dropped["dropped_row"], "left_anti").select(*docs.columns)

@@ -71,9 +71,16 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE_RX), lambda w: w != "")
 
 
-def row_id() -> Column:
+def row_id(spark: SparkSession) -> Column:
     """A number per row: unique within one evaluation, and the same in every
-    evaluation of the same stored table (its file splits are fixed)."""
+    evaluation of the same stored table, whose file splits are then fixed.
+
+    Spark sizes the splits of a small table by the cores at hand, which change
+    when an executor is lost or added between two scans; the count seen first is
+    therefore kept for the session, unless the user has set one."""
+    key = "spark.sql.files.minPartitionNum"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, str(spark.sparkContext.defaultParallelism))
     return F.monotonically_increasing_id()
 
 

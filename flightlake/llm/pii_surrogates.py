@@ -236,7 +236,7 @@ def replace_entities(docs: DataFrame, text_col: str = "text", key: str = KEY, ou
     """``docs`` with the text rewritten and the struct ``out`` (n_entities, kinds)."""
     if clash := {out, "__row", "__done", "tried", "h_row"} & set(docs.columns):
         raise ValueError(f"rename columns {sorted(clash)}")
-    numbered = docs.withColumn("__row", row_id())
+    numbered = docs.withColumn("__row", row_id(docs.sparkSession))
     found = numbered.select(F.col("__row").alias("row"), found_in(F.col(text_col)).alias("e")).where(F.size("e") > 0)
     found = written(found.select("row", F.flatten(F.transform("e", atoms_of)).alias("atoms")), "entity-rows")
     exceptions = written(attempts(entities(found), key).where("attempt > 0").select("kind", "value", "attempt"), "exceptions")

@@ -34,6 +34,16 @@ def test_block_naming_matches_brute_force(spark):
     assert out.count() == 0 and out.columns == empty(spark).columns
 
 
+def test_row_numbers_do_not_follow_the_cores(spark):
+    from flightlake.llm.common import row_id
+    row_id(spark)
+    assert spark.conf.get("spark.sql.files.minPartitionNum") == str(spark.sparkContext.defaultParallelism)
+    spark.conf.set("spark.sql.files.minPartitionNum", "3")
+    row_id(spark)  # a value that is there stays
+    assert spark.conf.get("spark.sql.files.minPartitionNum") == "3"
+    spark.conf.unset("spark.sql.files.minPartitionNum")
+
+
 def brute_links(texts):
     sets = [chosen_path.shingles(t) for t in texts]
     sets = [set(s.tolist()) for s in sets]
