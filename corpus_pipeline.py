@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from flightlake.llm import block_naming, bpe_codec, chosen_path, quality_rules, source_mix
-from flightlake.llm.common import written
+from flightlake.llm.common import columns, written
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +34,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: documents with repetitions, sources at their target weights."""
-    return source_mix.mix(docs).select(*docs.columns)
+    return source_mix.mix(docs).select(*columns(docs.columns))
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, row_id, written
+from .common import fresh, map_batches, row_id, written
 
 BLOCK_BYTES = 4096
 
@@ -114,8 +114,6 @@ def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """The rows that stay, whole. ``docs`` has to be a stored table (its scan
     numbers rows alike each time), as pipeline stages read it."""
     dropped = written(dedup_groups(docs, id_col, text_col, block_bytes).where("NOT kept").select(F.col("row").alias("dropped_row")), "dropped-rows")
-    name = "row_number_"
-    while name in docs.columns:
-        name += "_"
+    name = fresh("row_number_", docs.columns)
     numbered = docs.withColumn(name, row_id(docs.sparkSession))
-    return numbered.join(dropped, numbered[name] == dropped["dropped_row"], "left_anti").select(*docs.columns)
+    return numbered.join(dropped, numbered[name] == dropped["dropped_row"], "left_anti").drop(name)

@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, row_id, written
+from .common import fresh, map_batches, row_id, written
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -387,7 +387,7 @@ def overlaps(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.
     column = np.cumsum(new) - 1
     shared = np.bincount(column)[column] > 1
     member, column = member[shared], column[shared]
-    out = np.zeros((len(left), len(right)), np.float32)
+    out = np.zeros((len(left), len(right)), np.int32)  # sums beyond 2^24 stay exact
     if not len(column):
         return out
     new = np.concatenate([[True], column[1:] != column[:-1]])
@@ -396,7 +396,7 @@ def overlaps(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.
         a, b = np.searchsorted(column, [lo, lo + 2048])
         x = np.zeros((len(sets), 2048), np.float32)
         x[member[a:b], column[a:b] - lo] = 1
-        out += x[left] @ x[right].T
+        np.add(out, x[left] @ x[right].T, out=out, casting="unsafe")
     return out
 
 
@@ -488,8 +488,6 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` (a stored table) of which each linked group keeps one."""
     dropped = written(similarity_classes(docs, id_col, text_col).where("NOT kept").select(F.col("row").alias("dropped_row")), "dropped-rows")
-    name = "row_number_"
-    while name in docs.columns:
-        name += "_"
+    name = fresh("row_number_", docs.columns)
     numbered = docs.withColumn(name, row_id(docs.sparkSession))
-    return numbered.join(dropped, numbered[name] == dropped["dropped_row"], "left_anti").select(*docs.columns)
+    return numbered.join(dropped, numbered[name] == dropped["dropped_row"], "left_anti").drop(name)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -66,6 +66,19 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def fresh(name: str, taken: Iterable[str]) -> str:
+    """``name``, with underscores added until none of the columns ``taken`` has it."""
+    used = {c.lower() for c in taken}
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
+def columns(names: Iterable[str]) -> list[Column]:
+    """Columns by their exact names, dots and backticks included."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in names]
+
+
 def words_of(text: Column) -> Column:
     """The words of a text, in order; null and blank texts have none."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE_RX), lambda w: w != "")

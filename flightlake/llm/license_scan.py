@@ -19,6 +19,7 @@ name are no matter.
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -116,6 +117,7 @@ def find(words: list[bytes], notices: tuple[Notice, ...]) -> list[tuple[int, int
             found += [(n, at + 1, at + size - 1, 0) for at in sorted(starts) if patterns[n].fullmatch(text, at, at + size)]
             continue
         seen: dict[int, tuple[int, int]] = {}
+        recent: deque[int] = deque()  # starts, in the order found, that a new one can still be near to
         for at in sorted(starts):
             # A place with up to k edits starts at most k away from where the
             # piece says; its window is cut at word boundaries further out.
@@ -123,10 +125,16 @@ def find(words: list[bytes], notices: tuple[Notice, ...]) -> list[tuple[int, int
             window = text[low:high]
             if m := patterns[n].search(window):
                 start, end, edits = low + m.start(), low + m.end(), sum(m.fuzzy_counts)
-                near = next((s for s in seen if abs(s - start) <= 2 * k), None)
+                # A match starts between at - k and at + 2 k.
+                while recent and recent[0] < at - 3 * k:
+                    recent.popleft()
+                near = next((s for s in recent if abs(s - start) <= 2 * k), None)
                 if near is None or edits < seen[near][1]:
-                    seen.pop(near, None)
+                    if near is not None:
+                        recent.remove(near)
+                        del seen[near]
                     seen[start] = (end, edits)
+                    recent.append(start)
         found += [(n, s, e, d) for s, (e, d) in seen.items()]
     return sorted((n, s, e, d) for n, s, e, d in found)
 

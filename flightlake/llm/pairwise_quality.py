@@ -124,8 +124,14 @@ def fit(featured: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_co
         return Ranker((0.0,) * len(FEATURES), 0.0)
     side = {}
     for label in (0, 1):
-        picked = train.where(F.col("label") == label).orderBy(F.xxhash64(F.lit(SEED), "id"), *FEATURES).limit(max_rows)
-        side[label] = picked.select(*FEATURES).toPandas().to_numpy(np.float64)
+        place = F.xxhash64(F.lit(SEED), "id")
+        # The first rows by hash lie below this hash: what is sorted stays small.
+        below = min((1 << 63) - 1, int(2 * max_rows / count[label] * (1 << 64)) - (1 << 63))
+        own = train.where(F.col("label") == label)
+        for rows in (own.where(place <= below), own):
+            side[label] = rows.orderBy(place, *FEATURES).limit(max_rows).select(*FEATURES).toPandas().to_numpy(np.float64)
+            if len(side[label]) == min(max_rows, count[label]):
+                break  # else many rows share few ids, and with them few hashes
     rows = np.concatenate([side[0], side[1]])
     scale = np.maximum(rows.std(axis=0), 1e-9)
     w = bradley_terry(pairs_of(side[1] / scale, side[0] / scale)) / scale

@@ -23,7 +23,8 @@ rows by number (broadcast by Spark when small as measured on disk).
 
 Defined cases: a null text stays null and an empty one empty; repeated rows are
 rewritten alike; an empty table gives an empty result; input columns keep their
-names and the added ones avoid them. ``docs`` has to be a stored table.
+names, and the added one, last, takes underscores at the end of its name where
+an input column has that name. ``docs`` has to be a stored table.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, row_id, written
+from .common import columns, fresh, let, row_id, written
 
 KEY = "surrogate-key-1"
 MAX_ROUNDS = 64
@@ -233,17 +234,16 @@ def rewritten(text: Column, tried: Column, key: str = KEY) -> Column:
 
 
 def replace_entities(docs: DataFrame, text_col: str = "text", key: str = KEY, out: str = "pii") -> DataFrame:
-    """``docs`` with the text rewritten and the struct ``out`` (n_entities, kinds)."""
-    if clash := {out, "__row", "__done", "tried", "h_row"} & set(docs.columns):
-        raise ValueError(f"rename columns {sorted(clash)}")
-    numbered = docs.withColumn("__row", row_id(docs.sparkSession))
-    found = numbered.select(F.col("__row").alias("row"), found_in(F.col(text_col)).alias("e")).where(F.size("e") > 0)
+    """``docs`` with the text rewritten, then the struct ``out`` (n_entities, kinds)."""
+    out, number, done_, tried, h_row = (fresh(n, docs.columns) for n in (out, "row_number_", "done", "tried", "h_row"))
+    numbered = docs.withColumn(number, row_id(docs.sparkSession))
+    found = numbered.select(F.col(number).alias("row"), found_in(F.col(text_col)).alias("e")).where(F.size("e") > 0)
     found = written(found.select("row", F.flatten(F.transform("e", atoms_of)).alias("atoms")), "entity-rows")
     exceptions = written(attempts(entities(found), key).where("attempt > 0").select("kind", "value", "attempt"), "exceptions")
     hit = found.select("row", F.explode(F.array_distinct("atoms")).alias("a")).select("row", "a.*")
     hit = hit.join(exceptions, ["kind", "value"]).groupBy("row").agg(F.collect_list(F.struct("kind", "value", "attempt")).alias("tried"))
-    hit = written(hit.select(F.col("row").alias("h_row"), F.col("tried").cast(TRIED).alias("tried")), "excepted-rows")
-    joined = numbered.join(hit, numbered["__row"] == hit["h_row"], "left") if not hit.isEmpty() else numbered.withColumn("tried", F.lit(None).cast(TRIED))
-    done = joined.withColumn("__done", rewritten(F.col(text_col), F.coalesce("tried", F.array().cast(TRIED)), key))
-    return done.select(*[F.col("__done.text").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns],
-                       F.struct("__done.n_entities", "__done.kinds").alias(out))
+    hit = written(hit.select(F.col("row").alias(h_row), F.col("tried").cast(TRIED).alias(tried)), "excepted-rows")
+    joined = numbered.join(hit, numbered[number] == hit[h_row], "left") if not hit.isEmpty() else numbered.withColumn(tried, F.lit(None).cast(TRIED))
+    done = joined.withColumn(done_, rewritten(F.col(text_col), F.coalesce(tried, F.array().cast(TRIED)), key))
+    return done.select(*[F.col(f"{done_}.text").alias(c) if c == text_col else own for c, own in zip(docs.columns, columns(docs.columns))],
+                       F.struct(f"{done_}.n_entities", f"{done_}.kinds").alias(out))

@@ -18,8 +18,9 @@ its measured size allows, else the join's hot keys are split at run time.
 
 Defined cases: a null text has no words and fails; null languages and sources
 are groups of their own; repeated rows get equal verdicts; an empty table gives
-an empty result; metric columns are added under one struct, so input columns of
-any name stay as they are.
+an empty result; metric columns are added under one struct, which takes
+underscores at the end of its name where an input column has that name, so
+input columns of any name stay as they are.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import let, null_safe, words_of, written
+from .common import columns, fresh, let, null_safe, words_of, written
 
 # Fixed values of the base rules.
 MIN_WORDS = 20
@@ -149,24 +150,24 @@ def thresholds(sketch: DataFrame, lang: str = "lang", source: str = "source") ->
 
 def with_verdict(docs: DataFrame, text_col: str = "text", lang: str = "lang", source: str = "source",
                  keep: list[str] | None = None, out: str = "quality") -> DataFrame:
-    """``keep`` columns (default: all) with the struct ``out`` (metrics) and its
+    """``keep`` columns (default: all), then the struct ``out`` (metrics) and its
     verdict in ``out_kept``. The measured rows are written once and read twice."""
-    columns = docs.columns if keep is None else keep
-    needed = list(dict.fromkeys([*columns, lang, source, text_col]))
-    measured = with_metrics(docs.select(*needed), text_col, out)
-    measured = written(measured.select(*[c for c in needed if c in columns or c in (lang, source)], out), "quality-metrics")
+    kept = docs.columns if keep is None else keep
+    needed = list(dict.fromkeys([*kept, lang, source, text_col]))
+    out = fresh(out, needed)
+    measured = with_metrics(docs.select(*columns(needed)), text_col, out)
+    measured = written(measured.select(*columns([c for c in needed if c in kept or c in (lang, source)]), out), "quality-metrics")
     limits = thresholds(sketches(measured, [lang, source], out), lang, source)
-    limits = limits.select(F.col(lang).alias("__lang"), F.col(source).alias("__source"), F.struct(*RULES).alias("__limits"))
-    judged = measured.join(limits, measured[lang].eqNullSafe(limits["__lang"]) & measured[source].eqNullSafe(limits["__source"]), "left")
+    l_lang, l_source, l_limits = (fresh(n, measured.columns) for n in ("l_lang", "l_source", "l_limits"))
+    limits = limits.select(F.col(lang).alias(l_lang), F.col(source).alias(l_source), F.struct(*RULES).alias(l_limits))
+    judged = measured.join(limits, measured[lang].eqNullSafe(limits[l_lang]) & measured[source].eqNullSafe(limits[l_source]), "left")
     within = F.lit(True)
     for r in RULES:
-        within = within & F.coalesce(F.col(f"{out}.{r}") <= F.col(f"__limits.{r}"), F.lit(True))
-    return judged.select(*columns, out, (~F.col(f"{out}.base_failed") & within).alias(f"{out}_kept"))
+        within = within & F.coalesce(F.col(f"{out}.{r}") <= F.col(f"{l_limits}.{r}"), F.lit(True))
+    return judged.select(*columns(kept), out, (~F.col(f"{out}.base_failed") & within).alias(fresh(f"{out}_kept", kept)))
 
 
 def filter_quality(docs: DataFrame, text_col: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """The documents that pass, with their own columns."""
-    name = "quality"
-    while name in docs.columns or f"{name}_kept" in docs.columns:
-        name = f"_{name}"
-    return with_verdict(docs, text_col, lang, source, out=name).where(f"`{name}_kept`").select(*docs.columns)
+    judged = with_verdict(docs, text_col, lang, source)
+    return judged.where(F.col(judged.columns[-1])).select(*columns(docs.columns))

@@ -34,7 +34,7 @@ def op5_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = pii_surrogates.replace_entities(table(spark, sf_dir, "documents"))
+    done = pii_surrogates.replace_entities(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return done.select("doc_id", "text", F.col("pii.n_entities").alias("n_entities"), F.col("pii.kinds").alias("kinds"))
 
 

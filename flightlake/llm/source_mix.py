@@ -26,9 +26,9 @@ table only when its measured size allows.
 Defined cases: a null text has 0 words; documents without words are taken with
 their block at no cost; a null source is a source, last in the order; exact
 repetitions of a row share its hash and move together; an empty table, or one
-without words, gives an empty mix with the same columns. Added columns have
-names starting with ``mix_``; a clash with an input column raises an error
-rather than overwriting it.
+without words, gives an empty mix with the same columns. The two added columns
+come last and take underscores at the end of their names where an input column
+has that name.
 """
 
 from __future__ import annotations
@@ -38,7 +38,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD_RX, let, written
+from .common import WORD_RX, columns, fresh, let, written
 
 # Fixed values of the mix.
 WEIGHTS = (5, 2, 1)
@@ -231,29 +231,31 @@ def mix_plan(sizes: DataFrame, goals: DataFrame, shards: int = SHARDS, seed: int
 
 
 def copies(rows: DataFrame, plan: DataFrame, source_col: str, block_col: str, key_col: str, seed: int = SEED) -> DataFrame:
-    """``rows`` once for each draw that takes them, with ``mix_shard`` and the
-    random place ``mix_order`` within it."""
-    p = plan.select(F.col("source").alias("mix_source"), F.col("block").alias("mix_block_"), F.col("draws").alias("mix_draws"))
-    j = rows.join(p, rows[source_col].eqNullSafe(p["mix_source"]) & (rows[block_col] == p["mix_block_"]))
-    hit = F.filter("mix_draws", lambda d: d["cut"].isNull() | (F.col(key_col) <= d["cut"]))
-    return j.select(*[rows[c] for c in rows.columns], F.explode(hit).alias("mix_draw")).select(
-        *rows.columns, F.col("mix_draw.shard").alias("mix_shard"),
-        F.xxhash64(F.lit(seed), F.col(key_col), F.col("mix_draw.pass")).alias("mix_order"))
+    """``rows`` once for each draw that takes them, then the shard (``mix_shard``)
+    and the random place within it (``mix_order``)."""
+    source, block, all_draws, draw, shard, order = (
+        fresh(n, rows.columns) for n in ("p_source", "p_block", "p_draws", "p_draw", "mix_shard", "mix_order"))
+    p = plan.select(F.col("source").alias(source), F.col("block").alias(block), F.col("draws").alias(all_draws))
+    j = rows.join(p, rows[source_col].eqNullSafe(p[source]) & (rows[block_col] == p[block]))
+    hit = F.filter(all_draws, lambda d: d["cut"].isNull() | (F.col(key_col) <= d["cut"]))
+    return j.select(*columns(rows.columns), F.explode(hit).alias(draw)).select(
+        *columns(rows.columns), F.col(f"{draw}.shard").alias(shard),
+        F.xxhash64(F.lit(seed), F.col(key_col), F.col(f"{draw}.pass")).alias(order))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         shards: int = SHARDS, seed: int = SEED) -> DataFrame:
     """The mix: documents with repetitions, in shard order and shuffled inside
-    every shard, with ``mix_shard`` and ``mix_order``. Writing it with
-    ``partitionBy("mix_shard")`` makes the shard folders."""
-    if clash := [c for c in docs.columns if c.startswith("mix_")]:
-        raise ValueError(f"rename columns that start with mix_: {clash}")
+    every shard; the last two columns are ``mix_shard`` and ``mix_order``. Writing
+    it with ``partitionBy("mix_shard")`` makes the shard folders."""
     sizes = sized(docs, id_col, text_col, source_col, seed)
     plan = mix_plan(sizes, targets(sizes), shards, seed)
     key = doc_key(id_col, text_col, seed)
-    rows = docs.withColumn("mix_key", key).withColumn("mix_block", block_of(key))
-    out = copies(rows, plan, source_col, "mix_block", "mix_key", seed).drop("mix_key", "mix_block")
-    return out.repartitionByRange("mix_shard", "mix_order").sortWithinPartitions("mix_shard", "mix_order")
+    k, b = (fresh(n, docs.columns) for n in ("d_key", "d_block"))
+    rows = docs.withColumn(k, key).withColumn(b, block_of(key))
+    out = copies(rows, plan, source_col, b, k, seed).drop(k, b)
+    place = out.columns[-2:]
+    return out.repartitionByRange(*place).sortWithinPartitions(*place)
 
 
 def mix_summary(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",

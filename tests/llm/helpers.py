@@ -37,3 +37,13 @@ def messy(spark):
 
 def empty(spark):
     return store(spark, [])
+
+
+# Columns named like those that operators add to whole rows or use beside them.
+CLASHING = SCHEMA + (", mix_shard int, mix_order long, Mix_Source string, p_block int, p_draws string, d_key long, quality string, "
+                     "quality_kept string, l_limits string, l_lang string, pii string, tried string, h_row long, done string, "
+                     "row_number_ long, dropped_row long, `a.b` string")
+
+
+def clashing(spark):
+    return store(spark, [r + (None,) * 8 + tuple(range(2)) + ("c", 3, "d", 4, "q", "k", "l", "m", "p", "t", 5, "e", 6, 7, "dot") for r in text_rows()], CLASHING)

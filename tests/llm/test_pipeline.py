@@ -8,7 +8,7 @@ from flightlake.llm.oracle import ORACLE
 from flightlake.llm.queries import QUERIES
 from flightlake.llm import bpe_codec
 
-from .helpers import empty
+from .helpers import clashing, empty, text_rows
 
 
 def same(spark_df, sql, sf):
@@ -75,3 +75,23 @@ def test_pipeline_stages(spark, sf_small):
 def test_stages_take_empty_tables(spark, sf_small):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty(spark), sf_small).count() == 0
+
+
+def test_columns_with_the_operators_own_names(spark, sf_small):
+    """Extra columns keep names and values; what an operator adds steps aside."""
+    from flightlake.llm import pii_surrogates, quality_rules, source_mix
+    docs = clashing(spark)
+    own = docs.columns[12:]
+    first = list(docs.first())[12:]
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, sf_small)
+        rows = out.collect()
+        assert out.columns == docs.columns and rows
+        assert all(list(r)[12:] == first for r in rows)
+    assert corpus_pipeline.encoded(spark, docs, sf_small).count() == len(text_rows())
+    added = {quality_rules.with_verdict: ["quality_", "quality__kept"], source_mix.mix: ["mix_shard_", "mix_order_"],
+             pii_surrogates.replace_entities: ["pii_"]}
+    for operator, names in added.items():
+        out = operator(docs)
+        assert out.columns == docs.columns + names
+        assert all(list(r)[12:12 + len(own)] == first for r in out.collect())

@@ -143,3 +143,24 @@ def test_long_texts_are_cut_where_words_end():
     for size in (1, 7, 100, 5000):
         assert "".join(length_histogram.parts(text, size)) == text
         assert sum(len(encode(p)) for p in length_histogram.parts(text, size)) == len(encode(text))
+
+
+def test_many_places_of_a_notice_in_one_text():
+    """Places of one notice are compared with their neighbours only."""
+    notice = "released under the mit license"
+    text = " and ".join([notice, notice.replace("mit", "mti")] * 1_000)
+    n, hits = license_scan.hits_of(text)
+    own = [h for h in hits if h["label"] == "mit"]
+    assert n == 6 * 2_000 - 1 and [h["word"] for h in own] == list(range(0, n, 6))
+    assert [h["edits"] for h in own] == [0, 2] * 1_000
+
+
+def test_training_rows_that_share_ids(spark):
+    """The bounded fit takes the same rows whether or not hashes are spread."""
+    from flightlake.llm import pairwise_quality
+    rows = [(1, False, 0)] * 90 + [(i, False, 1) for i in range(10, 100)]
+    cols = [f"cast(id + {k} as double) as {f}" for k, f in enumerate(pairwise_quality.FEATURES)]
+    docs = spark.createDataFrame([(i,) for i in [1, *range(10, 100)]], "id long").selectExpr("id", "false as held_out", *cols)
+    labels = spark.createDataFrame([(i, q) for i, _, q in rows], "doc_id long, quality int")
+    ranker = pairwise_quality.fit(docs, labels, max_rows=5)
+    assert any(ranker.weights)
