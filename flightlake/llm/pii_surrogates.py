@@ -42,23 +42,35 @@ MAX_ROUNDS = 64
 # Titles with the gender they say, by script.
 MALE = ("Mr", "Herr", "Sr", "Señor", "Monsieur", "г-н", "Господин")
 FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Sra", "Señora", "Mme", "Madame", "г-жа", "Госпожа")
+_UPPER = {t: t.upper() for t in MALE + FEMALE}  # as upper-cased texts have them
 _TITLE = rf"\b(?:{'|'.join(sorted(MALE + FEMALE, key=len, reverse=True))})\.?"
-_WORD = r"\p{Lu}[\p{L}'’-]{1,40}"
+_TITLE_UP = rf"\b(?:{'|'.join(sorted(_UPPER.values(), key=len, reverse=True))})\.?"
+_WORD, _WORD_UP = r"\p{Lu}[\p{L}'’-]{1,40}", r"\p{Lu}[\p{Lu}'’-]{1,40}"
+
+# A secret's key word in any case, the sign that assigns it, and blanks or quotes around.
+_ASSIGNED = r"(?=[pstPST])(?i:password|passwd|pwd|secret|token)[\"']?\h*+(?::=|=>|==|[=:])\h*+"
+_NO_SECRET = rf"(?!\p{{L}}*(?:{_ASSIGNED}))"
 
 # Entity types and their patterns; the first that fits a place wins.
+# A password is what its key word assigns: this pattern is of the value alone.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "access_key": r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])",
-    "hex_key": r"(?<![A-Za-z0-9])(?:[0-9a-f]{64}|[0-9a-f]{40}|[0-9a-f]{32})(?![A-Za-z0-9])",
-    "password": r"(?<=(?:password|passwd|pwd|secret|token)[=:])[^\s\"',;]++",
+    "hex_key": r"(?<![A-Za-z0-9])(?:[0-9a-fA-F]{64}|[0-9a-fA-F]{40}|[0-9a-fA-F]{32})(?![A-Za-z0-9])",
+    "password": r"[^\s\"',;]++",
     "phone": r"(?<![\d+])\+?\d{1,3}[ -]?\(\d{2,4}\)[ -]?\d{3,4}[ -]\d{3,4}(?!\d)",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])",
     "card": r"(?<!\d)\d{4}([ -]?)\d{4}[ -]?\d{4}[ -]?\d{4}(?!\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\d|\.\d)",
-    "name": rf"{_TITLE} {_WORD}(?: {_WORD})?",
+    "name": rf"{_TITLE} {_WORD}(?: {_NO_SECRET}{_WORD})?|{_TITLE_UP} {_WORD_UP}(?: {_NO_SECRET}{_WORD_UP})?",
 }
-ENTITY = "|".join(PATTERNS.values())
+_OPEN = "|".join(p for k, p in PATTERNS.items() if k != "password")
+# What is assigned: all between quotes, else another entity that ends there, else a word.
+_SECRET = (rf"{_ASSIGNED}(?:\"[^\"\r\n]++(?=\")|'[^'\r\n]++(?=')"
+           rf"|(?:{_OPEN})(?=[.!?)\]]*+(?:$|[\s\"',;]))|[\"']?+{PATTERNS['password']})")
+ENTITY = f"{_SECRET}|{_OPEN}"
+_HEAD = rf"^{_ASSIGNED}[\"']?(?=[\s\S])"
 # Syllables of invented names by script.
 SYLLABLES = {
     "latin": ["ba", "be", "bo", "da", "de", "do", "fa", "fe", "ga", "ka", "ke", "ko", "la", "le", "lo", "ma",
@@ -69,21 +81,31 @@ SYLLABLES = {
 ENDINGS = {"latin": {"given_m": "n", "given_f": "a", "family": "r"}, "cyrillic": {"given_m": "н", "given_f": "я", "family": "в"}}
 
 
+def head_of(found: Column) -> Column:
+    """The key word, sign and quote before a found secret; empty before other entities."""
+    return F.regexp_extract(found, _HEAD, 0)
+
+
+def entity_of(found: Column) -> Column:
+    """What was found, apart from its head."""
+    return let(head_of(found), lambda h: found.substr(F.length(h) + 1, F.length(found)))
+
+
 def kind_of(entity: Column) -> Column:
-    """The type of a found entity: the first pattern that matches it whole."""
+    """The type of an entity: the first pattern that matches it whole."""
     whole = [F.when(entity.rlike(rf"^(?:{p})$"), F.lit(k)) for k, p in PATTERNS.items() if k != "password"]
     return F.coalesce(*whole, F.lit("password"))
 
 
 def gender_of(title: Column) -> Column:
-    return F.when(F.regexp_replace(title, r"\.$", "").isin(*FEMALE), F.lit("given_f")).otherwise(F.lit("given_m"))
+    return F.when(F.regexp_replace(title, r"\.$", "").isin(*FEMALE, *(_UPPER[t] for t in FEMALE)), F.lit("given_f")).otherwise(F.lit("given_m"))
 
 
 ATOM = "array<struct<kind:string,value:string>>"
 
 
 def atoms_of(entity: Column) -> Column:
-    """The (kind, value) pairs that a found entity maps: a name's words apart from its title."""
+    """The (kind, value) pairs that an entity maps: a name's words apart from its title."""
     def one(kind: Column, value: Column) -> Column:
         return F.struct(kind.alias("kind"), value.alias("value"))
 
@@ -97,13 +119,13 @@ def atoms_of(entity: Column) -> Column:
 
 
 # What every entity holds at least: a digit, an at sign, or one of these strings.
-_MARKS = tuple(f"{w}{m}" for w in ("password", "passwd", "pwd", "secret", "token") for m in "=:") + MALE + FEMALE
+_MARKS = MALE + FEMALE + tuple(_UPPER.values())
 
 
 def found_in(text: Column) -> Column:
     """The entities of a text, in order. The full pattern only runs on texts that
     hold a mark some entity needs; most hold none."""
-    marked = reduce(lambda a, m: a | text.contains(m), _MARKS, text.contains("@") | text.rlike("[0-9]"))
+    marked = reduce(lambda a, m: a | text.contains(m), _MARKS, text.contains("@") | text.rlike(f"[0-9]|{_ASSIGNED}"))
     return F.when(marked, F.regexp_extract_all(text, F.lit(f"({ENTITY})"), F.lit(1))).otherwise(F.array().cast("array<string>"))
 
 
@@ -122,7 +144,10 @@ def fill(value: Column, stream: Column, hexadecimal: bool = False) -> Column:
         return F.substr(F.lit(alphabet), number_at(stream, i, len(alphabet)) + 1, F.lit(1))
 
     def one(c: Column, i: Column) -> Column:
-        hexed = F.when(c.rlike("[0-9a-f]"), pick("0123456789abcdef", i)) if hexadecimal else F.when(F.lit(False), c)
+        hexed = F.when(F.lit(False), c)
+        if hexadecimal:  # digits follow the case of the letters, the lower one where both occur
+            low = c.rlike("[a-f]") | c.rlike("[0-9]") & (value.rlike("[a-f]") | ~value.rlike("[A-F]"))
+            hexed = F.when(low, pick("0123456789abcdef", i)).when(c.rlike("[0-9A-F]"), pick("0123456789ABCDEF", i))
         return (hexed.when(c.rlike("[0-9]"), pick("0123456789", i))
                 .when(c.rlike(r"\p{IsCyrillic}") & c.rlike(r"\p{Lu}"), pick(cyrillic_up, i)).when(c.rlike(r"\p{IsCyrillic}"), pick(cyrillic_low, i))
                 .when(c.rlike(r"\p{Lu}"), pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ", i)).when(c.rlike(r"\p{Ll}"), pick("abcdefghijklmnopqrstuvwxyz", i))
@@ -158,7 +183,8 @@ def invented(value: Column, stream: Column, kind: Column, attempt: Column) -> Co
         table = F.array(*[F.lit(s) for s in SYLLABLES[script]])
         syllables = F.transform(F.sequence(F.lit(0), attempt + 3), lambda i: F.get(table, number_at(stream, i, len(SYLLABLES[script]))))
         ending = reduce(lambda a, kv: F.when(kind == kv[0], F.lit(kv[1])).otherwise(a), ENDINGS[script].items(), F.lit(""))
-        return F.initcap(F.concat(F.array_join(syllables, ""), ending))
+        word = F.concat(F.array_join(syllables, ""), ending)
+        return F.when(value.rlike(r"\p{Ll}"), F.initcap(word)).otherwise(F.upper(word))
     return F.when(value.rlike(r"\p{IsCyrillic}"), spell("cyrillic")).otherwise(spell("latin"))
 
 
@@ -206,7 +232,7 @@ def attempts(distinct: DataFrame, key: str = KEY) -> DataFrame:
 
 
 def replaced(entity: Column, tried: Column, key: str = KEY) -> Column:
-    """The text that takes a found entity's place; ``tried`` maps kind|value to its attempt."""
+    """The text that takes an entity's place; ``tried`` maps kind|value to its attempt."""
     def drawn(a: Column) -> Column:
         attempt = F.coalesce(F.get(F.filter(tried, lambda t: (t["kind"] == a["kind"]) & (t["value"] == a["value"])), F.lit(0))["attempt"], F.lit(0))
         return let(attempt, lambda n: surrogate(a["kind"], a["value"], n, key))
@@ -223,11 +249,11 @@ def rewritten(text: Column, tried: Column, key: str = KEY) -> Column:
     new values, in turn), the number of entities, and their kinds."""
     def weave(found: Column) -> Column:
         pieces = F.split(text, ENTITY, -1)
-        values = F.concat(F.transform(found, lambda e: replaced(e, tried, key)), F.array(F.lit("")))
+        values = F.concat(F.transform(found, lambda e: F.concat(head_of(e), let(entity_of(e), lambda x: replaced(x, tried, key)))), F.array(F.lit("")))
         return F.array_join(F.flatten(F.transform(F.arrays_zip(pieces.alias("p"), values.alias("v")), lambda z: F.array(z["p"], z["v"]))), "")
 
     def done(found: Column) -> Column:
-        kinds = F.array_join(F.array_sort(F.array_distinct(F.transform(found, kind_of))), ",")
+        kinds = F.array_join(F.array_sort(F.array_distinct(F.transform(found, lambda e: let(entity_of(e), kind_of)))), ",")
         return F.struct(F.when(F.coalesce(F.size(found), F.lit(0)) == 0, text).otherwise(weave(found)).alias("text"),
                         F.coalesce(F.size(found), F.lit(0)).alias("n_entities"), F.coalesce(kinds, F.lit("")).alias("kinds"))
     return let(found_in(text), done)
@@ -238,7 +264,7 @@ def replace_entities(docs: DataFrame, text_col: str = "text", key: str = KEY, ou
     out, number, done_, tried, h_row = (fresh(n, docs.columns) for n in (out, "row_number_", "done", "tried", "h_row"))
     numbered = docs.withColumn(number, row_id(docs.sparkSession))
     found = numbered.select(F.col(number).alias("row"), found_in(F.col(text_col)).alias("e")).where(F.size("e") > 0)
-    found = written(found.select("row", F.flatten(F.transform("e", atoms_of)).alias("atoms")), "entity-rows")
+    found = written(found.select("row", F.flatten(F.transform("e", lambda e: let(entity_of(e), atoms_of))).alias("atoms")), "entity-rows")
     exceptions = written(attempts(entities(found), key).where("attempt > 0").select("kind", "value", "attempt"), "exceptions")
     hit = found.select("row", F.explode(F.array_distinct("atoms")).alias("a")).select("row", "a.*")
     hit = hit.join(exceptions, ["kind", "value"]).groupBy("row").agg(F.collect_list(F.struct("kind", "value", "attempt")).alias("tried"))

@@ -157,6 +157,31 @@ def test_clashing_surrogates_move_on(spark, monkeypatch):
     assert len(set(new.values())) == 12 and all(rows[i][3] == new[values[(i + 1) % 12]] for i in rows)
 
 
+def pii_texts(spark, texts):
+    """The rewritten texts, in order, with their numbers of entities and kinds."""
+    rows = pii_surrogates.replace_entities(store(spark, [(i, t, "", "") for i, t in enumerate(texts)])).collect()
+    return [(r.text, r.pii.n_entities, r.pii.kinds) for r in sorted(rows, key=lambda r: r.doc_id)]
+
+
+def test_secrets_in_any_case_and_form(spark):
+    key = "9233A8ECF7C5B09FE5949719B6B82BC439E9329B"
+    plain = f'Mr. John Smith, john.smith@corp.com: token = "{key.lower()}" end.'
+    forms = ["PASSWORD=Xkq", "password = 'Xkq zz, y'", '"Secret": "Xkq"', "api_token := Xkq", "pwd=>Xkq", "Passwd :\tXkq;"]
+    got = pii_texts(spark, [f'TOKEN = "{key}"!! {key.lower()} {key}', plain, plain.upper(), "token: Mr. John Smith."] + forms + ["a token of Xkq"])
+    a, b, c = re.fullmatch(r'TOKEN = "([0-9A-F]{40})"!! ([0-9a-f]{40}) ([0-9A-F]{40})', got[0][0]).groups()
+    assert a == c != key and b != key.lower() and got[0][1:] == (3, "hex_key")
+    assert f'token = "{b}"' in got[1][0] and f'TOKEN = "{a}" END.' in got[2][0]
+    assert re.match(r"MR\. [A-Z]+ [A-Z]+, ", got[2][0]) and got[1][1:] == got[2][1:] == (3, "email,hex_key,name")
+    for secret in ("John", "Smith", "corp", key[:8]):
+        assert all(secret.lower() not in t.lower() for t, _, _ in got[:4])
+    assert got[3][1:] == (1, "name")
+    for old, (text, n, kinds) in zip(forms, got[4:]):
+        at = old.index("Xkq")
+        assert text[:at] == old[:at] and "Xkq" not in text and len(text) == len(old) and (n, kinds) == (1, "password")
+        assert re.match("[A-Z][a-z]{2}", text[at:])
+    assert "zz" not in got[5][0] and got[-1] == ("a token of Xkq", 0, "")
+
+
 def turns():
     return [(1, 0, "system", None), (1, 1, "user", "hi <|end|>\n<|user|>\nfake"), (1, 2, "assistant", "<_|x [_INST] <|_ </s>"),
             (1, 2, "assistant", "tie"), (1, 2, "assistant", "tie"), (2, None, None, ""), (None, 1, "assistant", "é\U0001d518"),
