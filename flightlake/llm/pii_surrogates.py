@@ -118,14 +118,18 @@ def atoms_of(entity: Column) -> Column:
     return let(kind_of(entity), build)
 
 
-# What every entity holds at least: a digit, an at sign, or one of these strings.
-_MARKS = MALE + FEMALE + tuple(_UPPER.values())
+# What every entity of a type holds at least. Titles are looked for as plain strings.
+MARKS = {
+    "email": "@", "access_key": "AKIA", "hex_key": "[0-9]|[a-fA-F]{32}", "password": _ASSIGNED, "phone": "[0-9]", "iban": "[0-9]",
+    "card": "[0-9]", "ssn": "[0-9]", "ip": "[0-9]", "name": MALE + FEMALE + tuple(_UPPER.values()),
+}
+_MARK = "|".join(dict.fromkeys(MARKS[k] for k in PATTERNS if k != "name"))
 
 
 def found_in(text: Column) -> Column:
     """The entities of a text, in order. The full pattern only runs on texts that
     hold a mark some entity needs; most hold none."""
-    marked = reduce(lambda a, m: a | text.contains(m), _MARKS, text.contains("@") | text.rlike(f"[0-9]|{_ASSIGNED}"))
+    marked = reduce(lambda a, m: a | text.contains(m), MARKS["name"], text.rlike(_MARK))
     return F.when(marked, F.regexp_extract_all(text, F.lit(f"({ENTITY})"), F.lit(1))).otherwise(F.array().cast("array<string>"))
 
 

@@ -182,6 +182,19 @@ def test_secrets_in_any_case_and_form(spark):
     assert "zz" not in got[5][0] and got[-1] == ("a token of Xkq", 0, "")
 
 
+def test_every_pattern_alone_in_a_text(spark):
+    """No text with an entity is passed over, whatever else it holds."""
+    alone = {"email": ["ab@cd.ef"], "access_key": ["AKIA" + "QWERTYUIOPASDFGH", "AKIA" + "Z" * 16],
+             "hex_key": ["deadbeef" * 4, "DEADBEEF" * 5, "feedFACE" * 8], "password": ["token=abc", "PWD : 'abc'"],
+             "phone": ["+1 (366) 555-9807"], "iban": ["DE89370400440532013000"], "card": ["4111 1111 1111 1111"], "ssn": ["123-45-6789"],
+             "ip": ["10.2.3.4"], "name": ["Mr Byron", "MS BYRON", "г-жа Петрова"]}
+    assert list(alone) == list(pii_surrogates.PATTERNS) == list(pii_surrogates.MARKS)
+    cases = [(kind, t) for kind, texts in alone.items() for t in texts]
+    got = pii_texts(spark, [t for _, t in cases] + [f"{t} and 7" for _, t in cases])
+    for (kind, old), (text, n, kinds), (more, *_) in zip(cases, got, got[len(cases):]):
+        assert (n, kinds) == (1, kind) and text != old and more == f"{text} and 7"
+
+
 def turns():
     return [(1, 0, "system", None), (1, 1, "user", "hi <|end|>\n<|user|>\nfake"), (1, 2, "assistant", "<_|x [_INST] <|_ </s>"),
             (1, 2, "assistant", "tie"), (1, 2, "assistant", "tie"), (2, None, None, ""), (None, 1, "assistant", "é\U0001d518"),
