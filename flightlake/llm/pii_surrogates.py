@@ -13,8 +13,11 @@ and "Ms Byron" still name one person.
 entities are replaced alike in all documents. *Distinctness*: all distinct
 entities are checked for replacements that two of them share or that are
 themselves a value of the corpus; all but the smallest value of a clash move to
-the next attempt and the check repeats until none is left. Only these exceptions
-(a handful) are joined back to the documents that hold them.
+the next attempt and the check repeats until none is left. Replacements grow with
+the attempt (names, e-mails and passwords from the first one on, fixed forms after
+``SAME_FORM``), so no kind runs out of them; a value without any letter or digit
+grows at once. Only these exceptions (a handful) are joined back to the documents
+that hold them.
 
 Scale: one scan writes the entities found (rows without any are not written);
 the check shuffles distinct entities, reduced map-side; the second scan rewrites
@@ -30,6 +33,7 @@ an input column has that name. ``docs`` has to be a stored table.
 from __future__ import annotations
 
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,7 +41,7 @@ from pyspark.sql import functions as F
 from .common import columns, fresh, let, row_id, written
 
 KEY = "surrogate-key-1"
-MAX_ROUNDS = 64
+SAME_FORM = 8  # attempts of a fixed form (phones, cards, keys) before it grows
 
 # Titles with the gender they say, by script.
 MALE = ("Mr", "Herr", "Sr", "Señor", "Monsieur", "г-н", "Господин")
@@ -78,6 +82,12 @@ SYLLABLES = {
     "cyrillic": ["ба", "бе", "бо", "да", "де", "до", "фа", "фе", "га", "ка", "ке", "ко", "ла", "ле", "ло", "ма",
                  "ме", "мо", "на", "не", "но", "па", "пе", "ра", "ре", "ро", "са", "се", "со", "та", "те", "то"],
 }
+# Letters of scripts without case; those of other scripts become Latin ones.
+CASELESS = {
+    "Han": "山水火木金土日月天人大小中上下左右前後東西南北春夏秋冬", "Hiragana": "あいうえおかきくけこさしすせそたちつてと",
+    "Katakana": "アイウエオカキクケコサシスセソタチツテト", "Hangul": "가나다라마바사아자차카타파하고노도로모보소오",
+    "Arabic": "ابتثجحخدذرزسشصضطظعغفقكلمنهوي", "Hebrew": "אבגדהוזחטיכלמנסעפצקרשת",
+}
 ENDINGS = {"latin": {"given_m": "n", "given_f": "a", "family": "r"}, "cyrillic": {"given_m": "н", "given_f": "я", "family": "в"}}
 
 
@@ -143,6 +153,7 @@ def number_at(stream: Column, i: Column, below: int) -> Column:
 def fill(value: Column, stream: Column, hexadecimal: bool = False) -> Column:
     """Every digit and letter replaced by one of its class, case and script."""
     cyrillic_low, cyrillic_up = "абвгдежзиклмнопрстуфхцчшэюя", "АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЭЮЯ"
+    letters = "abcdefghijklmnopqrstuvwxyz"
 
     def pick(alphabet: str, i: Column) -> Column:
         return F.substr(F.lit(alphabet), number_at(stream, i, len(alphabet)) + 1, F.lit(1))
@@ -152,13 +163,21 @@ def fill(value: Column, stream: Column, hexadecimal: bool = False) -> Column:
         if hexadecimal:  # digits follow the case of the letters, the lower one where both occur
             low = c.rlike("[a-f]") | c.rlike("[0-9]") & (value.rlike("[a-f]") | ~value.rlike("[A-F]"))
             hexed = F.when(low, pick("0123456789abcdef", i)).when(c.rlike("[0-9A-F]"), pick("0123456789ABCDEF", i))
-        return (hexed.when(c.rlike("[0-9]"), pick("0123456789", i))
+        caseless = reduce(lambda a, kv: a.when(c.rlike(rf"\p{{Is{kv[0]}}}"), pick(kv[1], i)), CASELESS.items(), F.when(F.lit(False), c)).otherwise(pick(letters, i))
+        return (hexed.when(c.rlike(r"\p{N}"), pick("0123456789", i))
                 .when(c.rlike(r"\p{IsCyrillic}") & c.rlike(r"\p{Lu}"), pick(cyrillic_up, i)).when(c.rlike(r"\p{IsCyrillic}"), pick(cyrillic_low, i))
-                .when(c.rlike(r"\p{Lu}"), pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ", i)).when(c.rlike(r"\p{Ll}"), pick("abcdefghijklmnopqrstuvwxyz", i))
-                .otherwise(c))
+                .when(c.rlike(r"\p{Lu}"), pick(letters.upper(), i)).when(c.rlike(r"\p{Ll}"), pick(letters, i))
+                .when(c.rlike(r"\p{L}"), caseless).otherwise(c))
     return F.array_join(F.transform(F.split(value, "(?<=.)(?=.)"), one), "")
 
 
+def grown(value: Column, n: Column) -> Column:
+    """``value`` and ``n`` more of its last letter or digit, for ``fill`` to draw;
+    where it has none, one more letter than that."""
+    last = F.regexp_extract(value, r"([\p{L}\p{N}])[^\p{L}\p{N}]*$", 1)
+    return F.concat(value, let(last, lambda c: F.when(c == "", F.repeat(F.lit("a"), n + 1)).otherwise(F.repeat(c, n))))
+
+
 def after(value: Column, prefix: str, stream: Column) -> Column:
     """``fill`` of what follows the part that matches ``prefix``."""
     head = F.regexp_extract(value, f"^(?:{prefix})", 0)
@@ -172,13 +191,13 @@ def luhn_sum(digits: Column) -> Column:
     return F.aggregate(doubled, F.lit(0), lambda a, x: a + x)
 
 
-def card(value: Column, stream: Column) -> Column:
-    """Same scheme digit and grouping; passes the Luhn check if the value does."""
+def card(value: Column, wide: Column, stream: Column) -> Column:
+    """Same scheme digit and grouping as ``wide``; passes the Luhn check if the value does."""
     def mended(filled: Column) -> Column:
         body = filled.substr(F.lit(1), F.length(filled) - 1)
         check = F.pmod(10 - luhn_sum(F.concat(F.regexp_replace(body, "[ -]", ""), F.lit("0"))), F.lit(10))
         return F.when(luhn_sum(F.regexp_replace(value, "[ -]", "")) % 10 == 0, F.concat(body, check.cast("string"))).otherwise(filled)
-    return let(after(value, r"\d", stream), mended)
+    return let(after(wide, r"\d", stream), mended)
 
 
 def invented(value: Column, stream: Column, kind: Column, attempt: Column) -> Column:
@@ -194,15 +213,22 @@ def invented(value: Column, stream: Column, kind: Column, attempt: Column) -> Co
 
 def surrogate(kind: Column, value: Column, attempt: Column, key: str = KEY) -> Column:
     """The replacement of one (kind, value) at an attempt."""
+    more = F.greatest(attempt - SAME_FORM, F.lit(0))
+    wide = F.when(more > 0, grown(value, more)).otherwise(value)
+
     def draw(stream: Column) -> Column:
-        octets = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: (number_at(stream, i, 223) + 1).cast("string")), ".")
+        octets = F.array_join(F.transform(F.sequence(F.lit(0), more + 3), lambda i: (number_at(stream, i, 223) + 1).cast("string")), ".")
         reserved = r"\.example\.(?:com|org|net)$"
         suffix = F.when(value.rlike(reserved), F.regexp_extract(value, reserved, 0)).otherwise(F.regexp_extract(value, r"\.[^.]+$", 0))
-        email = let(suffix, lambda s: F.concat(fill(value.substr(F.lit(1), F.length(value) - F.length(s)), stream), s))
-        return (F.when(kind == "email", email).when(kind == "phone", after(value, r"\+?\d{1,3}", stream)).when(kind == "card", card(value, stream))
-                .when(kind == "ip", octets).when(kind == "access_key", after(value, "AKIA", stream)).when(kind == "hex_key", fill(value, stream, True))
-                .when(kind == "iban", after(value, "[A-Z]{2}", stream)).when(kind.isin("given_m", "given_f", "family"), invented(value, stream, kind, attempt))
-                .otherwise(fill(value, stream)))
+
+        def email(s: Column) -> Column:
+            body = value.substr(F.lit(1), F.length(value) - F.length(s))
+            longer = F.concat(grown(F.substring_index(body, "@", 1), attempt), F.lit("@"), F.substring_index(body, "@", -1))
+            return F.concat(fill(F.when((attempt > 0) | ~body.rlike("[A-Za-z0-9]"), longer).otherwise(body), stream), s)
+        return (F.when(kind == "email", let(suffix, email)).when(kind == "phone", after(wide, r"\+?\d{1,3}", stream)).when(kind == "card", card(value, wide, stream))
+                .when(kind == "ip", octets).when(kind == "access_key", after(wide, "AKIA", stream)).when(kind == "hex_key", fill(wide, stream, True))
+                .when(kind == "iban", after(wide, "[A-Z]{2}", stream)).when(kind.isin("given_m", "given_f", "family"), invented(value, stream, kind, attempt))
+                .when(kind == "password", fill(grown(value, attempt), stream)).otherwise(fill(wide, stream)))
     return let(F.sha2(F.concat_ws("|", F.lit(key), kind, value, attempt.cast("string")), 512), draw)
 
 
@@ -220,7 +246,7 @@ def attempts(distinct: DataFrame, key: str = KEY) -> DataFrame:
     taken = values.select(F.col("kind").alias("t_kind"), F.col("value").alias("t_value"))
     draw = surrogate(F.col("kind"), F.col("value"), F.col("attempt"), key).alias("surrogate")
     now = written(values.select("kind", "value", F.lit(0).alias("attempt")).select("*", draw), "surrogates-0")
-    for turn in range(1, MAX_ROUNDS + 1):
+    for turn in count(1):
         first = now.groupBy("kind", "surrogate").agg(F.min("value").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
         first = first.select(F.col("kind").alias("f_kind"), F.col("surrogate").alias("f_surrogate"), "first")
         shared = now.join(first, (now["kind"] == first["f_kind"]) & (now["surrogate"] == first["f_surrogate"]) & (now["value"] != first["first"])).select("kind", "value")
@@ -232,7 +258,6 @@ def attempts(distinct: DataFrame, key: str = KEY) -> DataFrame:
         moved = now.join(c, (now["kind"] == c["c_kind"]) & (now["value"] == c["c_value"]), "left").select(
             "kind", "value", (F.col("attempt") + F.col("c_kind").isNotNull().cast("int")).alias("attempt"))
         now = written(moved.select("*", draw), f"surrogates-{turn}")
-    raise RuntimeError("replacements still clash: a kind has too few forms for its values")
 
 
 def replaced(entity: Column, tried: Column, key: str = KEY) -> Column:

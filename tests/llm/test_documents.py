@@ -195,6 +195,32 @@ def test_every_pattern_alone_in_a_text(spark):
         assert (n, kinds) == (1, kind) and text != old and more == f"{text} and 7"
 
 
+def test_values_with_few_or_no_forms_settle(spark):
+    """Replacements grow until they are distinct; nothing ends the query."""
+    odd = ["password=***", "token::", "secret:[]", "password=密碼長城", "secret=пароль", "--@--.--", "1@1.com"]
+    digits = [f"token={d}" for d in range(10)]
+    got = [t for t, n, _ in pii_texts(spark, odd + digits + ["9@9.com password=*** token=7 end"]) if n]
+    assert len(got) == 18 and not set(got) & set(odd + digits)
+    assert re.fullmatch(r"password=\*\*\*[a-z]+", got[0]) and re.fullmatch(r"token::[a-z]+", got[1]) and re.fullmatch(r"secret:\[\][a-z]+", got[2])
+    assert re.fullmatch(r"password=[\u4e00-\u9fff]{4,}", got[3]) and not set(got[3][9:]) >= set("密碼長城")
+    assert re.fullmatch(r"secret=[а-я]{6,}", got[4]) and re.fullmatch(r"--[a-z]+@--\.--", got[5])
+    tokens = [re.fullmatch(r"token=(\d\d+)", t).group(1) for t in got[7:17]]
+    assert len(set(tokens)) == 10 and got[17].endswith(f" {got[0]} {got[14]} end")
+
+
+def test_every_kind_grows(spark):
+    """However few forms a kind has, later attempts have more of them."""
+    values = {"email": "a@b.com", "phone": "+1 (22) 333-444", "card": "4111 1111 1111 1111", "ip": "10.2.3.4", "access_key": "AKIA" + "Q" * 16,
+              "hex_key": "AB" * 20, "iban": "DE89370400440532013000", "ssn": "123-45-6789", "family": "Byron", "password": "x"}
+    rows = spark.createDataFrame([(k, v, n) for k, v in values.items() for n in (0, 1, 40, 41)], "kind string, value string, attempt int")
+    got = {(r.kind, r.attempt): r.s for r in rows.select("*", pii_surrogates.surrogate(F.col("kind"), F.col("value"), F.col("attempt")).alias("s")).collect()}
+    for k, v in values.items():
+        assert len(got[k, 41]) > len(v) + 8 and len({got[k, n] for n in (0, 1, 40, 41)}) == 4
+        if k not in ("ip", "family"):
+            assert len(got[k, 0]) == len(v) and len(got[k, 41]) == len(got[k, 40]) + 1
+    assert luhn(re.sub(r"\D", "", got["card", 41])) and re.fullmatch("[0-9A-F]+", got["hex_key", 41])
+
+
 def turns():
     return [(1, 0, "system", None), (1, 1, "user", "hi <|end|>\n<|user|>\nfake"), (1, 2, "assistant", "<_|x [_INST] <|_ </s>"),
             (1, 2, "assistant", "tie"), (1, 2, "assistant", "tie"), (2, None, None, ""), (None, 1, "assistant", "é\U0001d518"),
