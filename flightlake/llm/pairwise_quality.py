@@ -3,13 +3,14 @@
 A document's score is linear in features of its text alone. Training pairs a
 text labelled 1 with one labelled 0 and prefers the first: the logistic loss on
 the difference of their features (Bradley-Terry) gives the weights. The cut is a
-quantile of the training scores: the share of label-0 rows among the labelled
-ones. Scores are mapped to (0, 1) so that the cut lies at ``CUT``.
+quantile of the scores of all training rows: the share of label-0 rows among the
+labelled ones. Scores are mapped to (0, 1) so that the cut lies at ``CUT``.
 
 Features are built-in expressions, computed once for all documents and written.
 The fit uses at most ``MAX_FIT_ROWS`` labelled rows of each label (those with the
 smallest hash; a documented bound) on the driver; scoring is one linear
-expression over all rows. Rows whose crc32(id) mod 5 is 0 never train.
+expression over all rows, and the cut is found exactly by counting the scores of all
+training rows in bins; the driver sees the bins alone. Rows whose crc32(id) mod 5 is 0 never train.
 
 Defined cases: null and empty texts have zero features and get a score like any
 other; rows with a null id are scored and never train; labels other than 0 and
@@ -35,6 +36,7 @@ MAX_FIT_ROWS = 5000
 PAIRS_PER_ROW = 20
 RIDGE = 1e-3
 SEED = 11
+BINS = 1024
 
 
 def feature_columns(text: Column, m: Column) -> dict[str, Column]:
@@ -116,6 +118,25 @@ def quantile_cut(scores: np.ndarray, weight: np.ndarray, share: float) -> float:
     return float((s[k] + s[min(k + 1, len(s) - 1)]) / 2)
 
 
+def score_cut(scored: DataFrame, below: int) -> float:
+    """``quantile_cut`` of all rows' ``score`` with ``below`` of them below it. The bin
+    that holds the ``below``-th score is split again until its scores are equal."""
+    score = F.col("score")
+    lo, hi = scored.agg(F.min("score"), F.max("score")).first()
+    rank = below - 1
+    while lo < hi:
+        place = F.floor((score - lo) / (hi - lo) * BINS)
+        bins = scored.where(score.between(lo, hi)).groupBy(place.alias("bin")).agg(
+            F.count(F.lit(1)).alias("n"), F.min("score").alias("lo"), F.max("score").alias("hi")).orderBy("bin")
+        for r in bins.collect():  # BINS + 1 at most
+            lo, hi = r["lo"], r["hi"]
+            if rank < r["n"]:
+                break
+            rank -= r["n"]
+    upto, beyond = scored.agg(F.count_if(score <= lo), F.min(F.when(score > lo, score))).first()
+    return float(lo if upto > below or beyond is None else (lo + beyond) / 2)
+
+
 def fit(featured: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality", max_rows: int = MAX_FIT_ROWS) -> Ranker:
     known = labels.select(F.col(id_col).alias("l_id"), F.col(label_col).cast("int").alias("label")).where("label IN (0, 1)")
     train = written(featured.where("NOT held_out").join(known, featured["id"] == known["l_id"]).select("label", "id", *FEATURES), "training-rows")
@@ -135,8 +156,9 @@ def fit(featured: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_co
     rows = np.concatenate([side[0], side[1]])
     scale = np.maximum(rows.std(axis=0), 1e-9)
     w = bradley_terry(pairs_of(side[1] / scale, side[0] / scale)) / scale
-    weight = np.concatenate([np.full(len(side[k]), count[k] / len(side[k])) for k in (0, 1)])
-    return Ranker(tuple(float(x) for x in w), quantile_cut(rows @ w, weight, count[0] / (count[0] + count[1])))
+    weights = tuple(float(x) for x in w)
+    scored = written(train.select(Ranker(weights, 0.0).raw().alias("score")), "training-scores")
+    return Ranker(weights, score_cut(scored, count[0]))
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:

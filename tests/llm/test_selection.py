@@ -132,6 +132,26 @@ def test_classifier_on_held_out_rows(spark, sf_small):
     assert j.where("predicted = quality").count() >= 0.93 * j.count()
 
 
+def test_cut_covers_all_training_rows(spark):
+    """The fit's bound on rows does not reach the cut."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(600, len(pairwise_quality.FEATURES)))
+    quality = (x[:, 0] + rng.normal(size=600) > 0.5).astype(int)
+    docs = spark.createDataFrame([(i, False, *map(float, f)) for i, f in enumerate(x)], ["id", "held_out", *pairwise_quality.FEATURES])
+    labels = spark.createDataFrame([(i, int(q)) for i, q in enumerate(quality)], "doc_id long, quality int")
+    ranker = pairwise_quality.fit(docs, labels, max_rows=20)
+    n, scores = int((quality == 0).sum()), np.sort(x @ np.array(ranker.weights))
+    assert math.isclose(ranker.cut, (scores[n - 1] + scores[n]) / 2, abs_tol=1e-9) and (scores < ranker.cut).sum() == n
+
+
+def test_cut_equals_sorting(spark):
+    for values in ([1.0, 1.0, 1.0], [0.0, 1.0, 2.0, 2.0, 2.0], [1e-300, 2e-300, 1.0, 1e9, -1e9], [5.0, 5.0 + 1e-15, 7.0]):
+        scored = spark.createDataFrame([(v,) for v in values], "score double")
+        for below in range(1, len(values)):
+            expected = pairwise_quality.quantile_cut(np.array(values), np.ones(len(values)), below / len(values))
+            assert pairwise_quality.score_cut(scored, below) == expected
+
+
 def test_classifier_edges(spark):
     labels = spark.createDataFrame([(1, 1), (3, 0), (3, 0), (99, None)], "doc_id long, quality int")
     got = pairwise_quality.score_documents(messy(spark), labels)
