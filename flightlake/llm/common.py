@@ -102,3 +102,11 @@ def null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
     for k in keys:
         cond = cond & left[k].eqNullSafe(right[k])
     return cond
+
+
+def term_bytes(digits: bool) -> bytes:
+    """A table for ``bytes.translate``: A-Z in lower case; bytes of other ASCII
+    characters than letters (and digits, if wanted) become blanks, so that
+    ``split`` gives the terms; bytes beyond ASCII stay."""
+    keep = set(range(0x61, 0x7B)) | set(range(0x80, 0x100)) | (set(range(0x30, 0x3A)) if digits else set())
+    return bytes(b + 32 if 0x41 <= b <= 0x5A else b if b in keep else 0x20 for b in range(256))

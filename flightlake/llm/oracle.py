@@ -91,4 +91,55 @@ g AS (
   FROM rows GROUP BY conv_id)
 SELECT conv_id, n_turns, sha256(flat) AS turns_sha256, length(loss)::BIGINT AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars
 FROM g""",
+    "op11_impact_search": r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS rid,
+                  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents),
+s AS (SELECT count(*) AS n_docs, sum(len(ws))::BIGINT AS n_terms FROM d WHERE len(ws) > 0),
+i AS (SELECT item_id, row_number() OVER () AS item,
+             unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+      FROM benchmark),
+q AS (SELECT item, item_id, term, count(*) AS qtf FROM i GROUP BY ALL),
+t AS (SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(ws) AS term FROM d) SEMI JOIN q USING (term) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM t, s GROUP BY term, n_docs),
+m AS (SELECT rid, doc_id, 100 - 75 + (75::HUGEINT * len(ws) * n_docs) // n_terms AS m FROM d, s WHERE len(ws) > 0),
+p AS (SELECT item, item_id, doc_id, rid, sum(qtf * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+      FROM q JOIN w USING (term) JOIN t USING (term) JOIN m USING (rid) GROUP BY ALL),
+r AS (SELECT item_id, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id, rid)::INTEGER AS rank, doc_id, score FROM p WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10""",
+    "op12_source_divergence": r"""
+WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ws
+           FROM documents),
+occ AS (SELECT rid, lang, source, unnest(ws) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM occ GROUP BY lang, term HAVING count(DISTINCT rid) >= 30),
+langs AS (SELECT lang, count(*) AS v, sum(n)::BIGINT AS total FROM kept GROUP BY lang),
+q AS (SELECT lang, term, (1 + 1000000000::HUGEINT * (n + 5) // (total + 5 * v))::BIGINT AS q FROM kept JOIN langs USING (lang)),
+grp AS (SELECT DISTINCT lang, source FROM d),
+cnt AS (SELECT lang, source, term, count(*) AS n FROM occ SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+tot AS (SELECT g.lang, g.source, coalesce(sum(n), 0)::BIGINT AS total FROM grp g LEFT JOIN cnt USING (lang, source) GROUP BY ALL),
+p AS (
+  SELECT t.lang, t.source, k.term, coalesce(c.n, 0) AS n, (1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 5) // (t.total + 5 * l.v))::BIGINT AS p
+  FROM tot t JOIN langs l USING (lang) JOIN kept k USING (lang) LEFT JOIN cnt c ON c.lang = t.lang AND c.source = t.source AND c.term = k.term),
+sums AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p))::BIGINT AS f FROM p a JOIN p b USING (lang, term) WHERE a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, b.source AS item, coalesce(f, 0)::BIGINT AS value
+          FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+terms AS (SELECT lang, source, term AS item, p - q AS value FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT lang, source, 'pair' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM pairs
+  UNION ALL
+  SELECT lang, source, 'term', item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) FROM terms)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 50""",
+    "op13_anchor_dedup": r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+win AS (
+  SELECT rid, doc_id, i, sha256(array_to_string(ws[i : i + 49], ' ')) AS g
+  FROM (SELECT rid, doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM d WHERE len(ws) >= 50)),
+first AS (SELECT g, min(doc_id) AS m FROM win GROUP BY g),
+hit AS (SELECT rid, i FROM win JOIN first USING (g) WHERE m < doc_id),
+word AS (SELECT rid, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS i FROM d),
+mark AS (SELECT rid, i, w, max(CASE WHEN h.i IS NOT NULL THEN 1 ELSE 0 END) OVER (PARTITION BY rid ORDER BY i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone
+         FROM word LEFT JOIN hit h USING (rid, i)),
+per AS (SELECT rid, sum(gone)::BIGINT AS n_removed, string_agg(w, ' ' ORDER BY i) FILTER (gone = 0) AS kept FROM mark GROUP BY rid)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN per USING (rid)""",
 }

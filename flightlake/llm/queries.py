@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (block_naming, bpe_codec, chat_format, chosen_path, length_histogram, license_scan, pairwise_quality,
-               pii_surrogates, quality_rules, source_mix)
+from . import (anchor_dedup, block_naming, bpe_codec, chat_format, chosen_path, impact_search, length_histogram, license_scan,
+               pairwise_quality, pii_surrogates, quality_rules, source_divergence, source_mix)
 from .common import table
 
 
@@ -61,5 +61,18 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.round_trip(chat_format.format_conversations(chat_format.conversations(rows.unionByName(probe))))
 
 
+def op11_impact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return impact_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select("item_id", "rank", "doc_id", "score")
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.divergence_audit(table(spark, sf_dir, "documents"))
+
+
+def op13_anchor_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return anchor_dedup.find_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 QUERIES = {f.__name__: f for f in (op1_license_scan, op2_token_histogram, op3_quality_rules, op4_source_mix, op5_pairwise_quality,
-                                op6_pii_surrogates, op7_bpe_codec, op8_block_naming, op9_chosen_path_join, op10_chat_format)}
+                                op6_pii_surrogates, op7_bpe_codec, op8_block_naming, op9_chosen_path_join, op10_chat_format, op11_impact_search,
+                                op12_source_divergence, op13_anchor_dedup)}

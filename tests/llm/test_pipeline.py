@@ -13,7 +13,7 @@ from .helpers import clashing, empty, text_rows
 
 def same(spark_df, sql, sf):
     con = duckdb.connect()
-    for t in ("documents", "conversations", "labels"):
+    for t in ("documents", "conversations", "labels", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
     want = con.execute(sql).df()
     got = spark_df.toPandas()
@@ -29,7 +29,7 @@ def test_queries_equal_their_sql(spark, sf_small):
 
 
 def test_query_names_and_stage_order():
-    assert [int(re.match(r"op(\d+)_", k).group(1)) for k in QUERIES] == list(range(1, 11))
+    assert [int(re.match(r"op(\d+)_", k).group(1)) for k in QUERIES] == list(range(1, 14))
     assert [f.__name__ for _, f in corpus_pipeline.STAGES] == ["quality", "exact_dedup", "near_dedup", "mixed", "encoded"]
 
 
