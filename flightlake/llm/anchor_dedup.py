@@ -131,11 +131,12 @@ def shared_anchors(words: DataFrame) -> DataFrame:
     """Places of anchors that two documents hold: h, first (smallest id), row, k, id, n."""
     known = words.where("id IS NOT NULL")
     per = known.select("id", F.explode("anchors").alias("h")).groupBy("h").agg(F.min("id").alias("first"), F.max("id").alias("last"))
-    per = per.where("first < last").select(F.col("h").alias("s_h"), "first")
+    # A table of its own, so that the join's sides are plain shuffles and hot hashes are split.
+    per = written(per.where("first < last").select(F.col("h").alias("s_h"), "first"), "shared-hashes")
     places = known.select("row", F.posexplode("anchors").alias("k", "h"))
     met = places.hint("merge").join(per, places["h"] == per["s_h"]).select("row", "k", "h", "first")
     info = words.select(F.col("row").alias("i_row"), "id", "n")
-    return met.join(info, met["row"] == info["i_row"]).select("h", "first", "row", "k", "id", "n")
+    return met.hint("merge").join(info, met["row"] == info["i_row"]).select("h", "first", "row", "k", "id", "n")
 
 
 def runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -146,7 +147,8 @@ def runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def chains_in(n: int, at: np.ndarray, m_row: np.ndarray, m_at: np.ndarray, window: int):
     """Of one document's anchors that an earlier document shares (sorted by place):
-    removed word ranges, ranges of windows still open, anchors that these hold."""
+    removed word ranges, ranges of windows still open, and for each anchor the
+    steps back to the starts of open windows that hold it, as bits."""
     period, _, anchor = cover_of(window)
     gap = m_at - at
     joined = (m_row[1:] == m_row[:-1]) & (gap[1:] == gap[:-1]) & (at[1:] - at[:-1] <= anchor)
@@ -163,23 +165,25 @@ def chains_in(n: int, at: np.ndarray, m_row: np.ndarray, m_at: np.ndarray, windo
         return np.cumsum(d[:-1]) > 0
 
     open_ = marked(at - period + 1, at) & ~marked(s, e - window)
-    seen = np.concatenate([[0], np.cumsum(open_)])
-    lo, hi = np.clip(at - period + 1, 0, len(open_)), np.clip(at + 1, 0, len(open_))
-    return (s, e), runs(open_), seen[hi] > seen[lo]
+    back = np.arange(period)
+    start = at[:, None] - back[None, :]
+    inside = (start >= 0) & (start < len(open_))
+    mask = ((open_[np.where(inside, start, 0)] & inside) << back).sum(axis=1)
+    return (s, e), runs(open_), mask
 
 
-def span_array(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.Array:
+def span_array(parts: list[tuple[np.ndarray, np.ndarray]], names: list[str] | None = None) -> pa.Array:
     ends = np.cumsum([0, *[len(s) for s, _ in parts]])
     s, e = (pa.array(np.concatenate([p[i] for p in parts]) if parts else [], pa.int64()) for i in (0, 1))
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays([s, e], names=["s", "e"]))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays([s, e], names=names or ["s", "e"]))
 
 
 SPANS = "array<struct<s:long,e:long>>"
 
 
 def chains(marked: DataFrame, window: int) -> DataFrame:
-    """row, removed, open (window ranges), need (hashes of the anchors in open windows)."""
-    small = marked.where("id = first").groupBy("h").agg(F.min(F.struct("row", "k")).alias("m")).withColumnRenamed("h", "m_h")
+    """row, removed, open (window ranges), need (anchors of open windows: hash, steps back)."""
+    small = written(marked.where("id = first").groupBy("h").agg(F.min(F.struct("row", "k")).alias("m")).withColumnRenamed("h", "m_h"), "first-places")
     late = marked.where("id > first")
     met = late.hint("merge").join(small, late["h"] == small["m_h"])
     item = F.struct(position(F.col("k"), window).cast("long").alias("at"), "h", F.col("m.row").alias("m_row"), position(F.col("m.k"), window).cast("long").alias("m_at"))
@@ -192,23 +196,29 @@ def chains(marked: DataFrame, window: int) -> DataFrame:
             for n, hits in zip(sizes, b.column(2)):
                 at, h, m_row, m_at = (x.to_numpy(zero_copy_only=False) for x in hits.values.flatten())
                 cut, still, need = chains_in(n, at, m_row, m_at, window)
-                cuts.append(cut), opens.append(still), needs.append(np.unique(h[need]))
-            yield pa.RecordBatch.from_arrays([b.column(0), span_array(cuts), span_array(opens), list_array(needs, pa.int64())], names=["row", "removed", "open", "need"])
+                cuts.append(cut), opens.append(still), needs.append((h[need > 0], need[need > 0]))
+            yield pa.RecordBatch.from_arrays([b.column(0), span_array(cuts), span_array(opens), span_array(needs, ["h", "back"])], names=["row", "removed", "open", "need"])
 
-    return map_batches(per.select("row", "n", "hits"), build, f"row long, removed {SPANS}, open {SPANS}, need array<long>")
+    return map_batches(per.select("row", "n", "hits"), build, f"row long, removed {SPANS}, open {SPANS}, need array<struct<h:long,back:long>>")
 
 
 def window_rows(asked: DataFrame, window: int) -> DataFrame:
     """Rows (row, id, i, h1, h2, query) of the windows that ``asked`` (row, id,
-    text, ranges of (s, e, query)) names; ``query`` marks the open ones."""
+    text, ranges of (s, e, back)) names: the open ones, s to e, are marked ``query``;
+    those at the steps back from s, as bits, are what they are compared with."""
+    back = np.arange(cover_of(window)[0])
+
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             at_row, at, query, hashes = [], [], [], [[], []]
             for k, (text, ranges) in enumerate(zip(b.column(2).to_pylist(), b.column(3))):
                 words = words_in(text)
                 w, flags = word_hashes(words), np.zeros((2, len(words) - window + 1), bool)
-                for s, e, q in zip(*(x.to_pylist() for x in ranges.values.flatten())):
-                    flags[int(q), max(s, 0):e] = True
+                s, e, steps_back = (x.to_numpy(zero_copy_only=False) for x in ranges.values.flatten())
+                around = (s[:, None] - back)[(steps_back[:, None] >> back) & 1 == 1]
+                flags[0, around[(around >= 0) & (around < flags.shape[1])]] = True
+                for lo, hi in zip(s[steps_back == 0].tolist(), e[steps_back == 0].tolist()):
+                    flags[1, lo:hi] = True
                 i = np.flatnonzero(flags.any(axis=0))
                 at_row.append(np.full(len(i), k)), at.append(i), query.append(flags[1, i])
                 for seed in (0, 1):
@@ -225,20 +235,21 @@ def window_rows(asked: DataFrame, window: int) -> DataFrame:
 
 def removed_words(texts: DataFrame, words: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
     """(row, cuts) of every row that loses words, and the texts of rows that may."""
-    period = cover_of(window)[0]
     marked = written(shared_anchors(words), "shared-anchors")
     linked = written(chains(marked, window), "anchor-chains")
-    need = linked.select(F.explode("need").alias("n_h")).distinct()
+    need = linked.select(F.explode("need").alias("x")).groupBy(F.col("x.h").alias("n_h")).agg(F.bit_or("x.back").alias("back"))
+    need = written(need, "open-anchors")
     at = position(F.col("k"), window).cast("long")
-    around = marked.hint("merge").join(need, marked["h"] == need["n_h"], "left_semi").select(
-        "row", F.struct((at - period + 1).alias("s"), (at + 1).alias("e"), F.lit(False).alias("query")).alias("r"))
-    open_ = linked.select("row", F.explode("open").alias("o")).select("row", F.struct("o.s", "o.e", F.lit(True).alias("query")).alias("r"))
+    around = marked.hint("merge").join(need, marked["h"] == need["n_h"]).select("row", F.struct(at.alias("s"), at.alias("e"), "back").alias("r"))
+    open_ = linked.select("row", F.explode("open").alias("o")).select("row", F.struct("o.s", "o.e", F.lit(0).cast("long").alias("back")).alias("r"))
     ranges = written(around.unionByName(open_).groupBy("row").agg(F.collect_set("r").alias("ranges")).withColumnRenamed("row", "r_row"), "window-ranges")
     seen = written(ranges.select("r_row").union(linked.where("size(removed) > 0").select("row")).distinct(), "touched-rows")
-    touched = written(texts.join(seen, texts["row"] == seen["r_row"], "left_semi"), "touched-texts")
-    asked = touched.join(ranges, touched["row"] == ranges["r_row"]).select("row", "id", "text", "ranges")
+    # Rows with passages in common are a share of all rows: never a side to broadcast.
+    touched = written(texts.hint("merge").join(seen, texts["row"] == seen["r_row"], "left_semi"), "touched-texts")
+    asked = touched.hint("merge").join(ranges, touched["row"] == ranges["r_row"]).select("row", "id", "text", "ranges")
     found = written(window_rows(asked, window), "end-windows")
-    first = found.groupBy("h1", "h2").agg(F.min("id").alias("first")).withColumnsRenamed({"h1": "f1", "h2": "f2"})
+    first = found.groupBy("h1", "h2").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
+    first = written(first.select(F.col("h1").alias("f1"), F.col("h2").alias("f2"), "first"), "first-windows")
     q = found.where("query").hint("merge")
     hits = q.join(first, (q["h1"] == first["f1"]) & (q["h2"] == first["f2"])).where("first < id").select(
         "row", F.struct(F.col("i").alias("s"), (F.col("i") + window).alias("e")).alias("c"))
@@ -274,7 +285,7 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     cut = map_batches(rows, build, f"c_row long, gone long, left_sha string, spans {SPANS}")
     all_rows = words.select("row", "id", "n", "sha")
-    out = all_rows.join(cut, all_rows["row"] == cut["c_row"], "left")
+    out = all_rows.hint("merge").join(cut, all_rows["row"] == cut["c_row"], "left")
     return out.select("row", F.col("id").alias(id_col), F.col("n").alias("n_words"), F.coalesce("gone", F.lit(0)).cast("long").alias("n_removed"),
                       F.coalesce("left_sha", "sha").alias("kept_sha256"), F.coalesce("spans", F.array().cast(SPANS)).alias("removed"))
 
