@@ -1,8 +1,10 @@
 """Command line for the lake jobs (what the nightly schedule runs).
 
     python -m flightlake land    --lake ROOT --feed flights|weather --payload GLOB
-    python -m flightlake nightly --lake ROOT [--stations CSV | --all-stations]
+    python -m flightlake nightly --lake ROOT [--stations CSV | --all-stations] [--replay]
+                                 [--only TABLE ...] [--catalog DATABASE]
     python -m flightlake stream  --lake ROOT --feed flights|weather [--max-files N]
+                                 [--stations CSV | --all-stations] [--replay]
                                  [--mode merge|append]
     python -m flightlake report  --lake ROOT NAME [--k 10] [--out FOLDER]
 
@@ -27,15 +29,15 @@ from .sources import bronze
 REPORTS = {
     "hour_risk": lambda s, lake, k: reports.hour_risk(jobs.read_silver(s, lake, "bts_flights")),
     "worst_routes": lambda s, lake, k: reports.worst_routes(
-        s.read.parquet(lake.gold("route_delay_summary")), k),
+        jobs.read_gold(s, lake, "route_delay_summary"), k),
     "weather_category": lambda s, lake, k: reports.weather_category(
-        s.read.parquet(lake.gold("flight_weather_joined"))),
+        jobs.read_gold(s, lake, "flight_weather_joined")),
     "carrier_ranking": lambda s, lake, k: reports.carrier_ranking(
-        s.read.parquet(lake.gold("carrier_performance"))),
+        jobs.read_gold(s, lake, "carrier_performance")),
     "cause_share": lambda s, lake, k: reports.cause_share(
         jobs.read_silver(s, lake, "bts_flights")),
     "live_monitor": lambda s, lake, k: reports.live_monitor(
-        s.read.parquet(lake.gold("aviationstack_summary"))),
+        jobs.read_gold(s, lake, "aviationstack_summary")),
 }
 
 
@@ -51,8 +53,8 @@ def main(argv: list[str] | None = None) -> int:
     sub = p.add_subparsers(dest="cmd", required=True)
     n = sub.add_parser("nightly", help="bronze → silver → gold with audit")
     n.add_argument("--lake", required=True)
-    n.add_argument("--stations", help="CSV with an airport_icao column (allow-list; default: the polled stations)")
-    n.add_argument("--all-stations", action="store_true", help="keep every station")
+    n.add_argument("--only", nargs="+", choices=[*jobs.SILVER_TABLES, *jobs.GOLD_TABLES], help="build these tables only")
+    n.add_argument("--catalog", help="register the tables in this database of the session's catalog")
     n.add_argument("--concurrency", type=int, default=3)
     ld = sub.add_parser("land", help="stamp API records (JSON lines) and land them as snapshots")
     ld.add_argument("--lake", required=True)
@@ -61,11 +63,14 @@ def main(argv: list[str] | None = None) -> int:
     st = sub.add_parser("stream", help="incremental ingestion of one JSON feed")
     st.add_argument("--lake", required=True)
     st.add_argument("--feed", choices=["flights", "weather"], required=True)
-    st.add_argument("--stations")
     st.add_argument("--max-files", type=int)
     st.add_argument("--mode", choices=["merge", "append"], default="merge",
                     help="merge: re-pick each touched day's rows (default); "
                          "append: write only unseen keys")
+    for job in (n, st):  # one default for one table
+        job.add_argument("--stations", help="CSV with an airport_icao column (allow-list; default: the polled stations)")
+        job.add_argument("--all-stations", action="store_true", help="keep every station")
+        job.add_argument("--replay", action="store_true", help="read all landed files again if the list of stations changed")
     r = sub.add_parser("report", help="one business report")
     r.add_argument("--lake", required=True)
     r.add_argument("name", choices=sorted([*REPORTS, *catalog.REPORT_SQL]))
@@ -79,7 +84,7 @@ def main(argv: list[str] | None = None) -> int:
     if getattr(a, "stations", None):
         stations = (spark.read.option("header", True).csv(a.stations)
                     .select(F.col("airport_icao")))
-    elif a.cmd == "nightly" and not a.all_stations:
+    elif a.cmd in ("nightly", "stream") and not a.all_stations:
         stations = spark.createDataFrame([(c,) for c in POLLED_STATIONS], "airport_icao string")
     if a.cmd == "land":
         record = {"flights": FLIGHT_RECORD, "weather": WEATHER_RECORD}[a.feed]
@@ -88,7 +93,9 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     if a.cmd == "nightly":
         audit = jobs.run_nightly(spark, lake, stations, raise_on_failure=False,
-                                 concurrency=a.concurrency)
+                                 concurrency=a.concurrency, only=a.only, replay=a.replay)
+        if a.catalog:
+            catalog.create_tables(spark, lake, a.catalog, a.only)
         audit.show(audit.count(), truncate=False)
         return 1 if audit.filter(F.col("status") != "ok").count() else 0
     if a.cmd == "stream":
@@ -96,7 +103,7 @@ def main(argv: list[str] | None = None) -> int:
         silver = lake.silver({"flights": "aviationstack_flights", "weather": "metar"}[a.feed])
         done = ingest_stream(spark, lake.bronze(a.feed), silver, a.feed,
                              lake.checkpoint(a.feed), stations, a.max_files,
-                             mode=a.mode, rejects_path=lake.rejects(a.feed))
+                             mode=a.mode, rejects_path=lake.rejects(a.feed), replay=a.replay)
         print(done)
         return 0
     if a.name in REPORTS:

@@ -64,7 +64,7 @@ def carrier_stats(flights: DataFrame) -> DataFrame:
 _PARTIAL_MEASURES = ["DEP_DELAY", "ARR_DELAY", *_CAUSE_NAMES]
 
 
-def route_partials(flights: DataFrame) -> DataFrame:
+def route_partials(flights: DataFrame, apart: list[str] | None = None) -> DataFrame:
     """Per (carrier, origin, dest): row count, and for every measure its sum
     and non-null count (the causes also over delayed flights only), plus
     delayed and cancelled counts (null when all flags are null). The route,
@@ -79,7 +79,43 @@ def route_partials(flights: DataFrame) -> DataFrame:
                  F.count(F.when(delayed, F.col(c))).alias(f"dc_{c}")]
     aggs += [fx.true_count("is_delayed").alias("n_delayed"),
              fx.true_count("is_cancelled").alias("n_cancelled")]
-    return flights.groupBy("OP_CARRIER", "Origin", "Dest").agg(*aggs)
+    return flights.groupBy(*(apart or []), *_ROUTE).agg(*aggs)
+
+
+_ROUTE = ["OP_CARRIER", "Origin", "Dest"]
+_HOUR = ["Origin", "dep_hour", "month"]
+
+
+def roll_up(partials: DataFrame, keys: list[str]) -> DataFrame:
+    """Partials of any grouping added up to ``keys``: every measure is a sum."""
+    sums = [c for c in partials.columns if c.startswith(("s_", "c_", "ds_", "dc_")) or c in ("n", "n_delayed", "n_cancelled")]
+    return partials.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
+
+
+def monthly_route_partials(flights: DataFrame, month: str) -> DataFrame:
+    """:func:`route_partials` kept apart by the partition column ``month``; added up
+    (:func:`routes_from`) they give it exactly."""
+    return route_partials(flights, [month])
+
+
+def monthly_hour_partials(flights: DataFrame, month: str) -> DataFrame:
+    """Sums and counts behind :func:`airport_hourly_delay`, kept apart by ``month``."""
+    keys = {"dep_hour": fx.hhmm_hour("DEP_TIME"), "month": fx.month_of("FL_DATE")}
+    return flights.withColumns(keys).groupBy(*([month] if month != "month" else []), *_HOUR).agg(
+        fx.rows().alias("n"), F.sum("DEP_DELAY").alias("s_DEP_DELAY"), F.count("DEP_DELAY").alias("c_DEP_DELAY"),
+        fx.true_count("is_delayed").alias("n_delayed"))
+
+
+def routes_from(partials: DataFrame) -> DataFrame:
+    """:func:`route_partials` from :func:`monthly_route_partials`."""
+    return roll_up(partials, _ROUTE)
+
+
+def airport_hourly_delay_from(partials: DataFrame) -> DataFrame:
+    """:func:`airport_hourly_delay` from :func:`monthly_hour_partials`."""
+    return roll_up(partials, _HOUR).select(
+        *_HOUR, _mean("s_DEP_DELAY", "c_DEP_DELAY").alias("avg_delay"), F.col("n").alias("total_flights"),
+        (F.col("n_delayed") / F.col("n")).alias("delay_rate"))
 
 
 def _mean(s: str, c: str):
@@ -166,6 +202,7 @@ def live_route_summary(live: DataFrame, min_flights: int = MIN_LIVE_FLIGHTS) ->
 
 
 __all__ = ["airport_hourly_delay", "route_delay_summary", "carrier_performance", "carrier_stats",
-           "route_partials", "route_delay_summary_from", "carrier_performance_from",
+           "route_partials", "monthly_route_partials", "monthly_hour_partials", "routes_from",
+           "airport_hourly_delay_from", "route_delay_summary_from", "carrier_performance_from",
            "delay_cause_breakdown_from",
            "delay_cause_breakdown", "live_route_summary", "GOLD_CAUSES"]

@@ -9,7 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .jobs import GOLD_TABLES, SILVER_TABLES, Lake, read_silver
+from ..sources.versions import current
+from .jobs import GOLD_TABLES, SILVER_TABLES, Lake, read_gold, read_silver
 
 
 def register_lake(spark: SparkSession, lake: Lake, prefix: str = "") -> list[str]:
@@ -19,11 +20,39 @@ def register_lake(spark: SparkSession, lake: Lake, prefix: str = "") -> list[str
         read_silver(spark, lake, name).createOrReplaceTempView(prefix + name)
         names.append(prefix + name)
     for name in GOLD_TABLES:
-        spark.read.parquet(lake.gold(name)).createOrReplaceTempView(prefix + name)
+        read_gold(spark, lake, name).createOrReplaceTempView(prefix + name)
         names.append(prefix + name)
     return names
 
 
+def create_tables(spark: SparkSession, lake: Lake, database: str, names: list[str] | None = None) -> list[str]:
+    """Register the lake's tables in the session's catalog, where other sessions of
+    the same metastore find them; return their full names.
+
+    Each is an external Parquet table at the folder its current version lies in,
+    with its partitions discovered and its size and row count analysed, which the
+    planner uses for joins. Run it after a nightly run: a table replaced since
+    then keeps its old version until the next call (and until it is vacuumed).
+    Dropping such a table drops no file."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    made = []
+    for layer, tables in (("silver", SILVER_TABLES), ("gold", GOLD_TABLES)):
+        for name in tables:
+            if names is not None and name not in names:
+                continue
+            full = f"`{database}`.`{name}`"
+            folder = current(spark, getattr(lake, layer)(name)).replace("'", "\\'")
+            spark.sql(f"DROP TABLE IF EXISTS {full}")
+            spark.sql(f"CREATE TABLE {full} USING parquet LOCATION '{folder}'")
+            if spark.table(full).columns != spark.read.parquet(folder).columns:
+                raise ValueError(f"{full} does not have the columns of {folder}")
+            if spark.sql(f"DESCRIBE TABLE EXTENDED {full}").where("col_name = '# Partition Information'").count():
+                spark.sql(f"ALTER TABLE {full} RECOVER PARTITIONS")
+            spark.sql(f"ANALYZE TABLE {full} COMPUTE STATISTICS")
+            made.append(f"{database}.{name}")
+    return made
+
+
 def row_counts(spark: SparkSession, views: list[str]) -> DataFrame:
     """``(table_name, rows_read)`` for each view, as one UNION ALL query."""
     sql = "\nUNION ALL\n".join(

@@ -13,13 +13,17 @@ Layout of a lake root::
     silver/{bts_flights, aviationstack_flights, metar}
     gold/{airport_hourly_delay, route_delay_summary, carrier_performance,
           delay_cause_breakdown, flight_weather_joined, aviationstack_summary}
+    _partials/                 mergeable sums per month (:mod:`plans.partials`)
+
+Replaced tables are versioned (:mod:`sources.versions`); read them with ``read_gold``
+and ``read_silver``.
 """
 
 from __future__ import annotations
 
 import traceback
 from concurrent.futures import ThreadPoolExecutor
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,9 +33,10 @@ from pyspark.sql import types as T
 from .. import operators as op
 from ..schemas import LIVE_SILVER, ONTIME_SILVER, WEATHER_SILVER
 from ..sources import bronze
-from ..session import remove, scratch_path
-from ..sources.sinks import PART, observed_write, replace_table, with_part
+from ..sources.sinks import PART, read_parted, replace_table, with_part
+from ..sources.versions import current, read_table
 from ..streaming.incremental import ingest_stream
+from .partials import read_partials, refresh_partials
 
 AUDIT_SCHEMA = T.StructType([
     T.StructField("layer", T.StringType()),
@@ -55,6 +60,9 @@ class Lake:
     def gold(self, name: str) -> str:
         return f"{self.root}/gold/{name}"
 
+    def partials(self) -> str:
+        return f"{self.root}/_partials"
+
     def checkpoint(self, feed: str) -> str:
         return f"{self.root}/_checkpoints/{feed}"
 
@@ -95,12 +103,23 @@ def run_steps(layer: str, steps: list[tuple[str, Callable[[], int]]],
 def read_silver(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
     schema = {"bts_flights": ONTIME_SILVER, "aviationstack_flights": LIVE_SILVER,
               "metar": WEATHER_SILVER}[name]
-    df = spark.read.schema(schema).parquet(lake.silver(name))
+    df = read_table(spark, lake.silver(name), schema)
     return df.select(*schema.fieldNames())
 
 
+def read_gold(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
+    return read_table(spark, lake.gold(name))
+
+
+def wanted(only: Iterable[str] | None) -> Callable[[str], bool]:
+    """Whether a table is to be built: all, or those of ``only``."""
+    names = None if only is None else set(only)
+    return lambda name: names is None or name in names
+
+
 def build_silver(spark: SparkSession, lake: Lake,
-                     stations: DataFrame | None = None, concurrency: int = 3) -> list[tuple]:
+                     stations: DataFrame | None = None, concurrency: int = 3,
+                 only: Iterable[str] | None = None, replay: bool = False) -> list[tuple]:
     """JOB-1: on-time CSV → overwrite (by month); flight and weather JSON → merge.
 
     The JSON feeds catch up through the file stream (:func:`streaming.ingest_stream`):
@@ -108,7 +127,8 @@ def build_silver(spark: SparkSession, lake: Lake,
     so the table equals one dedupe over everything landed so far, also when a
     later snapshot re-reports a flight, and a re-run rewrites no file. The audit's row
     count for these tables is the number of keys added. Lines that are no JSON of
-    the feed are counted during the merge and stored under ``rejects/`` if any."""
+    the feed are counted during the merge and stored under ``rejects/`` if any.
+    ``only`` names the tables to build, ``replay`` is that of the stream."""
     rejected: list[tuple] = []
 
     def ontime() -> int:
@@ -118,7 +138,7 @@ def build_silver(spark: SparkSession, lake: Lake,
 
     def feed(kind: str, table: str) -> int:
         done = ingest_stream(spark, lake.bronze(kind), lake.silver(table), kind, lake.checkpoint(kind),
-                             stations, rejects_path=lake.rejects(kind))
+                             stations, rejects_path=lake.rejects(kind), replay=replay)
         rejected.append(("bronze", f"{kind}_rejects", "ok", done["rejects"], None))
         return done["rows"]
 
@@ -128,44 +148,51 @@ def build_silver(spark: SparkSession, lake: Lake,
     def weather() -> int:
         return feed("weather", "metar")
 
-    audit = run_steps("silver", [("aviationstack_flights", flights), ("metar", weather),
-                                 ("bts_flights", ontime)], concurrency)
+    steps = [("aviationstack_flights", flights), ("metar", weather), ("bts_flights", ontime)]
+    audit = run_steps("silver", [x for x in steps if wanted(only)(x[0])], concurrency)
     return sorted(rejected) + audit
 
 
-def build_gold(spark: SparkSession, lake: Lake, concurrency: int = 3) -> list[tuple]:
-    """JOB-2: the six gold tables, each a full overwrite."""
+def build_gold(spark: SparkSession, lake: Lake, concurrency: int = 3,
+               only: Iterable[str] | None = None) -> list[tuple]:
+    """JOB-2: the six gold tables, each a full overwrite; ``only`` names some of them.
+
+    The four on-time delay tables roll up from partials of which only changed months
+    are computed again (:mod:`plans.partials`), an audited step of its own whose row
+    count is that of the routes; without it the four fail."""
     def gold(name: str, build: Callable[[], DataFrame]) -> tuple[str, Callable[[], int]]:
         return name, lambda: replace_table(build(), lake.gold(name), name=name)
 
     def bts() -> DataFrame:
         return read_silver(spark, lake, "bts_flights")
 
-    # Route, carrier and cause tables share one pass over silver: route-level
-    # partials (one row per route) are written once, all three roll up. The
-    # partials are a step of their own; without them the three tables fail.
-    path = scratch_path(spark, "route-partials")
-    shared = run_steps("shared", [("route_partials", lambda: observed_write(
-        op.route_partials(bts()), "route_partials", lambda d: d.write.parquet(path)))])
+    def refresh() -> int:
+        silver = read_parted(spark, current(spark, lake.silver("bts_flights")), ONTIME_SILVER)
+        return refresh_partials(spark, silver, lake.partials()).routes
 
-    def partials() -> DataFrame:
+    shared: list[tuple] = []
+
+    def partials(name: str) -> DataFrame:
         if shared[0][2] != "ok":
             raise RuntimeError("route_partials failed")
-        return spark.read.parquet(path)
+        return read_partials(spark, lake.partials(), name)
 
-    steps = [
-        gold("airport_hourly_delay", lambda: op.airport_hourly_delay(bts())),
-        gold("route_delay_summary", lambda: op.route_delay_summary_from(partials())),
-        gold("carrier_performance", lambda: op.carrier_performance_from(partials())),
-        gold("delay_cause_breakdown", lambda: op.delay_cause_breakdown_from(partials())),
+    delay = [
+        gold("airport_hourly_delay", lambda: op.airport_hourly_delay_from(partials("hours_by_month"))),
+        gold("route_delay_summary", lambda: op.route_delay_summary_from(partials("routes"))),
+        gold("carrier_performance", lambda: op.carrier_performance_from(partials("routes"))),
+        gold("delay_cause_breakdown", lambda: op.delay_cause_breakdown_from(partials("routes"))),
+    ]
+    steps = delay + [
         gold("flight_weather_joined",
              lambda: op.flight_weather(bts(), read_silver(spark, lake, "metar"))),
         gold("aviationstack_summary",
              lambda: op.live_route_summary(read_silver(spark, lake, "aviationstack_flights"))),
     ]
-    audit = shared + run_steps("gold", steps, concurrency)
-    remove(spark, path)
-    return audit
+    want = wanted(only)
+    if any(want(name) for name, _ in delay):
+        shared += run_steps("shared", [("route_partials", refresh)])
+    return shared + run_steps("gold", [x for x in steps if want(x[0])], concurrency)
 
 
 def audit_frame(spark: SparkSession, audit: list[tuple]) -> DataFrame:
@@ -173,10 +200,13 @@ def audit_frame(spark: SparkSession, audit: list[tuple]) -> DataFrame:
 
 
 def run_nightly(spark: SparkSession, lake: Lake, stations: DataFrame | None = None,
-                raise_on_failure: bool = True, concurrency: int = 3) -> DataFrame:
-    """JOB-1 then JOB-2; the audit as a DataFrame (raises after both if any failed)."""
-    audit = (build_silver(spark, lake, stations, concurrency)
-             + build_gold(spark, lake, concurrency))
+                raise_on_failure: bool = True, concurrency: int = 3,
+                only: Iterable[str] | None = None, replay: bool = False) -> DataFrame:
+    """JOB-1 then JOB-2; the audit as a DataFrame (raises after both if any failed).
+    ``only`` limits both to some tables, whose inputs have to be there or among them."""
+    only = None if only is None else set(only)
+    audit = (build_silver(spark, lake, stations, concurrency, only, replay)
+             + build_gold(spark, lake, concurrency, only))
     if raise_on_failure and any(a[2] != "ok" for a in audit):
         raise JobFailed(audit)
     return audit_frame(spark, audit)
@@ -185,3 +215,12 @@ def run_nightly(spark: SparkSession, lake: Lake, stations: DataFrame | None = No
 GOLD_TABLES = ["airport_hourly_delay", "route_delay_summary", "carrier_performance",
                "delay_cause_breakdown", "flight_weather_joined", "aviationstack_summary"]
 SILVER_TABLES = ["bts_flights", "aviationstack_flights", "metar"]
+# What each gold table is built from.
+GOLD_INPUTS = {
+    "airport_hourly_delay": ["bts_flights"],
+    "route_delay_summary": ["bts_flights"],
+    "carrier_performance": ["bts_flights"],
+    "delay_cause_breakdown": ["bts_flights"],
+    "flight_weather_joined": ["bts_flights", "metar"],
+    "aviationstack_summary": ["aviationstack_flights"],
+}

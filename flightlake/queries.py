@@ -254,8 +254,8 @@ def q_report_live_monitor(spark, sf_dir):
 
 # --- jobs and streaming --------------------------------------------------------------
 
-def _land_lake(spark, sf_dir, lake):
-    """Land the three feeds (independent jobs, submitted concurrently)."""
+def _land_lake(spark, sf_dir, lake, feeds=("ontime", "flights", "weather")):
+    """Land the feeds (independent jobs, submitted concurrently)."""
     t = _tables(spark, sf_dir)
 
     def ontime():
@@ -268,10 +268,10 @@ def _land_lake(spark, sf_dir, lake):
             return 0
         return land
 
-    audit = jobs.run_steps("bronze", [
-        ("ontime", ontime),
-        ("flights", feed("flights", surrogate.live_records(t))),
-        ("weather", feed("weather", surrogate.weather_records(t)))], concurrency=3)
+    steps = [("ontime", ontime),
+             ("flights", feed("flights", surrogate.live_records(t))),
+             ("weather", feed("weather", surrogate.weather_records(t)))]
+    audit = jobs.run_steps("bronze", [x for x in steps if x[0] in feeds], concurrency=3)
     if any(a[2] != "ok" for a in audit):
         raise jobs.JobFailed(audit)
 
@@ -289,30 +289,27 @@ def q_gold_row_audit(spark, sf_dir):
     return audit.drop("error").join(counts, "table_name", "left")
 
 
-_NIGHTLY: dict[tuple, jobs.Lake] = {}
+_FEED_OF = {"bts_flights": "ontime", "aviationstack_flights": "flights", "metar": "weather"}
 
 
-def _nightly_lake(spark, sf_dir):
-    """A lake after one nightly run over the landed feeds, built once per session."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _NIGHTLY:
-        lake = jobs.Lake(scratch_path(spark, "nightly"))
-        _land_lake(spark, sf_dir, lake)
-        jobs.run_nightly(spark, lake, stations=op.station_registry(_tables(spark, sf_dir).nation))
-        _NIGHTLY[key] = lake
-    return _NIGHTLY[key]
+def _nightly(spark, sf_dir, silver, gold=()):
+    """A lake of its own after a nightly run that builds these tables from their feeds."""
+    lake = jobs.Lake(scratch_path(spark, "nightly"))
+    _land_lake(spark, sf_dir, lake, [_FEED_OF[name] for name in silver])
+    jobs.run_nightly(spark, lake, op.station_registry(_tables(spark, sf_dir).nation), only=[*silver, *gold])
+    return lake
 
 
 def _written_gold(name):
     def query(spark, sf_dir):
-        return spark.read.parquet(_nightly_lake(spark, sf_dir).gold(name))
+        return jobs.read_gold(spark, _nightly(spark, sf_dir, jobs.GOLD_INPUTS[name], [name]), name)
     query.__doc__ = f"The contents of the gold table {name} that the nightly job wrote."
     return query
 
 
 def q_nightly_metar(spark, sf_dir):
     """The weather silver table that the nightly job merged."""
-    return jobs.read_silver(spark, _nightly_lake(spark, sf_dir), "metar")
+    return jobs.read_silver(spark, _nightly(spark, sf_dir, ["metar"]), "metar")
 
 
 def q_stream_weather(spark, sf_dir):

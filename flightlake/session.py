@@ -92,21 +92,6 @@ def remove(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)  # noqa: SLF001
 
 
-def swap_in(spark: SparkSession, staged: str, path: str) -> None:
-    """Put the complete table at ``staged`` in the place of ``path``: a failed
-    write never leaves ``path`` half written or missing its old rows."""
-    jvm = spark._jvm  # noqa: SLF001
-    new, target, old = (jvm.org.apache.hadoop.fs.Path(p) for p in (staged, path, f"{path}.old-{uuid.uuid4().hex[:8]}"))
-    fs = new.getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
-    had = fs.exists(target)
-    if had and not fs.rename(target, old):
-        raise OSError(f"cannot move {path} aside")
-    if not fs.rename(new, target):
-        raise OSError(f"cannot move {staged} to {path}")
-    if had:
-        fs.delete(old, True)
-
-
 def env_int(name: str, default: int) -> int:
     try:
         return int(os.environ.get(name, default))

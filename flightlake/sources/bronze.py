@@ -12,9 +12,6 @@ matched by a glob, and the snapshot day is recovered from the file path.
 
 from __future__ import annotations
 
-import re
-from concurrent.futures import ThreadPoolExecutor
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -111,57 +108,75 @@ def read_ontime_csv(spark: SparkSession, path: str) -> DataFrame:
     together and the groups united by name, so a month with reordered, missing
     or new columns lines up with the others. Unknown extra columns are kept as
     text so :func:`drift_report` can show them; a column that a file lacks reads
-    as null there.
+    as null there. The driver gets one row per distinct header.
     """
-    groups: dict[tuple, list[str]] = {}
-    for file, names in csv_headers(spark, path):
-        groups.setdefault(tuple(names), []).append(file)
+    headers = csv_headers(spark, path).groupBy("names").agg(F.sort_array(F.collect_list("file")).alias("files"))
     out = None
-    for names, files in groups.items():
+    for names, files in sorted(headers.select("names", "files").collect()):
         schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
-        part = spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(files)
+        part = spark.read.schema(schema).option("header", True).option("enforceSchema", True).csv(files)
         part = part.select(*[F.col(f"`{c}`") for c in names],
                            *[F.lit(None).cast("string").alias(c) for c in ONTIME_COLUMNS if c not in names])
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    if out is None:  # files without any line
+        return spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in ONTIME_COLUMNS]))
     return out
 
 
-def csv_headers(spark: SparkSession, path: str, at_once: int = 8) -> list[tuple[str, list[str]]]:
-    """(file, column names) of the CSV files at ``path``: one task per file reads
-    one line, some files at once. Files without a header line are left out."""
-    def names(file: str) -> list[str]:
-        return spark.read.option("header", True).option("inferSchema", False).csv(file).columns
+def header_names(line: Column) -> Column:
+    """The column names of a CSV header line, as Spark's reader names them: quotes
+    taken off, a blank name ``_c`` and its place, a repeated name with its place."""
+    fields = F.split(line, ',(?=(?:[^"]*"[^"]*")*[^"]*$)')
+    bare = F.transform(fields, lambda f: F.regexp_replace(F.regexp_replace(f, '^"|"$', ""), '""', '"'))
+
+    def safe(names: Column) -> Column:
+        return F.transform(names, lambda n, i: F.when(n == "", F.concat(F.lit("_c"), i.cast("string")))
+                           .when(F.size(F.filter(names, lambda o: F.lower(o) == F.lower(n))) > 1, F.concat(n, i.cast("string")))
+                           .otherwise(n))
+    return safe(bare)
 
-    files = sorted(spark.read.text(path).inputFiles())
-    with ThreadPoolExecutor(max_workers=at_once, thread_name_prefix="csv-header") as pool:
-        return [(f, n) for f, n in zip(files, pool.map(names, files)) if n]
+
+def csv_headers(spark: SparkSession, path: str) -> DataFrame:
+    """(file, names, n_rows) of the CSV files at ``path``, in one job whatever their
+    number: a file's first line is the first one of its first block, its data rows
+    are the other lines that are not blank. Files without a line are left out."""
+    # Split into lines by the text source; a line's number orders it within a block.
+    lines = spark.read.text(path).where("trim(value) <> ''").select(
+        F.col("_metadata.file_path").alias("file"), "value",
+        F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line")).alias("at"))
+    first = F.when(F.col("at.block") == 0, F.col("value"))
+    per = lines.groupBy("file").agg(F.min_by(first, F.when(F.col("at.block") == 0, F.col("at.line"))).alias("header"),
+                                    (F.count(F.lit(1)) - 1).alias("n_rows"))
+    mark = F.regexp_replace("header", "^\ufeff", "")  # a byte order mark is no part of a name
+    return per.select("file", header_names(mark).alias("names"), "n_rows")
 
 
 def schema_drift(columns: list[str], expected: list[str] = ONTIME_COLUMNS) -> list[tuple]:
-    """(column_name, status, position) of one header against the expected names
-    (SRC-8): ``ok``, ``unexpected`` or ``missing`` (position null)."""
+    """(column_name, status, position) of one header against the expected names."""
     rows = [(c, "ok" if c in expected else "unexpected", i + 1) for i, c in enumerate(columns)]
     return rows + [(c, "missing", None) for c in expected if c not in columns]
 
 
-def _plain(file: Column) -> Column:
-    """A local file's path as Spark's metadata column may or may not write it."""
-    return F.regexp_replace(file, "^file:/+", "file:/")
+def header_drift(headers: DataFrame, expected: list[str] = ONTIME_COLUMNS) -> DataFrame:
+    """(file, n_rows, column_name, status, position): each header of
+    :func:`csv_headers` against the expected names (SRC-8): ``ok``, ``unexpected``
+    or ``missing`` (position null)."""
+    known = F.array(*[F.lit(c) for c in expected])
+    found = headers.select("file", "n_rows", F.posexplode("names").alias("at", "column_name")).select(
+        "file", "n_rows", "column_name", F.when(F.array_contains(known, F.col("column_name")), "ok").otherwise("unexpected").alias("status"),
+        (F.col("at") + 1).alias("position"))
+    lacking = headers.select("file", "n_rows", F.explode(F.array_except(known, "names")).alias("column_name")).select(
+        "file", "n_rows", "column_name", F.lit("missing").alias("status"), F.lit(None).cast("int").alias("position"))
+    return found.unionByName(lacking)
 
 
 def drift_report(spark: SparkSession, path: str, expected: list[str] = ONTIME_COLUMNS) -> DataFrame:
-    """The header drift of every file at ``path``, with the file's data rows."""
-    headers = csv_headers(spark, path)
-    drift = spark.createDataFrame(
-        [(re.sub("^file:/+", "file:/", f), *row) for f, names in headers for row in schema_drift(names, expected)],
-        "file string, column_name string, status string, position int")
-    rows = (spark.read.schema("line string").option("header", True).option("enforceSchema", True)
-            .csv([f for f, _ in headers]).select("line", _plain(F.col("_metadata.file_path")).alias("file"))
-            .groupBy("file").agg(F.count(F.lit(1)).alias("n_rows")))
-    return drift.join(rows, "file", "left").withColumn("n_rows", F.coalesce("n_rows", F.lit(0)))
+    """The header drift of every file at ``path``, with the file's data rows: one
+    scan and one aggregate, nothing passes through the driver."""
+    file = F.regexp_replace("file", "^file:/+", "file:/")  # a local path as Spark may or may not write it
+    return header_drift(csv_headers(spark, path), expected).withColumn("file", file)
 
 
 def write_ontime_csv(raw: DataFrame, path: str) -> None:
     """Write on-time rows as headed CSV files (the publisher's monthly files)."""
     raw.write.mode("overwrite").option("header", True).csv(path)
-

@@ -1,7 +1,7 @@
 """Silver/gold table sinks.
 
 * ``replace_table`` — full overwrite (SNK-3..10): the new table is written
-  beside the old one and swapped in when complete.
+  beside the old one and published by one commit (:mod:`sources.versions`).
 * ``append_new`` — idempotent append (SNK-1/2): only rows whose natural key
   is not yet in the table are written, so a re-run, a replayed micro-batch or
   an overlapping snapshot never duplicates a key.
@@ -20,14 +20,14 @@ one execution, not a second ``count()`` pass (CNT-1).
 
 from __future__ import annotations
 
-import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import exists, remove, scratch_path, swap_in
+from ..session import exists, remove, scratch_path
+from .versions import publish
 
 PART = "day_part"
 NO_DAY = "none"
@@ -42,15 +42,14 @@ def observed_write(df: DataFrame, name: str, write) -> int:
 
 def replace_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
                   name: str = "table") -> int:
-    """Overwrite the table at ``path`` (Snappy Parquet); return rows written."""
-    staged = f"{path}.staged-{uuid.uuid4().hex[:8]}"
-
-    def write(d: DataFrame) -> None:
-        w = d.write.option("compression", "snappy")
-        (w.partitionBy(*partition_by) if partition_by else w).parquet(staged)
-    rows = observed_write(df, name, write)
-    swap_in(df.sparkSession, staged, path)
-    return rows
+    """Overwrite the table at ``path`` (Snappy Parquet); return rows written.
+    Readers resolve it with :func:`sources.versions.read_table`."""
+    def write(folder: str) -> int:
+        def save(d: DataFrame) -> None:
+            w = d.write.option("compression", "snappy")
+            (w.partitionBy(*partition_by) if partition_by else w).parquet(folder)
+        return observed_write(df, name, save)
+    return publish(df.sparkSession, path, write)
 
 
 def with_part(df: DataFrame, day: str) -> DataFrame:
@@ -82,6 +81,33 @@ def unseen(batch: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
     return batch.join(ex, null_safe_key_match(batch, ex, keys), "left_anti")
 
 
+def row_hashes(columns: list[str]) -> tuple[Column, Column]:
+    """Two 64-bit hashes of a row. Spark's hash passes over nulls, so which
+    columns are null is hashed with the values."""
+    row = [F.array(*[F.col(c).isNull() for c in columns]), *[F.col(c) for c in columns]]
+    return F.xxhash64(*row), F.xxhash64(F.lit(1), *row)
+
+
+def digests(df: DataFrame, by: list[str], columns: list[str]) -> DataFrame:
+    """An order-free digest of the rows of each group: ``n_rows``, the sum of one
+    row hash and the xor of another. One narrow aggregate, reduced map-side; two
+    multisets of rows with equal digests are taken to be equal."""
+    a, b = row_hashes(columns)
+    return df.select(*by, a.cast("decimal(20,0)").alias("_a"), b.alias("_b")).groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("_a").alias("hash_sum"), F.bit_xor("_b").alias("hash_xor"))
+
+
+def changed_parts(new: DataFrame, old: DataFrame, part: str, columns: list[str]) -> DataFrame:
+    """The values of ``part`` whose rows differ between two tables: one aggregate in
+    which equal digests cancel out, without a join of the rows."""
+    def signed(df: DataFrame, sign: int) -> DataFrame:
+        d = digests(df, [part], columns)
+        return d.select(part, *[(F.col(c) * sign).alias(c) for c in ("n_rows", "hash_sum")], "hash_xor")
+    both = signed(new, 1).unionByName(signed(old, -1)).groupBy(part).agg(
+        F.sum("n_rows").alias("n_rows"), F.sum("hash_sum").alias("hash_sum"), F.bit_xor("hash_xor").alias("hash_xor"))
+    return both.where("n_rows <> 0 OR hash_sum <> 0 OR hash_xor <> 0").select(part)
+
+
 def append_new(df: DataFrame, path: str, keys: list[str],
                partition_by: list[str] | None = None, name: str = "table") -> int:
     """Append the rows of ``df`` whose key is not yet stored at ``path``.
@@ -124,8 +150,8 @@ def merge_days(df: DataFrame, path: str, keys: list[str], partition_by: list[str
     The largest of a union is the largest of the largest, so the table ends the
     same however the input was split into batches or replayed. Only the days
     present in ``df`` are read and merged (one aggregate, partial map-side), and
-    only days with a changed row are rewritten, with dynamic partition
-    overwrite. The merged days are written to the shared folder first, so the
+    only days whose digest of all rows changed are rewritten, with dynamic partition
+    overwrite; the first batch is merged with an empty table. The merged days are written to the shared folder first, so the
     table is never read and overwritten by the same job; both scratch copies are
     removed at the end.
     """
@@ -134,7 +160,7 @@ def merge_days(df: DataFrame, path: str, keys: list[str], partition_by: list[str
     if partition_by[0] not in df.columns:
         raise ValueError("the day column has to be a column of the batch")
     if not exists(spark, path):
-        return append_new(df, path, keys, partition_by=partition_by, name=name)
+        return append_new(dedupe(df, keys, order_by, descending=True), path, keys, partition_by=partition_by, name=name)
     df = with_part(df, partition_by[0])
     batch_path, merged_path = scratch_path(spark, f"{name}-batch"), scratch_path(spark, f"{name}-merged")
     df.write.parquet(batch_path)
@@ -145,9 +171,8 @@ def merge_days(df: DataFrame, path: str, keys: list[str], partition_by: list[str
     merged_rows = observed_write(dedupe(union, keys, order_by, descending=True), f"{name}-merged",
                                  lambda d: d.write.parquet(merged_path))
     merged = spark.read.schema(df.schema).parquet(merged_path)
-    changed = merged.join(stored, null_safe_key_match(merged, stored, df.columns), "left_anti")
     days_path = scratch_path(spark, f"{name}-changed")
-    changed.select(F.col(PART).alias("_part")).distinct().write.parquet(days_path)
+    changed_parts(merged, stored, PART, df.columns).withColumnRenamed(PART, "_part").write.parquet(days_path)
     days = spark.read.schema("_part string").parquet(days_path)
     if not days.isEmpty():
         out = merged.join(days, merged[PART] == days["_part"], "left_semi")

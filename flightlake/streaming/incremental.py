@@ -28,7 +28,9 @@ from pyspark.sql import types as T
 from .. import operators as op
 from ..schemas import LIVE_KEY, WEATHER_KEY
 from ..sources.bronze import FEEDS, REJECT
-from ..sources.sinks import append_new, merge_days
+from ..session import remove
+from ..sources.sinks import append_new, merge_days, replace_table
+from ..sources.versions import published, read_table
 
 _FEEDS = {
     # feed: (silver builder, key, partition columns)
@@ -38,20 +40,46 @@ _FEEDS = {
 }
 
 
+class StationsChanged(ValueError):
+    """The allow-list is not the one under which the feed's files were read."""
+
+
+def check_stations(spark: SparkSession, stations: DataFrame | None, checkpoint: str, replay: bool) -> None:
+    """Compare the allow-list (FLT-6) with the one kept beside the checkpoint, so that
+    what the table holds never depends on which job ran first. With ``replay`` a
+    changed list starts the feed anew: every landed file is read again and merged,
+    which gives a new station its history (and takes no row of an old one away)."""
+    path = f"{checkpoint}-stations"
+    want = (spark.createDataFrame([("*",)], "airport_icao string") if stations is None
+            else stations.select(F.col("airport_icao").cast("string")).where("airport_icao IS NOT NULL").distinct())
+    if published(spark, path):
+        have = read_table(spark, path)
+        if want.exceptAll(have).isEmpty() and have.exceptAll(want).isEmpty():
+            return
+        if not replay:
+            raise StationsChanged("the list of stations is not that of the earlier runs; run again with replay")
+        remove(spark, checkpoint)
+    replace_table(want, path, name="stations")
+
+
 def ingest_stream(spark: SparkSession, bronze_root: str, silver_path: str, feed: str,
                   checkpoint: str, stations: DataFrame | None = None,
                   max_files_per_trigger: int | None = None, mode: str = "merge",
-                  rejects_path: str | None = None) -> dict:
+                  rejects_path: str | None = None, replay: bool = False) -> dict:
     """Catch up on all new snapshot files of ``feed``; return progress totals.
 
     ``bronze_root`` holds ``ingest_date=…`` folders (see
     :func:`sources.bronze.land_snapshot`). The returned dict has the number of
     micro-batches, of keys added to ``silver_path``, and of lines that are no
-    JSON of the feed; these are appended to ``rejects_path`` if it is given.
+    JSON of the feed; these are appended to ``rejects_path`` if it is given. A
+    list of stations other than that of earlier runs is refused, or, with
+    ``replay``, read for all files landed so far (:func:`check_stations`).
     """
     if mode not in ("merge", "append"):
         raise ValueError(f"unknown mode {mode!r}")
     build, keys, partition_by = _FEEDS[feed]
+    if feed == "weather":
+        check_stations(spark, stations, checkpoint, replay)
     schema = T.StructType([*FEEDS[feed].fields, T.StructField(REJECT, T.StringType())])
     reader = spark.readStream.schema(schema).option("columnNameOfCorruptRecord", REJECT)
     if max_files_per_trigger:

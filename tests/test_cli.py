@@ -31,8 +31,8 @@ def test_cli_land_and_full_report(spark, sf_small, tmp_path, capsys):
     capsys.readouterr()
     assert main(["report", "--lake", lake.root, "worst_routes", "--k", "50"]) == 0
     table = [x for x in capsys.readouterr().out.splitlines() if x.startswith("|")]
-    gold = spark.read.parquet(lake.gold("route_delay_summary")).count()
+    gold = jobs.read_gold(spark, lake, "route_delay_summary").count()
     assert len(table) == 1 + min(50, gold)
     assert main(["report", "--lake", lake.root, "live_monitor", "--out", f"{lake.root}/live"]) == 0
     assert spark.read.option("header", True).csv(f"{lake.root}/live").count() == \
-        spark.read.parquet(lake.gold("aviationstack_summary")).count()
+        jobs.read_gold(spark, lake, "aviationstack_summary").count()

@@ -11,6 +11,7 @@ from flightlake.session import scratch_path
 from flightlake.sources import bronze, surrogate
 from flightlake.sources.sinks import append_new, replace_table
 from flightlake.sources.tables import Tables
+from flightlake.sources.versions import read_table
 from flightlake.streaming import ingest_stream
 
 
@@ -36,7 +37,7 @@ def test_replace_table_counts_with_one_execution(spark):  # CNT-1
     path = scratch_path(spark, "replace")
     assert replace_table(spark.range(7), path) == 7
     assert replace_table(spark.range(3), path) == 3
-    assert spark.read.parquet(path).count() == 3
+    assert read_table(spark, path).count() == 3
 
 
 def test_nightly_jobs_audit_and_rerun(spark, sf_small):  # JOB-1..4
@@ -215,7 +216,7 @@ def test_failed_overwrite_leaves_the_old_table(spark):  # SNK-3, T10
     replace_table(spark.range(5), path)
     with pytest.raises(Exception):
         replace_table(spark.range(9).withColumn("x", F.raise_error(F.lit("boom"))), path)
-    assert spark.read.parquet(path).count() == 5
+    assert read_table(spark, path).count() == 5
 
 
 def test_written_tables_are_snappy(spark):  # SNK-10
