@@ -11,7 +11,11 @@ reference and expanded token count are recorded. Turns are marked
 Escaping: an opener ``<`` or ``[`` of a control string (``<|``, ``<s>``,
 ``</s>``, ``[INST]``, ``[/INST]``) gets an underscore after it, and so does an
 opener that already has underscores there, so one underscore can be taken
-off again and every text comes back exactly; no text can forge a mark.
+off again and every text comes back exactly. Neighbouring text parts are joined
+before they are escaped, and a role's ``|>`` gets an underscore too, so no text,
+however it is cut into parts, and no role can forge a mark. ``parse_content``
+reads the typed parts back: a placeholder is a mark, a text that looks like one
+is escaped.
 
 Only built-in expressions. One conversation is one output row and is
 assembled in one task; turns are grouped by conversation with one shuffle.
@@ -33,6 +37,8 @@ from .common import let
 
 TURN_OPEN, MARK_CLOSE, TURN_END = "<|", "|>\n", "<|end|>\n"
 # Control strings of chat templates, by opener and what follows.
+ROLE_CLOSE, ROLE_OPENED = r"\|(?=_*>)", r"\|_(?=_*>)"
+PLACEHOLDER = r"<\|[a-z]*:\d+\|>"
 CONTROL_TAIL = r"(?:\||/?s>|/?INST\])"
 ESCAPE = rf"([<\[])(?=_*{CONTROL_TAIL})"
 UNESCAPE = rf"([<\[])_(?=_*{CONTROL_TAIL})"
@@ -52,6 +58,14 @@ def unescape(text: Column) -> Column:
     return F.regexp_replace(text, UNESCAPE, "$1")
 
 
+def escape_role(role: Column) -> Column:
+    return F.regexp_replace(escape(role), ROLE_CLOSE, "|_")
+
+
+def unescape_role(role: Column) -> Column:
+    return unescape(F.regexp_replace(role, ROLE_OPENED, "|"))
+
+
 def text_part(text: Column) -> Column:
     """A content list with one text part."""
     return F.array(F.struct(F.lit("text").alias("type"), F.coalesce(text.cast("string"), F.lit("")).alias("text"),
@@ -71,6 +85,17 @@ def is_text(part: Column) -> Column:
     return F.coalesce(part["type"] == "text", F.lit(False))
 
 
+def joined_texts(parts: Column) -> Column:
+    """A content list whose neighbouring text parts are one part; null: empty."""
+    def add(acc: Column, p: Column) -> Column:
+        last = F.get(acc, F.size(acc) - 1)
+        both = F.concat(F.coalesce(last["text"], F.lit("")), F.coalesce(p["text"], F.lit("")))
+        whole = F.concat(F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))), text_part(both).cast(f"array<{PART}>"))
+        return F.when((F.size(acc) > 0) & is_text(p) & F.coalesce(is_text(last), F.lit(False)), whole).otherwise(F.concat(acc, F.array(p)))
+    empty = F.array().cast(f"array<{PART}>")
+    return F.when(F.size(parts) > 1, F.aggregate(parts, empty, add)).otherwise(F.coalesce(parts, empty))
+
+
 def visit(part: Column, place: Column) -> Column:
     """The flat form of one part; ``place`` numbers the conversation's attachments."""
     kind = F.coalesce(F.regexp_replace(part["type"], "[^a-z]", ""), F.lit("unknown"))
@@ -81,7 +106,7 @@ def visit(part: Column, place: Column) -> Column:
 def conversations(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role",
                   content: Column | None = None, text: str = "text") -> DataFrame:
     """One row per conversation: ``conv`` and ``turns`` (role, parts) in order."""
-    parts = content if content is not None else text_part(F.col(text))
+    parts = text_part(F.col(text)) if content is None else joined_texts(content.cast(f"array<{PART}>"))
     one = F.struct(F.col(turn).cast("long").alias("turn"), F.coalesce(F.col(role).cast("string"), F.lit("unknown")).alias("role"),
                    parts.cast(f"array<{PART}>").alias("parts"))
     return rows.select(F.col(conv), one.alias("t")).groupBy(conv).agg(F.sort_array(F.collect_list("t")).alias("turns"))
@@ -89,7 +114,7 @@ def conversations(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", ro
 
 def format_conversations(grouped: DataFrame, conv: str = "conv_id") -> DataFrame:
     """``conv``, ``formatted``, ``mask`` (start and length of every assistant
-    body, in characters) and ``attachments`` (place, turn, type, ref, tokens)."""
+    body, in characters) and ``attachments`` (place, turn, type, ref, units, tokens)."""
     def numbered(turns: Column) -> Column:
         # running attachment number at the start of each turn, in one pass
         return F.aggregate(
@@ -108,7 +133,7 @@ def format_conversations(grouped: DataFrame, conv: str = "conv_id") -> DataFrame
         t["role"].alias("role"), body(t["parts"], n).alias("body"), n.alias("n"), t["parts"].alias("parts")))
     g = grouped.select(conv, pieces.alias("pieces"))
     turns = F.transform("pieces", lambda p: F.struct(
-        F.concat(F.lit(TURN_OPEN), escape(p["role"]), F.lit(MARK_CLOSE)).alias("head"), p["body"].alias("body"),
+        F.concat(F.lit(TURN_OPEN), escape_role(p["role"]), F.lit(MARK_CLOSE)).alias("head"), p["body"].alias("body"),
         (p["role"] == ASSISTANT).alias("learn")))
     g = g.withColumn("marked", turns)
 
@@ -124,24 +149,49 @@ def format_conversations(grouped: DataFrame, conv: str = "conv_id") -> DataFrame
 
     attachments = F.when(F.exists("pieces", lambda p: F.exists(p["parts"], lambda x: ~is_text(x))), F.flatten(F.transform("pieces", lambda p, i: F.transform(
         F.filter(p["parts"], lambda x: ~is_text(x)),
-        lambda x, k: F.struct((p["n"] + k).alias("place"), i.alias("turn"), x["type"].alias("type"), x["ref"].alias("ref"),
+        lambda x, k: F.struct((p["n"] + k).alias("place"), i.alias("turn"), x["type"].alias("type"), x["ref"].alias("ref"), x["units"].alias("units"),
                               expanded_tokens(x).alias("tokens")))))).otherwise(
-        F.array().cast("array<struct<place:int,turn:int,type:string,ref:string,tokens:bigint>>"))
+        F.array().cast("array<struct<place:int,turn:int,type:string,ref:string,units:bigint,tokens:bigint>>"))
     return g.select(
         conv, F.array_join(F.transform("marked", lambda m: F.concat(m["head"], m["body"], F.lit(TURN_END))), "").alias("formatted"),
         let(F.col("marked"), spans).alias("mask"), attachments.alias("attachments"))
 
 
-def parse(formatted: DataFrame, conv: str = "conv_id", column: str = "formatted") -> DataFrame:
-    """The turns (role, text) read back from the formatted string alone."""
+def turn_blocks(column: str) -> Column:
     blocks = F.split(F.col(column), r"<\|end\|>\n")
-    blocks = F.slice(blocks, F.lit(1), F.greatest(F.size(blocks) - 1, F.lit(0)))
+    return F.slice(blocks, F.lit(1), F.greatest(F.size(blocks) - 1, F.lit(0)))
 
-    def turn(block: Column) -> Column:
-        at = F.locate(MARK_CLOSE, block)
-        return F.struct(unescape(block.substr(F.lit(len(TURN_OPEN) + 1), at - 1 - len(TURN_OPEN))).alias("role"),
-                        unescape(block.substr(at + len(MARK_CLOSE), F.length(block))).alias("text"))
-    return formatted.withColumn("parsed", F.transform(blocks, turn))
+
+def block_role(block: Column) -> Column:
+    return unescape_role(block.substr(F.lit(len(TURN_OPEN) + 1), F.locate(MARK_CLOSE, block) - 1 - len(TURN_OPEN)))
+
+
+def block_body(block: Column) -> Column:
+    return block.substr(F.locate(MARK_CLOSE, block) + len(MARK_CLOSE), F.length(block))
+
+
+def parse(formatted: DataFrame, conv: str = "conv_id", column: str = "formatted") -> DataFrame:
+    """The turns (role, text) read back from the formatted string alone; a text
+    holds its placeholders (:func:`parse_content` tells them from texts)."""
+    turn = lambda block: F.struct(block_role(block).alias("role"), unescape(block_body(block)).alias("text"))
+    return formatted.withColumn("parsed", F.transform(turn_blocks(column), turn))
+
+
+def parse_content(formatted: DataFrame, column: str = "formatted", attachments: str = "attachments") -> DataFrame:
+    """The turns as ``content`` (role, parts): texts as they were, neighbours joined
+    and empty ones left out, and the attachments that the placeholders number."""
+    def read(body: Column) -> Column:
+        marks = F.regexp_extract_all(body, F.lit(f"({PLACEHOLDER})"), F.lit(1))
+
+        def piece(text: Column, i: Column) -> Column:
+            place = F.regexp_extract(F.get(marks, i), r":(\d+)", 1).cast("int")
+            held = F.get(F.col(attachments), place)
+            part = F.array(F.struct(held["type"].alias("type"), F.lit(None).cast("string").alias("text"), held["ref"].alias("ref"), held["units"].alias("units")))
+            none = F.array().cast(f"array<{PART}>")
+            return F.concat(F.when(text != "", text_part(unescape(text))).otherwise(none), F.when(i < F.size(marks), part).otherwise(none))
+        return F.flatten(F.transform(F.split(body, PLACEHOLDER), piece))
+    turn = lambda block: F.struct(block_role(block).alias("role"), read(block_body(block)).alias("parts"))
+    return formatted.withColumn("content", F.transform(turn_blocks(column), turn))
 
 
 def masked_texts(column: str = "formatted", mask: str = "mask") -> Column:

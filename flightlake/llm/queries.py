@@ -56,8 +56,9 @@ CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    probe = spark.createDataFrame([(-7, 0, "user", CONTROL_TEXT), (-7, 1, "assistant", CONTROL_TEXT)],
-                                  "conv_id long, turn long, role string, text string")
+    turn = F.col("id")  # two rows made by Spark itself
+    probe = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), turn.alias("turn"),
+                                  F.when(turn == 0, "user").otherwise("assistant").alias("role"), F.lit(CONTROL_TEXT).alias("text"))
     return chat_format.round_trip(chat_format.format_conversations(chat_format.conversations(rows.unionByName(probe))))
 
 
