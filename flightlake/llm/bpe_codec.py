@@ -13,12 +13,13 @@ white space dropped, a word-end mark on the last symbol, and special strings
 taken out of the raw text first.
 
 Memory: the word table of a Python worker holds at most ``MAX_WORDS`` words of
-at most ``MAX_CACHED`` bytes and starts anew when full; a batch is one Arrow
-batch. No shuffle.
+at most ``MAX_CACHED`` bytes (some 290 bytes a word, 60 MB) beside 100 MB of
+vocabulary and starts anew when full; a batch is one Arrow batch. No shuffle.
 
 Defined cases: a null text counts as empty; an empty text has no tokens and
 decodes to the empty text; repeated rows each get a row; an empty table gives
-an empty result; other columns are not read.
+an empty result; other columns are not read, and result columns get underscores
+where ``keep`` has their names.
 """
 
 from __future__ import annotations
@@ -36,9 +37,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches
+from .common import columns, fresh, map_batches
 
-MAX_WORDS = 600_000
+MAX_WORDS = 200_000
 MAX_CACHED = 256
 MAX_PAIRS = 4_000_000
 NEVER = 1 << 60
@@ -61,6 +62,18 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in own else chr(next(rest)) for b in range(256)]
 
 
+def other_normal_form() -> str:
+    """Characters that Python's NFC treats unlike the tokenizer library's, whose
+    tables are of another Unicode version: alone, or between a letter and a mark
+    that composes with it. Marks of two classes show any difference in class."""
+    from tokenizers import normalizers
+
+    nfc = normalizers.NFC()
+    around = [("", ""), ("A", "\u0301"), ("C", "\u0327")]
+    marks = [c for c in map(chr, range(0x110000)) if unicodedata.combining(c) or unicodedata.decomposition(c)[:1] not in ("", "<")]
+    return "".join(c for c in marks if any(unicodedata.normalize("NFC", t) != nfc.normalize_str(t) for t in (a + c + b for a, b in around)))
+
+
 class Codec:
     """Encoder and decoder of one vocabulary file."""
 
@@ -87,7 +100,7 @@ class Codec:
         # Characters whose class differs between Unicode versions: those that
         # only one of the two tables at hand has.
         unassigned = "".join(filter(lambda c: unicodedata.category(c) == "Cn", map(chr, range(0x110000))))
-        newer = "".join(regex.findall(r"\P{Cn}", unassigned))
+        newer = "".join(regex.findall(r"\P{Cn}", unassigned)) + other_normal_form()
         self.newer = frozenset(newer)
         low = "".join(c for c in newer if c <= "\uffff")
         self.low = re.compile(f"[{re.escape(low)}]" if low else r"(?!)")
@@ -268,8 +281,10 @@ def codec(path: str) -> Codec:
 
 def _mapped(docs: DataFrame, keep: list[str], text_col: str, tokenizer: str | None, fields: str, build) -> DataFrame:
     path = tokenizer or default_tokenizer()
-    src = docs.select(*keep, F.col(text_col).cast("string").alias("__text"))
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.drop("__text").schema)
+    (text,) = columns([text_col])
+    held = [c.alias(f"k{i}") for i, c in enumerate(columns(keep))]  # the caller's names may be any
+    src = docs.select(*held, text.cast("string").alias("text"))
+    kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in src.schema[:-1])
     names = [x.split()[0] for x in fields.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -280,7 +295,8 @@ def _mapped(docs: DataFrame, keep: list[str], text_col: str, tokenizer: str | No
                 rows = codec(path).encode_texts(part.column(part.num_columns - 1).to_pylist())
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], *build(rows)], names=[*part.schema.names[:-1], *names])
 
-    return map_batches(src, run, ", ".join(x for x in (kept, fields) if x))
+    out = map_batches(src, run, ", ".join(x for x in (kept, fields) if x))
+    return out.toDF(*keep, *[fresh(n, keep) for n in names])
 
 
 def encode_documents(docs: DataFrame, keep: list[str] | None = None, text_col: str = "text", tokenizer: str | None = None) -> DataFrame:

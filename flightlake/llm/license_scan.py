@@ -104,8 +104,7 @@ def normalise(text: str | None) -> list[bytes]:
 def find(words: list[bytes], notices: tuple[Notice, ...]) -> list[tuple[int, int, int, int]]:
     """``(notice, start, end, edits)`` in the joined words; one entry per place."""
     automaton, bodies, patterns = matcher(notices)
-    # Latin-1 keeps one character per byte, so offsets and slices stay exact.
-    text = (b" " + b" ".join(words) + b" ").decode("latin-1")
+    text = (b" " + b" ".join(words) + b" ").decode()  # edits count characters
     places: dict[int, set[int]] = {}
     for last, (length, uses) in automaton.iter(text):
         for n, offset in uses:
@@ -120,7 +119,7 @@ def find(words: list[bytes], notices: tuple[Notice, ...]) -> list[tuple[int, int
         recent: deque[int] = deque()  # starts, in the order found, that a new one can still be near to
         for at in sorted(starts):
             # A place with up to k edits starts at most k away from where the
-            # piece says; its window is cut at word boundaries further out.
+            # piece says.
             low, high = max(0, at - k), min(len(text), at + size + k)
             window = text[low:high]
             if m := patterns[n].search(window):
@@ -148,15 +147,16 @@ def hits_of(text: str | None, notices: tuple[Notice, ...] = NOTICES) -> tuple[in
     import regex
 
     spans = [m.span() for m in regex.finditer(_WORD, text)]
+    sizes = [len(w.decode()) for w in words]
     starts, at = [], 1
-    for w in words:
+    for size in sizes:
         starts.append(at)
-        at += len(w) + 1
+        at += size + 1
     out = []
     from bisect import bisect_right
     for n, start, end, edits in found:
         first = max(0, bisect_right(starts, start + (start < starts[0])) - 1)
-        if start >= starts[first] + len(words[first]) and first + 1 < len(words):
+        if start >= starts[first] + sizes[first] and first + 1 < len(words):
             first += 1  # the match begins in the gap before the next word
         last = max(first, bisect_right(starts, max(start, end - 1)) - 1)
         size = len(notices[n].text)

@@ -6,7 +6,7 @@ import pytest
 
 from flightlake.llm import bpe_codec, length_histogram, license_scan
 
-from .helpers import empty, messy, text_rows
+from .helpers import clashing, empty, messy, text_rows
 
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
@@ -98,6 +98,33 @@ def test_codec_random_words(library):
         assert decoded == library.decode(e.ids, skip_special_tokens=False) == c.decode(e.ids)
 
 
+def test_codec_equals_library_for_every_character(library):
+    """Each code point alone, and between letters and marks that compose with them."""
+    codec = bpe_codec.codec(bpe_codec.default_tokenizer())
+    points = [chr(c) for c in range(0x20000) if not 0xD800 <= c < 0xE000]
+    points += list(map(chr, [*range(0x2F800, 0x2FA20), *range(0x20000, 0x110000, 997)]))
+    for before, after in (("", ""), ("A", "\u0301"), ("C", "\u0327"), ("A\u0323", "\u0302"), ("か", "\u3099"), ("O\u031b", "")):
+        texts = [before + c + after for c in points]
+        want = [" ".join(map(str, e.ids)) for e in library.encode_batch(texts, add_special_tokens=False)]
+        got = [ids for _, ids, _ in codec.encode_texts(texts)]
+        assert [hex(ord(c)) for c, a, b in zip(points, got, want) if a != b] == [], (before, after)
+
+
+def test_codec_keeps_columns_of_any_name(spark):
+    docs = clashing(spark).withColumnRenamed("mix_order", "text_").withColumnRenamed("tried", "n_tokens")
+    out = bpe_codec.encode_digests(docs, keep=["doc_id", "text_", "n_tokens", "a.b"])
+    assert out.columns == ["doc_id", "text_", "n_tokens", "a.b", "n_tokens_", "ids_sha256", "decoded_sha256"]
+    assert out.where("n_tokens_ > 0").count() > 0
+
+
+def test_license_edits_count_characters():
+    for text, label, edits in (("All rights reservéd", "reserved", 1), ("released under the mít lícense", "mit", 2), ("released ünder thé mit license", "mit", 2)):
+        _, hits = license_scan.hits_of("Zürich – é. " + text + " ñ.")
+        assert (label, edits) in {(h["label"], h["edits"]) for h in hits}, text
+        hit = next(h for h in hits if h["edits"] == edits)
+        assert ("Zürich – é. " + text + " ñ.")[hit["start"]:hit["end"]] in text
+
+
 def test_codec_small_word_table(library, monkeypatch):
     monkeypatch.setattr(bpe_codec, "MAX_WORDS", 5)
     monkeypatch.setattr(bpe_codec, "MAX_CACHED", 4)
