@@ -53,8 +53,11 @@ LEVELS = 3
 RECALL = 0.999
 SMALL = 256
 LEADERS = 4
-BLOCK_SETS = 4096
-BLOCK_SHINGLES = 3_000_000
+BLOCK_SETS = 1024  # sets, and shingles, of one side of an exact comparison
+BLOCK_SHINGLES = 400_000
+BUCKET_SETS = 4096  # sketches of one side of a large bucket's comparison
+# Threshold pairs whose sketches agree in fewer places than SKETCH_MIN, as a share.
+SKETCH_MISS = 0.0003
 # A sketch of a linked pair agrees on 0.8 of its bytes give or take 0.035.
 SKETCH_MIN = round(T * (THRESHOLD - 0.12))
 _U = np.uint64
@@ -85,6 +88,23 @@ def runs_for(recall: float = RECALL, levels: int = LEVELS) -> int:
     return math.ceil(math.log(1 - recall) / math.log(1 - q))
 
 
+def roots(recall: float = RECALL, levels: int = LEVELS) -> list[tuple[int, np.ndarray]]:
+    """(root path, sampled places) of the runs: those that sample a place, until a
+    threshold pair is missed with at most 1 - ``recall``. A place agrees with
+    probability THRESHOLD; below it the nodes are random."""
+    q = 1.0
+    for _ in range(levels - 1):
+        q = 1 - math.exp(-q)
+    out, miss, run = [], 1.0, 0
+    while miss > max(1 - recall - SKETCH_MISS, 1e-9):
+        run += 1
+        path = int(mixed(np.array([run], np.uint64))[0])
+        if len(at := chosen(path)):
+            out.append((path, at))
+            miss *= (1 - THRESHOLD * q) ** len(at)
+    return out
+
+
 def chosen(path: int) -> np.ndarray:
     """The token places that a node samples."""
     draw = mixed(PLACES ^ _U(path & 0xFFFFFFFFFFFFFFFF))
@@ -115,10 +135,10 @@ def minhash(s: np.ndarray) -> np.ndarray:
     return low
 
 
-def sets_of(docs: DataFrame, id_col: str, text_col: str, runs: int) -> DataFrame:
+def sets_of(docs: DataFrame, id_col: str, text_col: str, recall: float) -> DataFrame:
     """row, id, n, fingerprint, sketch and the root paths of all runs."""
     src = docs.select(row_id(docs.sparkSession).alias("row"), F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    places = [(int(mixed(np.array([r + 1], np.uint64))[0]), chosen(int(mixed(np.array([r + 1], np.uint64))[0]))) for r in range(runs)]
+    places = roots(recall)
     at = np.concatenate([p for _, p in places]).astype(np.int64)
     salt = np.concatenate([np.full(len(p), r, np.uint64) for r, p in places]) ^ PLACES[at]
 
@@ -272,8 +292,8 @@ def children(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def leader_edges(members: DataFrame, reps: DataFrame) -> DataFrame:
     """Large buckets after the last level: ``members`` (path, rep, sketch, size).
-    Rows (u, v) of matches with the bucket's leaders; members without any are
-    returned with v null and their bucket in ``path``."""
+    Rows (u, path, mask, hits): which of its bucket's leaders a member matches, as
+    bits and as representatives."""
     pick = [F.min(F.struct(F.xxhash64(F.lit(k), "path", "rep"), F.col("rep").alias("leader"))).alias(f"l{k}") for k in range(LEADERS)]
     leaders = members.groupBy("path").agg(*pick).select(F.col("path").alias("l_path"), F.explode(F.array_distinct(F.array(*[F.col(f"l{k}.leader") for k in range(LEADERS)]))).alias("leader"))
     leaders = leaders.join(reps.select(F.col("rep").alias("leader"), F.col("sketch").alias("l_sketch")), "leader")
@@ -282,25 +302,58 @@ def leader_edges(members: DataFrame, reps: DataFrame) -> DataFrame:
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            s, path, u, v, p = sketches_of(b), column_of(b, "path"), [], [], []
+            s, masks, hits = sketches_of(b), [], []
             leader, sketch = b.column(3).to_pylist(), b.column(4).to_pylist()
             for i, rep in enumerate(column_of(b, "rep").tolist()):
                 l_s = np.frombuffer(b"".join(sketch[i]), np.uint8).reshape(-1, T)
-                hit = [x for x, n in zip(leader[i], (l_s == s[i]).sum(axis=1)) if n >= SKETCH_MIN and x != rep]
-                own = rep in leader[i]
-                u += [rep] * max(1, len(hit)) if hit or not own else [rep]
-                v += hit or [None]
-                p += [int(path[i])] * max(1, len(hit))
-            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64()), pa.array(p, pa.int64())], names=["u", "v", "path"])
+                near = np.flatnonzero((l_s == s[i]).sum(axis=1) >= SKETCH_MIN).tolist()
+                masks.append(sum(1 << k for k in near))
+                hits.append([leader[i][k] for k in near if leader[i][k] != rep])
+            yield pa.RecordBatch.from_arrays([b.column(1), b.column(0), pa.array(masks, pa.int64()), pa.array(hits, pa.list_(pa.int64()))],
+                                             names=["u", "path", "mask", "hits"])
 
-    return map_batches(j, match, "u long, v long, path long")
+    return map_batches(j, match, "u long, path long, mask long, hits array<long>")
+
+
+def main_clusters(met: DataFrame) -> DataFrame:
+    """(m_path, main): of each bucket's leaders, tied to each other by members that
+    match several, the cluster with most members, as bits."""
+    masks = met.where("mask > 0").groupBy("path", "mask").agg(F.count(F.lit(1)).alias("n"))
+    lists = masks.groupBy("path").agg(F.collect_list(F.struct("mask", "n")).alias("masks"))  # 2^LEADERS - 1 at most
+
+    def join_masks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            main = []
+            for rows in b.column(1).to_pylist():
+                clusters: dict[int, int] = {}
+                for r in rows:
+                    mask, n = r["mask"], r["n"]
+                    for other in [c for c in clusters if c & mask]:
+                        mask, n = mask | other, n + clusters.pop(other)
+                    clusters[mask] = n
+                main.append(max(clusters, key=lambda c: (clusters[c], c)))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(main, pa.int64())], names=["m_path", "main"])
+
+    return map_batches(lists.select("path", "masks"), join_masks, "m_path long, main long")
+
+
+def large_bucket_edges(large: DataFrame, light: DataFrame) -> list[DataFrame]:
+    """Edges that connect all matching members of large buckets (path, rep, sketch, size)."""
+    met = written(leader_edges(large, light), "leader-edges")
+    main = main_clusters(met)
+    loose = met.join(main, met["path"] == main["m_path"]).where(F.col("mask").bitwiseAND(F.col("main")) == 0).select("u", "path")
+    loose = written(loose, "unsettled-members")
+    found = [met.select("u", F.explode("hits").alias("v"))]
+    if not loose.isEmpty():
+        found.append(edges_in(block_rows(large, loose), ["path", "x", "y"]))
+    return found
 
 
 def block_rows(members: DataFrame, loose: DataFrame) -> DataFrame:
-    """Members without a leader against their whole bucket, block by block."""
+    """Unsettled members against their whole bucket, block by block."""
     n_loose = loose.groupBy("path").agg(F.count(F.lit(1)).alias("n_loose")).withColumnRenamed("path", "c_path")
     m = members.join(n_loose, members["path"] == n_loose["c_path"])
-    nx, ny = F.ceil(F.col("size") / BLOCK_SETS).cast("int"), F.ceil(F.col("n_loose") / BLOCK_SETS).cast("int")
+    nx, ny = F.ceil(F.col("size") / BUCKET_SETS).cast("int"), F.ceil(F.col("n_loose") / BUCKET_SETS).cast("int")
     own = F.xxhash64("rep", "path")
     all_side = m.select("path", F.pmod(own, nx).cast("int").alias("x"), F.explode(F.sequence(F.lit(0), ny - 1)).alias("y"), "rep", "sketch", F.lit(0).alias("side"))
     loose_ids = loose.select(F.col("path").alias("o_path"), F.col("u").alias("o_rep"))
@@ -326,11 +379,7 @@ def candidate_edges(reps: DataFrame) -> DataFrame:
             rows = written(map_batches(large.select("path", "rep", "sketch"), children, "path long, rep long"), f"paths-{level + 1}")
             continue
         large = written(large.select("path", "rep", "sketch", "size"), "large-buckets")
-        met = written(leader_edges(large, light), "leader-edges")
-        found.append(met.where("v IS NOT NULL").select("u", "v"))
-        loose = met.where("v IS NULL")
-        if not loose.isEmpty():
-            found.append(edges_in(block_rows(large, loose), ["path", "x", "y"]))
+        found += large_bucket_edges(large, light)
     found.append(edges_in(reduce(DataFrame.unionByName, small).join(light, "rep").select("path", "rep", "sketch"), ["path"]))
     return reduce(DataFrame.unionByName, found)
 
@@ -392,11 +441,18 @@ def overlaps(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.
         return out
     new = np.concatenate([[True], column[1:] != column[:-1]])
     column = np.cumsum(new) - 1
-    for lo in range(0, int(column[-1]) + 1, 2048):
-        a, b = np.searchsorted(column, [lo, lo + 2048])
-        x = np.zeros((len(sets), 2048), np.float32)
-        x[member[a:b], column[a:b] - lo] = 1
-        np.add(out, x[left] @ x[right].T, out=out, casting="unsafe")
+    row = np.full((2, len(sets)), -1)  # a member's row in the left and the right matrix
+    row[0, left], row[1, right] = np.arange(len(left)), np.arange(len(right))
+
+    def ones(side: int, n: int, a: int, b: int, lo: int) -> np.ndarray:
+        x, at = np.zeros((n, 1024), np.float32), row[side, member[a:b]]
+        x[at[at >= 0], column[a:b][at >= 0] - lo] = 1
+        return x
+
+    for lo in range(0, int(column[-1]) + 1, 1024):
+        a, b = np.searchsorted(column, [lo, lo + 1024])
+        x = ones(0, len(left), a, b, lo)
+        np.add(out, x @ (x if left is right else ones(1, len(right), a, b, lo)).T, out=out, casting="unsafe")
     return out
 
 
@@ -460,7 +516,7 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     linked group), ``class_size`` (documents in it), ``copy_id`` (smallest id with
     the same set), ``n_copies``, ``n_links`` (other documents at the threshold or
     above, copies included) and ``kept`` (the group's row with the largest id)."""
-    sets = written(sets_of(docs, id_col, text_col, runs_for(recall)), "shingle-sets")
+    sets = written(sets_of(docs, id_col, text_col, recall), "shingle-sets")
     key = ["f1", "f2", "n"]
     copies = sets.groupBy(*key).agg(F.min("row").alias("rep"), F.count(F.lit(1)).alias("copies"), F.min("id").alias("copy_id"))
     copies = written(copies, "copy-groups")
