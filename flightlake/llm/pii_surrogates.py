@@ -49,7 +49,7 @@ FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Sra", "Señora", "Mme", "Madame", "г-ж
 _UPPER = {t: t.upper() for t in MALE + FEMALE}  # as upper-cased texts have them
 _TITLE = rf"\b(?:{'|'.join(sorted(MALE + FEMALE, key=len, reverse=True))})\.?"
 _TITLE_UP = rf"\b(?:{'|'.join(sorted(_UPPER.values(), key=len, reverse=True))})\.?"
-_WORD, _WORD_UP = r"\p{Lu}[\p{L}'’-]{1,40}", r"\p{Lu}[\p{Lu}'’-]{1,40}"
+_WORD, _WORD_UP = r"\p{Lu}[\p{L}'’-]+", r"\p{Lu}[\p{Lu}'’-]+"
 
 # A secret's key word in any case, the sign that assigns it, and blanks or quotes around.
 _ASSIGNED = r"(?=[pstPST])(?i:password|passwd|pwd|secret|token)[\"']?\h*+(?::=|=>|==|[=:])\h*+"

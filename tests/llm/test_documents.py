@@ -346,3 +346,10 @@ def test_parts_and_roles_cannot_forge_marks(spark):
             body = got[c].formatted[m.start:m.start + m["size"]]
             assert (body == "") == (not r)
     assert [(t.role, t.parts) for t in got[900].content] == [("user", [])]
+
+
+def test_long_names_are_replaced_whole(spark):
+    long = "A" + "b" * 60
+    (text, n, kinds), (upper, *_) = pii_texts(spark, [f"Mr {long} {long} came, {long[:20]} stays.", f"MR {long.upper()} came."])
+    assert (n, kinds) == (1, "name") and "bbb" not in text.split(" came, ")[0] and "BBB" not in upper
+    assert text.endswith(f" came, {long[:20]} stays.") and upper.endswith(" came.")
