@@ -38,7 +38,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD_RX, columns, fresh, let, written
+from .common import WORD_RX, columns, fresh, let, row_id, written
 
 # Fixed values of the mix.
 WEIGHTS = (5, 2, 1)
@@ -63,11 +63,12 @@ def block_of(key: Column) -> Column:
     return F.pmod(key, F.lit(BLOCKS)).cast("int")
 
 
-def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = SEED) -> DataFrame:
-    """Narrow rows of all documents, written once: id, source, size, key, block."""
+def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = SEED,
+          row: str | None = None) -> DataFrame:
+    """Narrow rows of all documents, written once: id, source, size, key, block (and the column ``row``)."""
     key = doc_key(id_col, text_col, seed)
     return written(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"),
-                               key.alias("key"), block_of(key).alias("block")), "mix-sizes")
+                               key.alias("key"), block_of(key).alias("block"), *([F.col(row).alias("row")] if row else [])), "mix-sizes")
 
 
 def targets(sizes: DataFrame, share: float = SHARE, cap: float = CAP, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
@@ -243,13 +244,8 @@ def copies(rows: DataFrame, plan: DataFrame, source_col: str, block_col: str, ke
         F.xxhash64(F.lit(seed), F.col(key_col), F.col(f"{draw}.pass")).alias(order))
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        shards: int = SHARDS, seed: int = SEED) -> DataFrame:
-    """The mix: documents with repetitions, in shard order and shuffled inside
-    every shard; the last two columns are ``mix_shard`` and ``mix_order``. Writing
-    it with ``partitionBy("mix_shard")`` makes the shard folders."""
-    sizes = sized(docs, id_col, text_col, source_col, seed)
-    plan = mix_plan(sizes, targets(sizes), shards, seed)
+def arranged(docs: DataFrame, plan: DataFrame, id_col: str, text_col: str, source_col: str, seed: int) -> DataFrame:
+    """The copies of ``docs`` that the plan draws, dealt to their shards and ordered there."""
     key = doc_key(id_col, text_col, seed)
     k, b = (fresh(n, docs.columns) for n in ("d_key", "d_block"))
     rows = docs.withColumn(k, key).withColumn(b, block_of(key))
@@ -258,17 +254,27 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     return out.repartitionByRange(*place).sortWithinPartitions(*place)
 
 
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+        shards: int = SHARDS, seed: int = SEED) -> DataFrame:
+    """The mix: documents with repetitions, in shard order and shuffled inside
+    every shard; the last two columns are ``mix_shard`` and ``mix_order``. Writing
+    it with ``partitionBy("mix_shard")`` makes the shard folders."""
+    sizes = sized(docs, id_col, text_col, source_col, seed)
+    return arranged(docs, mix_plan(sizes, targets(sizes), shards, seed), id_col, text_col, source_col, seed)
+
+
 def mix_summary(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                 shards: int = SHARDS, seed: int = SEED) -> DataFrame:
     """One row per document: its size, its source's size and target, and the
-    words the mix takes from it (counted over its copies in the mix)."""
-    sizes = sized(docs, id_col, text_col, source_col, seed)
+    words that its copies in the mix hold. The mix is made with whole texts and
+    dealt to its shards; ``taken`` is counted over the texts that arrive there.
+    ``docs`` has to be a stored table, since rows are numbered by the scan."""
+    row = fresh("mix_row", docs.columns)
+    numbered = docs.withColumn(row, row_id(docs.sparkSession))
+    sizes = sized(numbered, id_col, text_col, source_col, seed, row)
     goals = written(targets(sizes), "mix-targets")
-    plan = mix_plan(sizes, goals, shards, seed)
+    made = arranged(numbered, mix_plan(sizes, goals, shards, seed), id_col, text_col, source_col, seed)
+    taken = made.groupBy(F.col(row).alias("t_row")).agg(F.sum(word_count(F.col(text_col))).alias("taken"))
     g = goals.select(F.col("source").alias("g_source"), "source_size", "target")
-    p = plan.select(F.col("source").alias("p_source"), F.col("block").alias("p_block"), "draws")
-    j = sizes.join(g, sizes["source"].eqNullSafe(g["g_source"])).join(
-        p, sizes["source"].eqNullSafe(p["p_source"]) & (sizes["block"] == p["p_block"]), "left")
-    hit = F.filter(F.coalesce("draws", F.array().cast("array<struct<pass:int,cut:bigint,shard:int>>")),
-                   lambda d: d["cut"].isNull() | (F.col("key") <= d["cut"]))
-    return j.select(F.col("id").alias(id_col), "size", "source_size", "target", (F.col("size") * F.size(hit)).cast("long").alias("taken"))
+    j = sizes.join(g, sizes["source"].eqNullSafe(g["g_source"])).join(taken, sizes["row"] == taken["t_row"], "left")
+    return j.select(F.col("id").alias(id_col), "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"))
