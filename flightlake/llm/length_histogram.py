@@ -15,7 +15,9 @@ Defined cases: a null text counts as empty and has length 0; null group values
 form a group of their own; repeated rows count as often as they occur; an empty
 table gives an empty histogram; very long texts are encoded in parts cut where
 the pre-tokeniser always cuts (a blank after a non-blank), which changes no
-length. Other columns are not read.
+length. Other columns are not read, and the group column may have any name: inside,
+it is ``group_key``, and names that the results add take underscores at the end
+where it has one of them.
 """
 
 from __future__ import annotations
@@ -27,11 +29,16 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import map_batches, written
+from .common import columns, fresh, map_batches, written
 
 RANGE = 1024
 PART_CHARS = 100_000
+QUANTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75, "p90": 0.9, "p99": 0.99}
+# Columns of the results beside the group.
+RESULT = ("n_tokens", "n_docs", "docs_at_least", "tokens_at_least", "docs_total", "tokens_total", "context_limit",
+          "docs_cut", "tokens_kept", "docs_within", "p", "quantile_group", *QUANTILES)
 
 
 def default_tokenizer() -> str:
@@ -66,18 +73,18 @@ def length_of(text: str | None, path: str) -> int:
     return sum(len(encode(p)) for p in parts(text or ""))
 
 
-def encoded_lengths(docs: DataFrame, keep: list[str], text_col: str = "text", tokenizer: str | None = None) -> DataFrame:
-    """``keep`` columns and ``n_tokens`` of every document."""
+def encoded_lengths(docs: DataFrame, keep: list[str], text_col: str = "text", tokenizer: str | None = None, out: str = "n_tokens") -> DataFrame:
+    """``keep`` columns and ``n_tokens`` (the last column) of every document."""
     path = tokenizer or default_tokenizer()
-    src = docs.select(*keep, F.col(text_col).cast("string").alias("__text"))
-    fields = src.drop("__text").schema
+    out, text = fresh(out, keep), fresh("encoded_text", keep)
+    src = docs.select(*columns(keep), columns([text_col])[0].cast("string").alias(text))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             lengths = pa.array([length_of(t, path) for t in b.column(b.num_columns - 1).to_pylist()], pa.int64())
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], lengths], names=[*b.schema.names[:-1], "n_tokens"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], lengths], names=[*b.schema.names[:-1], out])
 
-    return map_batches(src, count, ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + ["n_tokens long"]))
+    return map_batches(src, count, T.StructType([*src.schema.fields[:-1], T.StructField(out, T.LongType())]))
 
 
 def histogram(lengths: DataFrame, group: str) -> DataFrame:
@@ -115,7 +122,7 @@ def limit_table(sums: DataFrame, group: str) -> DataFrame:
     """Answers at every distinct length taken as the context limit. Between two
     of them ``tokens_kept`` is linear, so this is the answer for every limit."""
     return sums.select(
-        group, F.col("n_tokens").alias("context_limit"), "n_docs",
+        *columns([group]), F.col("n_tokens").alias("context_limit"), "n_docs",
         (F.col("docs_at_least") - F.col("n_docs")).alias("docs_cut"),
         truncated_total(F.col("n_tokens")).alias("tokens_kept"),
         (F.col("docs_total") - F.col("docs_at_least") + F.col("n_docs")).alias("docs_within"),
@@ -124,15 +131,15 @@ def limit_table(sums: DataFrame, group: str) -> DataFrame:
 
 def at_limits(sums: DataFrame, group: str, limits: list[int]) -> DataFrame:
     """Tokens kept and documents cut for a stated list of limits."""
-    grid = sums.select(group, "docs_total", "tokens_total", "n_tokens", "docs_at_least", "tokens_at_least", "n_docs",
+    grid = sums.select(*columns([group]), "docs_total", "tokens_total", "n_tokens", "docs_at_least", "tokens_at_least", "n_docs",
                        F.explode(F.array(*[F.lit(int(x)).cast("long") for x in limits])).alias("context_limit"))
     reach = F.col("n_tokens") >= F.col("context_limit")
     first = F.min(F.when(reach, F.struct("n_tokens", "docs_at_least", "tokens_at_least", "n_docs")))
-    g = grid.groupBy(group, "context_limit").agg(first.alias("f"), F.max("docs_total").alias("docs_total"),
+    g = grid.groupBy(*columns([group]), "context_limit").agg(first.alias("f"), F.max("docs_total").alias("docs_total"),
                                                  F.max("tokens_total").alias("tokens_total"))
     docs, tokens = F.coalesce("f.docs_at_least", F.lit(0)), F.coalesce("f.tokens_at_least", F.lit(0))
     exact = F.when(F.col("f.n_tokens") == F.col("context_limit"), F.col("f.n_docs")).otherwise(0)
-    return g.select(group, "context_limit", (docs - exact).alias("docs_cut"),
+    return g.select(*columns([group]), "context_limit", (docs - exact).alias("docs_cut"),
                     (F.col("tokens_total") - tokens + F.col("context_limit") * docs).alias("tokens_kept"))
 
 
@@ -140,10 +147,26 @@ def quantiles(sums: DataFrame, group: str, probs: list[float]) -> DataFrame:
     """The smallest length that at least a share ``p`` of the documents do not exceed."""
     within = F.col("docs_total") - F.col("docs_at_least") + F.col("n_docs")
     grid = sums.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-    return grid.where(within >= F.ceil(F.col("p") * F.col("docs_total"))).groupBy(group, "p").agg(F.min("n_tokens").alias("n_tokens"))
+    return grid.where(within >= F.ceil(F.col("p") * F.col("docs_total"))).groupBy(*columns([group]), "p").agg(F.min("n_tokens").alias("n_tokens"))
+
+
+def quantile_columns(hist: DataFrame, group: str, probs: dict[str, float]) -> DataFrame:
+    """One row per group: for each name the exact quantile of its lengths."""
+    found = quantiles(hist, group, list(probs.values()))
+    return found.groupBy(*columns([group])).agg(*[F.max(F.when(F.col("p") == p, F.col("n_tokens"))).alias(name) for name, p in probs.items()])
+
+
+def with_quantiles(sums: DataFrame, group: str, probs: dict[str, float] = QUANTILES) -> DataFrame:
+    """The limit table with the group's exact quantiles in every row."""
+    table = limit_table(sums, group)
+    q = quantile_columns(sums, group, probs).withColumnRenamed(group, "quantile_group")
+    return table.join(q, columns([group])[0].eqNullSafe(F.col("quantile_group")), "left").drop("quantile_group")
 
 
 def token_histogram(docs: DataFrame, group: str = "source", text_col: str = "text", tokenizer: str | None = None) -> DataFrame:
-    """Encode, count and sum; the histogram is written once, being read three times."""
-    lengths = encoded_lengths(docs, [group], text_col, tokenizer)
-    return suffix_sums(written(histogram(lengths, group), "length-histogram"), group)
+    """Encode, count and sum; the histogram is written once, being read three times.
+    The group is the first column; it keeps its name unless a result column has it."""
+    keyed = docs.select(columns([group])[0].alias("group_key"), columns([text_col])[0].alias("group_text"))
+    lengths = encoded_lengths(keyed, ["group_key"], "group_text", tokenizer)
+    sums = suffix_sums(written(histogram(lengths, "group_key"), "length-histogram"), "group_key")
+    return sums.withColumnRenamed("group_key", fresh(group, RESULT))

@@ -16,7 +16,7 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_token_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     sums = length_histogram.token_histogram(table(spark, sf_dir, "documents"))
-    return length_histogram.limit_table(sums, "source")
+    return length_histogram.with_quantiles(sums, "source")
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,7 +34,7 @@ def op5_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = pii_surrogates.replace_entities(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    done = pii_surrogates.replace_entities(table(spark, sf_dir, "documents").select("doc_id", "text"), pii_surrogates.session_key(spark))
     return done.select("doc_id", "text", F.col("pii.n_entities").alias("n_entities"), F.col("pii.kinds").alias("kinds"))
 
 

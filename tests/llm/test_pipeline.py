@@ -1,14 +1,17 @@
 import hashlib
+from functools import partial
 import re
 
 import duckdb
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from flightlake.llm.oracle import ORACLE
 from flightlake.llm.queries import QUERIES
 from flightlake.llm import bpe_codec
 
-from .helpers import clashing, empty, text_rows
+from .helpers import clashing, empty, messy, store, text_rows
 
 
 def same(spark_df, sql, sf):
@@ -90,8 +93,18 @@ def test_columns_with_the_operators_own_names(spark, sf_small):
         assert all(list(r)[12:] == first for r in rows)
     assert corpus_pipeline.encoded(spark, docs, sf_small).count() == len(text_rows())
     added = {quality_rules.with_verdict: ["quality_", "quality__kept"], source_mix.mix: ["mix_shard_", "mix_order_"],
-             pii_surrogates.replace_entities: ["pii_"]}
+             partial(pii_surrogates.replace_entities, key="k"): ["pii_"]}
     for operator, names in added.items():
         out = operator(docs)
         assert out.columns == docs.columns + names
         assert all(list(r)[12:12 + len(own)] == first for r in out.collect())
+
+
+def test_groups_named_like_result_columns(spark):
+    """The histogram's group may have any name, also one of its own columns."""
+    from flightlake.llm import length_histogram
+    for name in ("__text", "n_tokens", "P50", "p", "group_key", "docs_total", "a.b"):
+        docs = messy(spark).select(*[c for c in ("doc_id", "text")], F.col("rep").alias("other"), F.col("source").alias(name))
+        sums = length_histogram.token_histogram(docs, group=name)
+        out = length_histogram.with_quantiles(sums, sums.columns[0]).collect()
+        assert {r[0] for r in out} == {t[3] for t in text_rows()} and sum(r.n_docs for r in out) == len(text_rows())

@@ -160,7 +160,13 @@ def test_histogram_matches_brute_force(spark):
     for r in length_histogram.quantiles(sums, "source", [0.25, 0.5, 1.0]).collect():
         own = sorted(lengths[r.source])
         assert r.n_tokens == own[-(-int(r.p * len(own) * 4) // 4) - 1]
-    assert length_histogram.token_histogram(empty(spark)).count() == 0
+    whole = length_histogram.with_quantiles(sums, "source").collect()
+    assert len(whole) == length_histogram.limit_table(sums, "source").count()
+    for r in whole:
+        own = sorted(lengths[r.source])
+        assert [r.p25, r.p50, r.p75, r.p90, r.p99] == [own[-(-len(own) * k // 100) - 1] for k in (25, 50, 75, 90, 99)]
+    nothing = length_histogram.token_histogram(empty(spark))
+    assert nothing.count() == 0 and length_histogram.with_quantiles(nothing, "source").count() == 0
 
 
 def test_long_texts_are_cut_where_words_end():
