@@ -21,7 +21,7 @@ import sys
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from .plans import catalog, jobs, reports
+from .plans import catalog, history, jobs, reports
 from .schemas import FLIGHT_RECORD, POLLED_STATIONS, WEATHER_RECORD
 from .session import SESSION_DEFAULTS
 from .sources import bronze
@@ -97,6 +97,11 @@ def main(argv: list[str] | None = None) -> int:
         if a.catalog:
             catalog.create_tables(spark, lake, a.catalog, a.only)
         audit.show(audit.count(), truncate=False)
+        history.record(lake, audit)
+        marked = history.judged(history.read(spark, lake)).where("unusual")
+        if not marked.isEmpty():
+            print("Unusual row counts:")
+            marked.show(truncate=False)
         return 1 if audit.filter(F.col("status") != "ok").count() else 0
     if a.cmd == "stream":
         from .streaming import ingest_stream
