@@ -71,6 +71,7 @@ def main(argv: list[str] | None = None) -> int:
         job.add_argument("--stations", help="CSV with an airport_icao column (allow-list; default: the polled stations)")
         job.add_argument("--all-stations", action="store_true", help="keep every station")
         job.add_argument("--replay", action="store_true", help="read all landed files again if the list of stations changed")
+        job.add_argument("--seen-for", help="drop lines that came before within this time, e.g. '7 days' (one choice per lake)")
     r = sub.add_parser("report", help="one business report")
     r.add_argument("--lake", required=True)
     r.add_argument("name", choices=sorted([*REPORTS, *catalog.REPORT_SQL]))
@@ -93,7 +94,7 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     if a.cmd == "nightly":
         audit = jobs.run_nightly(spark, lake, stations, raise_on_failure=False,
-                                 concurrency=a.concurrency, only=a.only, replay=a.replay)
+                                 concurrency=a.concurrency, only=a.only, replay=a.replay, seen_for=a.seen_for)
         if a.catalog:
             catalog.create_tables(spark, lake, a.catalog, a.only)
         audit.show(audit.count(), truncate=False)
@@ -108,7 +109,8 @@ def main(argv: list[str] | None = None) -> int:
         silver = lake.silver({"flights": "aviationstack_flights", "weather": "metar"}[a.feed])
         done = ingest_stream(spark, lake.bronze(a.feed), silver, a.feed,
                              lake.checkpoint(a.feed), stations, a.max_files,
-                             mode=a.mode, rejects_path=lake.rejects(a.feed), replay=a.replay)
+                             mode=a.mode, rejects_path=lake.rejects(a.feed), replay=a.replay,
+                             seen_for=a.seen_for)
         print(done)
         return 0
     if a.name in REPORTS:

@@ -349,6 +349,7 @@ ORACLE["live_flights_dedupe"] = with_("live_silver") + "SELECT * FROM live_silve
 ORACLE["weather_flat"] = with_("weather_flat") + "SELECT * FROM weather_flat"
 ORACLE["append_idempotent"] = ORACLE["live_flights_dedupe"]
 ORACLE["stream_incremental"] = ORACLE["live_flights_dedupe"]
+ORACLE["stream_repolled"] = ORACLE["live_flights_dedupe"]
 ORACLE["merge_replay"] = ORACLE["live_flights_dedupe"]
 ORACLE["append_replay"] = with_("live_flat") + f"""
 SELECT {", ".join(LIVE_KEY)}, 1::BIGINT AS n_rows FROM live_flat GROUP BY {", ".join(LIVE_KEY)}"""

@@ -119,7 +119,8 @@ def wanted(only: Iterable[str] | None) -> Callable[[str], bool]:
 
 def build_silver(spark: SparkSession, lake: Lake,
                      stations: DataFrame | None = None, concurrency: int = 3,
-                 only: Iterable[str] | None = None, replay: bool = False) -> list[tuple]:
+                 only: Iterable[str] | None = None, replay: bool = False,
+                 seen_for: str | None = None) -> list[tuple]:
     """JOB-1: on-time CSV → overwrite (by month); flight and weather JSON → merge.
 
     The JSON feeds catch up through the file stream (:func:`streaming.ingest_stream`):
@@ -128,7 +129,7 @@ def build_silver(spark: SparkSession, lake: Lake,
     later snapshot re-reports a flight, and a re-run rewrites no file. The audit's row
     count for these tables is the number of keys added. Lines that are no JSON of
     the feed are counted during the merge and stored under ``rejects/`` if any.
-    ``only`` names the tables to build, ``replay`` is that of the stream."""
+    ``only`` names the tables to build, ``replay`` and ``seen_for`` are those of the stream."""
     rejected: list[tuple] = []
 
     def ontime() -> int:
@@ -138,7 +139,7 @@ def build_silver(spark: SparkSession, lake: Lake,
 
     def feed(kind: str, table: str) -> int:
         done = ingest_stream(spark, lake.bronze(kind), lake.silver(table), kind, lake.checkpoint(kind),
-                             stations, rejects_path=lake.rejects(kind), replay=replay)
+                             stations, rejects_path=lake.rejects(kind), replay=replay, seen_for=seen_for)
         rejected.append(("bronze", f"{kind}_rejects", "ok", done["rejects"], None))
         return done["rows"]
 
@@ -201,11 +202,12 @@ def audit_frame(spark: SparkSession, audit: list[tuple]) -> DataFrame:
 
 def run_nightly(spark: SparkSession, lake: Lake, stations: DataFrame | None = None,
                 raise_on_failure: bool = True, concurrency: int = 3,
-                only: Iterable[str] | None = None, replay: bool = False) -> DataFrame:
+                only: Iterable[str] | None = None, replay: bool = False,
+                seen_for: str | None = None) -> DataFrame:
     """JOB-1 then JOB-2; the audit as a DataFrame (raises after both if any failed).
     ``only`` limits both to some tables, whose inputs have to be there or among them."""
     only = None if only is None else set(only)
-    audit = (build_silver(spark, lake, stations, concurrency, only, replay)
+    audit = (build_silver(spark, lake, stations, concurrency, only, replay, seen_for)
              + build_gold(spark, lake, concurrency, only))
     if raise_on_failure and any(a[2] != "ok" for a in audit):
         raise JobFailed(audit)

@@ -150,6 +150,52 @@ def test_stream_later_snapshot_with_smaller_row_replaces(spark, sf_small):  # ST
             assert replaced == 0
 
 
+def test_stream_drops_lines_seen_before(spark, sf_small):  # STR-1
+    """A day landed again reaches no sink; a new line of an old day does; a repeat after
+    the expiry changes nothing; a checkpoint keeps its choice."""
+    t = Tables(spark, sf_small)
+    root = scratch_path(spark, "stream-seen")
+    records = surrogate.live_records(t)
+    old_day = records.where("record.flight_date < '2024-01-10'")
+    late = (old_day.withColumn("record", F.col("record").withField("flight_status", F.lit("late")))
+            .withColumn("_ingested_at", F.lit("2024-01-01T00:00:00.5")))
+    total = Counter()
+
+    def poll(rows, seen_for="7 days"):
+        bronze.land_snapshot(rows, f"{root}/bronze", "flights")
+        done = ingest_stream(spark, f"{root}/bronze", f"{root}/silver", "flights", f"{root}/ckpt", seen_for=seen_for)
+        total.update(done)
+        return done
+
+    first = poll(records)
+    assert first["batches"] == 1 and first["rows"] > 0
+    assert poll(records) == {"batches": 0, "rows": 0, "rejects": 0}
+    assert poll(late)["batches"] == 1  # however old, never too late
+    assert poll(records, "1 microsecond")["batches"] <= 1
+    got = spark.read.schema(LIVE_SILVER).parquet(f"{root}/silver").select(*LIVE_SILVER.fieldNames())
+    want = op.live_silver(bronze.wrap_envelope(records.unionByName(late), "flights"))
+    assert Counter(got.collect()) == Counter(want.collect())
+    with pytest.raises(ValueError, match="made with seen_for"):
+        poll(records, None)
+
+
+def test_seen_lines_differ_in_any_field(spark):  # STR-1
+    """Null and absent, blank and null, another ingestion time: other lines; equal
+    lines of one batch once; rejects are counted once."""
+    root = scratch_path(spark, "stream-lines")
+    lines = ['{"flights":{"data":[{"flight_date":"2025-01-01","flight":{"iata":"A1"}}]},"_ingested_at":"2025-01-01T01:00:00"}',
+             '{"flights":{"data":[{"flight_date":"2025-01-01","flight":{"iata":""}}]},"_ingested_at":"2025-01-01T01:00:00"}',
+             '{"flights":{"data":[{"flight_date":"2025-01-01","flight":{"iata":"A1"}}]},"_ingested_at":"2025-01-01T02:00:00"}',
+             '{"flights":{"data":null},"_ingested_at":"2025-01-01T01:00:00"}', '{"flights":{"da']
+    frame = spark.createDataFrame([(x,) for x in lines + lines], "value string")
+    args = (f"{root}/bronze", f"{root}/silver", "flights", f"{root}/ckpt")
+    for i in range(2):
+        frame.write.mode("append").text(f"{root}/bronze/ingest_date=2025-01-01")
+        done = ingest_stream(spark, *args, seen_for="1 day", rejects_path=f"{root}/rejects")
+        assert (done["batches"], done["rejects"]) == ((1, 1) if i == 0 else (0, 0))
+    assert spark.read.parquet(f"{root}/rejects").count() == 1
+
+
 def test_weather_stream_partitioned_by_obs_day(spark, sf_small):  # STR-1, SNK-2
     from flightlake.schemas import WEATHER_SILVER
     t = Tables(spark, sf_small)
