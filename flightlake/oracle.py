@@ -453,3 +453,23 @@ for _gold, _same in (("airport_hourly_delay", "airport_hourly_delay"), ("route_d
                      ("carrier_performance", "carrier_performance"), ("delay_cause_breakdown", "delay_cause_breakdown"),
                      ("flight_weather_joined", "flight_weather_latest"), ("aviationstack_summary", "live_route_summary")):
     ORACLE[f"nightly_{_gold}"] = ORACLE[_same]
+
+ORACLE["nightly_route_flights"] = with_("ontime_silver") + """
+SELECT * FROM ontime_silver WHERE Origin = (SELECT min(Origin) FROM ontime_silver)"""
+
+# Two nights of the weather feed: keys of the first half of the month, then the others.
+ORACLE["nightly_history"] = with_("weather_silver") + f""",
+c AS (SELECT (SELECT count(*) FROM weather_silver) AS whole,
+             (SELECT count(*) FROM (SELECT DISTINCT {", ".join(WEATHER_KEY)} FROM weather_flat
+                                    WHERE substr(_ingested_at, 9, 2) <= '15')) AS half),
+nights AS (
+  SELECT 'silver' AS layer, 'metar' AS table_name, 1 AS night, half AS rows_written, CAST(half AS DOUBLE) AS usual FROM c
+  UNION ALL SELECT 'silver', 'metar', 2, whole - half, half FROM c
+  UNION ALL SELECT 'bronze', 'weather_rejects', unnest([1, 2]), 0, 0)
+SELECT layer, table_name, night, rows_written, 1::BIGINT AS n_past, usual, false AS unusual FROM nights"""
+
+ORACLE["catalog_worst_routes"] = ORACLE["report_worst_routes"]
+ORACLE["catalog_best_carrier"] = with_("ontime_silver") + """
+SELECT OP_CARRIER, avg(DEP_DELAY) AS avg_dep_delay FROM ontime_silver
+GROUP BY OP_CARRIER ORDER BY avg_dep_delay ASC NULLS LAST, OP_CARRIER LIMIT 1"""
+ORACLE["catalog_weather_category"] = ORACLE["report_weather_category"]

@@ -13,16 +13,15 @@ from ..sources.versions import current
 from .jobs import GOLD_TABLES, SILVER_TABLES, Lake, read_gold, read_silver
 
 
-def register_lake(spark: SparkSession, lake: Lake, prefix: str = "") -> list[str]:
-    """Create or replace one temp view per silver and gold table; return names."""
-    names = []
-    for name in SILVER_TABLES:
-        read_silver(spark, lake, name).createOrReplaceTempView(prefix + name)
-        names.append(prefix + name)
-    for name in GOLD_TABLES:
-        read_gold(spark, lake, name).createOrReplaceTempView(prefix + name)
-        names.append(prefix + name)
-    return names
+def register_lake(spark: SparkSession, lake: Lake, prefix: str = "", names: list[str] | None = None) -> list[str]:
+    """Create or replace one temp view per silver and gold table (``names``: of these); return the views' names."""
+    made = []
+    for read, tables in ((read_silver, SILVER_TABLES), (read_gold, GOLD_TABLES)):
+        for name in tables:
+            if names is None or name in names:
+                read(spark, lake, name).createOrReplaceTempView(prefix + name)
+                made.append(prefix + name)
+    return made
 
 
 def create_tables(spark: SparkSession, lake: Lake, database: str, names: list[str] | None = None) -> list[str]:

@@ -47,6 +47,10 @@ AUDIT_SCHEMA = T.StructType([
 ])
 
 
+# The on-time table lies by month, inside it by airport and route.
+ROUTE = ["Origin", "Dest"]
+
+
 @dataclass
 class Lake:
     root: str
@@ -111,6 +115,13 @@ def read_gold(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
     return read_table(spark, lake.gold(name))
 
 
+def route_flights(spark: SparkSession, lake: Lake, origin: str, dest: str | None = None) -> DataFrame:
+    """The on-time flights from one airport (to one other). The table is clustered by
+    them, so the scan reads the row groups whose range holds the airport."""
+    flights = read_silver(spark, lake, "bts_flights").where(F.col("Origin") == origin)
+    return flights if dest is None else flights.where(F.col("Dest") == dest)
+
+
 def wanted(only: Iterable[str] | None) -> Callable[[str], bool]:
     """Whether a table is to be built: all, or those of ``only``."""
     names = None if only is None else set(only)
@@ -135,7 +146,7 @@ def build_silver(spark: SparkSession, lake: Lake,
     def ontime() -> int:
         raw = bronze.read_ontime_csv(spark, f"{lake.bronze('ontime')}/*.csv")
         month = with_part(op.ontime_silver(raw).withColumn("_month", F.substring("FL_DATE", 1, 7)), "_month")
-        return replace_table(month.drop("_month"), lake.silver("bts_flights"), [PART], name="bts_flights")
+        return replace_table(month.drop("_month"), lake.silver("bts_flights"), [PART], name="bts_flights", cluster_by=ROUTE)
 
     def feed(kind: str, table: str) -> int:
         done = ingest_stream(spark, lake.bronze(kind), lake.silver(table), kind, lake.checkpoint(kind),

@@ -11,11 +11,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import operators as op
-from .plans import catalog, jobs, reports
+from .plans import catalog, history, jobs, reports
 from .schemas import LIVE_KEY, LIVE_SILVER, ONTIME_KEY, WEATHER_SILVER
 from .session import scratch_path
 from .sources import bronze, surrogate
@@ -312,6 +312,41 @@ def q_nightly_metar(spark, sf_dir):
     return jobs.read_silver(spark, _nightly(spark, sf_dir, ["metar"]), "metar")
 
 
+def q_nightly_route_flights(spark, sf_dir):
+    """The flights from the first airport, read from the clustered silver table."""
+    lake = _nightly(spark, sf_dir, ["bts_flights"])
+    first = jobs.read_silver(spark, lake, "bts_flights").agg(F.min("Origin")).first()[0]
+    return jobs.route_flights(spark, lake, first)
+
+
+def _catalog_report(name, table):
+    def query(spark, sf_dir):
+        lake = _nightly(spark, sf_dir, jobs.GOLD_INPUTS[table], [table])
+        prefix = "report_" + lake.root.rsplit("-", 1)[-1] + "_"
+        catalog.register_lake(spark, lake, prefix, [table])
+        return catalog.report_sql(spark, name, prefix)
+    query.__doc__ = f"The SQL report {name} over the view of {table} (JOB-4)."
+    return query
+
+
+def q_nightly_history(spark, sf_dir):
+    """The audits of two nights of the weather feed, first half of the month landed
+    and then all of it, with what the last count is compared with (CNT-1)."""
+    t = _tables(spark, sf_dir)
+    lake = jobs.Lake(scratch_path(spark, "history"))
+    records, stations = surrogate.weather_records(t), op.station_registry(t.nation)
+    half = records.where(F.substring("_ingested_at", 9, 2) <= "15")
+    for landed in (half, records):
+        bronze.land_snapshot(landed, lake.bronze("weather"), "weather")
+        history.record(lake, jobs.run_nightly(spark, lake, stations, only=["metar"]))
+    nights = history.read(spark, lake).where("status = 'ok'")
+    night = Window.partitionBy("layer", "table_name").orderBy("run_at")
+    usual = history.judged(history.read(spark, lake)).select("layer", "table_name", "n_past", "usual", "unusual")
+    return (nights.withColumn("night", F.row_number().over(night))
+            .select("layer", "table_name", "night", "rows_written")
+            .join(usual, ["layer", "table_name"]))
+
+
 def q_stream_weather(spark, sf_dir):
     """Weather snapshots through the file stream in two steps."""
     t = _tables(spark, sf_dir)
@@ -396,5 +431,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_weather": q_stream_weather,
     "stream_repolled": q_stream_repolled,
     "nightly_metar": q_nightly_metar,
+    "nightly_route_flights": q_nightly_route_flights,
+    "nightly_history": q_nightly_history,
+    "catalog_worst_routes": _catalog_report("worst_routes", "route_delay_summary"),
+    "catalog_best_carrier": _catalog_report("best_carrier", "carrier_performance"),
+    "catalog_weather_category": _catalog_report("weather_category", "flight_weather_joined"),
     **{f"nightly_{name}": _written_gold(name) for name in jobs.GOLD_TABLES},
 }

@@ -31,6 +31,8 @@ from .versions import publish
 
 PART = "day_part"
 NO_DAY = "none"
+# Row groups of a clustered table: small enough that one holds few values of its leading column.
+ROW_GROUP_BYTES = 16 << 20
 
 
 def observed_write(df: DataFrame, name: str, write) -> int:
@@ -41,17 +43,37 @@ def observed_write(df: DataFrame, name: str, write) -> int:
 
 
 def replace_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
-                  name: str = "table") -> int:
+                  name: str = "table", cluster_by: list[str] | None = None,
+                  row_group_bytes: int = ROW_GROUP_BYTES) -> int:
     """Overwrite the table at ``path`` (Snappy Parquet); return rows written.
-    Readers resolve it with :func:`sources.versions.read_table`."""
+    Readers resolve it with :func:`sources.versions.read_table`. ``cluster_by``
+    lays the files out by these columns (:func:`clustered`)."""
+    if cluster_by:
+        df = clustered(df, partition_by or [], cluster_by)
+
     def write(folder: str) -> int:
         def save(d: DataFrame) -> None:
             w = d.write.option("compression", "snappy")
+            if cluster_by:
+                w = w.option("parquet.block.size", row_group_bytes)
             (w.partitionBy(*partition_by) if partition_by else w).parquet(folder)
         return observed_write(df, name, save)
     return publish(df.sparkSession, path, write)
 
 
+def clustered(df: DataFrame, partition_by: list[str], cluster_by: list[str]) -> DataFrame:
+    """``df`` laid out for a write by ``partition_by`` of which later reads ask for some
+    values of ``cluster_by[0]``.
+
+    A rebalance brings the rows of one partition and value together, so a month is a
+    few files, not one per shuffle task; AQE splits partitions that a hub makes too
+    large and joins small ones. The rows of a task are then sorted, so the row
+    groups of a file hold separate ranges, whose statistics the reader prunes by.
+    """
+    together = df.hint("rebalance", *[F.col(c) for c in [*partition_by, cluster_by[0]]])
+    return together.sortWithinPartitions(*partition_by, *cluster_by)
+
+
 def with_part(df: DataFrame, day: str) -> DataFrame:
     """Add the partition column of the day column ``day``."""
     return df.withColumn(PART, F.coalesce(F.when(F.trim(F.col(day)) != "", F.col(day)), F.lit(NO_DAY)))
