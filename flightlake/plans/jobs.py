@@ -7,9 +7,9 @@ anything failed, unless ``raise_on_failure=False``. Row counts come from an
 
 Layout of a lake root::
 
-    bronze/flights/ingest_date=YYYY-MM-DD/*.json
-    bronze/weather/ingest_date=YYYY-MM-DD/*.json
-    bronze/ontime/*.csv
+    bronze/flights/ingest_date=YYYY-MM-DD/*.json*
+    bronze/weather/ingest_date=YYYY-MM-DD/*.json*
+    bronze/ontime/*.csv*
     silver/{bts_flights, aviationstack_flights, metar}
     gold/{airport_hourly_delay, route_delay_summary, carrier_performance,
           delay_cause_breakdown, flight_weather_joined, aviationstack_summary}
@@ -144,7 +144,7 @@ def build_silver(spark: SparkSession, lake: Lake,
     rejected: list[tuple] = []
 
     def ontime() -> int:
-        raw = bronze.read_ontime_csv(spark, f"{lake.bronze('ontime')}/*.csv")
+        raw = bronze.read_ontime_csv(spark, f"{lake.bronze('ontime')}/*.csv*")
         month = with_part(op.ontime_silver(raw).withColumn("_month", F.substring("FL_DATE", 1, 7)), "_month")
         return replace_table(month.drop("_month"), lake.silver("bts_flights"), [PART], name="bts_flights", cluster_by=ROUTE)
 

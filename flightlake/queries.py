@@ -259,7 +259,7 @@ def _land_lake(spark, sf_dir, lake, feeds=("ontime", "flights", "weather")):
     t = _tables(spark, sf_dir)
 
     def ontime():
-        bronze.write_ontime_csv(surrogate.ontime_raw(t), lake.bronze("ontime"))
+        bronze.write_ontime_csv(surrogate.ontime_raw(t), lake.bronze("ontime"), bronze.COMPRESSION)
         return 0
 
     def feed(name, records):

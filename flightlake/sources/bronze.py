@@ -3,8 +3,8 @@
 Landing (SNK-11) wraps each API record in the feed's envelope — the payload
 plus the ingestion time — and writes JSON lines partitioned by ingestion day.
 A re-run replaces that day only (dynamic partition overwrite). One record per
-envelope line keeps every file splittable: no day is ever gathered into a
-single document or a single task.
+envelope line and a bounded number of lines per file: no day is ever gathered
+into a single document or a single task.
 
 Reading (SRC-1/2/3/7) always uses an explicit schema; the date folders are
 matched by a glob, and the snapshot day is recovered from the file path.
@@ -19,6 +19,11 @@ from pyspark.sql import types as T
 from ..schemas import FLIGHT_ENVELOPE, ONTIME_COLUMNS, WEATHER_ENVELOPE
 
 REJECT = "_corrupt_record"
+# Landed files are compressed. Such a file is one task to its readers, so no file
+# holds more records than these.
+COMPRESSION = "snappy"
+FEED_FILE_RECORDS = 50_000
+CSV_FILE_RECORDS = 100_000
 FEEDS = {
     "flights": FLIGHT_ENVELOPE,
     "weather": WEATHER_ENVELOPE,
@@ -60,22 +65,24 @@ def snapshot_day(ingested_at: Column) -> Column:
 def land_snapshot(records: DataFrame, root: str, feed: str) -> DataFrame:
     """Write the feed's envelopes under ``root/ingest_date=YYYY-MM-DD/`` (SNK-11).
 
-    Returns the landed envelopes read back from ``root``.
+    Files are compressed and hold ``FEED_FILE_RECORDS`` records at most. Returns the
+    landed envelopes read back from ``root``.
     """
     env = wrap_envelope(records, feed).withColumn("ingest_date", snapshot_day(F.col("_ingested_at")))
     (env.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("compression", COMPRESSION).option("maxRecordsPerFile", FEED_FILE_RECORDS)
         .partitionBy("ingest_date")
         .json(root))
     return read_envelopes(records.sparkSession, root, feed)
 
 
 def read_envelopes(spark: SparkSession, root: str, feed: str,
-                   glob: str = "*/*.json", multi_line: bool = False,
+                   glob: str = "*/*.json*", multi_line: bool = False,
                    rejects: bool = False) -> DataFrame:
     """Every snapshot below ``root`` (SRC-1/2, SRC-7).
 
-    ``glob`` selects the date folders: ``*/*.json`` for landed days,
+    ``glob`` selects the date folders: ``*/*.json*`` for landed days,
     ``*/*/*/snapshot.json`` for a year/month/day layout. The snapshot day is
     recovered from the path as ``_snapshot_date``. ``multi_line`` reads
     pretty-printed documents (one file is then one task, so landed data
@@ -95,7 +102,7 @@ def read_envelopes(spark: SparkSession, root: str, feed: str,
     return df.select(*fields, F.when(day != "--", day).alias("_snapshot_date"))
 
 
-def rejects(spark: SparkSession, root: str, feed: str, glob: str = "*/*.json") -> DataFrame:
+def rejects(spark: SparkSession, root: str, feed: str, glob: str = "*/*.json*") -> DataFrame:
     """The lines below ``root`` that are no JSON of the feed, with their day."""
     lines = read_envelopes(spark, root, feed, glob, rejects=True)
     return lines.where(F.col(REJECT).isNotNull()).select("_snapshot_date", "_ingested_at", REJECT)
@@ -177,6 +184,10 @@ def drift_report(spark: SparkSession, path: str, expected: list[str] = ONTIME_CO
     return header_drift(csv_headers(spark, path), expected).withColumn("file", file)
 
 
-def write_ontime_csv(raw: DataFrame, path: str) -> None:
-    """Write on-time rows as headed CSV files (the publisher's monthly files)."""
-    raw.write.mode("overwrite").option("header", True).csv(path)
+def write_ontime_csv(raw: DataFrame, path: str, compression: str | None = None) -> None:
+    """Write on-time rows as headed CSV files (the publisher's monthly files). With
+    ``compression`` a file holds ``CSV_FILE_RECORDS`` rows at most."""
+    w = raw.write.mode("overwrite").option("header", True)
+    if compression:
+        w = w.option("compression", compression).option("maxRecordsPerFile", CSV_FILE_RECORDS)
+    w.csv(path)
