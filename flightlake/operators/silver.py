@@ -42,7 +42,7 @@ def ontime_silver(raw: DataFrame, extra_keys: list[str] | None = None) -> DataFr
     rows with values before rows with nulls. Cancelled flights have no departure
     time, so those of one carrier, route and day share the key; ``extra_keys``
     (e.g. ``["TAIL_NUM"]``) keeps them apart."""
-    return dedupe(clean_ontime(raw), ONTIME_KEY + list(extra_keys or []), descending=True)
+    return dedupe(clean_ontime(raw), ONTIME_KEY + list(extra_keys or []), descending=True, hashed=True)
 
 
 def present(text: str) -> Column:
