@@ -152,8 +152,11 @@ def csv_headers(spark: SparkSession, path: str) -> DataFrame:
         F.col("_metadata.file_path").alias("file"), "value",
         F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line")).alias("at"))
     first = F.when(F.col("at.block") == 0, F.col("value"))
+    # The set of a file's blocks is small; with it the aggregate is an object hash
+    # aggregate, while one of texts alone would sort all lines by file.
     per = lines.groupBy("file").agg(F.min_by(first, F.when(F.col("at.block") == 0, F.col("at.line"))).alias("header"),
-                                    (F.count(F.lit(1)) - 1).alias("n_rows"))
+                                    (F.count(F.lit(1)) - 1).alias("n_rows"), F.collect_set("at.block").alias("blocks"))
+    per = per.where(F.size("blocks") > 0)
     mark = F.regexp_replace("header", "^\ufeff", "")  # a byte order mark is no part of a name
     return per.select("file", header_names(mark).alias("names"), "n_rows")
 
