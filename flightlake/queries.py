@@ -130,7 +130,7 @@ def q_carrier_cancelled_by_tail(spark, sf_dir):
 
 def _landed(spark, sf_dir, feed):
     t = _tables(spark, sf_dir)
-    records = surrogate.live_records(t) if feed == "flights" else surrogate.weather_records(t)
+    records = surrogate.live_records(t, by_day=True) if feed == "flights" else surrogate.weather_records(t, by_day=True)
     return bronze.land_snapshot(records, scratch_path(spark, f"bronze-{feed}"), feed)
 
 
@@ -269,8 +269,8 @@ def _land_lake(spark, sf_dir, lake, feeds=("ontime", "flights", "weather")):
         return land
 
     steps = [("ontime", ontime),
-             ("flights", feed("flights", surrogate.live_records(t))),
-             ("weather", feed("weather", surrogate.weather_records(t)))]
+             ("flights", feed("flights", surrogate.live_records(t, by_day=True))),
+             ("weather", feed("weather", surrogate.weather_records(t, by_day=True)))]
     audit = jobs.run_steps("bronze", [x for x in steps if x[0] in feeds], concurrency=3)
     if any(a[2] != "ok" for a in audit):
         raise jobs.JobFailed(audit)
@@ -334,7 +334,7 @@ def q_nightly_history(spark, sf_dir):
     and then all of it, with what the last count is compared with (CNT-1)."""
     t = _tables(spark, sf_dir)
     lake = jobs.Lake(scratch_path(spark, "history"))
-    records, stations = surrogate.weather_records(t), op.station_registry(t.nation)
+    records, stations = surrogate.weather_records(t, by_day=True), op.station_registry(t.nation)
     half = records.where(F.substring("_ingested_at", 9, 2) <= "15")
     for landed in (half, records):
         bronze.land_snapshot(landed, lake.bronze("weather"), "weather")
@@ -351,7 +351,7 @@ def q_stream_weather(spark, sf_dir):
     """Weather snapshots through the file stream in two steps."""
     t = _tables(spark, sf_dir)
     root = scratch_path(spark, "stream-weather")
-    records = surrogate.weather_records(t)
+    records = surrogate.weather_records(t, by_day=True)
     stations = op.station_registry(t.nation)
     first = records.where(F.pmod(F.xxhash64("_ingested_at"), F.lit(2)) == 0)
     for batch in (first, records):
@@ -367,7 +367,7 @@ def q_stream_incremental(spark, sf_dir):
     t = _tables(spark, sf_dir)
     root = scratch_path(spark, "stream")
     landing, silver, ckpt = f"{root}/bronze", f"{root}/silver", f"{root}/_checkpoint"
-    records = surrogate.live_records(t)
+    records = surrogate.live_records(t, by_day=True)
     day = F.col("record.flight_date")
     first = records.filter(F.pmod(F.xxhash64(day), F.lit(2)) == 0)
     bronze.land_snapshot(first, landing, "flights")
@@ -383,7 +383,7 @@ def q_stream_repolled(spark, sf_dir):
     dropped before the merge, and silver equals one batch run over everything."""
     t = _tables(spark, sf_dir)
     root = scratch_path(spark, "stream-repolled")
-    records = surrogate.live_records(t)
+    records = surrogate.live_records(t, by_day=True)
     first = records.filter(F.pmod(F.xxhash64("record.flight_date"), F.lit(2)) == 0)
     for poll in (first, records, records):
         bronze.land_snapshot(poll, f"{root}/bronze", "flights")

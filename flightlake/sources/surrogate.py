@@ -96,9 +96,13 @@ def ontime_raw(t: Tables) -> DataFrame:
     )
 
 
-def _event_nation(t: Tables, key: Column, prefix: str) -> DataFrame:
+def _event_nation(t: Tables, key: Column, prefix: str, by_day: bool = False) -> DataFrame:
     """events joined to the nation ``key`` maps to.
 
+    ``by_day`` deals the narrow events out by day first (AQE splits large days and
+    joins small ones). A record is many times its event: a landing of a few row
+    groups would else keep a few tasks busy, each with a part of every day.
+
     No broadcast hint: the planner broadcasts the nation table by its file
     size statistic, i.e. only because its size is known to be small.
     """
@@ -106,16 +110,18 @@ def _event_nation(t: Tables, key: Column, prefix: str) -> DataFrame:
                         F.col("n_name").alias(f"{prefix}_name"),
                         F.col("n_regionkey").alias(f"{prefix}_region"))
     ev = t.events.select("event_id", "ts", "user_id", "event_type", "value")
+    if by_day:
+        ev = ev.withColumn("_day", F.to_date("ts")).hint("rebalance", F.col("_day")).drop("_day")
     return ev.join(n, key == F.col(f"{prefix}_key"))
 
 
-def weather_records(t: Tables) -> DataFrame:
+def weather_records(t: Tables, by_day: bool = False) -> DataFrame:
     """Weather observations in the API's shape, one per events row.
 
     Stations in region 4 carry a non-"K" prefix, like stations outside the
     contiguous US: they are not in the polled list and never match a flight.
     """
-    ev = _event_nation(t, F.col("user_id") % 25, "st")
+    ev = _event_nation(t, F.col("user_id") % 25, "st", by_day)
     icao = F.concat(F.when(F.col("st_region") == 4, F.lit("P")).otherwise(F.lit("K")),
                     F.col("st_name"))
     cat = (F.when(F.col("event_type") == "click", "VFR")
@@ -145,13 +151,13 @@ def weather_records(t: Tables) -> DataFrame:
 ACTIVE_STATUS = "click"
 
 
-def live_records(t: Tables) -> DataFrame:
+def live_records(t: Tables, by_day: bool = False) -> DataFrame:
     """Live flight records in the API's nested shape, one per events row.
 
     Some records carry no flight day or a blank one, and every third arrives a
     day later, so a flight may be reported more than once by different polls.
     """
-    ev = _event_nation(t, F.col("user_id") % 25, "o")
+    ev = _event_nation(t, F.col("user_id") % 25, "o", by_day)
     n = t.nation.select(F.col("n_nationkey").alias("d_key"), F.col("n_name").alias("d_name"))
     ev = ev.join(n, F.col("event_id") % 25 == F.col("d_key"))
     dep_delay = F.when(F.col("event_id") % 11 != 0, _txt(F.floor("value")))
