@@ -11,7 +11,9 @@ set a source off from its language.
    terms to blocks of about ``TERM_BLOCK``. A cell (group block, group block, term
    block) gets the two blocks' slices of that term block, replicated to every cell
    that needs them, and sums |p - q| over its terms for its pairs of groups;
-   terms that occur in none of a cell's groups enter by their number.
+   terms that occur in none of a cell's groups enter by their number. A pair has
+   the same first group in every term block: the one of the smaller group block,
+   within a block the smaller source (rows arrive in any order).
 4. *Reduction.* The partial sums are added along the term axis.
 
 A slice holds a group's occurring terms of one block only, so no task ever holds a
@@ -142,6 +144,7 @@ class Audit:
 def cell_sums(table: pa.Table) -> pa.Table:
     """One cell: rows (lang, source, gb, a, b, size, base, numbers, shares) of its
     groups; sums of |p - q| over the cell's terms for every pair of its groups."""
+    table = table.sort_by("source")
     gb, a, b = table["gb"].to_numpy(), table["a"][0].as_py(), table["b"][0].as_py()
     base, size = table["base"].fill_null(0).to_numpy(), table["size"][0].as_py()
     numbers = [np.asarray(x or [], np.int64) for x in table["numbers"].to_pylist()]
